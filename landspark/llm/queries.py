@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import uuid
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landspark.llm import exact_dedup, sharding
+from landspark.llm import exact_dedup, sharding, simhash, token_output
 from landspark.llm.common import new_path, table
 
 
@@ -17,13 +18,26 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "virtual_slot")
 
 
+def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of all documents by 64-bit fingerprints of 4-word shingles, 4 bits apart at most."""
+    out = simhash.near_groups(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as the first batch of a new digest index."""
     index = exact_dedup.DigestIndex(spark, f"digest_index_{uuid.uuid4().hex}")
     return exact_dedup.deduplicate(table(spark, sf_dir, "documents"), index, "first")
 
 
-QUERIES = {"op6_sharding": op6_sharding, "op9_exact_dedup": op9_exact_dedup}
+def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token ids in Arrow files, read back."""
+    path = new_path(spark, "tokens")
+    index = token_output.write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
+    return token_output.read_tokens(index, path)
+
+
+QUERIES = {"op10_token_output": op10_token_output, "op6_sharding": op6_sharding, "op7_simhash_near_dedup": op7_simhash_near_dedup, "op9_exact_dedup": op9_exact_dedup}
 
 ORACLE_SQL = {
     "op9_exact_dedup": r"""
