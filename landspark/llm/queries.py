@@ -8,10 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landspark.llm import exact_dedup, sharding, simhash, token_output
+from landspark.llm import exact_dedup, mixing, sharding, simhash, token_output
 from landspark.llm.common import new_path, table
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a mix of 150 % of all words takes of every document."""
+    return mixing.taken(table(spark, sf_dir, "documents"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 24 shards of nearly equal bytes, by 4,096 virtual slots."""
     out = sharding.shard(table(spark, sf_dir, "documents"), 24, sharding.SlotMap(spark, new_path(spark, "slot-map")))
@@ -37,7 +42,7 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.read_tokens(index, path)
 
 
-QUERIES = {"op10_token_output": op10_token_output, "op6_sharding": op6_sharding, "op7_simhash_near_dedup": op7_simhash_near_dedup, "op9_exact_dedup": op9_exact_dedup}
+QUERIES = {"op2_mixing": op2_mixing, "op10_token_output": op10_token_output, "op6_sharding": op6_sharding, "op7_simhash_near_dedup": op7_simhash_near_dedup, "op9_exact_dedup": op9_exact_dedup}
 
 ORACLE_SQL = {
     "op9_exact_dedup": r"""
