@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landspark.llm import exact_dedup, mixing, sharding, simhash, token_output
+from landspark.llm import exact_dedup, license_scan, mixing, sharding, simhash, token_output
 from landspark.llm.common import new_path, table
 
 
@@ -17,6 +17,11 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(table(spark, sf_dir, "documents"))
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and notices of all documents."""
+    return license_scan.label(table(spark, sf_dir, "documents"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 24 shards of nearly equal bytes, by 4,096 virtual slots."""
     out = sharding.shard(table(spark, sf_dir, "documents"), 24, sharding.SlotMap(spark, new_path(spark, "slot-map")))
@@ -42,9 +47,39 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.read_tokens(index, path)
 
 
-QUERIES = {"op2_mixing": op2_mixing, "op10_token_output": op10_token_output, "op6_sharding": op6_sharding, "op7_simhash_near_dedup": op7_simhash_near_dedup, "op9_exact_dedup": op9_exact_dedup}
+QUERIES = {"op2_mixing": op2_mixing, "op5_license_scan": op5_license_scan, "op10_token_output": op10_token_output, "op6_sharding": op6_sharding, "op7_simhash_near_dedup": op7_simhash_near_dedup, "op9_exact_dedup": op9_exact_dedup}
+
+def _op5_sql() -> str:
+    known = ", ".join(f"('{label}', {words}, {need})" for _, label, words, need in license_scan.templates(0.8))
+    phrases = ", ".join(f"({k}, '{p}', '{label}')" for k, (p, label) in enumerate(license_scan.PHRASES.items()))
+    word = license_scan.WORD
+    return rf'''
+        WITH d AS (
+            SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+        w AS (SELECT doc_id, t, regexp_extract_all(t, '{word}') AS ws FROM d),
+        phrases(k, phrase, label) AS (VALUES {phrases}),
+        spots AS (
+            SELECT doc_id, label, unnest(list_filter(range(0, len(ws)), lambda i: ws[i + 1 : i + len(string_split(phrase, ' '))] = string_split(phrase, ' '))) AS place
+            FROM w, phrases),
+        base AS (
+            SELECT doc_id, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word, list(DISTINCT label) AS labels
+            FROM spots GROUP BY doc_id),
+        known(label, own, need) AS (VALUES {known}),
+        parts AS (
+            SELECT doc_id, unnest(list_transform(regexp_split_to_array(t, '{license_scan.BLOCK_END}'), lambda p: list_distinct(regexp_extract_all(p, '{word}')))) AS p
+            FROM d),
+        found AS (
+            SELECT doc_id, list(DISTINCT label) AS labels, max(len(list_intersect(p, own)) / len(own)) AS score
+            FROM parts, known WHERE len(list_intersect(p, own)) >= need GROUP BY doc_id)
+        SELECT doc_id, len(ws) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+               coalesce(array_to_string(list_sort(base.labels), ','), '') AS base_labels,
+               coalesce(array_to_string(list_sort(list_distinct(list_concat(base.labels, found.labels))), ','), '') AS labels,
+               CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(score, 0) END::DOUBLE AS score
+        FROM w LEFT JOIN base USING (doc_id) LEFT JOIN found USING (doc_id)'''
+
 
 ORACLE_SQL = {
+    "op5_license_scan": _op5_sql(),
     "op9_exact_dedup": r"""
         SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                doc_id = min(doc_id) OVER g AS kept, text_sha256
