@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landspark.llm import exact_dedup, license_scan, mixing, sharding, simhash, token_output
+from landspark.llm import decontamination, exact_dedup, license_scan, mixing, sharding, simhash, token_output
 from landspark.llm.common import new_path, table
 
 
@@ -34,6 +34,11 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with a passage of 0.8 or more similarity to a benchmark item."""
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as the first batch of a new digest index."""
     index = exact_dedup.DigestIndex(spark, f"digest_index_{uuid.uuid4().hex}")
@@ -47,7 +52,7 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.read_tokens(index, path)
 
 
-QUERIES = {"op2_mixing": op2_mixing, "op5_license_scan": op5_license_scan, "op10_token_output": op10_token_output, "op6_sharding": op6_sharding, "op7_simhash_near_dedup": op7_simhash_near_dedup, "op9_exact_dedup": op9_exact_dedup}
+QUERIES = {"op2_mixing": op2_mixing, "op5_license_scan": op5_license_scan, "op10_token_output": op10_token_output, "op6_sharding": op6_sharding, "op7_simhash_near_dedup": op7_simhash_near_dedup, "op8_decontamination": op8_decontamination, "op9_exact_dedup": op9_exact_dedup}
 
 def _op5_sql() -> str:
     known = ", ".join(f"('{label}', {words}, {need})" for _, label, words, need in license_scan.templates(0.8))
