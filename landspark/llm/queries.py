@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landspark.llm import decontamination, exact_dedup, license_scan, mixing, sharding, simhash, token_output
+from landspark.llm import decontamination, exact_dedup, language_id, license_scan, mixing, quality, sharding, simhash, token_output
 from landspark.llm.common import new_path, table
+from landspark.llm.ngrams import held_out
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +18,22 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(table(spark, sf_dir, "documents"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents by a model of the labelled ones that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = quality.QualityModel.fit(docs.filter(~held_out()), table(spark, sf_dir, "labels"), "quality")
+    out = model.predict(docs)
+    return out.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of all documents by a model of those that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.LanguageModel.fit(docs.filter(~held_out()))
+    out = model.predict(docs.select("doc_id", "text"))
+    return out.select("doc_id", held_out().alias("held_out"), "lang_pred", F.col("lang_score").alias("score"), F.col("lang_rejected").alias("rejected"))
+
+
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License phrases and notices of all documents."""
     return license_scan.label(table(spark, sf_dir, "documents"))
@@ -52,7 +69,7 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.read_tokens(index, path)
 
 
-QUERIES = {"op2_mixing": op2_mixing, "op5_license_scan": op5_license_scan, "op10_token_output": op10_token_output, "op6_sharding": op6_sharding, "op7_simhash_near_dedup": op7_simhash_near_dedup, "op8_decontamination": op8_decontamination, "op9_exact_dedup": op9_exact_dedup}
+QUERIES = {"op2_mixing": op2_mixing, "op3_quality": op3_quality, "op4_language_id": op4_language_id, "op5_license_scan": op5_license_scan, "op10_token_output": op10_token_output, "op6_sharding": op6_sharding, "op7_simhash_near_dedup": op7_simhash_near_dedup, "op8_decontamination": op8_decontamination, "op9_exact_dedup": op9_exact_dedup}
 
 def _op5_sql() -> str:
     known = ", ".join(f"('{label}', {words}, {need})" for _, label, words, need in license_scan.templates(0.8))
