@@ -25,6 +25,7 @@ from __future__ import annotations
 import uuid
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -154,27 +155,40 @@ class BenchmarkIndex:
                 yield one.items[i], got, s, n
 
 
+class _Part:
+    """A part of the benchmark, sent to every worker, which indexes it once."""
+
+    def __init__(self, items, words: int, radius: int):
+        self.items, self.words, self.radius, self.key = items, words, radius, uuid.uuid4().hex
+
+    def index(self) -> BenchmarkIndex:
+        if self.key not in _index:
+            _index.clear()
+            _index[self.key] = BenchmarkIndex(self.items.value, self.words, self.radius)
+        return _index[self.key]
+
+
+def _parts(benchmark: DataFrame, words: int, radius: int) -> list[_Part]:
+    """The benchmark in parts of about ``ITEMS`` items; nothing else of it is on the driver at once."""
+    n = max(1, -(-benchmark.count() // ITEMS))
+    part = F.pmod(F.xxhash64("item_id"), F.lit(n))
+    spark = benchmark.sparkSession
+    own = lambda k: [(r["item_id"], r["text"]) for r in benchmark.filter(part == k).select("item_id", "text").collect()]
+    return [_Part(spark.sparkContext.broadcast(own(k)), words, radius) for k in range(n)]
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, words: int = 5, least: float = 0.8, radius: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, item_id, similarity, first_word, n_words``: the best window of each item in each document.
 
     Pairs below the similarity ``least`` and documents without a pair have no row. The
     documents are read in place; nothing is shuffled.
     """
-    spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    parts = max(1, -(-benchmark.count() // ITEMS))
     schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, item_id long, similarity double, first_word long, n_words long"
-    part = F.pmod(F.xxhash64("item_id"), F.lit(parts))
-
-    def found(k: int) -> DataFrame:
-        items = [(r["item_id"], r["text"]) for r in benchmark.filter(part == k).select("item_id", "text").collect()]
-        shared, key = spark.sparkContext.broadcast(items), uuid.uuid4().hex
 
+    def found(part: _Part) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            if key not in _index:
-                _index.clear()
-                _index[key] = BenchmarkIndex(shared.value, words, radius)
-            index = _index[key]
+            index = part.index()
             for b in batches:
                 hits = [(k, *hit) for k, t in enumerate(b.column(1)) for hit in index.matches(t.as_py(), least)]
                 if hits:
@@ -183,7 +197,18 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, words: int = 5, least: f
 
         return rows.mapInArrow(run, schema)
 
-    out = found(0)
-    for k in range(1, parts):
-        out = out.union(found(k))
-    return out
+    return reduce(DataFrame.union, map(found, _parts(benchmark, words, radius)))
+
+
+def decontaminated(docs: DataFrame, benchmark: DataFrame, words: int = 5, least: float = 0.8, radius: int = 20, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` without any window that is alike enough to an item; map-only."""
+    at = docs.columns.index(text_col)
+    for part in _parts(benchmark, words, radius):
+
+        def run(batches: Iterator[pa.RecordBatch], part: _Part = part) -> Iterator[pa.RecordBatch]:
+            index = part.index()
+            for b in batches:
+                yield b.filter(pa.array([next(index.matches(t.as_py(), least), None) is None for t in b.column(at)], pa.bool_()))
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs

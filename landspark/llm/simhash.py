@@ -252,3 +252,50 @@ def near_groups(docs: DataFrame, words: int = 4, most: int = 4, blocks: int = 5,
     least = known.groupBy("component").agg(F.min("first").alias("component_id"))
     reached = materialize(known.join(least.hint("merge"), "component").select("fp", "component_id"), "reached")
     return fps.join(reached.hint("merge"), "fp").select("doc_id", "fp", "component_id")
+
+
+def _jaccard(pairs: DataFrame, words: int, least: float) -> DataFrame:
+    """Those ``a, b`` of ``a, b, text_a, text_b`` whose sets of shingles are alike enough."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keep = []
+            for left, right in zip(b.column(2), b.column(3), strict=True):
+                x, y = (np.unique(shingle_hashes(t.as_py(), words)) for t in (left, right))
+                common = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(common >= least * (len(x) + len(y) - common))
+            yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return pairs.mapInArrow(run, "a long, b long")
+
+
+def without_near_duplicates(docs: DataFrame, words: int = 5, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each group of near-duplicates: that of the least id.
+
+    Rows are linked if their sets of ``words``-word shingles have a Jaccard similarity of
+    ``least`` or more. At 0.8 a bit of two fingerprints differs with probability 0.15;
+    fingerprints have 256 bits here, candidates differ in 56 at most, and 25 trees over
+    blocks of 10 bits, each searched for equal blocks, find 99.5 % of pairs at 0.8 and
+    more of closer ones. Links of the trees' spanning forests are then compared exactly on
+    whole texts, so no row goes for less than the similarity. Rows without words form
+    one group; the first of equal rows stays.
+    """
+    stored = materialize(docs.withColumn("_near_row", F.monotonically_increasing_id()), "docs")
+    rows = stored.select("_near_row", F.struct(F.col(id_col).isNull(), id_col, "_near_row").alias("order"), text_col)
+    fps = fingerprints(rows, words, 4, "_near_row", text_col).withColumnRenamed("doc_id", "row")
+    fps = materialize(fps, "fingerprints").join(rows.select(F.col("_near_row").alias("row"), "order"), "row")
+    nodes = materialize(fps.groupBy("fp").agg(F.min("order").alias("first"), F.count("*").alias("n")).select("fp", "n", F.col("first._near_row").alias("node")), "nodes")
+    edges = materialize(links(nodes.select("fp"), 256, 56, 25, radius=0, block_width=10), "candidates")
+    ends = nodes.select("fp", "node")
+    edges = edges.join(ends.withColumnsRenamed({"fp": "a", "node": "na"}), "a").join(ends.withColumnsRenamed({"fp": "b", "node": "nb"}), "b")
+    edges = materialize(edges.select(F.least("na", "nb").alias("a"), F.greatest("na", "nb").alias("b")).distinct(), "candidates")
+    used = edges.select(F.col("a").alias("_near_row")).union(edges.select("b")).distinct()
+    texts = materialize(stored.select("_near_row", text_col).join(used, "_near_row", "left_semi").toDF("node", "text"), "texts")
+    pairs = edges.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b").select("a", "b", "text_a", "text_b")
+    group = components(_jaccard(pairs, words, least))
+    # of a group's nodes, each the first row of its fingerprint, the one of the least id stays
+    member = group.join(rows.select(F.col("_near_row").alias("node"), "order"), "node")
+    stays = member.groupBy("component").agg(F.min("order").alias("first")).select(F.col("first._near_row").alias("node"))
+    gone = group.select("node").join(stays, "node", "left_anti")
+    kept = nodes.select("node").join(gone, "node", "left_anti").withColumnRenamed("node", "_near_row")
+    return stored.join(kept, "_near_row", "left_semi").select(*docs.columns)
