@@ -8,11 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landspark.llm import decontamination, exact_dedup, language_id, license_scan, mixing, quality, sharding, simhash, token_output
+from landspark.llm import decontamination, exact_dedup, html_extraction, language_id, license_scan, mixing, quality, sharding, simhash, token_output
 from landspark.llm.common import new_path, table
 from landspark.llm.ngrams import held_out
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of all pages."""
+    return html_extraction.extract(table(spark, sf_dir, "pages"))
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a mix of 150 % of all words takes of every document."""
     return mixing.taken(table(spark, sf_dir, "documents"))
