@@ -2,10 +2,10 @@
 
 Documents are range-partitioned and sorted by id, encoded where they lie, and each
 partition streams one Arrow IPC file to a shared folder. A file is a row of record
-batches with two columns of fixed-size lists, ``input_ids`` (unsigned 32 bits) and
-``attention_mask`` (unsigned 8 bits, 0 only behind the last id), so that sequence ``k``
-of a memory-mapped file is a slice, without a copy. The ids of a document are the ids
-``start`` to ``start + n_tokens`` of the whole output.
+batches with two columns of fixed-size lists, ``input_ids`` (unsigned, 16 bits if the
+vocabulary fits, else 32) and ``attention_mask`` (bits, false only behind the last id),
+so that sequence ``k`` of a memory-mapped file is a slice, without a copy. The ids of a
+document are the ids ``start`` to ``start + n_tokens`` of the whole output.
 
 Null texts count as empty and have the end id alone. Documents of equal id follow each
 other by text; null ids come first. An empty table gives no file and no row. Only id and
@@ -14,6 +14,7 @@ text are read, so other columns may have any name.
 
 from __future__ import annotations
 
+import json
 import os
 import uuid
 import zlib
@@ -28,34 +29,78 @@ from pyspark.sql import functions as F
 
 from landspark.llm.common import materialize
 
-#: Most distinct words whose ids a Python worker keeps.
-CACHED_WORDS = 300_000
+#: Words whose ids a Python worker keeps in each of two generations, at most.
+CACHED_WORDS = 350_000
 _tokenizers: dict = {}
 
+_LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
+#: Of each byte: 1 for a-z, 2 for marks that end words, 3 for ASCII white space.
+_KIND = np.array([1 if 97 <= c <= 122 else 2 if chr(c) in ".,!?;:|" else 3 if c == 32 or 9 <= c <= 13 else 0 for c in range(256)], "u1")
+
+
+def spaced(text: bytes) -> bytes:
+    """Sets a space before each single mark between a letter and white space."""
+    bytes_ = np.frombuffer(text, "u1")
+    kind = _KIND[bytes_]
+    at = np.nonzero((kind[1:-1] == 2) & (kind[:-2] == 1) & (kind[2:] == 3))[0]
+    return np.insert(bytes_, at + 1, 32).tobytes() if len(at) else text
+
 
 class Encoder:
-    """Encodes texts by a tokenizer that drops white space, keeping the ids of words.
+    """Encodes texts by a lower-casing tokenizer that drops white space, keeping the ids of words.
 
     Pieces between ASCII white space are encoded apart and their ids joined: the pattern
-    of such a tokenizer never spans white space, so this equals encoding whole texts.
+    of such a tokenizer never spans white space, and it splits a letter from a mark, so
+    this equals encoding whole texts. Texts with what may be a special token or with the
+    separator of pieces are encoded whole.
     """
 
+    SEPARATOR = "\x01"
+
     def __init__(self, spec: str):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.tokenizer, self.known = Tokenizer.from_str(spec), {}
+        self.tokenizer, self.known, self.older = Tokenizer.from_str(spec), {}, {}
+        # words of a-z alone are normal already
+        self.plain = Tokenizer.from_str(json.dumps(json.loads(spec) | {"normalizer": None}))
+        self.mark = self._ids(self.tokenizer, self.SEPARATOR)
+        vocabulary = self.tokenizer.get_vocab()
+        self.wide = max(vocabulary.values()) >= 1 << 16
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[k for w, k in vocabulary.items() if w.endswith("</w>")]] = True
+
+    @staticmethod
+    def _ids(tokenizer, text: str) -> np.ndarray:
+        return np.asarray(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
+    def _learn(self, words: set[bytes]) -> None:
+        plain, other = [], []
+        for w in words:
+            if w in self.older:
+                self.known[w] = self.older[w]
+            else:
+                (plain if w.isalpha() else other).append(w)
+        if plain:  # a word of a-z is one piece to the tokenizer, and its last id ends a word
+            ids = self._ids(self.plain, b" ".join(plain).decode())
+            raw, cuts = ids.tobytes(), (np.nonzero(self.ends[ids])[0] * 4 + 4).tolist()
+            self.known.update(zip(plain, (raw[a:b] for a, b in zip([0, *cuts[:-1]], cuts, strict=True)), strict=True))
+        if other:
+            ids = self._ids(self.tokenizer, f" {self.SEPARATOR} ".encode().join(other).decode())
+            raw, cuts = ids.tobytes(), (np.nonzero(ids == self.mark[0])[0] * 4).tolist()
+            self.known.update(zip(other, (raw[a:b] for a, b in zip([0, *(c + 4 for c in cuts)], [*cuts, len(raw)], strict=True)), strict=True))
 
     def __call__(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
-        words = text.encode("utf-8", "surrogatepass").split()
+        raw = text.encode("utf-8", "replace")
+        if b"<|" in raw or self.SEPARATOR.encode() in raw or len(self.mark) != 1:
+            return self._ids(self.tokenizer, raw.decode()).tobytes()
+        words = spaced(raw.translate(_LOWER)).split()
         if len(self.known) > CACHED_WORDS:
-            self.known.clear()
+            self.known, self.older = {}, self.known
         known = self.known
-        new = [w for w in set(words) if w not in known]
-        if new:
-            found = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-            known.update((w, np.asarray(e.ids, "<u4").tobytes()) for w, e in zip(new, found, strict=True))
+        if new := {w for w in words if w not in known}:
+            self._learn(new)
         return b"".join([known[w] for w in words])
 
 
@@ -70,13 +115,14 @@ def encoder(spec: str) -> Encoder:
 class SequenceFile:
     """Cuts a stream of ids into sequences of equal length and writes them in batches."""
 
-    def __init__(self, sink, length: int, batch: int):
+    def __init__(self, sink, length: int, batch: int, wide: bool):
         self.length, self.batch, self.held, self.n_held = length, batch, [], 0
-        self.schema = pa.schema([("input_ids", pa.list_(pa.uint32(), length)), ("attention_mask", pa.list_(pa.uint8(), length))])
+        self.type = "<u4" if wide else "<u2"
+        self.schema = pa.schema([("input_ids", pa.list_(pa.uint32() if wide else pa.uint16(), length)), ("attention_mask", pa.list_(pa.bool_(), length))])
         self.writer = pa.ipc.new_file(sink, self.schema)
 
     def _write(self, ids: np.ndarray, mask: np.ndarray) -> None:
-        lists = [pa.FixedSizeListArray.from_arrays(pa.array(x), self.length) for x in (ids, mask)]
+        lists = [pa.FixedSizeListArray.from_arrays(pa.array(x), self.length) for x in (ids.astype(self.type), mask)]
         self.writer.write_batch(pa.record_batch(lists, schema=self.schema))
 
     def add(self, ids: bytes) -> None:
@@ -86,7 +132,7 @@ class SequenceFile:
         if self.n_held >= full:
             every = np.frombuffer(b"".join(self.held), "<u4")
             for at in range(0, len(every) - full + 1, full):
-                self._write(every[at : at + full], np.ones(full, "u1"))
+                self._write(every[at : at + full], np.ones(full, bool))
             rest = every[len(every) // full * full :]
             self.held, self.n_held = [rest.tobytes()], len(rest)
 
@@ -94,7 +140,7 @@ class SequenceFile:
         if self.n_held:
             ids = np.frombuffer(b"".join(self.held), "<u4")
             padding = -len(ids) % self.length
-            self._write(np.concatenate([ids, np.zeros(padding, "<u4")]), np.concatenate([np.ones(len(ids), "u1"), np.zeros(padding, "u1")]))
+            self._write(np.concatenate([ids, np.zeros(padding, "<u4")]), np.arange(len(ids) + padding) < len(ids))
         self.writer.close()
 
 
@@ -135,7 +181,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_file: str, end_id: int =
             if out is None:
                 store.create_dir(folder, recursive=True)
                 sink = store.open_output_stream(own)
-                out = SequenceFile(sink, length, batch)
+                out = SequenceFile(sink, length, batch, encoded.wide or end_id >= 1 << 16)
             for text in rows.column(1):
                 ids = encoded(text.as_py() or "") + end
                 out.add(ids)
