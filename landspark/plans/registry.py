@@ -1,4 +1,647 @@
-"""Registered queries of the land-cover operators and their SQL twins."""
+"""Registered queries of the land-cover operators and their SQL twins.
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+Names begin with the operator's id in the survey. Float results are cast to double and
+rounded, in both, as engines differ in the last bit.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from landspark.functions import geometry as g
+from landspark.operators import features, geometry, grid, insitu, metrics, model, objects, post, samples, split
+from landspark.operators.grid import Grid
+from landspark.plans.fixtures import Tables, with_views
+from landspark.sources import tables as io
+from landspark.sources.shared import new_path
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE_SQL: dict[str, str] = {}
+
+
+def query(name: str, sql: str | None = None, **views: str):
+    """Registers a function of :class:`Tables` and its SQL over the views."""
+
+    def add(f: Callable[[Tables], DataFrame]):
+        QUERIES[name] = lambda spark, sf_dir: f(Tables(spark, sf_dir))
+        if sql is not None:
+            ORACLE_SQL[name] = with_views(sql, **views)
+        return f
+
+    return add
+
+
+def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
+    """Floating columns as rounded doubles, without negative zeros."""
+    return df.select(*[(F.round(F.col(c).cast("double"), digits) + 0.0).alias(c) if t in ("float", "double") else F.col(c) for c, t in df.dtypes])
+
+
+def rects(df: DataFrame) -> DataFrame:
+    """Adds the ring of ``xmin, ymin, xmax, ymax``."""
+    return df.withColumn("ring", g.rectangle(F.col("xmin"), F.col("ymin"), F.col("xmax"), F.col("ymax")))
+
+
+def r6(*cols: str) -> str:
+    return ", ".join(f"round(CAST({c} AS DOUBLE), 6) + 0.0 AS {c}" for c in cols)
+
+
+BANDS6 = r6(*features.CUBE)
+
+# ---- sources and sinks
+
+
+@query("s01_read_cells", "SELECT row_id, col_id, red::DOUBLE AS red, nir::DOUBLE AS nir FROM cells WHERE row_id >= 100 AND row_id < 900 AND col_id >= 2 AND col_id < 60")
+def _(t):
+    io.write_cells(t.cells, path := new_path(t.spark, "cells"), tile=256)
+    return rounded(io.read_cells(t.spark, path, (100, 900, 2, 60), tile=256).select("row_id", "col_id", "red", "nir"))
+
+
+@query("s02_write_cells", "SELECT row_id, col_id, red::DOUBLE AS red, green::DOUBLE AS green, blue::DOUBLE AS blue, nir::DOUBLE AS nir FROM cells")
+def _(t):
+    io.write_cells(t.cells, path := new_path(t.spark, "cells"))
+    return rounded(io.read_cells(t.spark, path, tile=io.TILE).select("row_id", "col_id", *features.BANDS))
+
+
+@query("s03_write_report", "SELECT crop_code, count(*) AS n FROM label_cells GROUP BY crop_code")
+def _(t):
+    io.write_report(insitu.value_counts(t.label_cells, "crop_code"), path := new_path(t.spark, "report"))
+    return io.read_report(t.spark, path, "crop_code int, n long")
+
+
+@query("s04_write_if_absent", "SELECT seg_id, count(*) AS n FROM segments GROUP BY seg_id")
+def _(t):
+    path, found = new_path(t.spark, "absent"), t.segments.groupBy("seg_id").agg(F.count("*").alias("n"))
+    io.write_if_absent(found, path)
+    io.write_if_absent(found.limit(0), path)  # changes nothing
+    return t.spark.read.parquet(path)
+
+
+@query(
+    "s05_write_features",
+    """SELECT poly_id, val, concat('POLYGON ((', xmin, ' ', ymin, ', ', xmax, ' ', ymin, ', ', xmax, ' ', ymax, ', ', xmin, ' ', ymax, ', ', xmin, ' ', ymin, '))') AS wkt FROM rect_polys""",
+)
+def _(t):
+    io.write_features(rects(t.rect_polys).select("poly_id", "val", "ring"), path := new_path(t.spark, "features"))
+    return t.spark.read.parquet(path)
+
+
+# ---- field observations
+
+CLEAN = "SELECT id, x, y, TRY_CAST(TRY_CAST(trim(crop, chr(10) || ' ') AS DOUBLE) AS INT) AS crop_code FROM insitu_points"
+
+
+def _values(legend: dict) -> str:
+    return ", ".join(f"({k if isinstance(k, int) else repr(k)}, {v if isinstance(v, int) else repr(v)})" for k, v in legend.items())
+
+
+LABELLED = "SELECT c.*, coalesce(l.label, CAST(crop_code AS STRING)) AS crop_label FROM clean c LEFT JOIN field_legend l ON crop_code = code"
+MAPPED = "SELECT d.*, m.code AS map_code FROM labelled d LEFT JOIN map_legend m ON crop_label = m.label"
+INSITU = {
+    "clean": CLEAN,
+    "field_legend": f"SELECT * FROM (VALUES {_values(insitu.FIELD_LEGEND)}) AS l(code, label)",
+    "map_legend": f"SELECT * FROM (VALUES {_values(insitu.MAP_LEGEND)}) AS l(code, label)",
+    "labelled": LABELLED,
+    "mapped": MAPPED,
+}
+
+
+def clean(t: Tables) -> DataFrame:
+    return insitu.clean_code(t.insitu_points, "crop").select("id", "x", "y", "crop_code")
+
+
+def mapped(t: Tables) -> DataFrame:
+    return insitu.crosswalk(insitu.apply_legend(clean(t)))
+
+
+@query("c01_drop_missing_code", "SELECT id, crop FROM insitu_points WHERE crop IS NOT NULL")
+def _(t):
+    return insitu.drop_missing_code(t.insitu_points).select("id", "crop")
+
+
+@query("c02_split_crop_noncrop", "SELECT id, crop, CASE WHEN crop IS DISTINCT FROM '9999' THEN 'crop' ELSE 'noncrop' END AS part FROM insitu_points")
+def _(t):
+    crop, noncrop = insitu.split_crop_noncrop(t.insitu_points)
+    return crop.select("id", "crop", F.lit("crop").alias("part")).union(noncrop.select("id", "crop", F.lit("noncrop")))
+
+
+@query(
+    "c03_recode_mixed",
+    """SELECT id, mixed, CASE WHEN mixed = '1' THEN '2132' ELSE crop END AS crop FROM insitu_points
+    WHERE mixed IS DISTINCT FROM '1' OR (crop IS DISTINCT FROM '9999' AND crop IS DISTINCT FROM '0')""",
+)
+def _(t):
+    return insitu.recode_mixed(t.insitu_points).select("id", "mixed", "crop")
+
+
+@query("c04_harmonise", "SELECT id, crop AS crop_code, mixed FROM insitu_points")
+def _(t):
+    return insitu.harmonise(t.insitu_points, {"crop": "crop_code"}, ("noncrop", "x", "y"))
+
+
+CONCAT = "SELECT id, crop, NULL AS noncrop FROM insitu_points WHERE crop <> '9999' UNION ALL SELECT id, NULL, noncrop FROM insitu_points WHERE crop = '9999'"
+
+
+def stacked(t: Tables) -> DataFrame:
+    p = t.insitu_points
+    return insitu.concat_sources(p.filter("crop <> '9999'").select("id", "crop"), p.filter("crop = '9999'").select("id", "noncrop"))
+
+
+@query("c05_concat_sources", CONCAT)
+def _(t):
+    return stacked(t)
+
+
+@query("c06_drop_incomplete", "SELECT * FROM insitu_points WHERE crop IS NOT NULL AND noncrop IS NOT NULL AND mixed IS NOT NULL")
+def _(t):
+    return insitu.drop_incomplete(t.insitu_points)
+
+
+@query("c07_clean_code", "SELECT * FROM clean", **INSITU)
+def _(t):
+    return clean(t)
+
+
+@query("c08_apply_legend", "SELECT id, crop_code, crop_label FROM labelled", **INSITU)
+def _(t):
+    return insitu.apply_legend(clean(t)).select("id", "crop_code", "crop_label")
+
+
+@query("c09_crosswalk", "SELECT id, crop_label, map_code FROM mapped", **INSITU)
+def _(t):
+    return mapped(t).select("id", "crop_label", "map_code")
+
+
+@query("c10_exclude_classes", "SELECT id, map_code FROM mapped WHERE map_code IS NULL OR map_code NOT IN (2136, 8511)", **INSITU)
+def _(t):
+    return insitu.exclude_classes(mapped(t), [2136, 8511]).select("id", "map_code")
+
+
+@query("c11_drop_duplicate_geometry", "SELECT id, x, y FROM insitu_points QUALIFY row_number() OVER (PARTITION BY x, y ORDER BY id) = 1")
+def _(t):
+    return insitu.drop_duplicate_geometry(t.insitu_points, ["id"]).select("id", "x", "y")
+
+
+@query(
+    "c12_flag_duplicate_geometry",
+    """SELECT id, count(*) OVER (PARTITION BY x, y) > 1 AS is_duplicate, CASE WHEN n > 1 THEN dense_rank() OVER (PARTITION BY n > 1 ORDER BY x, y) END AS group_id
+    FROM (SELECT *, count(*) OVER (PARTITION BY x, y) AS n FROM insitu_points)""",
+)
+def _(t):
+    return insitu.flag_duplicate_geometry(t.insitu_points).select("id", "is_duplicate", "group_id")
+
+
+@query("c13_value_counts", "SELECT crop, count(*) AS n FROM insitu_points GROUP BY crop")
+def _(t):
+    return insitu.value_counts(t.insitu_points, "crop")
+
+
+@query("c14_missing_counts", "SELECT c AS \"column\", n AS n_missing FROM (SELECT " + ", ".join(f"count(*) FILTER ({c} IS NULL) AS {c}" for c in ("id", "x", "y", "crop", "noncrop", "mixed")) + " FROM insitu_points) UNPIVOT (n FOR c IN (id, x, y, crop, noncrop, mixed))")
+def _(t):
+    return insitu.missing_counts(t.insitu_points)
+
+
+@query("c15_distinct_codes", "SELECT DISTINCT crop FROM insitu_points WHERE crop IS NOT NULL")
+def _(t):
+    return insitu.distinct_codes(t.insitu_points, "crop")
+
+
+# ---- geometry and grid
+
+
+def _utm_sql() -> str:
+    radius, alpha = g.krueger()
+    n = g.FLATTENING / (2 - g.FLATTENING)
+    e = 2 * n**0.5 / (1 + n)
+    east = " + ".join(f"{a!r} * cos({2 * j} * xi) * sinh({2 * j} * eta)" for j, a in enumerate(alpha, 1))
+    north = " + ".join(f"{a!r} * sin({2 * j} * xi) * cosh({2 * j} * eta)" for j, a in enumerate(alpha, 1))
+    k = g.SCALE * radius
+    return f"""SELECT id, 500000.0 + {k!r} * (eta + {east}) AS x, 10000000.0 + {k!r} * (xi + {north}) AS y FROM (
+        SELECT id, atan2(t, cos(away)) AS xi, atanh(sin(away) / sqrt(1 + t * t)) AS eta FROM (
+        SELECT id, radians(lon + 171) AS away, sinh(atanh(sin(radians(lat))) - {e!r} * atanh({e!r} * sin(radians(lat)))) AS t FROM lonlat_points))"""
+
+
+@query("g01_reproject_utm", "SELECT id, round(x, 3) AS x, round(y, 3) AS y FROM utm", utm=_utm_sql())
+def _(t):
+    return rounded(geometry.reproject_utm(t.lonlat_points).select("id", "x", "y"), 3)
+
+
+@query("g02_polygon_centroid", "SELECT poly_id, (xmin + xmax) / 2 AS x, (ymin + ymax) / 2 AS y FROM rect_polys")
+def _(t):
+    return rounded(geometry.polygon_centroid(rects(t.rect_polys)).select("poly_id", "x", "y"))
+
+
+@query("g03_buffer_points", "SELECT id, k, round(x + cos(k * pi() / 32), 3) AS vx, round(y + sin(k * pi() / 32), 3) AS vy FROM utm, range(65) AS r(k)", utm=_utm_sql())
+def _(t):
+    rings = geometry.buffer_points(geometry.reproject_utm(t.lonlat_points))
+    return rings.select("id", F.posexplode("ring").alias("k", "p")).select("id", F.col("k").cast("long").alias("k"), F.round("p.x", 3).alias("vx"), F.round("p.y", 3).alias("vy"))
+
+
+@query("g04_within_roi", "SELECT id, x, y FROM insitu_points WHERE EXISTS (FROM aoi_rects a WHERE insitu_points.x > a.xmin AND insitu_points.x < a.xmax AND insitu_points.y > a.ymin AND insitu_points.y < a.ymax)")
+def _(t):
+    return geometry.within_roi(t.insitu_points, rects(t.aoi_rects), ["id"], tile=32.0).select("id", "x", "y")
+
+
+@query(
+    "g05_clip_to_aoi",
+    """SELECT row_id, col_id, CASE WHEN inside THEN red ELSE -9999 END::DOUBLE AS red, CASE WHEN inside THEN nir ELSE -9999 END::DOUBLE AS nir FROM (
+    SELECT *, EXISTS (FROM aoi_rects a WHERE col_id + 0.5 > a.xmin AND col_id + 0.5 < a.xmax AND row_id + 0.5 > a.ymin AND row_id + 0.5 < a.ymax) AS inside
+    FROM cells WHERE col_id >= 10 AND col_id <= 140 AND row_id >= 20 AND row_id <= 120)""",
+)
+def _(t):
+    return rounded(grid.clip_to_aoi(t.cells, rects(t.aoi_rects), Grid(), features.BANDS, tile=32.0).select("row_id", "col_id", "red", "nir"))
+
+
+RASTER = """SELECT row_id::INT AS row_id, col_id::INT AS col_id, arg_max(val, poly_id) AS val, max(poly_id) AS poly_id FROM (
+    SELECT poly_id, val, row_id, unnest(range(ceil(xmin - 0.5)::BIGINT, ceil(xmax - 0.5)::BIGINT)) AS col_id FROM (
+    SELECT *, unnest(range(ceil(ymin - 0.5)::BIGINT, ceil(ymax - 0.5)::BIGINT)) AS row_id FROM rect_polys)) GROUP BY ALL"""
+
+
+@query("g06_rasterize", "SELECT row_id, col_id, val, poly_id FROM burnt", burnt=RASTER)
+def _(t):
+    return grid.rasterize(rects(t.rect_polys), Grid(), ["val", "poly_id"], "poly_id")
+
+
+@query("g07_stack_bands", "SELECT row_id, col_id, red::DOUBLE AS red, crop_code FROM cells FULL JOIN label_cells USING (row_id, col_id)")
+def _(t):
+    return rounded(grid.stack_bands(t.cells.select("row_id", "col_id", "red"), t.label_cells.select("row_id", "col_id", "crop_code")))
+
+
+@query(
+    "g08_check_alignment",
+    """SELECT 'a' AS side, count(*) AS n, min(row_id) AS min_row, max(row_id) AS max_row, min(col_id) AS min_col, max(col_id) AS max_col,
+      count(*) FILTER ((row_id, col_id) NOT IN (SELECT (row_id, col_id) FROM label_cells)) AS unmatched FROM class_map
+    UNION ALL SELECT 'b', count(*), min(row_id), max(row_id), min(col_id), max(col_id), count(*) FILTER ((row_id, col_id) NOT IN (SELECT (row_id, col_id) FROM class_map)) FROM label_cells""",
+)
+def _(t):
+    grid.check_alignment(Grid(width=9, height=9), Grid(width=9, height=9))
+    return grid.alignment_report(t.class_map, t.label_cells)
+
+
+@query(
+    "g09_resample_nearest",
+    """SELECT t.row_id, t.col_id, s.crop_code FROM segments t LEFT JOIN label_cells s ON s.row_id = floor((t.row_id + 0.5) / 2) AND s.col_id = floor((t.col_id + 0.5) / 2)""",
+)
+def _(t):
+    return grid.resample_nearest(t.segments, t.label_cells.select("row_id", "col_id", "crop_code"), Grid(dx=2.0, dy=2.0), Grid())
+
+
+@query(
+    "g10_resample_bilinear",
+    """SELECT row_id, col_id, round(CAST(CAST(coalesce(sum(CASE WHEN red <> -9999 THEN w * red END) / sum(CASE WHEN red <> -9999 THEN w END), -9999) AS FLOAT) AS DOUBLE), 4) AS red
+    FROM near LEFT JOIN feature_cube_src USING (r, c) GROUP BY row_id, col_id""",
+    feature_cube_src="SELECT row_id AS r, col_id AS c, red FROM feature_cube",
+    near="""SELECT row_id, col_id, (floor(v) + i)::INT AS r, (floor(u) + j)::INT AS c, CASE i WHEN 1 THEN v - floor(v) ELSE 1 - (v - floor(v)) END * CASE j WHEN 1 THEN u - floor(u) ELSE 1 - (u - floor(u)) END AS w
+    FROM (SELECT row_id, col_id, (row_id + 0.5) / 1.5 - 0.5 AS v, (col_id + 0.5) / 1.5 - 0.5 AS u FROM class_map), range(2) AS a(i), range(2) AS b(j)""",
+)
+def _(t):
+    return rounded(grid.resample_bilinear(t.class_map, features.build_feature_cube(t.cells), Grid(dx=1.5, dy=1.5), Grid(), ("red",)), 4)
+
+
+@query(
+    "g11_assign_tiles",
+    """SELECT row_id, col_id, floor(row_id / 1024)::INT AS tile_r, floor(col_id / 1024)::INT AS tile_c, least(1024, 30000 - floor(row_id / 1024)::INT * 1024) AS tile_h, least(1024, 1500 - floor(col_id / 1024)::INT * 1024) AS tile_w FROM cells""",
+)
+def _(t):
+    return grid.assign_tiles(t.cells.select("row_id", "col_id"), Grid(width=1500, height=30000))
+
+
+@query("g12_polygonize_segments")
+def _(t):
+    counts = objects.segment_class_counts(t.segments, t.label_cells.withColumnRenamed("crop_code", "label"))
+    return grid.polygonize_segments(t.segments, objects.majority_label(counts))
+
+
+@query("g13_resolve_segment_id", "SELECT poly_id AS part_id, val, poly_id AS seg_id FROM rect_polys")
+def _(t):
+    return grid.resolve_segment_id(t.rect_polys.select("val", F.col("poly_id").alias("part_id")))
+
+
+# ---- spectral features
+
+
+@query("f01_mask_nodata", f"SELECT row_id, col_id, {r6(*features.BANDS)} FROM feature_cube")
+def _(t):
+    return rounded(features.mask_nodata(t.cells))
+
+
+@query("f02_normalized_difference", "SELECT row_id, col_id, round(CASE WHEN nir + red <> 0 THEN CAST((nir - red) / CAST(nir + red AS DOUBLE) AS FLOAT) ELSE -9999 END::DOUBLE, 6) + 0.0 AS ndvi FROM cells")
+def _(t):
+    return rounded(features.normalized_difference(t.cells, "nir", "red", "ndvi").select("row_id", "col_id", "ndvi"))
+
+
+@query("f03_feature_cube", f"SELECT row_id, col_id, {BANDS6} FROM feature_cube")
+def _(t):
+    return rounded(features.build_feature_cube(t.cells))
+
+
+VALID = " AND ".join(f"{b} <> -9999" for b in features.CUBE)
+BAND_STATS = " UNION ALL ".join(f"SELECT '{b}' AS band, count(*) AS n, avg({b}::DOUBLE) AS mean, stddev_pop({b}::DOUBLE) AS std FROM feature_cube WHERE {VALID}" for b in features.BANDS)
+
+
+@query("f04_band_stats", "SELECT band, n, round(mean, 6) AS mean, round(std, 6) AS std FROM stats", stats=BAND_STATS)
+def _(t):
+    return rounded(features.band_stats(features.build_feature_cube(t.cells)))
+
+
+Z = ", ".join(f"round(CASE WHEN {VALID} THEN ({b}::DOUBLE - (SELECT mean FROM stats WHERE band = '{b}')) / (SELECT std FROM stats WHERE band = '{b}') ELSE -9999 END, 4) AS {b}" for b in features.BANDS)
+
+
+@query("f05_standardize", f"SELECT row_id, col_id, {Z}, round(ndvi::DOUBLE, 4) + 0.0 AS ndvi, round(ndwi::DOUBLE, 4) + 0.0 AS ndwi FROM feature_cube", stats=BAND_STATS)
+def _(t):
+    return rounded(features.standardize(features.build_feature_cube(t.cells)), 4)
+
+
+# ---- split of the reference data
+
+POLYS = "SELECT poly_id, min(crop_code) AS crop_code, count(*) AS pix_count FROM label_cells GROUP BY poly_id"
+SPLIT = {
+    "polys": POLYS,
+    "targets": "SELECT crop_code, sum(pix_count) * 75 / 100 AS target FROM polys GROUP BY crop_code",
+    "ordered": "SELECT *, row_number() OVER (PARTITION BY crop_code ORDER BY (poly_id * 2654435761 + 42) % 2147483647, poly_id) AS rn FROM polys JOIN targets USING (crop_code)",
+    "walk": """SELECT poly_id, crop_code, pix_count, rn, target, CASE WHEN pix_count <= target THEN pix_count ELSE 0 END::BIGINT AS so_far, pix_count <= target AS fits FROM ordered WHERE rn = 1
+        UNION ALL SELECT o.poly_id, o.crop_code, o.pix_count, o.rn, o.target, CASE WHEN w.so_far + o.pix_count <= o.target THEN w.so_far + o.pix_count ELSE w.so_far END, w.so_far + o.pix_count <= o.target
+        FROM walk w JOIN ordered o ON o.crop_code = w.crop_code AND o.rn = w.rn + 1""",
+    "split": "SELECT poly_id, crop_code, pix_count, CASE WHEN fits THEN 'cal' ELSE 'val' END AS set FROM walk",
+}
+
+
+def polys(t: Tables) -> DataFrame:
+    return t.label_cells.groupBy("poly_id").agg(F.min("crop_code").alias("crop_code"), F.count("*").alias("pix_count"))
+
+
+@query("p01_assign_poly_id", "SELECT id, row_number() OVER (ORDER BY x, y, id) AS poly_id FROM insitu_points")
+def _(t):
+    return split.assign_poly_id(t.insitu_points, ["x", "y", "id"]).select("id", "poly_id")
+
+
+@query("p02_pixel_counts", "SELECT poly_id, count(*) AS pix_count FROM label_cells GROUP BY poly_id")
+def _(t):
+    return split.pixel_counts(t.label_cells)
+
+
+@query("p03_attach_counts", "SELECT poly_id, val, pix_count FROM rect_polys LEFT JOIN (SELECT poly_id, count(*) AS pix_count FROM label_cells GROUP BY poly_id) USING (poly_id)")
+def _(t):
+    return split.attach_counts(t.rect_polys.select("poly_id", "val"), split.pixel_counts(t.label_cells))
+
+
+@query("p04_class_pixel_totals", "SELECT poly_id, crop_code, pix_count, CAST(sum(pix_count) OVER (PARTITION BY crop_code) AS BIGINT) AS crop_pix FROM polys", **SPLIT)
+def _(t):
+    return split.class_pixel_totals(polys(t)).select("poly_id", "crop_code", "pix_count", "crop_pix")
+
+
+@query("p05_calibration_targets", "SELECT crop_code, CAST(target AS DOUBLE) AS target FROM targets", **SPLIT)
+def _(t):
+    return split.calibration_targets(polys(t))
+
+
+@query("p06_seeded_shuffle", "SELECT poly_id, row_number() OVER (ORDER BY (poly_id * 2654435761 + 42) % 2147483647, poly_id) AS position FROM polys", **SPLIT)
+def _(t):
+    return split.seeded_shuffle(polys(t)).select("poly_id", "position")
+
+
+@query("p07_greedy_split", "SELECT * FROM split", **SPLIT)
+def _(t):
+    return split.greedy_split(polys(t))
+
+
+@query("p08_split_summary", "SELECT set, crop_code, count(*) AS n_polygons, CAST(sum(pix_count) AS BIGINT) AS n_pixels FROM split GROUP BY set, crop_code", **SPLIT)
+def _(t):
+    return split.split_summary(split.greedy_split(polys(t)))
+
+
+@query(
+    "p09_split_overlap",
+    """SELECT 0 AS ids_in_both, 0 AS cells_in_both, CAST(sum(pix_count) FILTER (set = 'cal') AS BIGINT) AS cal_cells, CAST(sum(pix_count) FILTER (set = 'val') AS BIGINT) AS val_cells FROM split""",
+    **SPLIT,
+)
+def _(t):
+    found = split.greedy_split(polys(t))
+    return split.split_overlap(found.filter("set = 'cal'"), found.filter("set = 'val'"), t.label_cells)
+
+
+@query("p10_mask_labels", "SELECT row_id, col_id, CASE WHEN set = 'cal' THEN l.crop_code ELSE -9999 END AS label FROM label_cells l JOIN split USING (poly_id)", **SPLIT)
+def _(t):
+    return split.mask_labels_dense(t.label_cells, split.greedy_split(polys(t)).filter("set = 'cal'"))
+
+
+# ---- samples
+
+LABELS = "SELECT row_id, col_id, crop_code AS label FROM label_cells"
+
+
+def labels(t: Tables) -> DataFrame:
+    return t.label_cells.select("row_id", "col_id", F.col("crop_code").alias("label"))
+
+
+@query("e01_extract_samples", f"SELECT row_id, col_id, {BANDS6}, label FROM feature_cube JOIN lab USING (row_id, col_id)", lab=LABELS)
+def _(t):
+    return rounded(samples.extract_samples(features.build_feature_cube(t.cells), labels(t)))
+
+
+@query("e02_sample_coverage", "SELECT count(*) AS total, count(label) AS valid, round(count(label) * 100.0 / count(*), 6) AS percent FROM cells LEFT JOIN lab USING (row_id, col_id)", lab=LABELS)
+def _(t):
+    return rounded(samples.sample_coverage(t.cells, labels(t)))
+
+
+@query("e03_class_histogram", "SELECT label, count(*) AS n FROM lab GROUP BY label", lab=LABELS)
+def _(t):
+    return samples.class_histogram(labels(t))
+
+
+@query("e04_encode_labels", "SELECT row_id, col_id, label, CAST(dense_rank() OVER (ORDER BY label) - 1 AS INT) AS enc, label AS decoded FROM lab", lab=LABELS)
+def _(t):
+    encoder = samples.label_encoder(labels(t))
+    return samples.decode_labels(samples.encode_labels(labels(t), encoder), encoder, out="decoded")
+
+
+@query("e05_balanced_weights", "SELECT row_id, col_id, label, round(count(*) OVER () / ((SELECT count(DISTINCT label) FROM lab) * count(*) OVER (PARTITION BY label))::DOUBLE, 6) AS weight FROM lab", lab=LABELS)
+def _(t):
+    return rounded(samples.balanced_weights(labels(t)))
+
+
+# ---- objects
+
+COUNTS = "SELECT seg_id, label, count(*) AS n FROM lab JOIN segments USING (row_id, col_id) WHERE seg_id > 0 GROUP BY seg_id, label"
+MAJORITY = "SELECT seg_id, label, n / total::DOUBLE AS purity FROM (SELECT *, sum(n) OVER (PARTITION BY seg_id) AS total, row_number() OVER (PARTITION BY seg_id ORDER BY n DESC, label) AS k FROM counts) WHERE k = 1 AND n / total::DOUBLE >= 0.9"
+ZONAL_COLS = ", ".join(
+    f"round(CAST(avg({b}::DOUBLE) AS FLOAT)::DOUBLE, 4) AS {b}_mean, round(CAST(sqrt(greatest(avg(({b} * {b})::DOUBLE) - avg({b}::DOUBLE) * avg({b}::DOUBLE), 0)) AS FLOAT)::DOUBLE, 3) AS {b}_std, round(min({b})::DOUBLE, 4) AS {b}_min, round(max({b})::DOUBLE, 4) AS {b}_max"
+    for b in features.BANDS
+)
+OBJECTS = {"lab": LABELS, "counts": COUNTS, "majority": MAJORITY, "zonal": f"SELECT seg_id, count(*) AS n, {ZONAL_COLS} FROM feature_cube JOIN segments USING (row_id, col_id) WHERE seg_id > 0 GROUP BY seg_id"}
+
+
+def cube_with_segments(t: Tables) -> DataFrame:
+    """The feature cube with its segment ids: derived from one table, so nothing is joined."""
+    ids = F.when((F.col("row_id") + F.col("col_id")) % 11 == 0, 0).otherwise(F.floor(F.col("row_id") / 8) * 1000 + F.floor(F.col("col_id") / 8) + 1).cast("long")
+    return features.build_feature_cube(t.cells).withColumn("seg_id", ids)
+
+
+def zonal_rounded(df: DataFrame) -> DataFrame:
+    return df.select(*[(F.round(F.col(c).cast("double"), 3 if c.endswith("_std") else 4) + 0.0).alias(c) if t in ("float", "double") else F.col(c) for c, t in df.dtypes])
+
+
+@query("o01_segment_ids", "SELECT DISTINCT seg_id FROM segments WHERE seg_id > 0")
+def _(t):
+    return objects.segment_ids(t.segments)
+
+
+@query("o02_zonal_stats", "SELECT * FROM zonal", **OBJECTS)
+def _(t):
+    return zonal_rounded(objects.zonal_stats(features.build_feature_cube(t.cells), t.segments, features.BANDS))
+
+
+@query("o03_object_matrix", f"SELECT seg_id, {', '.join(f'{b}_{s}' for s in objects.STATS for b in features.BANDS)} FROM zonal", **OBJECTS)
+def _(t):
+    return zonal_rounded(objects.object_matrix(objects.zonal_stats(cube_with_segments(t), None, features.BANDS), features.BANDS))
+
+
+@query("o04_segment_class_counts", "SELECT * FROM counts", **OBJECTS)
+def _(t):
+    return objects.segment_class_counts(t.segments, labels(t), objects.segment_ids(t.segments))
+
+
+@query("o05_majority_label", "SELECT seg_id, label, round(purity, 6) AS purity FROM majority", **OBJECTS)
+def _(t):
+    return rounded(objects.majority_label(objects.segment_class_counts(t.segments, labels(t))))
+
+
+TRAINING = f"SELECT seg_id, {', '.join(f'{b}_{s}' for s in objects.STATS for b in features.BANDS)}, label FROM zonal JOIN majority USING (seg_id)"
+
+
+@query("o06_object_training_set", TRAINING, **OBJECTS)
+@query("objects_training_set", TRAINING, **OBJECTS)
+def _(t):
+    matrix = objects.object_matrix(objects.zonal_stats(cube_with_segments(t), None, features.BANDS), features.BANDS)
+    majority = objects.majority_label(objects.segment_class_counts(t.segments, labels(t)))
+    return zonal_rounded(objects.object_training_set(matrix, majority))
+
+
+# ---- models
+
+
+def fitted(t: Tables) -> tuple[model.Classifier, DataFrame]:
+    rows, names = model.from_array(t.embeddings, "embedding", 64)
+    return model.fit_classifier(rows, names, trees=20, depth=6), rows
+
+
+@query("m01_fit_classifier")
+def _(t):
+    trained, rows = fitted(t)
+    return metrics.pair_counts(trained.predict(rows).select(F.col("label").alias("y_true"), F.col("class_code").alias("y_pred")))
+
+
+@query("m02_save_load_model")
+def _(t):
+    rows, names = model.from_array(t.embeddings, "embedding", 64)
+    path = new_path(t.spark, "model")
+    model.fit_or_load(t.spark, path, rows, names, trees=20, depth=6)
+    again = model.fit_or_load(t.spark, path, rows, names, trees=20, depth=6)
+    return again.predict(rows).select("vec_id", "class_code")
+
+
+def cell_model(t: Tables) -> model.Classifier:
+    return model.fit_classifier(samples.extract_samples(features.build_feature_cube(t.cells), labels(t)), list(features.CUBE), trees=20, depth=6)
+
+
+@query("m03_predict_cells")
+def _(t):
+    return model.predict_cells(features.build_feature_cube(t.cells), cell_model(t))
+
+
+@query("m04_predict_objects")
+def _(t):
+    matrix = objects.object_matrix(objects.zonal_stats(cube_with_segments(t)))
+    majority = objects.majority_label(objects.segment_class_counts(t.segments, labels(t)))
+    names = [c for c in matrix.columns if c != "seg_id"]
+    return model.predict_objects(matrix, model.fit_classifier(objects.object_training_set(matrix, majority), names, trees=20, depth=6))
+
+
+@query("m05_objects_to_map", "SELECT s.row_id, s.col_id, CASE WHEN s.seg_id > 0 THEN coalesce(label, -9999) ELSE -9999 END AS class_code FROM segments s LEFT JOIN majority USING (seg_id)", **OBJECTS)
+def _(t):
+    majority = objects.majority_label(objects.segment_class_counts(t.segments, labels(t)))
+    return objects.objects_to_map(t.segments, majority.select("seg_id", F.col("label").alias("class_code")))
+
+
+# ---- accuracy
+
+MATRIX = {
+    "pairs": "SELECT y_true, y_pred, count(*) AS n FROM predictions GROUP BY y_true, y_pred",
+    "classes": "SELECT DISTINCT y_true AS c FROM pairs UNION SELECT y_pred FROM pairs",
+    "per_class": """SELECT c, coalesce((SELECT sum(n) FROM pairs WHERE y_true = c AND y_pred = c), 0)::DOUBLE AS tp,
+        coalesce((SELECT sum(n) FROM pairs WHERE y_true = c), 0)::DOUBLE AS support, coalesce((SELECT sum(n) FROM pairs WHERE y_pred = c), 0)::DOUBLE AS predicted FROM classes""",
+    "scores": """SELECT c, support, CASE WHEN predicted > 0 THEN tp / predicted ELSE 0 END AS prec, CASE WHEN support > 0 THEN tp / support ELSE 0 END AS rec,
+        CASE WHEN support + predicted > 0 THEN 2 * tp / (support + predicted) ELSE 0 END AS f1 FROM per_class""",
+    "kappa": "SELECT (po - pe) / (1 - pe) AS k, po FROM (SELECT sum(tp) / sum(support) AS po, sum(support * predicted) / (sum(support) * sum(support)) AS pe FROM per_class)",
+    "balanced": "SELECT avg(rec) AS b FROM scores WHERE support > 0",
+}
+
+
+@query("a01_confusion_matrix", "SELECT a.c AS y_true, b.c AS y_pred, coalesce(n, 0) AS n FROM classes a CROSS JOIN classes b LEFT JOIN pairs ON y_true = a.c AND y_pred = b.c", **MATRIX)
+def _(t):
+    return metrics.confusion_matrix(t.predictions)
+
+
+@query("a02_accuracy", "SELECT round(po, 9) AS accuracy FROM kappa", **MATRIX)
+def _(t):
+    return rounded(metrics.accuracy(t.predictions), 9)
+
+
+@query("a03_balanced_accuracy", "SELECT round(b, 9) AS balanced_accuracy FROM balanced", **MATRIX)
+def _(t):
+    return rounded(metrics.balanced_accuracy(t.predictions), 9)
+
+
+@query("a04_cohen_kappa", "SELECT round(k, 9) AS kappa FROM kappa", **MATRIX)
+def _(t):
+    return rounded(metrics.cohen_kappa(t.predictions), 9)
+
+
+@query("a05_macro_f1", "SELECT round(avg(f1), 9) AS macro_f1 FROM scores", **MATRIX)
+def _(t):
+    return rounded(metrics.macro_f1(t.predictions), 9)
+
+
+@query(
+    "a06_classification_report",
+    """SELECT name, round(p, 9) AS "precision", round(r, 9) AS recall, round(f, 9) AS f1, round(s, 9) AS support, round(b, 9) AS balanced_accuracy, round(k, 9) AS cohen_kappa FROM (
+    SELECT CAST(c AS STRING) AS name, prec AS p, rec AS r, f1 AS f, support AS s FROM scores
+    UNION ALL SELECT 'accuracy', po, po, po, po FROM kappa
+    UNION ALL SELECT 'macro avg', avg(prec), avg(rec), avg(f1), sum(support) FROM scores
+    UNION ALL SELECT 'weighted avg', sum(prec * support) / sum(support), sum(rec * support) / sum(support), sum(f1 * support) / sum(support), sum(support) FROM scores), kappa, balanced""",
+    **MATRIX,
+)
+def _(t):
+    return rounded(metrics.classification_report(t.predictions), 9)
+
+
+@query(
+    "a07_drop_unseen_classes",
+    """SELECT y_pred AS label, count(*) AS n, y_pred IN (SELECT y_true FROM predictions) AS seen FROM predictions GROUP BY y_pred""",
+)
+def _(t):
+    val, train = t.predictions.select(F.col("y_pred").alias("label")), t.predictions.select(F.col("y_true").alias("label"))
+    kept, dropped = metrics.drop_unseen_classes(val, train)
+    return samples.class_histogram(kept).withColumn("seen", F.lit(True)).unionByName(dropped.withColumn("seen", F.lit(False)))
+
+
+@query("a08_missing_predictions", "SELECT DISTINCT y_pred AS y_true FROM predictions WHERE y_pred NOT IN (SELECT y_true FROM predictions)")
+def _(t):
+    return metrics.missing_predictions(t.predictions.select(F.col("y_pred").alias("y_true"), F.col("y_true").alias("y_pred")))
+
+
+# ---- refining maps
+
+LOW, HIGH = "ndvi <= CAST(0.48 AS FLOAT)", "ndwi > CAST(0.11 AS FLOAT)"
+
+
+@query("r01_apply_index_rules", f"SELECT row_id, col_id, CASE WHEN class_code = -9999 THEN -9999 WHEN {HIGH} THEN 9111 WHEN {LOW} THEN 8111 ELSE class_code END AS class_code FROM class_map JOIN feature_cube USING (row_id, col_id)")
+def _(t):
+    return post.apply_index_rules(t.class_map, features.build_feature_cube(t.cells))
+
+
+@query("r02_rule_counts", f"SELECT count(*) FILTER ({LOW}) AS low_ndvi, count(*) FILTER ({HIGH}) AS high_ndwi FROM class_map JOIN feature_cube USING (row_id, col_id)")
+def _(t):
+    return post.rule_counts(t.class_map, features.build_feature_cube(t.cells))
