@@ -106,10 +106,10 @@ def rasterize(polygons: DataFrame, grid: Grid, value_cols: list[str], order: str
 
     def cells_of(lo: str, hi: str, origin: float, step: float, size: int):
         a, b = (F.col(lo) - origin) / step, (F.col(hi) - origin) / step
-        first, last = F.floor(F.least(a, b)), F.floor(F.greatest(a, b))
+        first, last = F.floor(F.least(a, b)).cast("int"), F.floor(F.greatest(a, b)).cast("int")
         if size:
             first, last = F.greatest(first, F.lit(0)), F.least(last, F.lit(size - 1))
-        return F.explode(F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<bigint>"))).cast("int")
+        return F.explode(F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>")))
 
     listed = pieces.withColumn("row_id", cells_of("ymin", "ymax", grid.y0, grid.dy, grid.height)).withColumn("col_id", cells_of("xmin", "xmax", grid.x0, grid.dx, grid.width))
     x, y = grid.x(F.col("col_id")), grid.y(F.col("row_id"))

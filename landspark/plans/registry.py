@@ -414,7 +414,7 @@ def _(t):
 
 @query(
     "p09_split_overlap",
-    """SELECT 0 AS ids_in_both, 0 AS cells_in_both, CAST(sum(pix_count) FILTER (set = 'cal') AS BIGINT) AS cal_cells, CAST(sum(pix_count) FILTER (set = 'val') AS BIGINT) AS val_cells FROM split""",
+    """SELECT 0::BIGINT AS ids_in_both, 0::BIGINT AS cells_in_both, CAST(sum(pix_count) FILTER (set = 'cal') AS BIGINT) AS cal_cells, CAST(sum(pix_count) FILTER (set = 'val') AS BIGINT) AS val_cells FROM split""",
     **SPLIT,
 )
 def _(t):
