@@ -45,7 +45,8 @@ def calibration_targets(polys: DataFrame, pct: int = 75) -> DataFrame:
 
 def shuffle_key(seed: int = 42, key: str = "poly_id"):
     """A key that puts ids in a pseudo-random order; the same in any engine."""
-    return F.pmod(F.col(key) * F.lit(2654435761).cast("long") + F.lit(seed), F.lit(2147483647).cast("long"))
+    p = F.lit(2147483647).cast("long")
+    return F.pmod(F.pmod(F.col(key), p) * F.lit(2654435761).cast("long") + F.lit(seed), p)  # reduced first: no overflow
 
 
 def seeded_shuffle(df: DataFrame, seed: int = 42, key: str = "poly_id", out: str = "position") -> DataFrame:
