@@ -74,7 +74,18 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.read_tokens(index, path)
 
 
-QUERIES = {"op2_mixing": op2_mixing, "op3_quality": op3_quality, "op4_language_id": op4_language_id, "op5_license_scan": op5_license_scan, "op10_token_output": op10_token_output, "op6_sharding": op6_sharding, "op7_simhash_near_dedup": op7_simhash_near_dedup, "op8_decontamination": op8_decontamination, "op9_exact_dedup": op9_exact_dedup}
+QUERIES = {
+    "op1_html_extraction": op1_html_extraction,
+    "op2_mixing": op2_mixing,
+    "op3_quality": op3_quality,
+    "op4_language_id": op4_language_id,
+    "op5_license_scan": op5_license_scan,
+    "op6_sharding": op6_sharding,
+    "op7_simhash_near_dedup": op7_simhash_near_dedup,
+    "op8_decontamination": op8_decontamination,
+    "op9_exact_dedup": op9_exact_dedup,
+    "op10_token_output": op10_token_output,
+}
 
 def _op5_sql() -> str:
     known = ", ".join(f"('{label}', {words}, {need})" for _, label, words, need in license_scan.templates(0.8))
