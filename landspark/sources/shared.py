@@ -14,6 +14,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not found:
         found = "file://" + tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", found)
+        spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")
 
 
