@@ -37,6 +37,8 @@ _MAIN_NAMES = frozenset("article main content post entry story articlebody mainc
 _ASIDE_NAMES = frozenset(
     "nav navbar navigation menu breadcrumb breadcrumbs masthead footer sidebar aside ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe signup login share sharing social related recommended recommendations comment comments reply replies respond disqus widget copyright toolbar pagination pager skip".split()
 )
+#: With one of these a name says how the page is laid out, as "has-sidebar" does.
+_LAYOUT_NAMES = frozenset("has with no without is layout wrapper wrap page open closed".split())
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 #: Log-odds of content; fixed by hand.
@@ -47,34 +49,30 @@ NEXT, SIBLING = 0.6, 0.8
 
 
 class _Element:
-    __slots__ = ("odds", "parent", "tag")
+    """An open element, with the log-odds that its place and names give its blocks.
+
+    What is within a menu, a comment section and so on stays outside, whatever it is
+    called. A form may hold the whole page, so an article or main part within it counts.
+    """
+
+    __slots__ = ("closed", "odds", "parent", "tag")
 
     def __init__(self, tag: str, attrs: list, parent: _Element | None):
         self.tag, self.parent = tag, parent
-        self.odds = parent.odds if parent else 0.0
-        inside = self.odds > 0
+        self.odds, self.closed = (parent.odds, parent.closed) if parent else (0.0, False)
+        if tag in ("html", "body") or self.closed:
+            return
         named = {k: v or "" for k, v in attrs}
         names = {w.lower() for k in ("class", "id", "role", "itemprop") for w in _WORD.findall(named.get(k, ""))} if named else set()
-        if tag in ("html", "body"):
-            return
-        if tag in _ASIDE or (tag == "header" and not inside) or names & _ASIDE_NAMES or "hidden" in named or re.search(r"display\s*:\s*none", named.get("style", "")) or named.get("aria-hidden") == "true":
-            self.odds = OUTSIDE
-        if tag in ("article", "main") and not (names & _ASIDE_NAMES):
-            # an article of its own, but not one within comments or a sidebar
-            self.odds = INSIDE if parent is None or parent.odds >= 0 or parent.tag in ("div", "section") and not _enclosed(parent) else self.odds
+        hidden = "hidden" in named or named.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", named.get("style", ""))
+        if tag in _ASIDE or (tag == "header" and self.odds <= 0) or (names & _ASIDE_NAMES and not names & _LAYOUT_NAMES) or hidden:
+            self.odds, self.closed = OUTSIDE, tag != "form"
+        elif tag in ("article", "main"):
+            self.odds = INSIDE
         elif self.odds == 0 and names & _MAIN_NAMES:
             self.odds = INSIDE / 2
 
 
-def _enclosed(element: _Element | None) -> bool:
-    """Whether a tag that is never around the main text is open, or comments are."""
-    while element is not None:
-        if element.tag in _ASIDE or element.odds == OUTSIDE and (element.parent is None or element.parent.odds > 0):
-            return True
-        element = element.parent
-    return False
-
-
 class _Reader(HTMLParser):
     """Collects ``element, text, characters in links`` of every block."""
 

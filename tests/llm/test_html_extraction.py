@@ -29,6 +29,14 @@ def test_page_without_structure():
     assert h.main_text(page).count("\n") == 2 and "Short one here." in h.main_text(page) and "Home" not in h.main_text(page)
 
 
+def test_names_of_elements():
+    p = "<p>A paragraph with a good many words in it, and a full stop at its end.</p>"
+    kept = lambda page: len(h.main_text(page.replace("P", p))) > 0
+    assert kept('<div class="has-sidebar"><div id="content">P</div></div>') and kept("<form><main>P</main></form>") and kept('<article><header><h1>Head line</h1></header>P</article>')
+    for page in ('<div class="sidebar"><div class="content">P</div></div>', '<div id="comments"><article>P</article></div>', "<form>P</form>", "<div hidden>P</div>", '<div class="cookieConsent">P</div>', "<header>P</header>"):
+        assert not kept(page), page
+
+
 @pytest.mark.parametrize("page", [None, "", "  \n", "<html></html>", "<p>", "<!-- never closed", "<script>x", "<p><b><i></p></b>", "&#0; &#xD800; &bogus; <", "</p></div></html>"])
 def test_odd_pages(page):
     assert isinstance(h.main_text(page), str)
