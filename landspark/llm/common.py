@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
+from landspark.sources.shared import new_path
 
 #: White space as the operators' contracts state it.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -16,23 +19,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: ``spark.checkpoint.dir``.
-
-    A folder of this machine is made only where the setting is absent, as in tests.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
-def new_path(spark: SparkSession, what: str) -> str:
-    """An unused path in the shared folder."""
-    return f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
-
-
 def materialize(df: DataFrame, what: str) -> DataFrame:
     """Writes ``df`` as Parquet in the shared folder and reads it back.
 
@@ -41,3 +27,60 @@ def materialize(df: DataFrame, what: str) -> DataFrame:
     path = new_path(df.sparkSession, what)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class Scratch:
+    """Writes tables like :func:`materialize` and deletes them at the end of a ``with`` block.
+
+    For what is used up within a function; what a returned DataFrame reads must be
+    written by :func:`materialize`.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def __enter__(self) -> Callable[[DataFrame, str], DataFrame]:
+        return self.write
+
+    def write(self, df: DataFrame, what: str) -> DataFrame:
+        path = new_path(self.spark, what)
+        self.paths.append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def __exit__(self, *_) -> None:
+        conf = self.spark._jsc.hadoopConfiguration()
+        for path in self.paths:
+            at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(conf).delete(at, True)
+
+
+def content_key(id_col: str, text_col: str) -> tuple[Column, Column]:
+    """Two hashes that tell rows apart by id and text, wherever they are stored.
+
+    Rows of equal id and text share them; others do so with a probability of 2 ** -128.
+    """
+    i, t = F.col(id_col), F.col(text_col)
+    return F.xxhash64(i, i.isNull(), t, t.isNull()), F.xxhash64(F.lit(1), t, t.isNull(), i, i.isNull())
+
+
+def bounded_sample(rows: DataFrame, by: str, id_col: str, most: int) -> tuple[DataFrame, dict]:
+    """Up to about ``most`` rows of each value of ``by``, those of the smallest id hashes, and all counts.
+
+    A hash threshold thins large classes before their rows are ranked, so no task ranks
+    many more than ``most``. The values of ``by`` are few.
+    """
+    counts = {r[by]: r["n"] for r in rows.groupBy(by).agg(F.count("*").alias("n")).collect()}
+    spark = rows.sparkSession
+    shares = spark.createDataFrame([(k, min(1.0, 1.2 * most / n)) for k, n in counts.items()], f"_by {rows.schema[by].dataType.simpleString()}, _share double")
+    h = F.pmod(F.xxhash64(id_col), F.lit(1 << 30))
+    thin = rows.join(F.broadcast(shares), F.col(by) == F.col("_by")).filter(h < F.col("_share") * (1 << 30)).drop("_by", "_share")
+    nth = F.row_number().over(W.partitionBy(by).orderBy(h, id_col))
+    return thin.withColumn("_nth", nth).filter(F.col("_nth") <= most).drop("_nth"), counts
+
+
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Lowers the session's rows of an Arrow batch, as texts are long: a batch is held several times over."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, rows)

@@ -2,10 +2,11 @@
 
 A text's words (1- and 2-grams, a word and itself counting as one 2-gram) and characters (1- to 3-grams), with their case and
 punctuation, are hashed into buckets; a bucket's indicator is scaled by the log-ratio of
-its counts in the two classes, taken over all training rows. A linear hinge-loss model is
-fitted to unit rows of these by dual coordinate descent on a bounded sample (``FIT_ROWS``
-rows of each class, those of the smallest hashes), and its margin is turned into a
-probability by a logistic fit on the same rows.
+its counts in the two classes, taken over a bounded sample of the labelled rows
+(``COUNT_ROWS`` of each class, those of the smallest hashes). A linear hinge-loss model is
+fitted to unit rows of these by dual coordinate descent on ``FIT_ROWS`` of them, and its
+margin is turned into a probability by a logistic fit on the same rows; each row weighs
+as its class does among all labelled rows.
 
 Null and empty texts have no n-gram: their score is that of a zero margin. Rows without a
 label or text are not learned from; of several labels of an id the largest counts. With
@@ -21,15 +22,14 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from landspark.llm.common import materialize
+from landspark.llm.common import Scratch, bounded_sample, small_batches
 from landspark.llm.ngrams import code_points, grams
 
 BUCKETS, SIZES = 1 << 16, (1, 2, 3)
-#: Rows of each class on which the margin is fitted, at most.
-FIT_ROWS = 2_000
+#: Rows of each class that are counted for the ratios, and on which the margin is fitted, at most.
+COUNT_ROWS, FIT_ROWS = 20_000, 2_000
 _SAME = 0
 
 
@@ -113,17 +113,26 @@ class QualityModel:
     @classmethod
     def fit(cls, docs: DataFrame, labels: DataFrame, label_col: str, id_col: str = "doc_id", text_col: str = "text") -> QualityModel:
         """From all rows of ``docs`` that have a 0 or 1 in ``labels``."""
+        small_batches(docs.sparkSession)
         known = labels.filter(F.col(label_col).isin(0, 1)).groupBy(F.col(id_col).alias("doc_id")).agg(F.max(label_col).cast("int").alias("label"))
-        rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).filter("text IS NOT NULL").join(known, "doc_id")
-        rows = materialize(rows, "labelled")
-        ratios, n0, n1 = log_count_ratios(rows)
-        if not n0 or not n1:
+        rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+        # ids are matched first, so that only texts of the sample are read on, and none is shuffled
+        labelled = rows.select("doc_id").distinct().join(known, "doc_id")
+        ids, counts = bounded_sample(labelled, "label", "doc_id", COUNT_ROWS)
+        n0, n1 = counts.get(0, 0), counts.get(1, 0)
+        with Scratch(docs.sparkSession) as write:
+            rows = write(rows.filter("text IS NOT NULL").join(F.broadcast(ids), "doc_id"), "labelled")  # twice COUNT_ROWS ids
+            return cls._fit(rows, n0, n1)
+
+    @classmethod
+    def _fit(cls, rows: DataFrame, n0: int, n1: int) -> QualityModel:
+        ratios, k0, k1 = log_count_ratios(rows)
+        if not k0 or not k1:
             share = n1 / (n0 + n1) if n0 + n1 else 0.5
             return cls(np.zeros(BUCKETS), ratios, 0.0, 0.0, float(np.log(max(share, 1e-9) / max(1 - share, 1e-9))))
-        first = W.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
-        ids = rows.select("doc_id", "label").withColumn("nth", F.row_number().over(first)).filter(F.col("nth") <= FIT_ROWS).select("doc_id")
-        sample = rows.join(ids.distinct(), "doc_id", "left_semi").select(F.lit(0).alias("one"), "doc_id", "text", "label")
-        shared = docs.sparkSession.sparkContext.broadcast(ratios)
+        ids, _ = bounded_sample(rows.select("doc_id", "label").distinct(), "label", "doc_id", FIT_ROWS)
+        sample = rows.join(F.broadcast(ids.select("doc_id")), "doc_id", "left_semi").select(F.lit(0).alias("one"), "doc_id", "text", "label")
+        shared = rows.sparkSession.sparkContext.broadcast(ratios)
 
         def fit(rows: pa.Table) -> pa.Table:
             rows, r = rows.sort_by([("doc_id", "ascending"), ("label", "ascending")]), shared.value
@@ -150,6 +159,7 @@ class QualityModel:
 
     def predict(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
         """``doc_id, score`` of every row; map-only."""
+        small_batches(docs.sparkSession)
         shared = docs.sparkSession.sparkContext.broadcast(self)
         rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
