@@ -29,10 +29,11 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from landspark.llm.common import small_batches
+
 #: Items in one broadcast index, at most.
 ITEMS = 20_000
 
@@ -41,8 +42,39 @@ _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122
 _index: dict = {}
 
 
+_MULTIPLIER = 0x9E3779B97F4A7C15
+_BYTES = np.random.default_rng(7).integers(0, 2**64, 256, dtype="u8")
+_powers: dict = {}
+
+
+def folded(text: str | None) -> bytes:
+    """Words in lower case, with single bytes of space between and around."""
+    return (text or "").encode("utf-8", "surrogatepass").translate(_FOLD)
+
+
 def words_of(text: str | None) -> list[bytes]:
-    return (text or "").encode("utf-8", "surrogatepass").translate(_FOLD).split()
+    return folded(text).split()
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the multiplier and of its inverse modulo 2 ** 64, kept for the longest text so far."""
+    if not _powers or len(_powers["up"]) < n:
+        size = 1 << max(16, (n - 1).bit_length())
+        _powers["up"] = np.cumprod(np.full(size, np.uint64(_MULTIPLIER)))
+        _powers["down"] = np.cumprod(np.full(size, np.uint64(pow(_MULTIPLIER, -1, 2**64))))
+    return _powers["up"], _powers["down"]
+
+
+def word_hashes(line: bytes) -> np.ndarray:
+    """A hash of every word of folded bytes: a polynomial in random values of its bytes, by running sums."""
+    own = np.frombuffer(line, "u1")
+    inside = np.concatenate([[False], own != 32, [False]])
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    up, down = powers(len(own) + 1)
+    sums = np.zeros(len(own) + 1, "u8")
+    np.cumsum(_BYTES[own] * up[: len(own)], out=sums[1:])
+    return (sums[ends] - sums[starts]) * down[starts]
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -61,10 +93,6 @@ def shingle_hashes(word_hashes: np.ndarray, k: int) -> np.ndarray:
     return _mixed(out)
 
 
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), "<u8", len(words))
-
-
 def majority(sums: np.ndarray, m: int) -> np.ndarray:
     """Fingerprints from rows of 64 counts of set bits."""
     return np.packbits(sums * 2 > m, axis=1, bitorder="little").view("<u8")[:, 0]
@@ -91,7 +119,7 @@ class SameLength:
         self.k, self.radius, self.items = k, radius, [i for i, _ in items]
         self.m = len(items[0][1]) - k + 1
         self.shingles = [Counter(tuple(w[i : i + k]) for i in range(self.m)) for _, w in items]
-        hashes = [shingle_hashes(word_hashes(w), k) for _, w in items]
+        hashes = [shingle_hashes(word_hashes(b" ".join(w)), k) for _, w in items]
         self.hashes = np.unique(np.concatenate(hashes))
         self.fps = np.concatenate([majority(h[-1:], self.m) for h in map(bit_sums, hashes)])
         values = self.fps.view("u1").reshape(-1, self.BLOCKS)
@@ -118,21 +146,26 @@ class BenchmarkIndex:
             if split := words_of(text):
                 by_length[len(split)].append((item, split))
         self.lengths = {n: SameLength(min(words, n), own, radius) for n, own in sorted(by_length.items())}
-        self.sieve = {}  # for each shingle length, the low bits of the items' hashes
-        for one in self.lengths.values():
-            self.sieve.setdefault(one.k, np.zeros(1 << 22, bool))[one.hashes & np.uint64((1 << 22) - 1)] = True
+        self.sieve = {}  # for each shingle length, the low bits of the items' hashes, and the hashes
+        for k in {one.k for one in self.lengths.values()}:
+            every = np.unique(np.concatenate([one.hashes for one in self.lengths.values() if one.k == k]))
+            low = np.zeros(1 << 22, bool)
+            low[every & np.uint64((1 << 22) - 1)] = True
+            self.sieve[k] = low, every
 
     def matches(self, text: str | None, least: float) -> Iterator[tuple[int, float, int, int]]:
         """``item, similarity, first word, words`` of the best window of each item found."""
-        words = words_of(text)
-        own = word_hashes(words)
+        line = folded(text)
+        own = word_hashes(line)
         hashes, sums = {}, {}
-        for k, sieve in self.sieve.items():
+        for k, (low, every) in self.sieve.items():
             h = shingle_hashes(own, k)
-            if sieve[h & np.uint64((1 << 22) - 1)].any():
+            maybe = h[low[h & np.uint64((1 << 22) - 1)]]
+            if (every[np.minimum(np.searchsorted(every, maybe), len(every) - 1)] == maybe).any():
                 hashes[k] = h
         if not hashes:
             return
+        words = line.split()
         for n, one in self.lengths.items():
             if one.k not in hashes or n > len(words):
                 continue
@@ -173,6 +206,7 @@ def _parts(benchmark: DataFrame, words: int, radius: int) -> list[_Part]:
     n = max(1, -(-benchmark.count() // ITEMS))
     part = F.pmod(F.xxhash64("item_id"), F.lit(n))
     spark = benchmark.sparkSession
+    small_batches(spark)
     own = lambda k: [(r["item_id"], r["text"]) for r in benchmark.filter(part == k).select("item_id", "text").collect()]
     return [_Part(spark.sparkContext.broadcast(own(k)), words, radius) for k in range(n)]
 
