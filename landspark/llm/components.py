@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from landspark.llm.common import materialize
+from landspark.llm.common import Scratch, materialize
 
 
 def _least(pairs: DataFrame) -> DataFrame:
@@ -43,13 +43,13 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
     """
     a, b = (F.col(c) for c in edges.columns)
     now = edges.filter(a != b).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct()
-    now, before = materialize(now, "edges"), None
-    for _ in range(rounds):
-        now = materialize(_small_star(_large_star(now)), "edges")
-        sign = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if tuple(sign) == before:
-            break
-        before = tuple(sign)
-    else:
-        raise RuntimeError(f"components did not settle in {rounds} rounds")
-    return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(now.select("v", "v").distinct())
+    before = None
+    with Scratch(edges.sparkSession) as write:
+        now = write(now, "edges")
+        for _ in range(rounds):
+            now = write(_small_star(_large_star(now)), "edges")
+            sign = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+            if sign == before:
+                return materialize(now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(now.select("v", "v").distinct()), "components")
+            before = sign
+    raise RuntimeError(f"components did not settle in {rounds} rounds")

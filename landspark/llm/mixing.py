@@ -20,17 +20,21 @@ they are. A null id hashes like a value. Other columns are carried along.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from landspark.llm.common import materialize
+from landspark.llm.common import Scratch, content_key, materialize
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Weights of the sources in order, repeating.
 WEIGHTS = (3, 1, 2)
 #: A source has so many blocks at most; a larger source has larger blocks. So one task can order a source's blocks.
 MOST_BLOCKS = 1_000_000
+#: Words of an output shard, by which the number of shards follows the mix.
+SHARD_WORDS = 4_000_000
 
 
 def source_targets(sized: DataFrame, share: float = 1.5, most: float = 2.0, weights: tuple = WEIGHTS) -> DataFrame:
@@ -130,28 +134,34 @@ def splitting_tree(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
     return leaves.withColumn("first", F.coalesce(F.sum("n").over(before), F.lit(0)))
 
 
-def sized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", row: Column | None = None) -> DataFrame:
-    """``doc_id, source, size, key, row`` of each record; ``row`` numbers them once written, unless it is given."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("crc"), (F.monotonically_increasing_id() if row is None else row).alias("row"))
-    # the hash that deals records to blocks does not depend on where a row is stored
-    return rows.withColumn("key", F.xxhash64("doc_id", "crc", "size")).drop("crc")
+def sized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """``doc_id, source, size, key, key2, row`` of each record.
+
+    The keys hash a record's id and text, so that they do not depend on where it is
+    stored; ``row`` numbers the records once they are written.
+    """
+    key, key2 = content_key(id_col, text_col)
+    size = F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(WORD)).cast("long")
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), size.alias("size"), key.alias("key"), key2.alias("key2"), F.monotonically_increasing_id().alias("row"))
 
 
-def mix(rows: DataFrame, share: float = 1.5, most: float = 2.0, weights: tuple = WEIGHTS, shards: int = 16, block_words: int = 10_000, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+def mix(rows: DataFrame, share: float = 1.5, most: float = 2.0, weights: tuple = WEIGHTS, shards: int | None = None, block_words: int = 10_000, seed: int = 42, write: Callable = materialize) -> tuple[DataFrame, DataFrame]:
     """The mix of written rows ``source, size, key, row`` (see :func:`sized`).
 
     Returns its pieces, ``row, place, epoch, n_words, shard, position``, and the sources,
     ``source, place, source_size, target``. A piece is the first ``n_words`` words of a
     record in one epoch: all of them, but for the last record of a source. ``position``
-    orders a shard's pieces at random. Only row numbers and sizes are shuffled.
+    orders a shard's pieces at random. Only row numbers and sizes are shuffled. ``write``
+    writes what the results read. Without ``shards`` there is one for ``SHARD_WORDS`` words.
     """
     sources = source_targets(rows, share, most, weights)
     sources = sources.withColumn("n_blocks", F.greatest(F.least(F.ceil(F.col("source_size") / block_words), F.lit(MOST_BLOCKS)), F.lit(1)).cast("long"))
-    sources = materialize(sources, "sources")
+    sources = write(sources, "sources")
+    if shards is None:
+        shards = max(1, -(-int(sources.agg(F.sum("target")).first()[0] or 0) // SHARD_WORDS))
     named = sources.select(F.col("source").alias("of"), "place", "n_blocks")
     rows = rows.join(named, rows["source"].eqNullSafe(F.col("of"))).select("row", "key", "size", "place", F.pmod(F.xxhash64(F.lit(seed), "key"), F.col("n_blocks")).alias("block"))
-    blocks = materialize(rows.groupBy("place", "block").agg(F.sum("size").alias("words")), "blocks")
+    blocks = write(rows.groupBy("place", "block").agg(F.sum("size").alias("words")), "blocks")
 
     # epochs of every source, and the order of its blocks in each
     last = int(-(-most // 1)) - 1
@@ -166,7 +176,7 @@ def mix(rows: DataFrame, share: float = 1.5, most: float = 2.0, weights: tuple =
         .filter("room > 0")
         .withColumn("rank", F.row_number().over(W.partitionBy("place").orderBy("epoch", permuted, "block")) - 1)
     )
-    drawn = materialize(drawn.select("place", "epoch", "block", "words", "room", "rank"), "drawn")
+    drawn = write(drawn.select("place", "epoch", "block", "words", "room", "rank"), "drawn")
     tree = splitting_tree(drawn.groupBy("place").agg(F.count("*").alias("n")), shards, seed)
     dealt = tree.filter("n > 0").select("shard", "place", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1)).alias("rank"))
     drawn = drawn.join(dealt, ["place", "rank"]).drop("rank")
@@ -192,19 +202,26 @@ def taken(docs: DataFrame, **settings) -> DataFrame:
     return rows.join(named, rows["source"].eqNullSafe(F.col("of"))).select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"))
 
 
-def mixed(docs: DataFrame, text_col: str = "text", chars_col: str | None = "n_chars", shards: int = 16, **settings) -> DataFrame:
+def mixed(docs: DataFrame, text_col: str = "text", chars_col: str | None = "n_chars", **settings) -> DataFrame:
     """The mix itself: the columns of ``docs``, a row for each piece, shuffled within shards.
 
     A cut record keeps its first words, and ``chars_col`` follows its new text. Two
     rows of one record, from two epochs, may lie in different shards.
     """
-    stored = materialize(docs.withColumn("_mix_row", F.monotonically_increasing_id()), "docs")
-    rows = materialize(sized(stored, text_col=text_col, row=F.col("_mix_row")), "sized")
-    pieces, _ = mix(rows, shards=shards, **settings)
-    found = pieces.join(rows.select("row", "size"), "row").withColumnRenamed("row", "_mix_row")
-    out = stored.join(found.select("_mix_row", F.col("shard").alias("_mix_shard"), F.col("position").alias("_mix_position"), F.col("n_words").alias("_mix_words"), (F.col("n_words") < F.col("size")).alias("_mix_cut")), "_mix_row")
+    with Scratch(docs.sparkSession) as write:
+        rows = write(sized(docs, text_col=text_col), "sized")
+        pieces, _ = mix(rows, write=write, **settings)
+        equal = rows.groupBy("key", "key2").agg((F.count("*") > 1).alias("equal")).filter("equal")
+        found = pieces.join(rows.select("row", "size", "key", "key2"), "row").join(equal, ["key", "key2"], "left")
+        found = found.select(F.col("key").alias("_mix_1"), F.col("key2").alias("_mix_2"), F.col("row").alias("_mix_row"), F.col("epoch").alias("_mix_epoch"), F.col("shard").alias("_mix_shard"), F.col("position").alias("_mix_position"), F.col("n_words").alias("_mix_words"), (F.col("n_words") < F.col("size")).alias("_mix_cut"), F.coalesce("equal", F.lit(False)).alias("_mix_equal"))
+        found = materialize(found, "pieces")
+    key, key2 = content_key("doc_id", text_col)
+    out = docs.withColumns({"_mix_1": key, "_mix_2": key2}).join(found, ["_mix_1", "_mix_2"])
+    if not found.filter("_mix_equal").isEmpty():  # equal records meet each other's pieces, but a piece comes once
+        out = out.filter("NOT _mix_equal").unionByName(out.filter("_mix_equal").dropDuplicates(["_mix_row", "_mix_epoch"]))
     short = F.array_join(F.slice(F.regexp_extract_all(text_col, F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0)), F.lit(1), F.col("_mix_words").cast("int")), "")
     out = out.withColumn(text_col, F.when(F.col("_mix_cut"), short).otherwise(F.col(text_col)))
     if chars_col in docs.columns:
         out = out.withColumn(chars_col, F.when(F.col("_mix_cut"), F.length(text_col).cast(docs.schema[chars_col].dataType)).otherwise(F.col(chars_col)))
-    return out.repartition(shards, "_mix_shard").sortWithinPartitions("_mix_shard", "_mix_position").select(*docs.columns)
+    shards = found.agg(F.max("_mix_shard")).first()[0]
+    return out.repartition((shards or 0) + 1, "_mix_shard").sortWithinPartitions("_mix_shard", "_mix_position").select(*docs.columns)

@@ -20,7 +20,7 @@ their group like others. Columns other than id and text are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from landspark.llm.common import materialize
+from landspark.llm.common import Scratch, content_key, materialize, small_batches
 from landspark.llm.components import components
 
 #: Fingerprints on which the trees are fitted, at most.
@@ -74,6 +74,7 @@ def fingerprint(hashes: np.ndarray, lanes: int = 1) -> np.ndarray:
 
 def fingerprints(docs: DataFrame, words: int = 4, lanes: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, fp``: the fingerprint as ``8 * lanes`` little-endian bytes; map-only."""
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,12 +188,13 @@ def _grown(fps: np.ndarray, most: int) -> list[tuple[int, int]]:
     return out
 
 
-def links(distinct: DataFrame, bits: int, most: int, blocks: int, radius: int | None = None, block_width: int | None = None) -> DataFrame:
+def links(distinct: DataFrame, bits: int, most: int, blocks: int, radius: int | None = None, block_width: int | None = None, write: Callable = materialize) -> DataFrame:
     """``a, b``: forest edges over the links between distinct fingerprints.
 
     ``distinct`` has one column ``fp``. With the default radius ``most // blocks`` no
     link of at most ``most`` bits is lost; a smaller radius or ``block_width`` trades
-    recall for work. Only the sample, and one count per leaf, reach the driver.
+    recall for work. Only the sample, and one count per leaf, reach the driver. ``write``
+    writes what the result reads.
     """
     spark = distinct.sparkSession
     widths = [block_width] * blocks if block_width else block_bits(bits, blocks)
@@ -213,7 +215,7 @@ def links(distinct: DataFrame, bits: int, most: int, blocks: int, radius: int |
                 if len(rows):
                     yield pa.record_batch([pa.array(np.full(len(rows), t), pa.int32()), pa.array(np.concatenate(reached), pa.int32()), b.column(0).take(pa.array(rows))], names=["tree", "leaf", "fp"])
 
-    placed = materialize(distinct.mapInArrow(place, "tree int, leaf int, fp binary"), "placed")
+    placed = write(distinct.mapInArrow(place, "tree int, leaf int, fp binary"), "placed")
     full = placed.groupBy("tree", "leaf").count().filter(F.col("count") > CHUNK_ROWS)
     chunks = full.select("tree", "leaf", F.ceil(F.col("count") / CHUNK_ROWS).cast("int").alias("k"))  # one row per leaf at most
     dealt = (
@@ -244,13 +246,13 @@ def near_groups(docs: DataFrame, words: int = 4, most: int = 4, blocks: int = 5,
     ``component_id`` is the least id that can be reached over links of at most ``most`` bits.
     """
     fps = materialize(fingerprints(docs, words, 1, id_col, text_col), "fingerprints")
-    nodes = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
-    edges = links(nodes.select("fp"), 64, most, blocks)
-    group = components(edges)
-    known = nodes.join(group.hint("merge"), nodes["fp"] == group["node"], "left").select("fp", "first", F.coalesce("component", "fp").alias("component"))
-    known = materialize(known, "known")
-    least = known.groupBy("component").agg(F.min("first").alias("component_id"))
-    reached = materialize(known.join(least.hint("merge"), "component").select("fp", "component_id"), "reached")
+    with Scratch(docs.sparkSession) as write:
+        nodes = write(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
+        group = components(links(nodes.select("fp"), 64, most, blocks, write=write))
+        known = nodes.join(group.hint("merge"), nodes["fp"] == group["node"], "left").select("fp", "first", F.coalesce("component", "fp").alias("component"))
+        known = write(known, "known")
+        least = known.groupBy("component").agg(F.min("first").alias("component_id"))
+        reached = materialize(known.join(least.hint("merge"), "component").select("fp", "component_id"), "reached")
     return fps.join(reached.hint("merge"), "fp").select("doc_id", "fp", "component_id")
 
 
@@ -280,22 +282,32 @@ def without_near_duplicates(docs: DataFrame, words: int = 5, least: float = 0.8,
     whole texts, so no row goes for less than the similarity. Rows without words form
     one group; the first of equal rows stays.
     """
-    stored = materialize(docs.withColumn("_near_row", F.monotonically_increasing_id()), "docs")
-    rows = stored.select("_near_row", F.struct(F.col(id_col).isNull(), id_col, "_near_row").alias("order"), text_col)
-    fps = fingerprints(rows, words, 4, "_near_row", text_col).withColumnRenamed("doc_id", "row")
-    fps = materialize(fps, "fingerprints").join(rows.select(F.col("_near_row").alias("row"), "order"), "row")
-    nodes = materialize(fps.groupBy("fp").agg(F.min("order").alias("first"), F.count("*").alias("n")).select("fp", "n", F.col("first._near_row").alias("node")), "nodes")
-    edges = materialize(links(nodes.select("fp"), 256, 56, 25, radius=0, block_width=10), "candidates")
-    ends = nodes.select("fp", "node")
-    edges = edges.join(ends.withColumnsRenamed({"fp": "a", "node": "na"}), "a").join(ends.withColumnsRenamed({"fp": "b", "node": "nb"}), "b")
-    edges = materialize(edges.select(F.least("na", "nb").alias("a"), F.greatest("na", "nb").alias("b")).distinct(), "candidates")
-    used = edges.select(F.col("a").alias("_near_row")).union(edges.select("b")).distinct()
-    texts = materialize(stored.select("_near_row", text_col).join(used, "_near_row", "left_semi").toDF("node", "text"), "texts")
-    pairs = edges.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b").select("a", "b", "text_a", "text_b")
-    group = components(_jaccard(pairs, words, least))
-    # of a group's nodes, each the first row of its fingerprint, the one of the least id stays
-    member = group.join(rows.select(F.col("_near_row").alias("node"), "order"), "node")
-    stays = member.groupBy("component").agg(F.min("order").alias("first")).select(F.col("first._near_row").alias("node"))
-    gone = group.select("node").join(stays, "node", "left_anti")
-    kept = nodes.select("node").join(gone, "node", "left_anti").withColumnRenamed("node", "_near_row")
-    return stored.join(kept, "_near_row", "left_semi").select(*docs.columns)
+    k1, k2 = content_key(id_col, text_col)
+    keyed = docs.withColumns({"_near_1": k1, "_near_2": k2})
+    with Scratch(docs.sparkSession) as write:
+        rows = keyed.select(F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("doc_id"), "_near_1", "_near_2").alias("_near_row"), text_col)
+        fps = write(fingerprints(rows, words, 4, "_near_row", text_col).toDF("row", "fp"), "fingerprints")
+        nodes = write(fps.groupBy("fp").agg(F.min("row").alias("first")).withColumn("node", F.monotonically_increasing_id()), "nodes")
+        ends = nodes.select("fp", "node")
+        edges = links(nodes.select("fp"), 256, 56, 25, radius=0, block_width=10, write=write)
+        edges = edges.join(ends.toDF("a", "na"), "a").join(ends.toDF("b", "nb"), "b")
+        edges = write(edges.select(F.least("na", "nb").alias("a"), F.greatest("na", "nb").alias("b")).distinct(), "candidates")
+        used = nodes.join(edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct(), "node", "left_semi")
+        used = used.select("node", F.col("first._near_1").alias("_near_1"), F.col("first._near_2").alias("_near_2"))
+        texts = keyed.select("_near_1", "_near_2", F.col(text_col).alias("text")).join(used, ["_near_1", "_near_2"]).select("node", "text").dropDuplicates(["node"])
+        texts = write(texts, "texts")
+        pairs = edges.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b").select("a", "b", "text_a", "text_b")
+        group = components(write(_jaccard(pairs, words, least), "links"))
+        # a fingerprint's first row, and of a group's fingerprints the first of these, stays
+        member = nodes.join(group, "node", "left").select("fp", "first", F.coalesce("component", "node").alias("component"))
+        stays = member.groupBy("component").agg(F.min("first").alias("stays"))
+        stays = write(member.join(stays, "component").select("fp", "stays"), "stays")
+        decided = fps.join(stays, "fp")
+        gone = materialize(decided.filter("row != stays").select(F.col("row._near_1").alias("_near_1"), F.col("row._near_2").alias("_near_2")), "gone")
+        again = decided.filter("row = stays").groupBy(F.col("row._near_1").alias("_near_1"), F.col("row._near_2").alias("_near_2")).count().filter("count > 1").drop("count")
+        again = materialize(again, "again")
+    kept = keyed.join(gone, ["_near_1", "_near_2"], "left_anti")
+    if not again.isEmpty():  # equal rows of which the first stays
+        equal = kept.join(again, ["_near_1", "_near_2"], "left_semi").dropDuplicates(["_near_1", "_near_2"])
+        kept = kept.join(again, ["_near_1", "_near_2"], "left_anti").unionByName(equal)
+    return kept.select(*docs.columns)

@@ -27,10 +27,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from landspark.llm.common import materialize
+from landspark.llm.common import materialize, small_batches
 
 #: Words whose ids a Python worker keeps in each of two generations, at most.
-CACHED_WORDS = 350_000
+CACHED_WORDS = 200_000
 _tokenizers: dict = {}
 
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -167,6 +167,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_file: str, end_id: int =
     and renames it at its end, so a repeated task leaves the same file.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     with open(tokenizer_file, encoding="utf-8") as f:
         spec = spark.sparkContext.broadcast(f.read())  # a vocabulary: a few MB
 
