@@ -72,19 +72,34 @@ def fingerprint(hashes: np.ndarray, lanes: int = 1) -> np.ndarray:
     return np.packbits(out * 2 > len(hashes), axis=1, bitorder="little").view("<u8")[:, 0]
 
 
-def fingerprints(docs: DataFrame, words: int = 4, lanes: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, fp``: the fingerprint as ``8 * lanes`` little-endian bytes; map-only."""
+def set_key(hashes: np.ndarray, lanes: int) -> bytes:
+    """The fingerprint of the distinct shingles, and 8 bytes that tell unequal sets of equal fingerprint apart."""
+    own = np.unique(hashes)
+    return fingerprint(own, lanes).tobytes() + xxhash.xxh64_digest(own.tobytes())
+
+
+def fingerprints(docs: DataFrame, words: int = 4, lanes: int = 1, id_col: str = "doc_id", text_col: str = "text", sets: bool = False) -> DataFrame:
+    """``doc_id, fp``: the fingerprint as ``8 * lanes`` little-endian bytes; map-only.
+
+    Repeated shingles count as often as they come; with ``sets`` once, and ``fp`` is a :func:`set_key`.
+    """
     small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps = [fingerprint(shingle_hashes(t.as_py(), words), lanes).tobytes() for t in b.column(1)]
+            hashes = (shingle_hashes(t.as_py(), words) for t in b.column(1))
+            fps = [set_key(h, lanes) if sets else fingerprint(h, lanes).tobytes() for h in hashes]
             yield pa.record_batch([b.column(0), pa.array(fps, pa.binary())], names=["doc_id", "fp"])
 
     return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, fp binary")
 
 
+def as_rows(fps: list[bytes], bits: int) -> np.ndarray:
+    """Fingerprints as rows of bytes, without what follows them in a key."""
+    return np.frombuffer(b"".join(fps), "u1").reshape(len(fps), len(fps[0]) if fps else bits // 8)[:, : bits // 8]
+
+
 def block_values(fps: np.ndarray, bits: list[int]) -> np.ndarray:
     """The value of each block of each fingerprint (rows of bytes): blocks x rows."""
     every = np.unpackbits(fps, axis=1, bitorder="little")
@@ -191,7 +206,7 @@ def _grown(fps: np.ndarray, most: int) -> list[tuple[int, int]]:
 def links(distinct: DataFrame, bits: int, most: int, blocks: int, radius: int | None = None, block_width: int | None = None, write: Callable = materialize) -> DataFrame:
     """``a, b``: forest edges over the links between distinct fingerprints.
 
-    ``distinct`` has one column ``fp``. With the default radius ``most // blocks`` no
+    ``distinct`` has one column ``fp``, of which the first ``bits`` count. With the default radius ``most // blocks`` no
     link of at most ``most`` bits is lost; a smaller radius or ``block_width`` trades
     recall for work. Only the sample, and one count per leaf, reach the driver. ``write``
     writes what the result reads.
@@ -201,14 +216,14 @@ def links(distinct: DataFrame, bits: int, most: int, blocks: int, radius: int |
     radius = most // blocks if radius is None else radius
     n = distinct.count()
     some = distinct.orderBy(F.xxhash64("fp")).limit(SAMPLE) if n > SAMPLE else distinct
-    sample = np.array([np.frombuffer(r["fp"], "u1") for r in some.collect()], "u1").reshape(-1, bits // 8)
+    sample = as_rows([bytes(r["fp"]) for r in some.collect()], bits)
     values = block_values(sample, widths)
     trees = [VantageTree(w, radius, values[t], LEAF_ROWS / max(n, 1), seed=t) for t, w in enumerate(widths)]
     tables = spark.sparkContext.broadcast([[np.array(x, "i4") for x in t.leaves] for t in trees])  # 65,536 values a tree at most
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps = np.array([np.frombuffer(x.as_py(), "u1") for x in b.column(0)], "u1").reshape(-1, bits // 8)
+            fps = as_rows(b.column(0).to_pylist(), bits)
             for t, value in enumerate(block_values(fps, widths)):
                 reached = [tables.value[t][v] for v in value]
                 rows = np.repeat(np.arange(len(value)), [len(x) for x in reached])
@@ -228,7 +243,7 @@ def links(distinct: DataFrame, bits: int, most: int, blocks: int, radius: int |
 
     def within(rows: pa.Table) -> pa.Table:
         fp = rows.column("fp").combine_chunks()
-        words = np.frombuffer(b"".join(fp.to_pylist()), "<u8").reshape(len(fp), bits // 64)
+        words = np.ascontiguousarray(as_rows(fp.to_pylist(), bits)).view("<u8")
         edges = np.array(forest(words, most), "i8").reshape(-1, 2)
         return pa.table({"a": fp.take(pa.array(edges[:, 0])), "b": fp.take(pa.array(edges[:, 1]))})
 
@@ -275,7 +290,8 @@ def without_near_duplicates(docs: DataFrame, words: int = 5, least: float = 0.8,
     """``docs`` with one row of each group of near-duplicates: that of the least id.
 
     Rows are linked if their sets of ``words``-word shingles have a Jaccard similarity of
-    ``least`` or more. At 0.8 a bit of two fingerprints differs with probability 0.15;
+    ``least`` or more; rows of equal sets are one node, other rows of equal fingerprints
+    are compared like any pair. At 0.8 a bit of two fingerprints differs with probability 0.15;
     fingerprints have 256 bits here, candidates differ in 56 at most, and 25 trees over
     blocks of 10 bits, each searched for equal blocks, find 99.5 % of pairs at 0.8 and
     more of closer ones. Links of the trees' spanning forests are then compared exactly on
@@ -286,7 +302,7 @@ def without_near_duplicates(docs: DataFrame, words: int = 5, least: float = 0.8,
     keyed = docs.withColumns({"_near_1": k1, "_near_2": k2})
     with Scratch(docs.sparkSession) as write:
         rows = keyed.select(F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("doc_id"), "_near_1", "_near_2").alias("_near_row"), text_col)
-        fps = write(fingerprints(rows, words, 4, "_near_row", text_col).toDF("row", "fp"), "fingerprints")
+        fps = write(fingerprints(rows, words, 4, "_near_row", text_col, sets=True).toDF("row", "fp"), "fingerprints")
         nodes = write(fps.groupBy("fp").agg(F.min("row").alias("first")).withColumn("node", F.monotonically_increasing_id()), "nodes")
         ends = nodes.select("fp", "node")
         edges = links(nodes.select("fp"), 256, 56, 25, radius=0, block_width=10, write=write)
@@ -298,7 +314,7 @@ def without_near_duplicates(docs: DataFrame, words: int = 5, least: float = 0.8,
         texts = write(texts, "texts")
         pairs = edges.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b").select("a", "b", "text_a", "text_b")
         group = components(write(_jaccard(pairs, words, least), "links"))
-        # a fingerprint's first row, and of a group's fingerprints the first of these, stays
+        # a set's first row, and of a group's sets the first of these, stays
         member = nodes.join(group, "node", "left").select("fp", "first", F.coalesce("component", "node").alias("component"))
         stays = member.groupBy("component").agg(F.min("first").alias("stays"))
         stays = write(member.join(stays, "component").select("fp", "stays"), "stays")

@@ -138,6 +138,24 @@ def test_near_duplicates_against_brute_force(spark):
     assert kept == sorted(set(groups)) and len(kept) < len(texts)
 
 
+def test_repeated_lines_neither_join_nor_part_texts(spark):
+    rng = random.Random(3)
+    one, two, three = (" ".join(f"{name}{rng.randrange(10**6)}" for _ in range(404)) for name in "abc")
+    line = " ".join(["subscribe to our weekly letter and never miss news"] * 120)
+    texts = [f"{one} {line}", f"{two} {line}", three, f"{three} {line}", f"{line} {three}"]
+    assert jaccard(texts[0], texts[1]) < 0.02 and jaccard(texts[2], texts[3]) > 0.95
+    fps = [simhash.fingerprint(simhash.shingle_hashes(t, 5), 4) for t in texts]
+    assert (fps[0] == fps[1]).all() and np.bitwise_count(fps[2] ^ fps[3]).sum() > 56
+    assert sorted(r["doc_id"] for r in simhash.without_near_duplicates(documents(spark, texts)).collect()) == [0, 1, 2]
+
+
+def test_unequal_sets_of_equal_fingerprint_are_compared(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "fingerprint", lambda hashes, lanes=1: np.full(lanes, 5, "<u8"))
+    texts = ["a b c d e f g", "a b c d e f g a b c d e f g", "h i j k l m n", "A b c d e f g"]
+    fps = {simhash.set_key(simhash.shingle_hashes(t, 5), 4) for t in texts}
+    assert len(fps) == 3 and len({fp[:32] for fp in fps}) == 1
+
+
 def test_components(spark):
     pairs = [(k, k + 1) for k in range(0, 200) if k % 50] + [(300, k) for k in range(301, 400)] + [(7, 7), (8, 9)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(pairs, "a long, b long")).collect()}
