@@ -35,6 +35,8 @@ from landspark.llm.components import components
 SAMPLE = 20_000
 #: Fingerprints that a leaf should have, and those above which it is cut into chunks.
 LEAF_ROWS, CHUNK_ROWS = 400, 6_000
+#: Bytes of shingle sets above which a leaf is cut into chunks.
+CHUNK_BYTES = 32_000_000
 
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
@@ -203,14 +205,9 @@ def _grown(fps: np.ndarray, most: int) -> list[tuple[int, int]]:
     return out
 
 
-def links(distinct: DataFrame, bits: int, most: int, blocks: int, radius: int | None = None, block_width: int | None = None, write: Callable = materialize) -> DataFrame:
-    """``a, b``: forest edges over the links between distinct fingerprints.
-
-    ``distinct`` has one column ``fp``, of which the first ``bits`` count. With the default radius ``most // blocks`` no
-    link of at most ``most`` bits is lost; a smaller radius or ``block_width`` trades
-    recall for work. Only the sample, and one count per leaf, reach the driver. ``write``
-    writes what the result reads.
-    """
+def _placed(distinct: DataFrame, bits: int, most: int, blocks: int, radius: int | None, block_width: int | None, write: Callable) -> tuple[DataFrame, Callable]:
+    """``tree, leaf, fp`` of every leaf that a fingerprint reaches, and a function of rows of
+    fingerprints that gives the leaves of each in each tree (trees x rows of arrays)."""
     spark = distinct.sparkSession
     widths = [block_width] * blocks if block_width else block_bits(bits, blocks)
     radius = most // blocks if radius is None else radius
@@ -221,19 +218,25 @@ def links(distinct: DataFrame, bits: int, most: int, blocks: int, radius: int |
     trees = [VantageTree(w, radius, values[t], LEAF_ROWS / max(n, 1), seed=t) for t, w in enumerate(widths)]
     tables = spark.sparkContext.broadcast([[np.array(x, "i4") for x in t.leaves] for t in trees])  # 65,536 values a tree at most
 
+    def leaves(fps: np.ndarray) -> list[list[np.ndarray]]:
+        return [[tables.value[t][v] for v in value] for t, value in enumerate(block_values(fps, widths))]
+
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = as_rows(b.column(0).to_pylist(), bits)
-            for t, value in enumerate(block_values(fps, widths)):
-                reached = [tables.value[t][v] for v in value]
-                rows = np.repeat(np.arange(len(value)), [len(x) for x in reached])
+            for t, reached in enumerate(leaves(fps)):
+                rows = np.repeat(np.arange(len(fps)), [len(x) for x in reached])
                 if len(rows):
                     yield pa.record_batch([pa.array(np.full(len(rows), t), pa.int32()), pa.array(np.concatenate(reached), pa.int32()), b.column(0).take(pa.array(rows))], names=["tree", "leaf", "fp"])
 
-    placed = write(distinct.mapInArrow(place, "tree int, leaf int, fp binary"), "placed")
-    full = placed.groupBy("tree", "leaf").count().filter(F.col("count") > CHUNK_ROWS)
-    chunks = full.select("tree", "leaf", F.ceil(F.col("count") / CHUNK_ROWS).cast("int").alias("k"))  # one row per leaf at most
-    dealt = (
+    return write(distinct.mapInArrow(place, "tree int, leaf int, fp binary"), "placed"), leaves
+
+
+def _dealt(placed: DataFrame, weight: Column, most: int) -> DataFrame:
+    """``placed`` with ``lo, hi``: leaves of more than ``most`` weight are cut into pairs of chunks."""
+    full = placed.groupBy("tree", "leaf").agg(F.sum(weight).alias("weight")).filter(F.col("weight") > most)
+    chunks = full.select("tree", "leaf", F.ceil(F.col("weight") / most).cast("int").alias("k"))  # one row per leaf at most
+    return (
         placed.join(F.broadcast(chunks), ["tree", "leaf"], "left")
         .withColumn("k", F.coalesce("k", F.lit(1)))
         .withColumn("own", F.pmod(F.xxhash64("fp"), F.col("k")).cast("int"))
@@ -241,6 +244,18 @@ def links(distinct: DataFrame, bits: int, most: int, blocks: int, radius: int |
         .select("tree", "leaf", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "fp")
     )
 
+
+def links(distinct: DataFrame, bits: int, most: int, blocks: int, radius: int | None = None, block_width: int | None = None, write: Callable = materialize) -> DataFrame:
+    """``a, b``: forest edges over the links between distinct fingerprints.
+
+    ``distinct`` has one column ``fp``, of which the first ``bits`` count. With the default radius ``most // blocks`` no
+    link of at most ``most`` bits is lost; a smaller radius or ``block_width`` trades
+    recall for work. Only the sample, and one count per leaf, reach the driver. ``write``
+    writes what the result reads.
+    """
+    placed, _ = _placed(distinct, bits, most, blocks, radius, block_width, write)
+    dealt = _dealt(placed, F.lit(1), CHUNK_ROWS)
+
     def within(rows: pa.Table) -> pa.Table:
         fp = rows.column("fp").combine_chunks()
         words = np.ascontiguousarray(as_rows(fp.to_pylist(), bits)).view("<u8")
@@ -271,19 +286,88 @@ def near_groups(docs: DataFrame, words: int = 4, most: int = 4, blocks: int = 5,
     return fps.join(reached.hint("merge"), "fp").select("doc_id", "fp", "component_id")
 
 
-def _jaccard(pairs: DataFrame, words: int, least: float) -> DataFrame:
-    """Those ``a, b`` of ``a, b, text_a, text_b`` whose sets of shingles are alike enough."""
+def alike(fps: np.ndarray, sets: list[np.ndarray], most: int, least: float) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs at most ``most`` bits apart whose sets have that Jaccard similarity.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Every such pair is compared unless verified pairs connect it already.
+    """
+    n, out = len(sets), []
+    sizes = np.array([len(x) for x in sets])
+    _, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    ends = np.cumsum(sizes)
+    ids = [flat[e - k : e] for e, k in zip(ends.tolist(), sizes.tolist(), strict=True)]
+    mark, group = np.zeros(len(flat) + 1, bool), np.arange(n)
+    for i in range(n - 1):
+        near = np.bitwise_count(fps[i + 1 :] ^ fps[i]).sum(1, dtype="i4") <= most
+        others = np.flatnonzero(near & (group[i + 1 :] != group[i])) + i + 1
+        if not len(others):
+            continue
+        mark[ids[i]] = True
+        found = []
+        for at in range(0, len(others), 256):
+            some = others[at : at + 256]
+            sums = np.concatenate([[0], np.cumsum(mark[np.concatenate([ids[j] for j in some])])])
+            to = np.cumsum(sizes[some])
+            common = sums[to] - sums[to - sizes[some]]
+            found.append(some[common >= least * (sizes[some] + sizes[i] - common)])
+        mark[ids[i]] = False
+        found = np.concatenate(found)
+        if len(found):
+            joined, first = np.unique(group[found], return_index=True)
+            out += [(i, int(j)) for j in found[first]]
+            group[np.isin(group, joined)] = group[i]
+    return out
+
+
+def verified_links(nodes: DataFrame, keyed: DataFrame, words: int, least: float, most: int, write: Callable) -> DataFrame:
+    """``a, b``: forest edges over the pairs of ``nodes`` whose sets of shingles are alike enough.
+
+    Nodes with a candidate are found by fingerprints alone. Their sets are then sent to
+    the leaves where the candidates meet, and compared there before anything is reduced.
+    A pair that shares several leaves asks for one of them only, that of the first tree.
+    """
+    placed, leaves = _placed(nodes.select("fp"), 256, most, 25, 0, 10, write)
+
+    def meet(rows: pa.Table) -> pa.Table:
+        keys = rows.column("fp").combine_chunks()
+        fps = np.ascontiguousarray(as_rows(keys.to_pylist(), 256))
+        tree, n, found = rows.column("tree")[0].as_py(), len(fps), np.zeros(len(fps), bool)
+        bits, before = fps.view("<u8"), None
+        step = max(1, 2_000_000 // n)
+        for at in range(0, n, step):
+            d = np.bitwise_count(bits[at : at + step, None, 0] ^ bits[None, :, 0]).astype("u2")
+            for w in range(1, 4):
+                d += np.bitwise_count(bits[at : at + step, None, w] ^ bits[None, :, w])
+            i, j = np.nonzero(d <= most)
+            i, j = i[j > i + at] + at, j[j > i + at]
+            if len(i) and before is None:
+                before = np.array([[x[0] for x in own] for own in leaves(fps)[:tree]], "i4").reshape(tree, n)
+            for own in before if len(i) else ():
+                new = own[i] != own[j]
+                i, j = i[new], j[new]
+            found[i], found[j] = True, True
+        return rows.select(["tree", "leaf", "fp"]).filter(pa.array(found))
+
+    schema = "tree int, leaf int, fp binary"
+    met = write(_dealt(placed, F.lit(1), CHUNK_ROWS).groupBy("tree", "leaf", "lo", "hi").applyInArrow(meet, schema).distinct(), "met")
+    used = nodes.join(met.select("fp").distinct(), "fp", "left_semi").select("fp", F.col("first._near_1").alias("_near_1"), F.col("first._near_2").alias("_near_2"))
+    texts = keyed.join(used, ["_near_1", "_near_2"]).select("fp", "text").dropDuplicates(["fp"])
+
+    def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keep = []
-            for left, right in zip(b.column(2), b.column(3), strict=True):
-                x, y = (np.unique(shingle_hashes(t.as_py(), words)) for t in (left, right))
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(common >= least * (len(x) + len(y) - common))
-            yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            sets = [np.unique(shingle_hashes(t.as_py(), words)).tobytes() for t in b.column(1)]
+            yield pa.record_batch([b.column(0), pa.array([len(x) for x in sets], pa.int64()), pa.array(sets, pa.binary())], names=["fp", "size", "own"])
+
+    sets = write(texts.mapInArrow(shingled, "fp binary, size long, own binary"), "sets")
+    dealt = _dealt(met.join(sets.select("fp", "size"), "fp"), F.col("size") + 100, CHUNK_BYTES)
+
+    def within(rows: pa.Table) -> pa.Table:
+        keys = rows.column("fp").combine_chunks()
+        fps = np.ascontiguousarray(as_rows(keys.to_pylist(), 256)).view("<u8")
+        edges = np.array(alike(fps, [np.frombuffer(x.as_py(), "<u8") for x in rows.column("own")], most, least), "i8").reshape(-1, 2)
+        return pa.table({"a": keys.take(pa.array(edges[:, 0])), "b": keys.take(pa.array(edges[:, 1]))})
 
-    return pairs.mapInArrow(run, "a long, b long")
+    return dealt.join(sets.select("fp", "own"), "fp").groupBy("tree", "leaf", "lo", "hi").applyInArrow(within, "a binary, b binary").distinct()
 
 
 def without_near_duplicates(docs: DataFrame, words: int = 5, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -294,28 +378,20 @@ def without_near_duplicates(docs: DataFrame, words: int = 5, least: float = 0.8,
     are compared like any pair. At 0.8 a bit of two fingerprints differs with probability 0.15;
     fingerprints have 256 bits here, candidates differ in 56 at most, and 25 trees over
     blocks of 10 bits, each searched for equal blocks, find 99.5 % of pairs at 0.8 and
-    more of closer ones. Links of the trees' spanning forests are then compared exactly on
-    whole texts, so no row goes for less than the similarity. Rows without words form
-    one group; the first of equal rows stays.
+    more of closer ones. All of these are compared exactly on whole sets, but for those
+    that verified links connect already, so no row goes for less than the similarity. Rows
+    without words form one group; the first of equal rows stays.
     """
     k1, k2 = content_key(id_col, text_col)
     keyed = docs.withColumns({"_near_1": k1, "_near_2": k2})
     with Scratch(docs.sparkSession) as write:
         rows = keyed.select(F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("doc_id"), "_near_1", "_near_2").alias("_near_row"), text_col)
         fps = write(fingerprints(rows, words, 4, "_near_row", text_col, sets=True).toDF("row", "fp"), "fingerprints")
-        nodes = write(fps.groupBy("fp").agg(F.min("row").alias("first")).withColumn("node", F.monotonically_increasing_id()), "nodes")
-        ends = nodes.select("fp", "node")
-        edges = links(nodes.select("fp"), 256, 56, 25, radius=0, block_width=10, write=write)
-        edges = edges.join(ends.toDF("a", "na"), "a").join(ends.toDF("b", "nb"), "b")
-        edges = write(edges.select(F.least("na", "nb").alias("a"), F.greatest("na", "nb").alias("b")).distinct(), "candidates")
-        used = nodes.join(edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct(), "node", "left_semi")
-        used = used.select("node", F.col("first._near_1").alias("_near_1"), F.col("first._near_2").alias("_near_2"))
-        texts = keyed.select("_near_1", "_near_2", F.col(text_col).alias("text")).join(used, ["_near_1", "_near_2"]).select("node", "text").dropDuplicates(["node"])
-        texts = write(texts, "texts")
-        pairs = edges.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b").select("a", "b", "text_a", "text_b")
-        group = components(write(_jaccard(pairs, words, least), "links"))
+        nodes = write(fps.groupBy("fp").agg(F.min("row").alias("first")), "nodes")
+        texts = keyed.select("_near_1", "_near_2", F.col(text_col).alias("text"))
+        group = components(write(verified_links(nodes, texts, words, least, 56, write), "links"))
         # a set's first row, and of a group's sets the first of these, stays
-        member = nodes.join(group, "node", "left").select("fp", "first", F.coalesce("component", "node").alias("component"))
+        member = nodes.join(group, nodes["fp"] == group["node"], "left").select("fp", "first", F.coalesce("component", "fp").alias("component"))
         stays = member.groupBy("component").agg(F.min("first").alias("stays"))
         stays = write(member.join(stays, "component").select("fp", "stays"), "stays")
         decided = fps.join(stays, "fp")

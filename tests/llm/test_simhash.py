@@ -156,6 +156,31 @@ def test_unequal_sets_of_equal_fingerprint_are_compared(spark, monkeypatch):
     assert len(fps) == 3 and len({fp[:32] for fp in fps}) == 1
 
 
+@pytest.mark.parametrize("chunk", [32_000_000, 60_000])
+def test_links_within_a_template_are_all_verified(spark, monkeypatch, chunk):
+    monkeypatch.setattr(simhash, "CHUNK_BYTES", chunk)
+    new, base = iter(range(10**6)), [f"t{k}" for k in range(350)]
+    texts = [" ".join(base + [f"n{next(new)}" for _ in range(54)]) for _ in range(250)]  # 346 of 454 shingles in common
+    for k in range(0, 40, 2):  # and those at 365 of 435
+        same = [f"s{next(new)}" for _ in range(19)]
+        texts[k], texts[k + 1] = (" ".join(base + same + [f"n{next(new)}" for _ in range(35)]) for _ in "ab")
+    assert jaccard(texts[0], texts[1]) > 0.8 > 0.77 > jaccard(texts[1], texts[2])
+    kept = sorted(r["doc_id"] for r in simhash.without_near_duplicates(documents(spark, texts)).collect())
+    assert kept == [k for k in range(250) if k >= 40 or k % 2 == 0]
+
+
+def test_alike_against_brute_force():
+    rng = np.random.default_rng(9)
+    sets = [np.zeros(0, "<u8")]
+    for _ in range(60):
+        own = rng.integers(0, 10**9, rng.integers(1, 60))
+        sets += [np.unique(np.where(rng.random(len(own)) < p, rng.integers(0, 10**9, len(own)), own)).astype("<u8") for p in (0, 0.05, 0.1, 0.3)]
+    pairs = [(a, b) for a in range(len(sets)) for b in range(a) if len(np.intersect1d(sets[a], sets[b])) >= 0.8 * len(np.union1d(sets[a], sets[b]))]
+    edges = simhash.alike(np.zeros((len(sets), 4), "<u8"), sets, 56, 0.8)
+    assert set(edges) <= {(b, a) for a, b in pairs} and united(len(sets), edges) == united(len(sets), pairs)
+    assert simhash.alike(np.arange(len(sets), dtype="<u8")[:, None] * np.uint64(2**64 // 300), sets, -1, 0.8) == []
+
+
 def test_components(spark):
     pairs = [(k, k + 1) for k in range(0, 200) if k % 50] + [(300, k) for k in range(301, 400)] + [(7, 7), (8, 9)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(pairs, "a long, b long")).collect()}
