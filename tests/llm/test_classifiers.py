@@ -1,3 +1,5 @@
+import random
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -41,6 +43,19 @@ def test_far_texts_are_rejected(spark):
     assert got == {0: False, 1: True, 2: True}
 
 
+def test_long_foreign_and_garbled_texts_are_rejected_and_short_clean_ones_stay(spark):
+    rng = random.Random(0)
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = language_id.LanguageModel.fit(docs.filter(~ngrams.held_out()))
+    polish = "wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw są oni obdarzeni rozumem i sumieniem i powinni postępować wobec innych w duchu braterstwa".split()
+    garbled = lambda own, n: " ".join("".join(rng.choice(own) for _ in range(rng.randint(2, 9))) for _ in range(n))
+    far = [f(n) for n in (100, 1000, 5000) for f in (lambda n: garbled("abcdefghijklmnopqrstuvwxyz", n), lambda n: garbled("абвгдежзийклмнопрстуфхцчшщъыьэюя", n), lambda n: " ".join(rng.choice(polish) for _ in range(n)))]
+    near = [r["text"][:n] for r in docs.filter(ngrams.held_out() & F.col("text").rlike("[a-z]{3}")).orderBy("doc_id").limit(40).collect() for n in (40, 400)]
+    got = {r["doc_id"]: (r["lang_rejected"], r["lang_score"]) for r in model.predict(documents(spark, far + near)).collect()}
+    assert all(got[k][0] for k in range(len(far))) and max(got[k][1] for k in range(len(far))) > 0.2
+    assert sum(got[k][0] for k in range(len(far), len(got))) <= 1
+
+
 def test_models_without_training_rows(spark):
     none, some = documents(spark, []), documents(spark, ["a", None])
     assert [r["lang_pred"] for r in language_id.LanguageModel.fit(none).predict(some).collect()] == ["und", "und"]
