@@ -1,7 +1,8 @@
 """Benchmark decontamination: SimHash of item-sized windows over every document.
 
 For each length that benchmark items have, windows of so many words slide over a
-document by one word. A window's fingerprint is the majority bit of its shingle hashes,
+document by one word; a document with fewer words is one window itself, if it has enough
+of them to reach the threshold. A window's fingerprint is the majority bit of its shingle hashes,
 taken from running sums of bits. A multi-index of the items' fingerprints finds all
 items of that length within ``radius`` bits: cut into 8 blocks of 8 bits, two such
 fingerprints have a block within ``radius // 8`` bits, and the index lists the items near
@@ -166,10 +167,12 @@ class BenchmarkIndex:
         if not hashes:
             return
         words = line.split()
-        for n, one in self.lengths.items():
-            if one.k not in hashes or n > len(words):
+        for one in self.lengths.values():
+            # a document shorter than the item is one window, if it can be alike enough
+            m = min(one.m, len(words) - one.k + 1)
+            if one.k not in hashes or m / one.m < least:
                 continue
-            h, m = hashes[one.k], one.m
+            h = hashes[one.k]
             shared = np.concatenate([[0], np.cumsum(one.hashes[np.minimum(np.searchsorted(one.hashes, h), len(one.hashes) - 1)] == h)])
             starts = np.nonzero(shared[m:] > shared[:-m])[0]
             if not len(starts):
@@ -185,7 +188,7 @@ class BenchmarkIndex:
                     if got >= least and got > best.get(i, (0,))[0]:
                         best[i] = (got, s)
             for i, (got, s) in best.items():
-                yield one.items[i], got, s, n
+                yield one.items[i], got, s, m + one.k - 1
 
 
 class _Part:

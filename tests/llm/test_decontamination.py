@@ -57,6 +57,26 @@ def test_brute_force(spark, monkeypatch, part):
     assert kept == set(range(len(texts))) - {i for i, _ in want}
 
 
+def test_documents_shorter_than_the_item(spark):
+    rng = random.Random(8)
+    items = [[f"w{rng.randrange(10**6)}" for _ in range(n)] for n in (59, 40, 16, 6, 5, 3)]
+    texts, want = [], {}
+    for j, own in enumerate(items):
+        for a in range(4):
+            for b in range(len(own) // 3):
+                part, k = own[a : len(own) - b], min(5, len(own))
+                got = max(0, len(part) - k + 1) / (len(own) - k + 1)
+                if got >= 0.8:
+                    want[len(texts), j] = (round(got, 12), 0, len(part))
+                texts.append(" ".join(part))
+    assert any(len(texts[i].split()) == 50 and j == 0 for i, j in want) and len(want) < len(texts)
+    items = bench(spark, [" ".join(own) for own in items])
+    got = d.contaminated(documents(spark, texts), items).collect()
+    assert {(r["doc_id"], r["item_id"]): (round(r["similarity"], 12), r["first_word"], r["n_words"]) for r in got} == want
+    kept = {r["doc_id"] for r in d.decontaminated(documents(spark, texts), items).collect()}
+    assert kept == set(range(len(texts))) - {i for i, _ in want}
+
+
 def test_index_finds_all_within_the_radius():
     rng = np.random.default_rng(1)
     items = [(k, [b"w%d" % x for x in rng.integers(0, 99, 20)]) for k in range(200)]
