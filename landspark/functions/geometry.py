@@ -109,16 +109,47 @@ def circle(x: Column, y: Column, radius: float = 1.0, quadrant: int = 16) -> Col
     return F.transform(F.sequence(F.lit(0), F.lit(4 * quadrant)), lambda i: F.struct((x + radius * F.cos(i * step)).alias("x"), (y + radius * F.sin(i * step)).alias("y")))
 
 
-def wkt(ring: Column, holes: Column | None = None) -> Column:
-    """Well-known text of a polygon."""
+def wkt(ring: Column, holes: Column | None = None, whole: bool = False) -> Column:
+    """Well-known text of a polygon, with all digits; with ``whole`` whole numbers have no fraction."""
+
+    def number(c: Column) -> Column:
+        return F.regexp_replace(c.cast("string"), r"\.0$", "") if whole else c.cast("string")
 
     def text(r: Column) -> Column:
-        return F.concat(F.lit("("), F.array_join(F.transform(r, lambda p: F.concat_ws(" ", p["x"].cast("string"), p["y"].cast("string"))), ", "), F.lit(")"))
+        return F.concat(F.lit("("), F.array_join(F.transform(r, lambda p: F.concat_ws(" ", number(p["x"]), number(p["y"]))), ", "), F.lit(")"))
 
     rings = F.array(text(ring)) if holes is None else F.concat(F.array(text(ring)), F.coalesce(F.transform(holes, text), F.array().cast("array<string>")))
     return F.concat(F.lit("POLYGON ("), F.array_join(rings, ", "), F.lit(")"))
 
 
-def geojson(ring: Column) -> Column:
-    """GeoJSON of a polygon without holes."""
-    return F.to_json(F.struct(F.lit("Polygon").alias("type"), F.array(F.transform(ring, lambda p: F.array(p["x"], p["y"]))).alias("coordinates")))
+def shape(ring: Column, holes: Column | None = None) -> Column:
+    """A polygon as the struct that GeoJSON states."""
+
+    def points(r: Column) -> Column:
+        return F.transform(r, lambda p: F.array(p["x"], p["y"]))
+
+    rings = F.array(points(ring)) if holes is None else F.concat(F.array(points(ring)), F.coalesce(F.transform(holes, points), F.array().cast("array<array<array<double>>>")))
+    return F.struct(F.lit("Polygon").alias("type"), rings.alias("coordinates"))
+
+
+def geojson(ring: Column, holes: Column | None = None) -> Column:
+    """GeoJSON of a polygon."""
+    return F.to_json(shape(ring, holes))
+
+
+def ring_area(ring: Column) -> Column:
+    """The area within a ring, positive if it goes round counterclockwise.
+
+    Coordinates are taken relative to the first point, which keeps them exact far from 0.
+    """
+    first = ring[0]
+
+    def add(s: Column, e: Column) -> Column:
+        return s + (e["x1"] - first["x"]) * (e["y2"] - first["y"]) - (e["x2"] - first["x"]) * (e["y1"] - first["y"])
+
+    return F.aggregate(edges(ring), F.lit(0.0), add) / 2
+
+
+def ring_length(ring: Column) -> Column:
+    """The length of a ring."""
+    return F.aggregate(edges(ring), F.lit(0.0), lambda s, e: s + F.hypot(e["x2"] - e["x1"], e["y2"] - e["y1"]))

@@ -9,16 +9,20 @@ import warnings
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from landspark.functions import geometry as g
-from landspark.operators.geometry import polygon_tiles, within_roi
+from landspark.functions.components import components
+from landspark.operators.geometry import polygon_tiles, with_inside
+from landspark.sources.shared import materialize
 
 NODATA = -9999
-#: Cells on a side of the window within which a segment is traced as a whole.
-TRACE_SPAN = 4096
+#: Cells on a side of the windows in which parts of segments are found.
+WINDOW = 512
 
 
 @dataclass(frozen=True)
@@ -78,7 +82,8 @@ def assign_tiles(cells: DataFrame, grid: Grid, size: int = 1024) -> DataFrame:
 def clip_to_aoi(cells: DataFrame, aoi: DataFrame, grid: Grid, bands: tuple[str, ...], nodata: float = NODATA, tile: float = 1000.0) -> DataFrame:
     """Cells of the window around the area; bands are nodata where the centre is outside it.
 
-    The window is four numbers, put into the filter, so that it reaches the scan.
+    The window is four numbers of the area, put into the filter, so that it reaches the
+    scan. Cells are joined with the area's tiles once and keep their number.
     """
     xs, ys = F.transform("ring", lambda p: p["x"]), F.transform("ring", lambda p: p["y"])
     box = aoi.agg(F.min(F.array_min(xs)), F.max(F.array_max(xs)), F.min(F.array_min(ys)), F.max(F.array_max(ys))).first()
@@ -87,9 +92,7 @@ def clip_to_aoi(cells: DataFrame, aoi: DataFrame, grid: Grid, bands: tuple[str,
     lo_c, hi_c = sorted(((box[0] - grid.x0) / grid.dx, (box[1] - grid.x0) / grid.dx))
     lo_r, hi_r = sorted(((box[2] - grid.y0) / grid.dy, (box[3] - grid.y0) / grid.dy))
     window = cells.filter((F.col("col_id") > lo_c - 1) & (F.col("col_id") < hi_c) & (F.col("row_id") > lo_r - 1) & (F.col("row_id") < hi_r))
-    centres = window.select("row_id", "col_id", grid.x(F.col("col_id")).alias("x"), grid.y(F.col("row_id")).alias("y"))
-    inside = within_roi(centres, aoi, ["row_id", "col_id"], tile, boundary="half_open").select("row_id", "col_id", F.lit(True).alias("_in"))
-    found = window.join(inside, ["row_id", "col_id"], "left")
+    found = with_inside(window, aoi, tile, grid.x(F.col("col_id")), grid.y(F.col("row_id")), "_in", "half_open")
     return found.select(*[F.when(F.col("_in"), F.col(c)).otherwise(F.lit(nodata).cast(cells.schema[c].dataType)).alias(c) if c in bands else F.col(c) for c in cells.columns])
 
 
@@ -160,76 +163,181 @@ def resolve_segment_id(df: DataFrame) -> DataFrame:
     return df.withColumn("seg_id", F.col(name).cast("long"))
 
 
-def _parts(cells: set[tuple[int, int]]) -> list[set[tuple[int, int]]]:
-    """The 4-connected parts of a set of cells, in order of their first cell."""
-    found, left = [], set(cells)
-    for start in sorted(cells):
-        if start in left:
-            part, queue = {start}, [start]
-            left.discard(start)
-            while queue:
-                r, c = queue.pop()
-                for near in ((r + 1, c), (r - 1, c), (r, c + 1), (r, c - 1)):
-                    if near in left:
-                        left.discard(near)
-                        part.add(near)
-                        queue.append(near)
-            found.append(part)
-    return found
+#: Sides of a cell: the step to the neighbour, and where the side begins and ends, the cell on its left.
+_SIDES = (((-1, 0), (0, 0), (1, 0)), ((0, 1), (1, 0), (1, 1)), ((1, 0), (1, 1), (0, 1)), ((0, -1), (0, 1), (0, 0)))
 
 
-def _rings(part: set[tuple[int, int]]) -> list[list[tuple[int, int]]]:
-    """Corner rings of a part, the part on their left: the outer ring first, then holes."""
+def linked_rings(edges: np.ndarray) -> list[list[tuple[int, int]]]:
+    """Closed corner rings of directed edges ``x1, y1, x2, y2``, the part on their left: the outer ring first, then holes."""
     ahead: dict[tuple[int, int], list[tuple[int, int]]] = {}
-    for r, c in sorted(part):
-        for near, a, b in (((r - 1, c), (c, r), (c + 1, r)), ((r, c + 1), (c + 1, r), (c + 1, r + 1)), ((r + 1, c), (c + 1, r + 1), (c, r + 1)), ((r, c - 1), (c, r + 1), (c, r))):
-            if near not in part:
-                ahead.setdefault(a, []).append(b)
+    for x1, y1, x2, y2 in edges.tolist():
+        ahead.setdefault((x1, y1), []).append((x2, y2))
     rings = []
-    while ahead:
-        start = min(ahead)
-        ring, at, step = [start], start, (0, 0)
-        while True:
-            options = ahead[at]
-            # where the part meets itself at a corner, the left turn stays on the same cell
-            to = max(options, key=lambda p: step[0] * (p[1] - at[1]) - step[1] * (p[0] - at[0])) if len(options) > 1 else options[0]
-            options.remove(to)
-            if not options:
-                del ahead[at]
-            way = (to[0] - at[0], to[1] - at[1])
-            if way == step:
-                ring[-1] = to
-            else:
-                ring.append(to)
-            at, step = to, way
-            if at == start:
-                break
-        rings.append(ring)
+    for start in sorted(ahead):
+        while ahead.get(start):
+            ring, at, step = [start], start, (0, 0)
+            while True:
+                options = ahead[at]
+                # where the part meets itself at a corner, the left turn stays on the same cell
+                to = max(options, key=lambda p: step[0] * np.sign(p[1] - at[1]) - step[1] * np.sign(p[0] - at[0])) if len(options) > 1 else options[0]
+                options.remove(to)
+                way = ((to[0] > at[0]) - (to[0] < at[0]), (to[1] > at[1]) - (to[1] < at[1]))
+                if way == step:
+                    ring[-1] = to
+                else:
+                    ring.append(to)
+                at, step = to, way
+                if at == start:
+                    break
+            rings.append(ring)
     return sorted(rings, key=lambda q: -sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(q, q[1:], strict=False)))
 
 
-def polygonize_segments(segments: DataFrame, labels: DataFrame, grid: Grid | None = None) -> DataFrame:
-    """``seg_id, class_code, wkt, n_cells``: a polygon for every 4-connected part of a labelled segment.
+def _rings(part: set[tuple[int, int]]) -> list[list[tuple[int, int]]]:
+    """The rings of a set of cells ``row, column``."""
+    sides = [(c + a[0], r + a[1], c + b[0], r + b[1]) for r, c in part for (dr, dc), a, b in _SIDES if (r + dr, c + dc) not in part]
+    return linked_rings(np.array(sides).reshape(-1, 4))
+
+
+def _labelled(segments: np.ndarray) -> tuple[np.ndarray, int]:
+    """The number of the 4-connected part of each cell of a window (-1 outside of segments), and how many there are.
 
-    Only labelled segments are kept before anything is gathered. A segment within a
-    window of ``TRACE_SPAN`` cells a side is one group; a larger one is cut at the borders
-    of such windows, so no group has more than that window's cells.
+    Runs of equal cells in a row are joined with the runs they touch in the row before.
+    """
+    inside = segments >= 0
+    first = inside.copy()
+    first[:, 1:] &= segments[:, 1:] != segments[:, :-1]
+    run = np.cumsum(first).reshape(segments.shape) - 1
+    parent = list(range(int(first.sum())))
+
+    def root(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    touch = inside[1:] & (segments[1:] == segments[:-1])
+    for a, b in np.unique(np.stack([run[:-1][touch], run[1:][touch]]), axis=1).T.tolist():
+        a, b = root(a), root(b)
+        parent[max(a, b)] = min(a, b)
+    roots, part = np.unique([root(x) for x in range(len(parent))], return_inverse=True)
+    return np.where(inside, part[run] if len(parent) else -1, -1), len(roots)
+
+
+def _straight(edges: np.ndarray) -> np.ndarray:
+    """Unit edges of one part and direction each (``part, x1, y1, x2, y2``), joined where they go straight on."""
+    way = edges[:, 3:] - edges[:, 1:3]
+    along = np.where(way[:, 0] != 0, edges[:, 1] * way[:, 0], edges[:, 2] * way[:, 1])
+    across = np.where(way[:, 0] != 0, edges[:, 2], edges[:, 1])
+    keys = np.stack([edges[:, 0], way[:, 0], way[:, 1], across, along])
+    order = np.lexsort(keys[::-1])
+    keys, edges = keys[:, order], edges[order]
+    begins = np.concatenate([[True], (keys[:4, 1:] != keys[:4, :-1]).any(0) | (keys[4, 1:] != keys[4, :-1] + 1)])
+    starts = np.flatnonzero(begins)
+    ends = np.concatenate([starts[1:], [len(edges)]]) - 1
+    return np.concatenate([edges[starts, :3], edges[ends, 3:]], axis=1)
+
+
+def window_parts(rows: np.ndarray, cols: np.ndarray, segments: np.ndarray, window: int) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
+    """``segment, cells, edges, sides`` of each part within one window, given its cells of segments.
+
+    ``edges`` are straight runs between the part and other cells of the window, ``sides``
+    the unit edges on the window's border, of which only the cell beyond can tell whether
+    they are edges of the whole part.
+    """
+    r0, c0 = int(rows[0]) // window * window, int(cols[0]) // window * window
+    r, c = rows.astype("i8") - r0, cols.astype("i8") - c0
+    ids, index = np.unique(segments, return_inverse=True)
+    field = np.full((window, window), -1)
+    field[r, c] = index
+    label, n = _labelled(field)
+    padded = np.full((window + 2, window + 2), -1)
+    padded[1:-1, 1:-1] = field
+    own, here = label[r, c], field[r, c]
+    edges, sides = [], []
+    for (dr, dc), a, b in _SIDES:
+        side = np.stack([own, c0 + c + a[0], r0 + r + a[1], c0 + c + b[0], r0 + r + b[1]], axis=1)
+        beyond = (r + dr < 0) | (r + dr >= window) | (c + dc < 0) | (c + dc >= window)
+        sides.append(side[beyond])
+        edges.append(side[~beyond & (padded[r + dr + 1, c + dc + 1] != here)])
+    edges, sides = np.concatenate(edges), np.concatenate(sides)
+    edges = _straight(edges) if len(edges) else edges
+    sides = sides[np.argsort(sides[:, 0], kind="stable")]
+    cells, segment = np.bincount(own, minlength=n), np.zeros(n, "i8")
+    segment[own] = ids[here]
+    cut_e, cut_s = (np.searchsorted(x[:, 0], np.arange(n + 1)).tolist() for x in (edges, sides))
+    return [(int(segment[k]), int(cells[k]), edges[cut_e[k] : cut_e[k + 1], 1:], sides[cut_s[k] : cut_s[k + 1], 1:]) for k in range(n)]
+
+
+_CORNERS = "array<array<struct<x:int,y:int>>>"
+_EDGES = "array<struct<x1:int,y1:int,x2:int,y2:int>>"
+
+
+def _as_edges(edges: np.ndarray) -> list[dict]:
+    return [dict(zip(("x1", "y1", "x2", "y2"), e, strict=True)) for e in edges.tolist()]
+
+
+def _as_corners(edges: np.ndarray) -> list[list[dict]]:
+    return [[{"x": x, "y": y} for x, y in ring] for ring in linked_rings(edges)]
+
+
+def segment_polygons(segments: DataFrame, labels: DataFrame, grid: Grid | None = None, window: int = WINDOW) -> DataFrame:
+    """``seg_id, class_code, n_cells, ring, holes``: a polygon for every 4-connected part of a labelled segment.
+
+    ``segments`` has one row per cell, ``labels`` one per segment. Only labelled segments
+    are kept before anything is gathered. Cells are gathered by window, whatever their
+    segment; parts that do not touch their window's border are traced there. Of others,
+    the unit sides on borders meet: two sides of one segment are no edge but join their
+    parts, a side alone is an edge. The joined parts are connected components, and each is
+    traced from its edges, so a part of any size is one polygon and no task holds more than
+    a window's cells or one polygon's outline. ``window`` changes no result.
     """
     grid = grid or Grid()
-    known = labels.select("seg_id", F.col("label").alias("class_code"))
-    cells = segments.filter("seg_id > 0").join(known, "seg_id").select("seg_id", "class_code", "row_id", "col_id")
-    spans = cells.groupBy("seg_id").agg((F.greatest(F.max("row_id") - F.min("row_id"), F.max("col_id") - F.min("col_id")) >= TRACE_SPAN).alias("_large"))
-    cells = cells.join(spans, "seg_id")
-    piece = F.when(F.col("_large"), F.struct(F.floor(F.col("row_id") / TRACE_SPAN).alias("r"), F.floor(F.col("col_id") / TRACE_SPAN).alias("c"))).otherwise(F.struct(F.lit(0).cast("long").alias("r"), F.lit(0).cast("long").alias("c")))
-    cells = cells.select("seg_id", "class_code", piece.alias("_piece"), "row_id", "col_id").select("seg_id", "class_code", F.col("_piece.r").alias("_pr"), F.col("_piece.c").alias("_pc"), "row_id", "col_id")
+    known = labels.select("seg_id", F.col("label").cast("int").alias("class_code"))
+    cells = segments.filter("seg_id > 0").join(known.select("seg_id"), "seg_id", "left_semi")
+    cells = cells.select(F.col("seg_id").cast("long"), F.col("row_id").cast("int"), F.col("col_id").cast("int"), *[F.floor(F.col(c) / window).cast("int").alias(w) for c, w in (("row_id", "_wr"), ("col_id", "_wc"))])
 
     def trace(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-        own = set(zip(rows.column("row_id").to_pylist(), rows.column("col_id").to_pylist(), strict=True))
-        out = []
-        for part in _parts(own):
-            rings = [", ".join(f"{grid.x0 + x * grid.dx:g} {grid.y0 + y * grid.dy:g}" for x, y in ring) for ring in _rings(part)]
-            out.append(("POLYGON (" + ", ".join(f"({r})" for r in rings) + ")", len(part)))
-        n = len(out)
-        return pa.table({"seg_id": pa.array([key[0].as_py()] * n, pa.int64()), "class_code": pa.array([key[1].as_py()] * n, pa.int32()), "wkt": pa.array([w for w, _ in out], pa.string()), "n_cells": pa.array([k for _, k in out], pa.int64())})
-
-    return cells.groupBy("seg_id", "class_code", "_pr", "_pc").applyInArrow(trace, "seg_id long, class_code int, wkt string, n_cells long")
+        found = window_parts(*(rows.column(c).to_numpy() for c in ("row_id", "col_id", "seg_id")), window)
+        out = {"seg_id": [f[0] for f in found], "n_cells": [f[1] for f in found]}
+        out["part"] = [{"r": key[0].as_py(), "c": key[1].as_py(), "k": k} for k in range(len(found))]
+        out["rings"] = [None if len(s) else _as_corners(e) for _, _, e, s in found]
+        out["edges"] = [_as_edges(e) if len(s) else [] for _, _, e, s in found]
+        out["sides"] = [_as_edges(s) for *_, s in found]
+        return pa.table(out, schema=pa.schema([(c, t) for c, t in zip(out, arrow_types, strict=True)]))
+
+    corner, edge = pa.struct([("x", pa.int32()), ("y", pa.int32())]), pa.struct([(c, pa.int32()) for c in ("x1", "y1", "x2", "y2")])
+    arrow_types = [pa.int64(), pa.int64(), pa.struct([("r", pa.int32()), ("c", pa.int32()), ("k", pa.int32())]), pa.list_(pa.list_(corner)), pa.list_(edge), pa.list_(edge)]
+    parts = cells.groupBy("_wr", "_wc").applyInArrow(trace, f"seg_id long, n_cells long, part struct<r:int,c:int,k:int>, rings {_CORNERS}, edges {_EDGES}, sides {_EDGES}")
+    parts = materialize(parts, "parts")
+
+    # what touches a border of its window
+    open_parts = parts.filter("rings IS NULL")
+    sides = open_parts.select("seg_id", "part", F.inline("sides"))
+    place = [F.least("x1", "x2").alias("x"), F.least("y1", "y2").alias("y"), (F.col("x1") == F.col("x2")).alias("upright")]
+    met = sides.groupBy("seg_id", *place).agg(F.count("*").alias("n"), F.min("part").alias("a"), F.max("part").alias("b"), F.first(F.struct("x1", "y1", "x2", "y2")).alias("edge"))
+    met = materialize(met, "sides")
+    joined = components(met.filter("n = 2").select("a", "b"))
+    whole = open_parts.select("seg_id", "n_cells", "part", "edges").join(joined, F.col("part") == F.col("node"), "left").withColumn("whole", F.coalesce("component", "part"))
+    alone = met.filter("n = 1").select("seg_id", F.lit(0).cast("long").alias("n_cells"), F.col("a").alias("part"), F.array("edge").alias("edges"))
+    alone = alone.join(joined, F.col("part") == F.col("node"), "left").withColumn("whole", F.coalesce("component", "part"))
+    pieces = whole.select("seg_id", "whole", "n_cells", "edges").unionByName(alone.select("seg_id", "whole", "n_cells", "edges"))
+
+    def close(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        flat = rows.column("edges").combine_chunks().flatten()
+        edges = np.stack([flat.field(c).to_numpy() for c in ("x1", "y1", "x2", "y2")], axis=1).astype("i8")
+        n = pa.compute.sum(rows.column("n_cells"))
+        return pa.table({"seg_id": pa.array([key[0].as_py()], pa.int64()), "n_cells": pa.array([n.as_py()], pa.int64()), "rings": pa.array([_as_corners(edges)], pa.list_(pa.list_(corner)))})
+
+    traced = pieces.groupBy("seg_id", "whole").applyInArrow(close, f"seg_id long, n_cells long, rings {_CORNERS}")
+    traced = traced.unionByName(parts.filter("rings IS NOT NULL").select("seg_id", "n_cells", "rings"))
+    placed = F.transform("rings", lambda q: F.transform(q, lambda p: F.struct((grid.x0 + p["x"] * grid.dx).alias("x"), (grid.y0 + p["y"] * grid.dy).alias("y"))))
+    shaped = traced.withColumn("rings", placed).join(known, "seg_id")
+    shaped = shaped.select("seg_id", "class_code", "n_cells", F.col("rings")[0].alias("ring"), F.slice("rings", F.lit(2), F.size("rings")).alias("holes"))
+    return shaped
+
+
+def polygonize_segments(segments: DataFrame, labels: DataFrame, grid: Grid | None = None, window: int = WINDOW) -> DataFrame:
+    """``seg_id, class_code, wkt, n_cells``: the polygons of :func:`segment_polygons` as text, with all digits."""
+    found = segment_polygons(segments, labels, grid, window)
+    return found.select("seg_id", "class_code", g.wkt(F.col("ring"), F.col("holes"), whole=True).alias("wkt"), "n_cells")

@@ -9,7 +9,6 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 #: Labels of the field codes.
@@ -93,9 +92,13 @@ def exclude_classes(df: DataFrame, codes: list[int], col: str = "map_code") -> D
 
 
 def drop_duplicate_geometry(df: DataFrame, order: list[str], x: str = "x", y: str = "y") -> DataFrame:
-    """The first row of each place. ``order`` must end with a unique column."""
-    nth = F.row_number().over(W.partitionBy(x, y).orderBy(*order))
-    return df.withColumn("_nth", nth).filter("_nth = 1").drop("_nth")
+    """The first row of each place, nulls first in ``order``, which must end with a unique column.
+
+    An aggregate, so that rows are reduced to one per place before they are shuffled.
+    """
+    key = F.struct(*[c for o in order for c in (F.col(o).isNotNull(), F.col(o))])
+    first = F.min_by(F.struct(*[F.col(c) for c in df.columns]), key)
+    return df.groupBy(F.col(x).alias("_x"), F.col(y).alias("_y")).agg(first.alias("_first")).select("_first.*")
 
 
 def flag_duplicate_geometry(df: DataFrame, x: str = "x", y: str = "y") -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landspark.operators.samples import balanced_weights, decode_labels, encode_labels, label_encoder
+from landspark.sources.shared import materialize
 
 NODATA = -9999
 
@@ -39,22 +40,25 @@ class Classifier:
 
 
 def fit_classifier(
-    samples: DataFrame, features: list[str], label: str = "label", trees: int = 500, depth: int = 8, subsample: float = 0.8, step: float = 0.03, seed: int = 0, boosted: bool = False
+    samples: DataFrame, features: list[str], label: str = "label", trees: int = 500, depth: int = 8, subsample: float = 0.8, step: float = 0.03, seed: int = 0, boosted: bool = False, columns: str = "auto"
 ) -> Classifier:
     """Fits trees to samples, each weighted by the inverse share of its class.
 
-    A random forest by default; ``boosted`` takes one-against-rest boosted trees. NaN and
-    null features are invalid and must not occur.
+    A random forest by default; ``boosted`` takes one-against-rest boosted trees.
+    ``columns`` is the share of features that a split may choose from, as Spark's
+    ``featureSubsetStrategy`` states it ("0.8"); boosted trees have no penalty on leaf
+    weights in Spark, so that parameter has no counterpart. NaN and null features are
+    invalid and must not occur.
     """
-    encoder = label_encoder(samples, label).persist()
+    encoder = materialize(label_encoder(samples, label), "encoder")
     rows = balanced_weights(encode_labels(samples.filter(F.col(label).isNotNull()), encoder, label, "_enc"), "_enc", "_weight")
     rows = rows.withColumn("_enc", F.col("_enc").cast("double"))
     assembler = VectorAssembler(inputCols=features, outputCol="_features")
     if boosted:
-        one = GBTClassifier(featuresCol="_features", labelCol="_enc", weightCol="_weight", maxIter=trees, maxDepth=depth, stepSize=step, subsamplingRate=subsample, seed=seed)
+        one = GBTClassifier(featuresCol="_features", labelCol="_enc", weightCol="_weight", maxIter=trees, maxDepth=depth, stepSize=step, subsamplingRate=subsample, featureSubsetStrategy=columns, seed=seed)
         trained = OneVsRest(classifier=one, featuresCol="_features", labelCol="_enc", weightCol="_weight")
     else:
-        trained = RandomForestClassifier(featuresCol="_features", labelCol="_enc", weightCol="_weight", numTrees=trees, maxDepth=depth, subsamplingRate=subsample, seed=seed)
+        trained = RandomForestClassifier(featuresCol="_features", labelCol="_enc", weightCol="_weight", numTrees=trees, maxDepth=depth, subsamplingRate=subsample, featureSubsetStrategy=columns, seed=seed)
     return Classifier(Pipeline(stages=[assembler, trained]).fit(rows), encoder, features)
 
 

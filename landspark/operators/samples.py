@@ -43,13 +43,13 @@ def label_encoder(df: DataFrame, label: str = "label") -> DataFrame:
 def encode_labels(df: DataFrame, encoder: DataFrame, label: str = "label", out: str = "enc") -> DataFrame:
     """Adds the code of each label; a label that the encoder lacks gives null."""
     known = encoder.select(F.col("label").alias("_label"), F.col("enc").alias(out))
-    return df.join(F.broadcast(known), F.col(label) == F.col("_label"), "left").drop("_label")
+    return df.join(known, F.col(label) == F.col("_label"), "left").drop("_label")
 
 
 def decode_labels(df: DataFrame, encoder: DataFrame, code: str = "enc", out: str = "label") -> DataFrame:
     """Adds the label of each code."""
     known = encoder.select(F.col("enc").alias("_enc"), F.col("label").alias(out))
-    return df.join(F.broadcast(known), F.col(code) == F.col("_enc"), "left").drop("_enc")
+    return df.join(known, F.col(code) == F.col("_enc"), "left").drop("_enc")
 
 
 def balanced_weights(df: DataFrame, label: str = "label", out: str = "weight") -> DataFrame:
@@ -57,4 +57,4 @@ def balanced_weights(df: DataFrame, label: str = "label", out: str = "weight") -
     per_class = class_histogram(df, label)
     total = per_class.agg(F.sum("n").alias("_rows"), F.count("*").alias("_classes"))
     weights = per_class.crossJoin(F.broadcast(total)).select(F.col(label).alias("_label"), (F.col("_rows") / (F.col("_classes") * F.col("n"))).alias(out))
-    return df.join(F.broadcast(weights), F.col(label) == F.col("_label")).drop("_label")
+    return df.join(weights, F.col(label) == F.col("_label")).drop("_label")

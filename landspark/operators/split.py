@@ -62,12 +62,15 @@ def greedy_split(polys: DataFrame, pct: int = 75, seed: int = 42) -> DataFrame:
 
     What was taken so far decides on the next polygon, so a class is one ordered stream:
     the rows are dealt by class, sorted by Spark, and read batch by batch with nothing
-    but one running sum kept.
+    but one running sum kept. Rows without a count or a class, or larger than their class's
+    target, can fit nowhere and are not dealt.
     """
     rows = polys.select("poly_id", "crop_code", "pix_count")
     targets = calibration_targets(rows, pct).withColumnsRenamed({"crop_code": "_code"})
     rows = rows.join(F.broadcast(targets), F.col("crop_code") == F.col("_code"), "left").drop("_code")  # one row per class
-    rows = rows.withColumn("_key", shuffle_key(seed)).repartition("crop_code").sortWithinPartitions("crop_code", "_key", "poly_id")
+    may_fit = F.coalesce(F.col("pix_count") <= F.col("target"), F.lit(False))
+    never = rows.filter(~may_fit).select(F.col("poly_id").cast("long"), F.col("crop_code").cast("int"), F.col("pix_count").cast("long"), F.lit("val").alias("set"))
+    rows = rows.filter(may_fit).withColumn("_key", shuffle_key(seed)).repartition("crop_code").sortWithinPartitions("crop_code", "_key", "poly_id")
     schema = "poly_id long, crop_code int, pix_count long, set string"
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -77,12 +80,12 @@ def greedy_split(polys: DataFrame, pct: int = 75, seed: int = 42) -> DataFrame:
             for c, n, most in zip(b["crop_code"].to_pylist(), b["pix_count"].to_pylist(), b["target"].to_pylist(), strict=True):
                 if c != code:
                     code, so_far = c, 0
-                fits = n is not None and most is not None and so_far + n <= most
+                fits = so_far + n <= most
                 so_far += n if fits else 0
                 sets.append("cal" if fits else "val")
             yield pa.record_batch([b["poly_id"].cast(pa.int64()), b["crop_code"].cast(pa.int32()), b["pix_count"].cast(pa.int64()), pa.array(sets, pa.string())], names=["poly_id", "crop_code", "pix_count", "set"])
 
-    return rows.mapInArrow(walk, schema)
+    return rows.mapInArrow(walk, schema).unionByName(never)
 
 
 def split_summary(split: DataFrame) -> DataFrame:

@@ -308,12 +308,6 @@ def _(t):
     return grid.assign_tiles(t.cells.select("row_id", "col_id"), Grid(width=1500, height=30000))
 
 
-@query("g12_polygonize_segments")
-def _(t):
-    counts = objects.segment_class_counts(t.segments, t.label_cells.withColumnRenamed("crop_code", "label"))
-    return grid.polygonize_segments(t.segments, objects.majority_label(counts))
-
-
 @query("g13_resolve_segment_id", "SELECT poly_id AS part_id, val, poly_id AS seg_id FROM rect_polys")
 def _(t):
     return grid.resolve_segment_id(t.rect_polys.select("val", F.col("poly_id").alias("part_id")))
@@ -519,6 +513,35 @@ def _(t):
     return zonal_rounded(objects.object_training_set(matrix, majority))
 
 
+#: A grid in UTM metres, rows from north to south.
+METRES = Grid(x0=412345.25, y0=8470123.5, dx=0.5, dy=-0.5)
+
+
+@query(
+    "g12_polygonize_segments",
+    """SELECT seg_id, label AS class_code, n_cells, n_cells * 0.25 AS area, sides * 0.5 AS outline, 412345.25 + c0 * 0.5 AS xmin, 412345.25 + (c1 + 1) * 0.5 AS xmax, 8470123.5 - (r1 + 1) * 0.5 AS ymin, 8470123.5 - r0 * 0.5 AS ymax
+    FROM parts JOIN majority USING (seg_id)""",
+    own="SELECT row_id, col_id, seg_id FROM segments JOIN majority USING (seg_id) WHERE seg_id > 0",
+    near="""SELECT a.seg_id, a.row_id, a.col_id, b.row_id AS r, b.col_id AS c FROM own a JOIN own b USING (seg_id) WHERE abs(a.row_id - b.row_id) + abs(a.col_id - b.col_id) = 1""",
+    reached="""SELECT seg_id, row_id, col_id, row_id AS r, col_id AS c FROM own
+    UNION SELECT f.seg_id, f.row_id, f.col_id, n.r, n.c FROM reached f JOIN near n ON n.seg_id = f.seg_id AND n.row_id = f.r AND n.col_id = f.c""",
+    named="SELECT seg_id, row_id, col_id, min(r * 100000000::BIGINT + c) AS part FROM reached GROUP BY seg_id, row_id, col_id",
+    touching="SELECT seg_id, row_id, col_id, count(*) AS k FROM near GROUP BY seg_id, row_id, col_id",
+    parts="""SELECT seg_id, count(*) AS n_cells, CAST(sum(4 - coalesce(k, 0)) AS BIGINT) AS sides, min(row_id) AS r0, max(row_id) AS r1, min(col_id) AS c0, max(col_id) AS c1
+    FROM named LEFT JOIN touching USING (seg_id, row_id, col_id) GROUP BY seg_id, part""",
+    **OBJECTS,
+)
+def _(t):
+    counts = objects.segment_class_counts(t.segments, t.label_cells.withColumnRenamed("crop_code", "label"))
+    found = grid.segment_polygons(t.segments, objects.majority_label(counts), METRES)
+    xs, ys = F.transform("ring", lambda p: p["x"]), F.transform("ring", lambda p: p["y"])
+    less = lambda f, sign: F.aggregate("holes", F.abs(f(F.col("ring"))), lambda s, h: s + sign * F.abs(f(h)))
+    return found.select(
+        "seg_id", "class_code", "n_cells", less(g.ring_area, -1).alias("area"), less(g.ring_length, 1).alias("outline"),
+        F.array_min(xs).alias("xmin"), F.array_max(xs).alias("xmax"), F.array_min(ys).alias("ymin"), F.array_max(ys).alias("ymax"),
+    )
+
+
 # ---- models
 
 
@@ -559,6 +582,38 @@ def _(t):
     return model.predict_objects(matrix, model.fit_classifier(objects.object_training_set(matrix, majority), names, trees=20, depth=6))
 
 
+@query("m01_fit_classifier_totals", "SELECT label AS y_true, count(*) AS n FROM embeddings GROUP BY label")
+def _(t):
+    """What SQL can tell of M1: every sample gets a class, and classes are those of the samples."""
+    trained, rows = fitted(t)
+    found = trained.predict(rows)
+    known = found.join(rows.select(F.col("label").alias("class_code")).distinct(), "class_code", "left_semi")
+    return known.groupBy(F.col("label").alias("y_true")).agg(F.count("*").alias("n"))
+
+
+@query("m02_save_load_model_agrees", "SELECT vec_id, true AS agrees FROM embeddings")
+def _(t):
+    """What SQL can tell of M2: the model that was read predicts as the one that was fitted."""
+    trained, rows = fitted(t)
+    trained.save(path := new_path(t.spark, "model"))
+    again = model.Classifier.load(t.spark, path).predict(trained.predict(rows, "fitted"))
+    return again.select("vec_id", (F.col("class_code") == F.col("fitted")).alias("agrees"))
+
+
+@query("m03_predict_cells_nodata", "SELECT row_id, col_id, red = -9999 OR green = -9999 OR blue = -9999 OR nir = -9999 OR ndvi = -9999 OR ndwi = -9999 AS nodata, true AS known FROM feature_cube")
+def _(t):
+    """What SQL can tell of M3: which cells are nodata, and that all others get a known class."""
+    found = model.predict_cells(features.build_feature_cube(t.cells), cell_model(t))
+    return found.select("row_id", "col_id", (F.col("class_code") == -9999).alias("nodata"), F.col("class_code").isin(-9999, 1111, 2132, 2417, 6999, 8111).alias("known"))
+
+
+@query("m04_predict_objects_known", "SELECT seg_id, true AS known FROM zonal", **OBJECTS)
+def _(t):
+    """What SQL can tell of M4: every segment gets one of the known classes."""
+    found = QUERIES["m04_predict_objects"](t.spark, t.sf_dir)
+    return found.select("seg_id", F.col("class_code").isin(1111, 2132, 2417, 6999, 8111).alias("known"))
+
+
 @query("m05_objects_to_map", "SELECT s.row_id, s.col_id, CASE WHEN s.seg_id > 0 THEN coalesce(label, -9999) ELSE -9999 END AS class_code FROM segments s LEFT JOIN majority USING (seg_id)", **OBJECTS)
 def _(t):
     majority = objects.majority_label(objects.segment_class_counts(t.segments, labels(t)))

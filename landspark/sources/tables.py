@@ -50,14 +50,14 @@ def write_if_absent(df: DataFrame, path: str) -> None:
     df.write.mode("ignore").parquet(path)
 
 
-def write_features(df: DataFrame, path: str, ring: str = "ring", form: str = "wkt", mode: str = "error") -> None:
-    """Writes polygons with their attributes: Parquet with a WKT column, or GeoJSON lines."""
-    rest = [c for c in df.columns if c != ring]
+def write_features(df: DataFrame, path: str, ring: str = "ring", form: str = "wkt", mode: str = "error", holes: str | None = None) -> None:
+    """Writes polygons, with holes where a column has them, and their attributes: Parquet with a WKT column, or GeoJSON lines."""
+    rest = [c for c in df.columns if c not in (ring, holes)]
+    inner = F.col(holes) if holes else None
     if form == "wkt":
-        df.select(*rest, g.wkt(F.col(ring)).alias("wkt")).write.mode(mode).parquet(path)
+        df.select(*rest, g.wkt(F.col(ring), inner).alias("wkt")).write.mode(mode).parquet(path)
     elif form == "geojson":
-        shape = F.struct(F.lit("Polygon").alias("type"), F.array(F.transform(ring, lambda p: F.array(p["x"], p["y"]))).alias("coordinates"))
-        feature = F.struct(F.lit("Feature").alias("type"), F.struct(*rest).alias("properties"), shape.alias("geometry"))
+        feature = F.struct(F.lit("Feature").alias("type"), F.struct(*rest).alias("properties"), g.shape(F.col(ring), inner).alias("geometry"))
         df.select(F.to_json(feature).alias("value")).write.mode(mode).text(path)
     else:
         raise ValueError("form is 'wkt' or 'geojson'")

@@ -119,3 +119,84 @@ def test_model_separates_and_passes_nodata(spark):
     trained = model.fit_classifier(samples, ["a"], trees=5, depth=2)
     cells = spark.createDataFrame([(0, 0, 0.05), (0, 1, 1.05), (0, 2, -9999.0), (0, 3, float("nan")), (0, 4, None)], "row_id int, col_id int, a float")
     assert [r[2] for r in rows(model.predict_cells(cells, trained))] == [5, 15, -9999, -9999, -9999]
+
+
+def at_random(seed, height, width, n):
+    rng = np.random.default_rng(seed)
+    return [(int(s), r, c) for r in range(height) for c, s in enumerate(rng.integers(0, n + 1, width)) if rng.random() < 0.9]
+
+
+def read_wkt(text):
+    return [[tuple(map(float, p.split())) for p in ring.split(", ")] for ring in text.removeprefix("POLYGON ((").removesuffix("))").split("), (")]
+
+
+def within(rings, x, y):
+    crossed = sum((y1 <= y) != (y2 <= y) and x < x1 + (y - y1) * (x2 - x1) / (y2 - y1) for q in rings for (x1, y1), (x2, y2) in zip(q, q[1:], strict=False))
+    return crossed % 2 == 1
+
+
+@pytest.mark.parametrize("window", [3, 5, 512])
+def test_polygons_cover_their_parts_whatever_the_window(spark, window):
+    cells = at_random(window, 14, 17, 2) + [(9, 30, c) for c in range(40)]
+    df = spark.createDataFrame(cells, "seg_id long, row_id int, col_id int")
+    labels = spark.createDataFrame([(1, 10), (2, 20), (9, 90)], "seg_id long, label int")
+    got = grid.segment_polygons(df, labels, window=window).withColumn("wkt", g.wkt(F.col("ring"), F.col("holes"))).collect()
+    of, seen = {(r, c): s for s, r, c in cells if s}, {}
+    for k, row in enumerate(got):
+        rings = read_wkt(row["wkt"])
+        assert [[(p["x"], p["y"]) for p in q] for q in [row["ring"], *row["holes"]]] == rings
+        area = [sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(q, q[1:], strict=False)) / 2 for q in rings]
+        assert area[0] > 0 and all(a < 0 for a in area[1:]) and sum(area) == row["n_cells"]
+        own = {p for p in of if within(rings, p[1] + 0.5, p[0] + 0.5)}
+        assert len(own) == row["n_cells"] and all(of[p] == row["seg_id"] for p in own)
+        seen |= dict.fromkeys(own, k)
+    assert seen.keys() == of.keys()
+    for r, c in of:  # 4-connected cells of a segment share a polygon, and each polygon is connected
+        for p in ((r + 1, c), (r, c + 1)):
+            if of.get(p) == of[r, c]:
+                assert seen[p] == seen[r, c]
+    left, n = set(of), 0
+    while left:
+        n, queue = n + 1, [left.pop()]
+        while queue:
+            r, c = queue.pop()
+            for p in ((r + 1, c), (r - 1, c), (r, c + 1), (r, c - 1)):
+                if p in left and of[p] == of[r, c]:
+                    left.discard(p)
+                    queue.append(p)
+    assert n == len(got) and {row["class_code"] for row in got} == {10, 20, 90}
+
+
+def test_polygons_in_metres_and_of_any_length(spark):
+    at = grid.Grid(x0=412345.25, y0=8470123.5, dx=0.5, dy=-0.5)
+    strip = spark.range(5000).select(F.lit(7).cast("long").alias("seg_id"), F.lit(3).alias("row_id"), F.col("id").cast("int").alias("col_id"))
+    labels = spark.createDataFrame([(7, 10)], "seg_id long, label int")
+    (row,) = grid.polygonize_segments(strip, labels, at).collect()
+    assert row["n_cells"] == 5000
+    assert read_wkt(row["wkt"]) == [[(412345.25, 8470122.0), (414845.25, 8470122.0), (414845.25, 8470121.5), (412345.25, 8470121.5), (412345.25, 8470122.0)]]
+
+
+def test_holes_survive_the_writer(spark):
+    ring = [(1, r, c) for r in range(3) for c in range(3) if (r, c) != (1, 1)]
+    found = grid.segment_polygons(spark.createDataFrame(ring, "seg_id long, row_id int, col_id int"), spark.createDataFrame([(1, 10)], "seg_id long, label int"))
+    io.write_features(found.select("seg_id", "ring", "holes"), path := new_path(spark, "geojson"), form="geojson", holes="holes")
+    shape = spark.read.json(path).first()["geometry"]
+    assert [len(q) for q in shape["coordinates"]] == [5, 5] and shape["coordinates"][1][0] == [1.0, 1.0]
+    io.write_features(found.select("seg_id", "ring", "holes"), path := new_path(spark, "wkt"), holes="holes")
+    assert len(read_wkt(spark.read.parquet(path).first()["wkt"])) == 2
+
+
+def test_polygonize_nothing(spark):
+    none = spark.createDataFrame([], "seg_id long, row_id int, col_id int")
+    assert grid.polygonize_segments(none, spark.createDataFrame([(1, 10)], "seg_id long, label int")).count() == 0
+
+
+def test_tiles_carry_their_own_edges(spark):
+    ring = [(50 + 40 * math.cos(k * math.pi / 200), 50 + 40 * math.sin(k * math.pi / 200)) for k in range(400)]
+    df = spark.createDataFrame([(ring,)], f"ring {RING}")
+    tiles = geometry.polygon_tiles(df, 10.0).select("tile_x", "tile_y", F.size("edge_list").alias("n")).collect()
+    assert max(t["n"] for t in tiles) < 120
+    rng = np.random.default_rng(0)
+    points = [(k, float(x), float(y)) for k, (x, y) in enumerate(rng.uniform(0, 100, (400, 2)))]
+    got = {r["id"] for r in geometry.within_roi(spark.createDataFrame(points, "id int, x double, y double"), df, ["id"], tile=10.0).collect()}
+    assert got == {k for k, x, y in points if within([[*ring, ring[0]]], x, y)}
