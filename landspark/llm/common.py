@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from landspark.sources.shared import new_path
+from landspark.sources.shared import Scratch, materialize, new_path  # noqa: F401
 
 #: White space as the operators' contracts state it.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -19,42 +17,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def materialize(df: DataFrame, what: str) -> DataFrame:
-    """Writes ``df`` as Parquet in the shared folder and reads it back.
-
-    This cuts the lineage and survives the loss of any executor.
-    """
-    path = new_path(df.sparkSession, what)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-class Scratch:
-    """Writes tables like :func:`materialize` and deletes them at the end of a ``with`` block.
-
-    For what is used up within a function; what a returned DataFrame reads must be
-    written by :func:`materialize`.
-    """
-
-    def __init__(self, spark: SparkSession):
-        self.spark, self.paths = spark, []
-
-    def __enter__(self) -> Callable[[DataFrame, str], DataFrame]:
-        return self.write
-
-    def write(self, df: DataFrame, what: str) -> DataFrame:
-        path = new_path(self.spark, what)
-        self.paths.append(path)
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
-
-    def __exit__(self, *_) -> None:
-        conf = self.spark._jsc.hadoopConfiguration()
-        for path in self.paths:
-            at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(conf).delete(at, True)
-
-
 def content_key(id_col: str, text_col: str) -> tuple[Column, Column]:
     """Two hashes that tell rows apart by id and text, wherever they are stored.
 

@@ -4,22 +4,24 @@ A text's fingerprint has a bit set where more than half of its shingle hashes ha
 Equal fingerprints are reduced to one before anything else. Fingerprints are then cut
 into blocks; if two differ in at most ``d`` bits, one of ``b`` blocks differs in at most
 ``d // b`` (the pigeonhole principle), so each block gets a vantage-point tree that is
-searched with that small radius: on whole fingerprints a tree could prune next to
-nothing, as their distances crowd around half the bits. A tree splits the values of a
-block at the median distance to a vantage point; the triangle inequality says which
-branches a value's ball reaches, so a value is sent to its own leaf and to those beyond
-each boundary that the ball crosses. Leaves are shards: within one, exact distances give
-a spanning forest of the links, so a group of n copies yields no more than n - 1 edges
-there. Leaves with very many fingerprints are handled as pairs of chunks.
-
-The trees are fitted on a bounded sample of fingerprints (``SAMPLE``); every fingerprint
-is placed. Null and blank texts have the fingerprint zero and are linked like any other.
+searched with that radius: on whole fingerprints a tree could prune next to nothing, as
+their distances crowd around half the bits. A node of a tree splits values at the median
+distance to a vantage point; the triangle inequality says which branches a value's ball
+reaches. Leaves are shards: a value lies in its own and is a query in every later one
+beyond a boundary that its ball crosses, so two values within the radius meet in the leaf
+of the later one. There exact distances give a spanning forest of the links, so a group of
+n copies yields no more than n - 1 edges. Leaves with very many fingerprints are handled
+as pairs of chunks.
+
+The trees are fitted on a bounded sample of fingerprints (``SAMPLE``), so a tree has no
+more leaves than that; every fingerprint is placed. Null and blank texts have the fingerprint zero and are linked like any other.
 Null ids come last when a group's representative is chosen. Repeated rows are members of
 their group like others. Columns other than id and text are ignored.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -28,13 +30,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from landspark.functions.components import components
 from landspark.llm.common import Scratch, content_key, materialize, small_batches
-from landspark.llm.components import components
 
 #: Fingerprints on which the trees are fitted, at most.
-SAMPLE = 20_000
+SAMPLE = 100_000
 #: Fingerprints that a leaf should have, and those above which it is cut into chunks.
 LEAF_ROWS, CHUNK_ROWS = 400, 6_000
+#: The same for the trees of near-duplicates, and the share of links at the threshold that these are to find.
+NEAR_LEAF_ROWS, RECALL = 1_000, 0.99
 #: Bytes of shingle sets above which a leaf is cut into chunks.
 CHUNK_BYTES = 32_000_000
 
@@ -102,69 +106,87 @@ def as_rows(fps: list[bytes], bits: int) -> np.ndarray:
     return np.frombuffer(b"".join(fps), "u1").reshape(len(fps), len(fps[0]) if fps else bits // 8)[:, : bits // 8]
 
 
-def block_values(fps: np.ndarray, bits: list[int]) -> np.ndarray:
-    """The value of each block of each fingerprint (rows of bytes): blocks x rows."""
-    every = np.unpackbits(fps, axis=1, bitorder="little")
-    at, out = 0, []
-    for n in bits:
-        out.append(every[:, at : at + n].astype("i8") @ (1 << np.arange(n)))
-        at += n
-    return np.array(out)
+def block_bits(total: int, blocks: int) -> list[np.ndarray]:
+    """The bits of each of so many nearly equal blocks."""
+    return np.array_split(np.arange(total), blocks)
 
 
-def block_bits(total: int, blocks: int) -> list[int]:
-    """Nearly equal block widths of 16 bits at most."""
-    bits = [total // blocks + (k < total % blocks) for k in range(blocks)]
-    if max(bits) > 16:
-        raise ValueError("a block has 16 bits at most; take more blocks")
-    return bits
+def block_values(fps: np.ndarray, blocks: list[np.ndarray]) -> list[np.ndarray]:
+    """The value of each block of each fingerprint (rows of bytes)."""
+    every = np.unpackbits(fps, axis=1, bitorder="little")
+    return [(every[:, own].astype("u8") << np.arange(len(own), dtype="u8")).sum(1, dtype="u8") for own in blocks]
 
 
 class VantageTree:
-    """A vantage-point tree over all values of a block, weighted by a sample's values.
+    """A vantage-point tree fitted on sampled values of a block, to leaves of at most ``leaf_share`` of them.
 
-    ``leaves[v]`` lists the leaves that the ball around value v reaches, its own among
-    them. Its size is bounded by the number of values.
+    A child of a node is a later node, or leaf ``k`` as ``-k - 1``.
     """
 
-    def __init__(self, bits: int, radius: int, sample: np.ndarray, leaf_share: float, seed: int):
+    def __init__(self, radius: int, sample: np.ndarray, leaf_share: float, seed: int):
         rng = np.random.default_rng(seed)
-        weight = np.bincount(sample, minlength=1 << bits) / max(1, len(sample)) + 1e-9
-        self.leaves: list[list[int]] = [[] for _ in range(1 << bits)]
-        self.n_leaves = 0
-        values = np.arange(1 << bits)
-        open_nodes = [(values, values)]  # members, and the values whose balls reach them
+        self.radius, self.n_leaves = radius, 0
+        vantage, split, children = [], [], []
+        open_nodes = [(sample.astype("u8"), -1, 0)]
         while open_nodes:
-            own, reach = open_nodes.pop()
-            split = None
-            if len(own) > 1 and weight[own].sum() > leaf_share:
-                vantage = rng.choice(own)
-                d = np.bitwise_count(own ^ vantage)
-                order = np.argsort(d, kind="stable")
-                median = d[order[np.searchsorted(np.cumsum(weight[own][order]), weight[own].sum() / 2)]]
-                split = min(int(median), int(d.max()) - 1)
-            if split is None:
-                for v in reach:
-                    self.leaves[v].append(self.n_leaves)
-                self.n_leaves += 1
-                continue
-            to = np.bitwise_count(reach ^ vantage).astype("i8")
-            # triangle inequality: a member within the radius lies within it of this distance
-            open_nodes.append((own[d <= split], reach[to - radius <= split]))
-            open_nodes.append((own[d > split], reach[to + radius > split]))
-
-
-def forest(fps: np.ndarray, most: int) -> list[tuple[int, int]]:
-    """A spanning forest of least distances over rows (of 64-bit words) at most that far apart."""
+            own, parent, side = open_nodes.pop()
+            d = most = None
+            if len(own) > max(1.0, leaf_share * len(sample)):
+                d = np.bitwise_count(own ^ (at := rng.choice(own)))
+                most = int(d.max())
+            if not most:  # small enough, or all values are equal
+                node, self.n_leaves = -self.n_leaves - 1, self.n_leaves + 1
+            else:
+                node = len(vantage)
+                vantage.append(at), split.append(min(int(np.median(d)), most - 1)), children.append([0, 0])
+                open_nodes += [(own[d > split[-1]], node, 1), (own[d <= split[-1]], node, 0)]
+            if parent < 0:
+                self.root = node
+            else:
+                children[parent][side] = node
+        self.vantage, self.split, self.children = np.array(vantage, "u8"), np.array(split, "i8"), np.array(children, "i8").reshape(-1, 2)
+
+    def reached(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``row, leaf, whether it is the row's own`` of every leaf that a value's ball reaches."""
+        row, node, own = np.arange(len(values)), np.full(len(values), self.root), np.ones(len(values), bool)
+        done = []
+        while True:
+            leaf = node < 0
+            done.append((row[leaf], -node[leaf] - 1, own[leaf]))
+            row, node, own = row[~leaf], node[~leaf], own[~leaf]
+            if not len(row):
+                return tuple(np.concatenate(x) for x in zip(*done, strict=True))
+            d = np.bitwise_count(values[row] ^ self.vantage[node]).astype("i8")
+            near = d <= self.split[node]
+            # triangle inequality: what is within the radius lies within it of this distance
+            left, right = d - self.radius <= self.split[node], d + self.radius > self.split[node]
+            row, node, own = np.concatenate([row[left], row[right]]), np.concatenate([self.children[node[left], 0], self.children[node[right], 1]]), np.concatenate([(own & near)[left], (own & ~near)[right]])
+
+    def placed(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """As :meth:`reached`, with no leaf before a row's own: one of two near values is sent to the other."""
+        row, leaf, own = self.reached(values)
+        home = np.empty(len(values), "i8")
+        home[row[own]] = leaf[own]
+        keep = leaf >= home[row]
+        return row[keep], leaf[keep], own[keep]
+
+
+def forest(fps: np.ndarray, most: int, own: int | None = None) -> list[tuple[int, int]]:
+    """A spanning forest of least distances over rows (of 64-bit words) at most that far apart.
+
+    With ``own``, the first so many rows are held against all, others not against each other.
+    """
     n, words = fps.shape
-    if n < 2:
+    own = n if own is None else own
+    if n < 2 or not own:
         return []
     left, right, dist, count = [], [], [], 0
     step = max(1, 2_000_000 // n)
-    for at in range(0, n, step):
-        d = np.bitwise_count(fps[at : at + step, None, 0] ^ fps[None, :, 0]).astype("u2")
+    for at in range(0, own, step):
+        some = fps[at : min(at + step, own)]
+        d = np.bitwise_count(some[:, None, 0] ^ fps[None, :, 0]).astype("u2")
         for w in range(1, words):
-            d += np.bitwise_count(fps[at : at + step, None, w] ^ fps[None, :, w])
+            d += np.bitwise_count(some[:, None, w] ^ fps[None, :, w])
         i, j = np.nonzero(d <= most)
         keep = j > i + at
         left.append(i[keep] + at), right.append(j[keep]), dist.append(d[i[keep], j[keep]])
@@ -205,64 +227,81 @@ def _grown(fps: np.ndarray, most: int) -> list[tuple[int, int]]:
     return out
 
 
-def _placed(distinct: DataFrame, bits: int, most: int, blocks: int, radius: int | None, block_width: int | None, write: Callable) -> tuple[DataFrame, Callable]:
-    """``tree, leaf, fp`` of every leaf that a fingerprint reaches, and a function of rows of
-    fingerprints that gives the leaves of each in each tree (trees x rows of arrays)."""
-    spark = distinct.sparkSession
-    widths = [block_width] * blocks if block_width else block_bits(bits, blocks)
-    radius = most // blocks if radius is None else radius
-    n = distinct.count()
-    some = distinct.orderBy(F.xxhash64("fp")).limit(SAMPLE) if n > SAMPLE else distinct
-    sample = as_rows([bytes(r["fp"]) for r in some.collect()], bits)
-    values = block_values(sample, widths)
-    trees = [VantageTree(w, radius, values[t], LEAF_ROWS / max(n, 1), seed=t) for t, w in enumerate(widths)]
-    tables = spark.sparkContext.broadcast([[np.array(x, "i4") for x in t.leaves] for t in trees])  # 65,536 values a tree at most
-
-    def leaves(fps: np.ndarray) -> list[list[np.ndarray]]:
-        return [[tables.value[t][v] for v in value] for t, value in enumerate(block_values(fps, widths))]
-
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            fps = as_rows(b.column(0).to_pylist(), bits)
-            for t, reached in enumerate(leaves(fps)):
-                rows = np.repeat(np.arange(len(fps)), [len(x) for x in reached])
-                if len(rows):
-                    yield pa.record_batch([pa.array(np.full(len(rows), t), pa.int32()), pa.array(np.concatenate(reached), pa.int32()), b.column(0).take(pa.array(rows))], names=["tree", "leaf", "fp"])
-
-    return write(distinct.mapInArrow(place, "tree int, leaf int, fp binary"), "placed"), leaves
-
-
-def _dealt(placed: DataFrame, weight: Column, most: int) -> DataFrame:
-    """``placed`` with ``lo, hi``: leaves of more than ``most`` weight are cut into pairs of chunks."""
-    full = placed.groupBy("tree", "leaf").agg(F.sum(weight).alias("weight")).filter(F.col("weight") > most)
-    chunks = full.select("tree", "leaf", F.ceil(F.col("weight") / most).cast("int").alias("k"))  # one row per leaf at most
-    return (
-        placed.join(F.broadcast(chunks), ["tree", "leaf"], "left")
-        .withColumn("k", F.coalesce("k", F.lit(1)))
-        .withColumn("own", F.pmod(F.xxhash64("fp"), F.col("k")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
-        .select("tree", "leaf", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "fp")
-    )
-
-
-def links(distinct: DataFrame, bits: int, most: int, blocks: int, radius: int | None = None, block_width: int | None = None, write: Callable = materialize) -> DataFrame:
+class Shards:
+    """Vantage-point trees over blocks of distinct fingerprints, and the placing of these in their leaves."""
+
+    def __init__(self, distinct: DataFrame, bits: int, radius: int, blocks: Callable[[int], list[np.ndarray]], leaf_rows: int = LEAF_ROWS):
+        """``distinct`` has one column ``fp``, of which the first ``bits`` count; ``blocks`` gives the bits of each block for a number of rows."""
+        self.distinct, self.bits, self.radius = distinct, bits, radius
+        n = distinct.count()
+        some = distinct.orderBy(F.xxhash64("fp")).limit(SAMPLE) if n > SAMPLE else distinct
+        sample = as_rows(some.toArrow().column("fp").to_pylist(), bits)
+        self.blocks = blocks(n)
+        self.trees = [VantageTree(radius, v, leaf_rows / max(n, 1), seed=t) for t, v in enumerate(block_values(sample, self.blocks))]
+        self.shared = distinct.sparkSession.sparkContext.broadcast((self.blocks, self.trees))  # a few numbers for each sampled fingerprint
+
+    def place(self) -> DataFrame:
+        """``tree, leaf, lo, hi, own, fp``: every leaf that a fingerprint is sent to; full leaves are cut into pairs of chunks.
+
+        Leaves are counted first, then the fingerprints are placed again, so that none is written twice.
+        """
+        bits, shared = self.bits, self.shared
+
+        def leaves(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+            blocks, trees = shared.value
+            for t, (tree, v) in enumerate(zip(trees, block_values(as_rows(batch.column(0).to_pylist(), bits), blocks), strict=True)):
+                yield t, *tree.placed(v)
+
+        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                for t, _, leaf, _ in leaves(b):
+                    which, n = np.unique(leaf, return_counts=True)
+                    yield pa.record_batch([pa.array(np.full(len(which), t), pa.int32()), pa.array(which, pa.int32()), pa.array(n, pa.int64())], names=["tree", "leaf", "n"])
+
+        full = self.distinct.mapInArrow(count, "tree int, leaf int, n long").groupBy("tree", "leaf").agg(F.sum("n").alias("n")).filter(F.col("n") > CHUNK_ROWS)
+        chunks = {(r["tree"], r["leaf"]): -(-r["n"] // CHUNK_ROWS) for r in full.collect()}  # no more than the trees have leaves
+        cut = self.distinct.sparkSession.sparkContext.broadcast(chunks)
+
+        def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                digest = np.fromiter((xxhash.xxh3_64_intdigest(x) for x in b.column(0).to_pylist()), "u8", b.num_rows)
+                for t, row, leaf, own in leaves(b):
+                    k = np.ones(len(leaf), "i8")
+                    for one in {x for tree, x in cut.value if tree == t}.intersection(leaf.tolist()):
+                        k[leaf == one] = cut.value[t, one]
+                    again = np.repeat(np.arange(len(row)), k)
+                    other = np.arange(len(again)) - np.repeat(np.cumsum(k) - k, k)
+                    chunk = (digest[row] % k.astype("u8")).astype("i8")[again]
+                    columns = [pa.array(np.full(len(again), t), pa.int32()), pa.array(leaf[again], pa.int32()), pa.array(np.minimum(chunk, other), pa.int32()), pa.array(np.maximum(chunk, other), pa.int32()), pa.array(own[again]), b.column(0).take(pa.array(row[again]))]
+                    yield pa.record_batch(columns, names=["tree", "leaf", "lo", "hi", "own", "fp"])
+
+        return self.distinct.mapInArrow(deal, "tree int, leaf int, lo int, hi int, own boolean, fp binary")
+
+
+def own_first(rows: pa.Table) -> tuple[pa.Table, int]:
+    """A leaf's rows, those that lie in it before those that are sent there, and how many lie in it."""
+    own = rows.column("own").combine_chunks()
+    order = np.argsort(~own.to_numpy(zero_copy_only=False), kind="stable")
+    return rows.take(pa.array(order)), own.true_count
+
+
+def links(distinct: DataFrame, bits: int, most: int, blocks: int) -> DataFrame:
     """``a, b``: forest edges over the links between distinct fingerprints.
 
-    ``distinct`` has one column ``fp``, of which the first ``bits`` count. With the default radius ``most // blocks`` no
-    link of at most ``most`` bits is lost; a smaller radius or ``block_width`` trades
-    recall for work. Only the sample, and one count per leaf, reach the driver. ``write``
-    writes what the result reads.
+    ``distinct`` has one column ``fp``, of which the first ``bits`` count. Trees are
+    searched with the radius ``most // blocks``, so no link of at most ``most`` bits is
+    lost. Only the sample, and one count for each full leaf, reach the driver.
     """
-    placed, _ = _placed(distinct, bits, most, blocks, radius, block_width, write)
-    dealt = _dealt(placed, F.lit(1), CHUNK_ROWS)
+    shards = Shards(distinct, bits, most // blocks, lambda n: block_bits(bits, blocks))
 
     def within(rows: pa.Table) -> pa.Table:
+        rows, own = own_first(rows)
         fp = rows.column("fp").combine_chunks()
         words = np.ascontiguousarray(as_rows(fp.to_pylist(), bits)).view("<u8")
-        edges = np.array(forest(words, most), "i8").reshape(-1, 2)
+        edges = np.array(forest(words, most, own), "i8").reshape(-1, 2)
         return pa.table({"a": fp.take(pa.array(edges[:, 0])), "b": fp.take(pa.array(edges[:, 1]))})
 
-    return dealt.groupBy("tree", "leaf", "lo", "hi").applyInArrow(within, "a binary, b binary").distinct()
+    return shards.place().groupBy("tree", "leaf", "lo", "hi").applyInArrow(within, "a binary, b binary").distinct()
 
 
 def as_hex(fp: Column) -> Column:
@@ -270,7 +309,7 @@ def as_hex(fp: Column) -> Column:
     return F.lower(F.concat(*[F.substring(F.hex(fp), 15 - 2 * k, 2) for k in range(8)]))
 
 
-def near_groups(docs: DataFrame, words: int = 4, most: int = 4, blocks: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_groups(docs: DataFrame, words: int = 4, most: int = 4, blocks: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, fp, component_id`` of every row, by Hamming distance of 64-bit fingerprints.
 
     ``component_id`` is the least id that can be reached over links of at most ``most`` bits.
@@ -278,7 +317,7 @@ def near_groups(docs: DataFrame, words: int = 4, most: int = 4, blocks: int = 5,
     fps = materialize(fingerprints(docs, words, 1, id_col, text_col), "fingerprints")
     with Scratch(docs.sparkSession) as write:
         nodes = write(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
-        group = components(links(nodes.select("fp"), 64, most, blocks, write=write))
+        group = components(write(links(nodes.select("fp"), 64, most, blocks), "links"))
         known = nodes.join(group.hint("merge"), nodes["fp"] == group["node"], "left").select("fp", "first", F.coalesce("component", "fp").alias("component"))
         known = write(known, "known")
         least = known.groupBy("component").agg(F.min("first").alias("component_id"))
@@ -286,10 +325,11 @@ def near_groups(docs: DataFrame, words: int = 4, most: int = 4, blocks: int = 5,
     return fps.join(reached.hint("merge"), "fp").select("doc_id", "fp", "component_id")
 
 
-def alike(fps: np.ndarray, sets: list[np.ndarray], most: int, least: float) -> list[tuple[int, int]]:
+def alike(fps: np.ndarray, sets: list[np.ndarray], most: int, least: float, own: int | None = None) -> list[tuple[int, int]]:
     """A spanning forest of the pairs at most ``most`` bits apart whose sets have that Jaccard similarity.
 
-    Every such pair is compared unless verified pairs connect it already.
+    Every such pair is compared unless verified pairs connect it already. With ``own``, the
+    first so many rows are held against all, others not against each other.
     """
     n, out = len(sets), []
     sizes = np.array([len(x) for x in sets])
@@ -297,8 +337,10 @@ def alike(fps: np.ndarray, sets: list[np.ndarray], most: int, least: float) -> l
     ends = np.cumsum(sizes)
     ids = [flat[e - k : e] for e, k in zip(ends.tolist(), sizes.tolist(), strict=True)]
     mark, group = np.zeros(len(flat) + 1, bool), np.arange(n)
-    for i in range(n - 1):
+    for i in range(min(n - 1, n if own is None else own)):
         near = np.bitwise_count(fps[i + 1 :] ^ fps[i]).sum(1, dtype="i4") <= most
+        # sets whose sizes differ by more can't be alike
+        near &= np.minimum(sizes[i + 1 :], sizes[i]) >= least * np.maximum(sizes[i + 1 :], sizes[i])
         others = np.flatnonzero(near & (group[i + 1 :] != group[i])) + i + 1
         if not len(others):
             continue
@@ -319,55 +361,85 @@ def alike(fps: np.ndarray, sets: list[np.ndarray], most: int, least: float) -> l
     return out
 
 
+def probes(n: int, bits: int = 256, differ: float = 0.15, recall: float = RECALL) -> list[np.ndarray]:
+    """The bits of each tree's block for the links of ``n`` fingerprints whose bits differ with probability ``differ``.
+
+    Blocks get wider as ``n`` grows, so that a leaf keeps its size, and there are as many
+    of them as it takes for a link to have a block within one bit with probability ``recall``.
+    """
+    width = max(8, math.ceil(math.log2(max(n, 1) / NEAR_LEAF_ROWS)) + 2)
+    within = (1 - differ) ** width + width * differ * (1 - differ) ** (width - 1)
+    trees = math.ceil(math.log(1 - recall) / math.log(1 - within))
+    rng = np.random.default_rng(trees)
+    dealt = np.concatenate([rng.permutation(bits) for _ in range(-(-trees * width // bits))])
+    blocks = [np.unique(dealt[t * width : (t + 1) * width]) for t in range(trees)]
+    return blocks
+
+
 def verified_links(nodes: DataFrame, keyed: DataFrame, words: int, least: float, most: int, write: Callable) -> DataFrame:
     """``a, b``: forest edges over the pairs of ``nodes`` whose sets of shingles are alike enough.
 
     Nodes with a candidate are found by fingerprints alone. Their sets are then sent to
     the leaves where the candidates meet, and compared there before anything is reduced.
-    A pair that shares several leaves asks for one of them only, that of the first tree.
+    A pair that is sure to meet in several trees asks for a leaf of the first one only.
     """
-    placed, leaves = _placed(nodes.select("fp"), 256, most, 25, 0, 10, write)
+    shards = Shards(nodes.select("fp"), 256, 1, probes, NEAR_LEAF_ROWS)
+    radius, shared = shards.radius, shards.shared
 
     def meet(rows: pa.Table) -> pa.Table:
-        keys = rows.column("fp").combine_chunks()
-        fps = np.ascontiguousarray(as_rows(keys.to_pylist(), 256))
+        rows, own = own_first(rows)
+        fps = np.ascontiguousarray(as_rows(rows.column("fp").to_pylist(), 256))
         tree, n, found = rows.column("tree")[0].as_py(), len(fps), np.zeros(len(fps), bool)
         bits, before = fps.view("<u8"), None
         step = max(1, 2_000_000 // n)
-        for at in range(0, n, step):
-            d = np.bitwise_count(bits[at : at + step, None, 0] ^ bits[None, :, 0]).astype("u2")
+        for at in range(0, own, step):
+            some = bits[at : min(at + step, own)]
+            d = np.bitwise_count(some[:, None, 0] ^ bits[None, :, 0]).astype("u2")
             for w in range(1, 4):
-                d += np.bitwise_count(bits[at : at + step, None, w] ^ bits[None, :, w])
+                d += np.bitwise_count(some[:, None, w] ^ bits[None, :, w])
             i, j = np.nonzero(d <= most)
             i, j = i[j > i + at] + at, j[j > i + at]
             if len(i) and before is None:
-                before = np.array([[x[0] for x in own] for own in leaves(fps)[:tree]], "i4").reshape(tree, n)
-            for own in before if len(i) else ():
-                new = own[i] != own[j]
+                before = block_values(fps, shared.value[0][:tree])
+            for value in before if len(i) else ():
+                new = np.bitwise_count(value[i] ^ value[j]) > radius
                 i, j = i[new], j[new]
             found[i], found[j] = True, True
-        return rows.select(["tree", "leaf", "fp"]).filter(pa.array(found))
+        return rows.select(["tree", "leaf", "own", "fp"]).filter(pa.array(found))
 
-    schema = "tree int, leaf int, fp binary"
-    met = write(_dealt(placed, F.lit(1), CHUNK_ROWS).groupBy("tree", "leaf", "lo", "hi").applyInArrow(meet, schema).distinct(), "met")
+    schema = "tree int, leaf int, own boolean, fp binary"
+    met = write(shards.place().groupBy("tree", "leaf", "lo", "hi").applyInArrow(meet, schema).distinct(), "met")
     used = nodes.join(met.select("fp").distinct(), "fp", "left_semi").select("fp", F.col("first._near_1").alias("_near_1"), F.col("first._near_2").alias("_near_2"))
-    texts = keyed.join(used, ["_near_1", "_near_2"]).select("fp", "text").dropDuplicates(["fp"])
+    texts = keyed.join(write(used, "used"), ["_near_1", "_near_2"]).select("fp", "text")
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sets = [np.unique(shingle_hashes(t.as_py(), words)).tobytes() for t in b.column(1)]
-            yield pa.record_batch([b.column(0), pa.array([len(x) for x in sets], pa.int64()), pa.array(sets, pa.binary())], names=["fp", "size", "own"])
-
-    sets = write(texts.mapInArrow(shingled, "fp binary, size long, own binary"), "sets")
-    dealt = _dealt(met.join(sets.select("fp", "size"), "fp"), F.col("size") + 100, CHUNK_BYTES)
+            yield pa.record_batch([b.column(0), pa.array([len(x) for x in sets], pa.int64()), pa.array(sets, pa.binary())], names=["fp", "size", "own_set"])
+
+    # equal rows have one key, and one set stays
+    sets = texts.mapInArrow(shingled, "fp binary, size long, own_set binary").groupBy("fp").agg(F.first("size").alias("size"), F.first("own_set").alias("own_set"))
+    sets = write(sets, "sets")
+    # leaves of many bytes are cut into pairs of chunks
+    sent = met.join(sets.select("fp", "size"), "fp")
+    full = sent.groupBy("tree", "leaf").agg(F.sum(F.col("size") + 100).alias("bytes")).filter(F.col("bytes") > CHUNK_BYTES)
+    chunks = full.select("tree", "leaf", F.ceil(F.col("bytes") / CHUNK_BYTES).cast("int").alias("k"))
+    dealt = (
+        sent.join(F.broadcast(chunks), ["tree", "leaf"], "left")  # no more than the trees have leaves
+        .withColumn("k", F.coalesce("k", F.lit(1)))
+        .withColumn("chunk", F.pmod(F.xxhash64("fp"), F.col("k")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
+        .select("tree", "leaf", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"), "own", "fp")
+    )
 
     def within(rows: pa.Table) -> pa.Table:
+        rows, own = own_first(rows)
         keys = rows.column("fp").combine_chunks()
         fps = np.ascontiguousarray(as_rows(keys.to_pylist(), 256)).view("<u8")
-        edges = np.array(alike(fps, [np.frombuffer(x.as_py(), "<u8") for x in rows.column("own")], most, least), "i8").reshape(-1, 2)
+        edges = np.array(alike(fps, [np.frombuffer(x.as_py(), "<u8") for x in rows.column("own_set")], most, least, own), "i8").reshape(-1, 2)
         return pa.table({"a": keys.take(pa.array(edges[:, 0])), "b": keys.take(pa.array(edges[:, 1]))})
 
-    return dealt.join(sets.select("fp", "own"), "fp").groupBy("tree", "leaf", "lo", "hi").applyInArrow(within, "a binary, b binary").distinct()
+    return dealt.join(sets.select("fp", "own_set"), "fp").groupBy("tree", "leaf", "lo", "hi").applyInArrow(within, "a binary, b binary").distinct()
 
 
 def without_near_duplicates(docs: DataFrame, words: int = 5, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -376,11 +448,12 @@ def without_near_duplicates(docs: DataFrame, words: int = 5, least: float = 0.8,
     Rows are linked if their sets of ``words``-word shingles have a Jaccard similarity of
     ``least`` or more; rows of equal sets are one node, other rows of equal fingerprints
     are compared like any pair. At 0.8 a bit of two fingerprints differs with probability 0.15;
-    fingerprints have 256 bits here, candidates differ in 56 at most, and 25 trees over
-    blocks of 10 bits, each searched for equal blocks, find 99.5 % of pairs at 0.8 and
-    more of closer ones. All of these are compared exactly on whole sets, but for those
-    that verified links connect already, so no row goes for less than the similarity. Rows
-    without words form one group; the first of equal rows stays.
+    fingerprints have 256 bits here, candidates differ in 56 at most, and there are as many
+    trees, each searched with radius 1, as find 99 % (``RECALL``) of pairs at 0.8 and
+    more of closer ones; see :func:`probes`. All of these are compared exactly on whole sets,
+    but for those that verified links connect already, so no row goes for less than the
+    similarity. Rows without words form one group; the first of equal rows stays, and of
+    rows of equal id and text the least by their other columns.
     """
     k1, k2 = content_key(id_col, text_col)
     keyed = docs.withColumns({"_near_1": k1, "_near_2": k2})
@@ -400,6 +473,8 @@ def without_near_duplicates(docs: DataFrame, words: int = 5, least: float = 0.8,
         again = materialize(again, "again")
     kept = keyed.join(gone, ["_near_1", "_near_2"], "left_anti")
     if not again.isEmpty():  # equal rows of which the first stays
-        equal = kept.join(again, ["_near_1", "_near_2"], "left_semi").dropDuplicates(["_near_1", "_near_2"])
+        others = F.struct(*[F.to_json(F.struct(F.col(f"`{c}`").alias("v"))).alias(f"_{k}") for k, c in enumerate(docs.columns)])
+        equal = kept.join(again, ["_near_1", "_near_2"], "left_semi").groupBy("_near_1", "_near_2").agg(F.min_by(F.struct(*[f"`{c}`" for c in docs.columns]), others).alias("_near_row"))
+        equal = equal.select("_near_row.*", "_near_1", "_near_2")
         kept = kept.join(again, ["_near_1", "_near_2"], "left_anti").unionByName(equal)
     return kept.select(*docs.columns)

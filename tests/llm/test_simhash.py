@@ -4,8 +4,8 @@ import numpy as np
 import pytest
 import xxhash
 
+from landspark.functions.components import components
 from landspark.llm import simhash
-from landspark.llm.components import components
 from tests.llm.helpers import LONG, awkward, documents
 
 
@@ -71,7 +71,7 @@ def test_groups_equal_brute_force(spark):
     assert got == dict(enumerate(want)) and len(set(want)) < len(texts)
 
 
-@pytest.mark.parametrize("blocks,most", [(5, 4), (4, 8), (8, 20)])
+@pytest.mark.parametrize("blocks,most", [(3, 4), (5, 4), (4, 8), (8, 20)])
 def test_links_lose_no_component(spark, blocks, most):
     rng = np.random.default_rng(blocks)
     base = rng.integers(0, 2**63, 150).astype("<u8")
@@ -88,16 +88,62 @@ def test_links_lose_no_component(spark, blocks, most):
 @pytest.mark.parametrize("radius", [0, 1, 2])
 def test_tree_reaches_all_values_within_the_radius(radius):
     rng = np.random.default_rng(radius)
-    tree = simhash.VantageTree(9, radius, rng.integers(0, 512, 3000), 0.01, 1)
-    own = {v: {leaf for leaf in tree.leaves[v]} for v in range(512)}
-    zero = simhash.VantageTree(9, 0, rng.integers(0, 512, 10), 2.0, 1)
-    assert zero.n_leaves == 1 and tree.n_leaves > 20
+    tree = simhash.VantageTree(radius, rng.integers(0, 512, 3000), 0.01, 1)
+    values = np.arange(512, dtype="u8")
+    reached, placed, home = {v: set() for v in range(512)}, {v: set() for v in range(512)}, {}
+    for row, leaf, own in zip(*tree.reached(values), strict=True):
+        reached[row].add(leaf)
+        if own:
+            assert row not in home
+            home[row] = leaf
+    for row, leaf, own in zip(*tree.placed(values), strict=True):
+        placed[row].add(leaf)
+        assert own == (home[row] == leaf)
+    zero = simhash.VantageTree(0, rng.integers(0, 512, 10), 2.0, 1)
+    assert zero.n_leaves == 1 and zero.root == -1 and tree.n_leaves > 20
     for a in range(0, 512, 7):
         for b in range(512):
             if bin(a ^ b).count("1") <= radius:
-                assert own[a] & own[b]
-    # branches are pruned
-    assert max(map(len, own.values())) < tree.n_leaves / 1.5
+                assert home[b] in reached[a] and (home[a] in placed[b] or home[b] in placed[a])
+    # branches are pruned, and boundaries are crossed if the ball is more than its centre
+    assert max(map(len, reached.values())) < tree.n_leaves / 1.5
+    assert (max(map(len, reached.values())) > 1) == (radius > 0)
+
+
+def test_op7_reaches_more_leaves_than_one_and_prunes():
+    rng = np.random.default_rng(3)
+    fps = rng.integers(0, 256, (20_000, 8)).astype("u1")
+    for t, v in enumerate(simhash.block_values(fps, simhash.block_bits(64, 3))):
+        tree = simhash.VantageTree(4 // 3, v, simhash.LEAF_ROWS / len(v), t)
+        row, _, _ = tree.reached(v)
+        assert 1.5 < len(row) / len(v) < tree.n_leaves / 3
+        assert len(tree.placed(v)[0]) < len(row)
+
+
+def test_recall_at_the_threshold():
+    rng = np.random.default_rng(4)
+    for n in (5_000, 200_000, 50_000_000):
+        blocks = simhash.probes(n)
+        bits = rng.random((4_000, 256)) < 0.15  # bits in which pairs at the threshold differ
+        found = np.zeros(len(bits), bool)
+        for own in blocks:
+            found |= bits[:, own].sum(1) <= 1
+        assert found.mean() > 0.98 and 2 ** len(blocks[0]) * simhash.NEAR_LEAF_ROWS >= n
+
+
+def test_recall_of_pairs_near_the_threshold(spark):
+    rng = random.Random(21)
+    texts = []
+    for k in range(300):  # two texts of 300 words that share all but a run of words: 0.80 to 0.86
+        base = [f"a{rng.randrange(10**6)}" for _ in range(300)]
+        n = rng.randint(19, 27)
+        at = rng.randrange(5, 300 - n - 5)
+        texts += [" ".join(base), " ".join(base[:at] + [f"b{rng.randrange(10**6)}" for _ in range(n)] + base[at + n :])]
+    alike = [k for k in range(300) if jaccard(texts[2 * k], texts[2 * k + 1]) >= 0.8]
+    kept = {r["doc_id"] for r in simhash.without_near_duplicates(documents(spark, texts)).collect()}
+    assert {2 * k for k in range(300)} <= kept and len(alike) > 200
+    found = sum(2 * k + 1 not in kept for k in alike)
+    assert found >= 0.95 * len(alike) and found == 600 - len(kept)
 
 
 def test_chunks_of_a_full_leaf_lose_no_link(spark, monkeypatch):
