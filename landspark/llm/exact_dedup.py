@@ -1,17 +1,21 @@
 """Exact deduplication against a persistent digest index (native).
 
 The index is a table bucketed and sorted by digest, one row for each distinct text
-seen so far. A batch is reduced to one row per digest before anything is shuffled by
-digest, anti-joined with the index by a sort-merge join that reads the index in its
-stored order, and the new digests are appended. Texts themselves are never shuffled.
+seen so far; it is made empty before the first batch. A batch is reduced to one row per
+digest before anything is shuffled by digest, anti-joined with the index by a sort-merge
+join that reads the index in its stored order, and the new digests are appended. Texts
+themselves are never shuffled.
 
+A table may be dealt into batches by id, so that the first id of a text is met first.
 Null texts count as empty. Rows with the same id and text are repeats: the first one
-stays. A null id is larger than any other. An empty batch adds nothing. Columns other
-than the id and the text are ignored.
+stays. A null id is larger than any other and comes in the last batch. An empty batch adds
+nothing. Columns other than the id and the text are ignored.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,8 +41,17 @@ def groups(rows: DataFrame) -> DataFrame:
     )
 
 
+def buckets_for(rows: int) -> int:
+    """Buckets of an index that is to hold so many digests: some two million each, and 64 at least."""
+    return max(64, -(-rows // 2_000_000))
+
+
 class DigestIndex:
-    """A persistent table ``text_sha256, keep_id, batch`` bucketed and sorted by digest."""
+    """A persistent table ``text_sha256, keep_id, batch`` bucketed and sorted by digest.
+
+    The number of buckets is fixed when the table is made (see :func:`buckets_for`); a task
+    of a join reads one bucket.
+    """
 
     def __init__(self, spark: SparkSession, name: str, buckets: int = 64):
         self.spark, self.name, self.buckets = spark, name, buckets
@@ -47,39 +60,57 @@ class DigestIndex:
         """All digests seen so far."""
         return self.spark.table(self.name)
 
-    def _exists(self) -> bool:
-        return self.spark.catalog.tableExists(self.name)
+    def create(self, id_type: str) -> None:
+        """Makes the empty table unless it is there."""
+        if not self.spark.catalog.tableExists(self.name):
+            self._add(self.spark.createDataFrame([], f"text_sha256 string, keep_id {id_type}, batch string"))
+
+    def drop(self) -> None:
+        """Deletes the table; for an index that only one job needs."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+
+    def _add(self, rows: DataFrame) -> None:
+        rows.write.format("parquet").mode("append").bucketBy(self.buckets, "text_sha256").sortBy("text_sha256").saveAsTable(self.name)
+
+    def unseen(self, found: DataFrame) -> DataFrame:
+        """Those rows of ``found`` whose digest the index lacks."""
+        return found.join(self.read().select("text_sha256").hint("merge"), "text_sha256", "left_anti")
 
     def append(self, found: DataFrame, batch: str) -> None:
         """Adds those digests of ``found`` (from :func:`groups`) that the index lacks.
 
         Running it again with the same batch adds nothing, so a job may be repeated.
         """
-        new = found.select("text_sha256", "keep_id", F.lit(batch).alias("batch"))
-        if self._exists():
-            new = new.join(self.read().select("text_sha256").hint("merge"), "text_sha256", "left_anti")
+        self.create(found.schema["keep_id"].dataType.simpleString())
+        new = self.unseen(found).select("text_sha256", "keep_id", F.lit(batch).alias("batch"))
         # one task per bucket, so one file per bucket and batch
-        new.repartition(self.buckets, "text_sha256").write.format("parquet").mode("append").bucketBy(self.buckets, "text_sha256").sortBy("text_sha256").saveAsTable(self.name)
+        self._add(new.repartition(self.buckets, "text_sha256"))
 
 
-def deduplicate(docs: DataFrame, index: DigestIndex, batch: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Appends a batch to the index and returns the decision on each of its rows.
+def deduplicate(docs: DataFrame, index: DigestIndex, batch: str, id_col: str = "doc_id", text_col: str = "text", batches: int = 1) -> DataFrame:
+    """Appends a table to the index and returns the decision on each of its rows.
 
     Returns ``doc_id, keep_id, group_size, kept, text_sha256``. A row is kept if the
-    index had no such text before this batch and it is the first of its group by id.
-    ``group_size`` counts the rows of this batch. The hot groups of the last join are
-    split by adaptive execution; both its sides are plain shuffles of short rows.
+    index had no such text before and it is the first of its group by id. ``group_size``
+    counts the rows of this table. With ``batches`` the table is dealt by ranges of its ids
+    (numbers) into that many batches, each of which meets the digests of those before.
+    Appending the same ``batch`` again changes no decision. The hot groups of the last
+    join are split by adaptive execution; both its sides are plain shuffles of short rows.
     """
     rows = materialize(digests(docs, id_col, text_col), "digests")
-    found = materialize(groups(rows), "groups")
-    index.append(found, batch)
-    known = index.read().select("text_sha256", F.col("keep_id").alias("index_id"), "batch").hint("merge")
-    decided = materialize(
-        found.join(known, "text_sha256").select(
-            "text_sha256", F.col("index_id").alias("keep_id"), "group_size", F.when(F.col("batch") == batch, F.col("keep_row")).alias("keep_row")
-        ),
-        "decided",
-    )
+    bounds = rows.agg(F.percentile_approx("doc_id", [k / batches for k in range(1, batches)])).first()[0] if batches > 1 else None
+    part = F.lit(batches - 1) if not bounds else F.coalesce(sum((F.col("doc_id") > b).cast("int") for b in sorted(set(bounds))), F.lit(batches - 1))
+    first_rows = []
+    for k in range(batches):
+        found = materialize(groups(rows if batches == 1 else rows.filter(part == k)), "groups")
+        index.append(found, f"{batch}/{k}")
+        first_rows.append(found.select("text_sha256", "keep_row", "group_size", F.lit(f"{batch}/{k}").alias("batch")))
+    # a digest's first row is in the batch that brought it to the index
+    known = index.read().select("text_sha256", F.col("keep_id").alias("index_id"), F.col("batch").alias("brought_by")).hint("merge")
+    sizes = reduce(DataFrame.union, first_rows).groupBy("text_sha256").agg(F.sum("group_size").alias("group_size"), F.collect_list(F.struct("batch", "keep_row")).alias("firsts"))
+    brought = F.filter("firsts", lambda x: x["batch"] == F.col("brought_by"))
+    decided = sizes.join(known, "text_sha256").select("text_sha256", F.col("index_id").alias("keep_id"), "group_size", F.get(brought, F.lit(0))["keep_row"].alias("keep_row"))
+    decided = materialize(decided, "decided")
     return rows.join(decided.hint("merge"), "text_sha256").select(
         "doc_id", "keep_id", "group_size", F.coalesce(F.col("row") == F.col("keep_row"), F.lit(False)).alias("kept"), "text_sha256"
     )

@@ -62,9 +62,12 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents as the first batch of a new digest index."""
-    index = exact_dedup.DigestIndex(spark, f"digest_index_{uuid.uuid4().hex}")
-    return exact_dedup.deduplicate(table(spark, sf_dir, "documents"), index, "first")
+    """All documents in three batches by id, each against the digests of those before; the index is dropped at the end."""
+    docs = table(spark, sf_dir, "documents")
+    index = exact_dedup.DigestIndex(spark, f"digest_index_{uuid.uuid4().hex}", exact_dedup.buckets_for(docs.count()))
+    out = exact_dedup.deduplicate(docs, index, "documents", batches=3)
+    index.drop()
+    return out
 
 
 def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,8 @@ import hashlib
 import re
 import uuid
 
+import pytest
+
 from landspark.llm import exact_dedup
 from tests.llm.helpers import awkward, documents
 
@@ -44,6 +46,41 @@ def test_index_grows_by_batches(spark):
     assert ix.read().count() == 3
 
 
+@pytest.mark.parametrize("batches", [2, 3, 7])
+def test_batches_change_no_decision(spark, batches):
+    df = awkward(spark)
+    rows = [(r["doc_id"], r["text"]) for r in df.collect()]
+    ix = index(spark)
+    got = exact_dedup.deduplicate(df, ix, "b", batches=batches).collect()
+    assert sorted(map(str, ((r["doc_id"], r["keep_id"], r["group_size"], r["text_sha256"]) for r in got))) == sorted(map(str, expected(rows)))
+    groups = {}
+    for r in got:
+        groups.setdefault(r["text_sha256"], []).append(r)
+    assert all(sum(r["kept"] for r in g) == 1 and all(r["doc_id"] == r["keep_id"] for r in g if r["kept"]) for g in groups.values())
+    brought = {r["batch"] for r in ix.read().collect()}
+    assert len(brought) > 1 and len(ix.read().collect()) == len(groups)
+    again = exact_dedup.deduplicate(df, ix, "b", batches=batches).collect()
+    assert sorted(map(str, again)) == sorted(map(str, got))
+    ix.drop()
+    assert not spark.catalog.tableExists(ix.name)
+
+
+def test_registered_query_plans_the_anti_join(spark, monkeypatch):
+    from landspark.llm.queries import op9_exact_dedup
+
+    plans, unseen = [], exact_dedup.DigestIndex.unseen
+
+    def seen(self, found):
+        out = unseen(self, found)
+        plans.append((out._jdf.queryExecution().executedPlan().toString(), self.read().count()))
+        return out
+
+    monkeypatch.setattr(exact_dedup.DigestIndex, "unseen", seen)
+    assert op9_exact_dedup(spark, "/root/testdata/sf0.001").count() == 200
+    assert len(plans) == 3 and all("SortMergeJoin" in p and "LeftAnti" in p and "Bucketed: true" in p for p, _ in plans)
+    assert plans[0][1] == 0 < plans[1][1] < plans[2][1]
+
+
 def test_anti_join_reads_the_index_in_place(spark):
     ix = index(spark)
     exact_dedup.deduplicate(documents(spark, ["a"]), ix, "1")
