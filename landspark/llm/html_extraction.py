@@ -1,12 +1,19 @@
 """Main-text extraction from HTML by minimum cut.
 
 A page is read into blocks of text, cut at block-level tags. For every block a linear
-classifier gives the log-odds that it is content, from its ancestors' tags and names, its
-share of linked text, its length and its punctuation; these are terminal capacities of a
-graph. Neighbours in page order, and nearest blocks under one parent, are joined by
-smoothness edges. A maximum flow finds the labelling of least total cost: blocks on the
-source's side of the minimum cut are the main text. A page is one row's work; nothing is
-shuffled, and the graph of a page has at most two edges per block.
+classifier gives the log-odds that it is content, from the tags and names of its
+ancestors, its share of linked text, its length and its punctuation; these are terminal
+capacities of a graph. No single sign is beyond what text and neighbours can outweigh, but
+for what the page hides. Neighbours in page order, and nearest blocks under one parent,
+are joined by smoothness edges, which are weak where one block has a sign of an aside that
+the other lacks. A maximum flow finds the labelling of least total cost: blocks on the
+source's side of the minimum cut are the main text. So a link or a short line amid
+paragraphs is kept with them, and a sentence amid links goes with these. A page is one
+row's work; nothing is shuffled, and the graph of a page has at most two edges per block.
+
+Names are read token by token. A token of words for asides ("comments", "cookie-notice")
+counts in full; one with other words beside ("comments-on-theory", "ad-hoc-networks") by the
+share of such words, and not at all as the id of a heading or section, where it is an anchor.
 
 The text of scripts, styles, titles, form controls and comments never forms a block.
 Character references are decoded, white space within a block is one space, blocks are
@@ -31,48 +38,79 @@ _BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul".split()
 )
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_UNREAD = frozenset("script style title template noscript textarea select option button svg math iframe object canvas audio video map datalist".split())
+_UNREAD = frozenset("script style title template noscript textarea select option button svg annotation annotation-xml iframe object canvas audio video map datalist".split())
 #: Start tags that end an open element of these names.
 _ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
-_ASIDE = frozenset("nav footer aside form menu dialog search fieldset".split())
 _MAIN_NAMES = frozenset("article main content post entry story articlebody maincontent".split())
 _ASIDE_NAMES = frozenset(
-    "nav navbar navigation menu breadcrumb breadcrumbs masthead footer sidebar aside ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe signup login share sharing social related recommended recommendations comment comments reply replies respond disqus widget copyright toolbar pagination pager skip".split()
+    "nav navbar navigation menu breadcrumb breadcrumbs masthead header footer sidebar aside complementary contentinfo ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe signup login share sharing social related recommended recommendations comment comments reply replies respond disqus widget copyright toolbar pagination pager skip".split()
 )
-#: With one of these a name says how the page is laid out, as "has-sidebar" does.
+#: Words that say nothing of their own beside those.
+_PLAIN_NAMES = frozenset(
+    "site page global main primary secondary top bottom left right inner outer box block container section area list item items link links head title body bar row col column group unit slot module panel form button btn text content post posts article articles story stories icon icons js".split()
+)
+#: With one of these a token says how the page is laid out, as "has-sidebar" does.
 _LAYOUT_NAMES = frozenset("has with no without is layout wrapper wrap page open closed".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
-#: Log-odds of content; fixed by hand.
-INSIDE, OUTSIDE = 6.0, -9.0
-PRIOR, LINKED, SENTENCE, LONG, HEADING, SHORT = 0.5, -4.5, 1.0, 1.5, 0.5, -1.5
-#: Costs of parting two neighbours, and two nearest blocks of one parent.
-NEXT, SIBLING = 0.6, 0.8
+#: Log-odds of content; fixed by hand. Signs of tags, of a name in full, of what is hidden.
+ASIDE_TAGS = {"nav": -7.0, "footer": -7.0, "menu": -7.0, "search": -7.0, "aside": -6.0, "dialog": -6.0, "form": -6.0, "fieldset": -6.0, "header": -6.0}
+NAMED, HIDDEN = -6.0, -12.0
+INSIDE, INSIDE_NAMED = 2.5, 1.0
+#: Signs of the text.
+PRIOR, LINKED, SENTENCE, LONG, HEADING, SHORT = 0.25, -3.0, 1.0, 1.5, 0.5, -1.5
+#: Costs of parting two neighbours, and two nearest blocks of one parent; and the share of it where only one has a sign of an aside.
+NEXT, SIBLING, ACROSS = 0.8, 1.5, 0.1
+
+
+def _named(tag: str, attrs: dict[str, str]) -> tuple[float, bool]:
+    """The odds that an element's names give, 0 at most, and whether one is a name of main parts."""
+    odds, main = 0.0, False
+    for key in ("class", "id", "role", "itemprop"):
+        if key == "id" and tag in _HEADINGS:
+            continue
+        for token in attrs.get(key, "").split():
+            words = [w.lower() for w in _WORD.findall(token)]
+            known = sum(w in _ASIDE_NAMES for w in words)
+            if any(w in _MAIN_NAMES for w in words):
+                main |= not known
+                if known == sum(w in ("header", "footer") for w in words):  # the head or foot of the main part itself
+                    continue
+            if known and not any(w in _LAYOUT_NAMES for w in words):
+                own = all(w in _ASIDE_NAMES or w in _PLAIN_NAMES for w in words)
+                if own or not (key == "id" and tag == "section"):
+                    odds = min(odds, NAMED if own else NAMED * known / len(words))
+    return odds, main
 
 
 class _Element:
-    """An open element, with the log-odds that its place and names give its blocks.
+    """An open element, with the signs that its place gives its blocks: ``aside`` (0 at most) and ``inside``.
 
-    What is within a menu, a comment section and so on stays outside, whatever it is
-    called. A form may hold the whole page, so an article or main part within it counts.
+    The strongest sign of an aside around a block counts. A form may hold the whole page,
+    so an article or main part within it counts as if it were outside of it.
     """
 
-    __slots__ = ("closed", "odds", "parent", "tag")
+    __slots__ = ("aside", "inside", "only_form", "parent", "tag")
 
     def __init__(self, tag: str, attrs: list, parent: _Element | None):
         self.tag, self.parent = tag, parent
-        self.odds, self.closed = (parent.odds, parent.closed) if parent else (0.0, False)
-        if tag in ("html", "body") or self.closed:
+        self.aside, self.inside, self.only_form = (parent.aside, parent.inside, parent.only_form) if parent else (0.0, 0.0, True)
+        if tag in ("html", "body"):
             return
         named = {k: v or "" for k, v in attrs}
-        names = {w.lower() for k in ("class", "id", "role", "itemprop") for w in _WORD.findall(named.get(k, ""))} if named else set()
-        hidden = "hidden" in named or named.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", named.get("style", ""))
-        if tag in _ASIDE or (tag == "header" and self.odds <= 0) or (names & _ASIDE_NAMES and not names & _LAYOUT_NAMES) or hidden:
-            self.odds, self.closed = OUTSIDE, tag != "form"
-        elif tag in ("article", "main"):
-            self.odds = INSIDE
-        elif self.odds == 0 and names & _MAIN_NAMES:
-            self.odds = INSIDE / 2
+        odds, main = _named(tag, named) if named else (0.0, False)
+        if tag in ASIDE_TAGS and not (tag == "header" and self.inside > 0 and self.aside == 0):
+            odds = min(odds, ASIDE_TAGS[tag])
+        if "hidden" in named or named.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", named.get("style", "")):
+            odds = HIDDEN
+        if tag in ("article", "main") and self.only_form and odds == 0:
+            self.aside = 0.0
+        if odds < self.aside:
+            self.only_form = self.only_form and tag in ("form", "fieldset") and odds == ASIDE_TAGS[tag]
+            self.aside = odds
+        if self.aside == 0:
+            self.inside = max(self.inside, INSIDE if tag in ("article", "main") else INSIDE_NAMED if main else 0.0)
 
 
 class _Reader(HTMLParser):
@@ -160,7 +198,7 @@ def _home(element: _Element) -> _Element:
 def log_odds(element: _Element, text: str, linked: int) -> float:
     """The linear classifier: log-odds that a block is content."""
     words = text.count(" ") + 1
-    odds = element.odds + PRIOR
+    odds = PRIOR + element.aside + element.inside
     odds += LINKED * (linked > 0.5 * len(text))
     odds += SENTENCE * (text[-1] in ".!?…\"”。")
     odds += LONG * (words >= 12) + SHORT * (words < 4)
@@ -223,19 +261,34 @@ def minimum_cut(odds: list[float], edges: list[tuple[int, int, float]]) -> list[
                 at[a] += 1
 
 
-def main_text(html: str | None) -> str:
-    """The main text of a page."""
-    blocks = read_blocks(html)
+def smoothness(blocks: list[tuple[_Element, str, int]]) -> list[tuple[int, int, float]]:
+    """The edges of adjacency and of proximity in the document's tree."""
     edges, last = [], {}
+
+    def join(a: int, b: int, cost: float) -> None:
+        edges.append((a, b, cost if blocks[a][0].aside == blocks[b][0].aside else cost * ACROSS))
+
     for k, (element, _, _) in enumerate(blocks):
         if k:
-            edges.append((k - 1, k, NEXT))
+            join(k - 1, k, NEXT)
         parent = id(_home(element).parent or element)
         if parent in last:
-            edges.append((last[parent], k, SIBLING))
+            join(last[parent], k, SIBLING)
         last[parent] = k
-    keep = minimum_cut([log_odds(*b) for b in blocks], edges)
-    return "\n".join(text for (_, text, _), is_content in zip(blocks, keep, strict=True) if is_content)
+    return edges
+
+
+def labelled(html: str | None) -> list[tuple[str, float, bool]]:
+    """``text, log-odds, whether it is content`` of each block of a page."""
+    blocks = read_blocks(html)
+    odds = [log_odds(*b) for b in blocks]
+    keep = minimum_cut(odds, smoothness(blocks))
+    return [(text, x, k) for (_, text, _), x, k in zip(blocks, odds, keep, strict=True)]
+
+
+def main_text(html: str | None) -> str:
+    """The main text of a page."""
+    return "\n".join(text for text, _, is_content in labelled(html) if is_content)
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

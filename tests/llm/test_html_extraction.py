@@ -37,6 +37,62 @@ def test_names_of_elements():
         assert not kept(page), page
 
 
+PROSE = ["The first of these paragraphs says what the page is about, at some length.", "A second one goes on from there and gives the reasons that one may have for it.", "In the end there is a third paragraph, which sums up what was said before it."]
+
+
+def paragraphs(own=PROSE):
+    return "".join(f"<p>{p}</p>" for p in own)
+
+
+@pytest.mark.parametrize(
+    "page,want",
+    [
+        (f'<article><h2 id="related-work">Related work</h2>{paragraphs()}</article>', ["Related work", *PROSE]),
+        (f'<article><h1>A title of it</h1>{paragraphs()}<h2 id="sharing">Sharing</h2>{paragraphs()}</article>', ["A title of it", *PROSE, "Sharing", *PROSE]),
+        (f'<section id="comments-on-theory">{paragraphs()}</section>', PROSE),
+        (f'<div class="ad-hoc-networks">{paragraphs()}</div>', PROSE),
+        ("<article><p>It holds that</p><p><math><mi>a</mi><mo>=</mo><mi>b</mi><annotation>a=b</annotation></math></p><p>for all of them, as was shown.</p></article>", ["It holds that", "a=b", "for all of them, as was shown."]),
+    ],
+)
+def test_names_that_only_look_like_asides(page, want):
+    assert h.main_text(page).split("\n") == want
+
+
+#: Pages without article or main, as people write them, with the text that a reader would take.
+BY_HAND = [
+    (
+        f"""<body><div id="top"><a href="/">Home</a> | <a href="/x">Archive</a> | <a href="/y">Contact</a></div>
+        <table><tr><td><font size=5>On the keeping of bees</font></td></tr><tr><td>{paragraphs()}<p>See also:</p><p><a href="/q">The book of hives</a></p>{paragraphs()}</td></tr></table>
+        <div class="copyright">Copyright 2003 by the keeper of this site, who reserves all rights to it.</div></body>""",
+        ["On the keeping of bees", *PROSE, "See also:", "The book of hives", *PROSE],
+    ),
+    (
+        f"""<body><div class="site-header"><div>My journal</div><p>Notes from a small town on the coast, and of the people in it.</p></div>
+        <div class="sidebar-left"><p>About me: I live here, and I write down what happens in this town.</p><ul><li><a>June</a></li><li><a>May</a></li></ul></div>
+        <div><h2>Rain</h2><p>It rained.</p>{paragraphs()}<p>Wet feet</p><p>It was good that I had taken the old boots along with me, after all.</p></div>
+        <div id="comments"><p>What a fine piece this is, I have read it with great pleasure today.</p><p>Me too, and I hope that there will be more of these notes soon.</p></div></body>""",
+        ["Rain", "It rained.", *PROSE, "Wet feet", "It was good that I had taken the old boots along with me, after all."],
+    ),
+    (
+        f"""<body><ul><li><a>News</a></li><li><a>Sport</a></li><li>Weather</li><li><a>Money</a></li></ul><div class="story"><h1>Bridge opens</h1><h3>By a writer</h3>{paragraphs()}
+        <div class="ad-banner">Cars at half the price, but only until the end of this month, so come and see.</div>{paragraphs()}<blockquote>It stands</blockquote>{paragraphs()}</div>
+        <div class="newsletter-signup"><p>Get the best of our stories in your mail on every morning of the week.</p></div></body>""",
+        ["Bridge opens", "By a writer", *PROSE, *PROSE, "It stands", *PROSE],
+    ),
+]
+
+
+@pytest.mark.parametrize("page,want", BY_HAND)
+def test_pages_without_article(page, want):
+    assert h.main_text(page).split("\n") == want
+
+
+def test_the_cut_decides_blocks_of_weak_markup():
+    blocks = [b for page, _ in BY_HAND for b in h.labelled(page)]
+    flipped = [(text, keep) for text, odds, keep in blocks if keep != (odds > 0)]
+    assert len(flipped) >= 0.1 * len(blocks) and ("The book of hives", True) in flipped and ("Wet feet", True) in flipped
+
+
 @pytest.mark.parametrize("page", [None, "", "  \n", "<html></html>", "<p>", "<!-- never closed", "<script>x", "<p><b><i></p></b>", "&#0; &#xD800; &bogus; <", "</p></div></html>"])
 def test_odd_pages(page):
     assert isinstance(h.main_text(page), str)
