@@ -1,8 +1,11 @@
 """License scans: exact phrases and a set-similarity join with templates (native).
 
 Whole texts are tokenised once. Fixed phrases are found at every place. Beyond them, an
-exact set-similarity join finds every text block (the text between line breaks or
-sentence ends) that contains at least ``threshold`` of a template's distinct words:
+exact set-similarity join finds every text block that contains at least ``threshold`` of a
+template's distinct words, the words that tell it from others among them. Blocks are
+spans of ``2 * STEP`` words, one from every ``STEP`` words on, whatever marks or line breaks are
+between the words, so a notice of up to ``STEP + 1`` words lies whole in a block however it
+is wrapped; no template is longer.
 
 * words are ordered by the number of documents that have them, over all documents,
   rarest first;
@@ -11,8 +14,9 @@ sentence ends) that contains at least ``threshold`` of a template's distinct wor
 * length filter: the block has ``need`` template words at least;
 * positional filter: from the first common word on, both have enough words left.
 
-Candidates are then counted exactly. Only template words take part; other words never
-match. A block of many words yields one row per prefix word and template at most.
+Candidates are then counted exactly. A license gives way to its kinds (``KINDS``: an
+attribution license to its non-commercial kind) in a block where both are found. Only template words take part; other words never match. A block yields one row
+per prefix word and template at most.
 
 Null texts count as empty and have no words. Repeated rows are scanned each for itself.
 An empty table gives an empty result. Only id and text are read.
@@ -28,27 +32,48 @@ from pyspark.sql import functions as F
 from landspark.llm.common import materialize
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-BLOCK_END = r"[.!?][\x20\x09-\x0D]|\n"
+#: Words from one block's start to the next one's; a block is twice as long.
+STEP = 30
 
 #: Phrases whose places are counted, and their labels.
 PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
 
-#: Notices that public licenses ask for, as templates, and their labels.
+#: Notices that public licenses ask for, as templates: label, words, and those that must be there.
 TEMPLATES = [
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
-    ("mit", "released under the terms of the mit license"),
-    ("apache-2", "licensed under the apache license version 2 0 you may not use this file except in compliance with the license"),
-    ("apache-2", "licensed under the apache license version 2 0"),
-    ("gpl-3", "this work is licensed under the gnu general public license version 3"),
-    ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
-    ("cc-by-nc", "this work is licensed under a creative commons attribution noncommercial 4 0 international license"),
-    ("cc-by-sa", "this work is licensed under a creative commons attribution sharealike 4 0 international license"),
-    ("cc-by", "this work is licensed under a creative commons attribution 4 0 international license"),
-    ("mpl-2", "this source code form is subject to the terms of the mozilla public license v 2 0"),
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", "associated files"),
+    ("mit", "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software", "substantial portions permission"),
+    ("mit", "released under the terms of the mit license", "mit license"),
+    ("mit", "this project is licensed under the mit license", "mit license"),
+    ("apache-2", "licensed under the apache license version 2 0 you may not use this file except in compliance with the license", "apache compliance 2"),
+    ("apache-2", "licensed under the apache license version 2 0", "apache 2"),
+    ("apache-2", "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis", "applicable agreed basis"),
+    ("gpl-3", "this work is licensed under the gnu general public license version 3", "gnu general 3"),
+    ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation", "gnu general foundation"),
+    ("gpl", "this program is distributed in the hope that it will be useful but without any warranty", "hope useful warranty"),
+    ("lgpl", "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation", "gnu lesser foundation"),
+    ("agpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation", "gnu affero foundation"),
+    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met", "redistribution binary conditions"),
+    ("bsd", "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer", "redistributions retain disclaimer"),
+    ("bsd", "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software", "contributors endorse promote"),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", "fee purpose granted"),
+    ("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages", "authors held damages"),
+    ("boost", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license", "organization accompanying"),
+    ("unlicense", "this is free and unencumbered software released into the public domain", "unencumbered domain"),
+    ("cc0", "to the extent possible under law the author has waived all copyright and related or neighboring rights to this work", "waived neighboring"),
+    ("cc-by-nc", "this work is licensed under a creative commons attribution noncommercial 4 0 international license", "creative commons noncommercial"),
+    ("cc-by-nc-sa", "this work is licensed under a creative commons attribution noncommercial sharealike 4 0 international license", "creative commons noncommercial sharealike"),
+    ("cc-by-nd", "this work is licensed under a creative commons attribution noderivatives 4 0 international license", "creative commons noderivatives"),
+    ("cc-by-sa", "this work is licensed under a creative commons attribution sharealike 4 0 international license", "creative commons sharealike"),
+    ("cc-by", "this work is licensed under a creative commons attribution 4 0 international license", "creative commons attribution"),
+    ("mpl-2", "this source code form is subject to the terms of the mozilla public license v 2 0", "mozilla public 2"),
+    ("epl", "this program and the accompanying materials are made available under the terms of the eclipse public license", "eclipse public materials"),
 ]
 
 
+#: Licenses whose notices hold much of the key's notice too.
+KINDS = {"gpl": ["lgpl", "agpl"], "cc-by": ["cc-by-nc", "cc-by-sa", "cc-by-nd", "cc-by-nc-sa"], "cc-by-nc": ["cc-by-nc-sa"], "cc-by-sa": ["cc-by-nc-sa"]}
+
+
 def lowered(text: Column) -> Column:
     """The text with A-Z in lower case; null as empty."""
     return F.translate(F.coalesce(text, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -68,12 +93,12 @@ def phrase_places(words: Column, line: Column, phrase: str) -> Column:
     return F.when(line.contains(f" {phrase} "), starts).otherwise(F.array().cast("array<bigint>"))
 
 
-def templates(threshold: float) -> list[tuple[int, str, list[str], int]]:
-    """``id, label, distinct words, words needed`` of each template."""
+def templates(threshold: float) -> list[tuple[int, str, list[str], int, list[str], list[str]]]:
+    """``id, label, distinct words, words needed, words that must be there, labels it gives way to`` of each template."""
+    sets = [set(text.split(" ")) for _, text, _ in TEMPLATES]
     out = []
-    for k, (label, text) in enumerate(TEMPLATES):
-        words = sorted(set(text.split(" ")))
-        out.append((k, label, words, math.ceil(threshold * len(words) - 1e-9)))
+    for k, (label, _, musts) in enumerate(TEMPLATES):
+        out.append((k, label, sorted(sets[k]), math.ceil(threshold * len(sets[k]) - 1e-9), musts.split(" "), KINDS.get(label, [])))
     return out
 
 
@@ -81,25 +106,29 @@ def matched_blocks(blocks: DataFrame, known: DataFrame, frequency: DataFrame) ->
     """The set-similarity join: ``row, block, template, label, containment``.
 
     ``blocks`` has ``row, block, words`` (distinct template words), ``known`` has
-    ``template, label, word, need, n``, ``frequency`` has ``word, documents``.
+    ``template, label, word, need, n, musts, over``, ``frequency`` has ``word, documents``.
     """
     rank = frequency.select("word", F.struct("documents", "word").alias("rank"))
     # a template's words from the rarest on; words that no document has come first
     placed = known.join(rank, "word", "left").withColumn("rank", F.coalesce("rank", F.struct(F.lit(0).cast("long").alias("documents"), F.col("word"))))
-    by_template = placed.groupBy("template", "label", "need", "n").agg(F.array_sort(F.collect_list("rank")).alias("ordered"))
-    prefix = by_template.select("template", "label", "need", "n", F.posexplode("ordered").alias("i", "rank"), F.transform("ordered", lambda r: r["word"]).alias("template_words"))
-    prefix = prefix.filter(F.col("i") <= F.col("n") - F.col("need")).select("template", "label", "need", "n", "i", F.col("rank.word").alias("word"), "template_words")
+    by_template = placed.groupBy("template", "label", "need", "n", "musts", "over").agg(F.array_sort(F.collect_list("rank")).alias("ordered"))
+    prefix = by_template.select("template", "label", "need", "n", "musts", "over", F.posexplode("ordered").alias("i", "rank"), F.transform("ordered", lambda r: r["word"]).alias("template_words"))
+    prefix = prefix.filter(F.col("i") <= F.col("n") - F.col("need")).select("template", "label", "need", "n", "musts", "over", "i", F.col("rank.word").alias("word"), "template_words")
     own = blocks.select("row", "block", "words", F.explode("words").alias("word")).join(rank, "word")
     own = own.groupBy("row", "block").agg(F.array_sort(F.collect_list("rank")).alias("ordered"), F.first("words").alias("words"))
     own = own.select("row", "block", "words", F.size("words").alias("m"), F.posexplode("ordered").alias("j", "rank")).withColumn("word", F.col("rank.word"))
     joined = own.join(prefix, "word").filter((F.col("m") >= F.col("need")) & (F.least(F.col("n") - F.col("i"), F.col("m") - F.col("j")) >= 1))
-    first = joined.groupBy("row", "block", "template", "label", "need", "n").agg(
+    first = joined.groupBy("row", "block", "template", "label", "need", "n", "musts", "over").agg(
         F.min_by(F.struct("i", "j"), "i").alias("at"), F.first("words").alias("words"), F.first("m").alias("m"), F.first("template_words").alias("template_words")
     )
     # from the first common word on, both must have as many words left as are needed
     first = first.filter(F.least(F.col("n") - F.col("at.i"), F.col("m") - F.col("at.j")) >= F.col("need"))
     common = F.size(F.array_intersect("words", "template_words"))
-    return first.withColumn("common", common).filter("common >= need").select("row", "block", "template", "label", (F.col("common") / F.col("n")).alias("containment"))
+    must = F.forall("musts", lambda w: F.array_contains("words", w))
+    found = first.withColumn("common", common).filter((F.col("common") >= F.col("need")) & must)
+    found = found.groupBy("row", "block").agg(F.collect_list(F.struct("template", "label", (F.col("common") / F.col("n")).alias("containment"), "over")).alias("own"))
+    stays = F.filter("own", lambda x: ~F.exists("own", lambda y: F.array_contains(x["over"], y["label"])))
+    return found.select("row", "block", F.inline(stays)).drop("over")
 
 
 def scan(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -109,22 +138,27 @@ def scan(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_c
     phrase), the second is as :func:`matched_blocks` returns it.
     """
     spark, known = docs.sparkSession, templates(threshold)
-    vocabulary = sorted({w for _, _, words, _ in known for w in words})
+    vocabulary = sorted({w for _, _, own, *_ in known for w in own})
     words, line = F.col("words"), F.col("line")
     hits = F.array_intersect(words, F.array(*[F.lit(w) for w in vocabulary]))
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), lowered(F.col(text_col)).alias("text"))
     rows = rows.withColumn("words", F.regexp_extract_all("text", F.lit(WORD), F.lit(0))).withColumn("line", F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" ")))
     # a block's words are words of its document, so other documents have no match
     may = F.lit(False)
-    for _, _, own, need in known:
-        may |= F.size(F.array_intersect("hits", F.array(*[F.lit(w) for w in own]))) >= need
-    rows = rows.select("row", "doc_id", F.size(words).cast("long").alias("n_words"), F.array(*[phrase_places(words, line, p) for p in PHRASES]).alias("places"), hits.alias("hits"), "text")
-    rows = materialize(rows.withColumn("text", F.when(may, F.col("text"))), "scanned")
+    for _, _, own, need, musts, _ in known:
+        must = F.forall(F.array(*[F.lit(w) for w in musts]), lambda w: F.array_contains("hits", w))
+        may |= must & (F.size(F.array_intersect("hits", F.array(*[F.lit(w) for w in own]))) >= need)
+    least = min(need for _, _, _, need, _, _ in known)
+    # of every block the distinct template words, in documents that may have a match
+    span = lambda i: F.array_distinct(F.filter(F.slice(words, i + 1, 2 * STEP), lambda w: w.isin(vocabulary)))
+    spans = F.transform(F.sequence(F.lit(0), F.greatest(F.size(words) - 1, F.lit(0)), F.lit(STEP)), lambda i: F.struct((i / STEP).cast("int").alias("block"), span(i).alias("words")))
+    spans = F.filter(spans, lambda b: F.size(b["words"]) >= least)
+    rows = rows.select("row", "doc_id", F.size(words).cast("long").alias("n_words"), F.array(*[phrase_places(words, line, p) for p in PHRASES]).alias("places"), hits.alias("hits"), "words")
+    rows = materialize(rows.withColumn("blocks", F.when(may, spans)).drop("words"), "scanned")
     frequency = rows.select(F.explode("hits").alias("word")).groupBy("word").agg(F.count("*").alias("documents"))
-    blocks = rows.filter("text IS NOT NULL").select("row", F.posexplode(F.split("text", BLOCK_END)).alias("block", "part"))
-    part_words = F.array_intersect(F.regexp_extract_all("part", F.lit(WORD), F.lit(0)), F.array(*[F.lit(w) for w in vocabulary]))
-    blocks = blocks.select("row", "block", part_words.alias("words")).filter(F.size("words") >= min(need for *_, need in known))
-    table = spark.createDataFrame([(k, label, w, need, len(own)) for k, label, own, need in known for w in own], "template int, label string, word string, need int, n int")
+    blocks = rows.select("row", F.inline("blocks"))
+    schema = "template int, label string, word string, need int, n int, musts array<string>, over array<string>"
+    table = spark.createDataFrame([(k, label, w, need, len(own), musts, over) for k, label, own, need, musts, over in known for w in own], schema)
     return rows, matched_blocks(blocks, table, frequency)
 
 

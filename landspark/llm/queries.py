@@ -91,7 +91,7 @@ QUERIES = {
 }
 
 def _op5_sql() -> str:
-    known = ", ".join(f"('{label}', {words}, {need})" for _, label, words, need in license_scan.templates(0.8))
+    known = ", ".join(f"({k}, '{label}', {words}, {need}, {musts}, {over}::VARCHAR[])" for k, label, words, need, musts, over in license_scan.templates(0.8))
     phrases = ", ".join(f"({k}, '{p}', '{label}')" for k, (p, label) in enumerate(license_scan.PHRASES.items()))
     word = license_scan.WORD
     return rf'''
@@ -105,13 +105,15 @@ def _op5_sql() -> str:
         base AS (
             SELECT doc_id, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word, list(DISTINCT label) AS labels
             FROM spots GROUP BY doc_id),
-        known(label, own, need) AS (VALUES {known}),
+        known(template, label, own, need, musts, over) AS (VALUES {known}),
         parts AS (
-            SELECT doc_id, unnest(list_transform(regexp_split_to_array(t, '{license_scan.BLOCK_END}'), lambda p: list_distinct(regexp_extract_all(p, '{word}')))) AS p
-            FROM d),
+            SELECT doc_id, unnest(list_transform(range(0, greatest(len(ws), 1), {license_scan.STEP}), lambda i: {{'block': i, 'p': list_distinct(ws[i + 1 : i + {2 * license_scan.STEP}])}}), recursive := true) FROM w),
+        hits AS (
+            SELECT doc_id, block, template, label, over, len(list_intersect(p, own)) / len(own) AS containment
+            FROM parts, known WHERE len(list_intersect(p, own)) >= need AND list_has_all(p, musts)),
         found AS (
-            SELECT doc_id, list(DISTINCT label) AS labels, max(len(list_intersect(p, own)) / len(own)) AS score
-            FROM parts, known WHERE len(list_intersect(p, own)) >= need GROUP BY doc_id)
+            SELECT doc_id, list(DISTINCT label) AS labels, max(containment) AS score
+            FROM hits a WHERE NOT EXISTS (FROM hits b WHERE a.doc_id = b.doc_id AND a.block = b.block AND list_contains(a.over, b.label)) GROUP BY doc_id)
         SELECT doc_id, len(ws) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
                coalesce(array_to_string(list_sort(base.labels), ','), '') AS base_labels,
                coalesce(array_to_string(list_sort(list_distinct(list_concat(base.labels, found.labels))), ','), '') AS labels,

@@ -1,5 +1,7 @@
 import re
 
+import pytest
+
 from landspark.llm import license_scan
 from tests.llm.helpers import awkward, documents
 
@@ -13,12 +15,15 @@ def brute(text):
     every = [i for own in places.values() for i in own]
     base = sorted(label for label, own in places.items() if own)
     best, found = 0.0, set(base)
-    for part in re.split(license_scan.BLOCK_END, low):
-        own = set(WORD.findall(part))
-        for _, label, template, need in license_scan.templates(0.8):
-            if len(own & set(template)) >= need:
+    for at in range(0, max(1, len(words)), license_scan.STEP):
+        own, hits = set(words[at : at + 2 * license_scan.STEP]), {}
+        for k, label, template, need, musts, over in license_scan.templates(0.8):
+            if len(own & set(template)) >= need and own.issuperset(musts):
+                hits[k] = label, len(own & set(template)) / len(template), over
+        for label, share, over in hits.values():
+            if not {x[0] for x in hits.values()} & set(over):
                 found.add(label)
-                best = max(best, len(own & set(template)) / len(template))
+                best = max(best, share)
     return (len(words), len(every), min(every, default=None), max(every, default=None), ",".join(base), ",".join(sorted(found)), 1.0 if every else best)
 
 
@@ -30,6 +35,34 @@ TEXTS = [
 ]
 
 
+#: Notices as license files wrap them.
+WRAPPED = {
+    "mit": "MIT License\n\nPermission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal\nin the Software without restriction.",
+    "gpl": "    This program is free software: you can redistribute it and/or modify\n    it under the terms of the GNU General Public License as published by\n    the Free Software Foundation, either version 2 of the License, or\n    (at your option) any later version.",
+    "lgpl": "# This library is free software; you can redistribute it and/or\n# modify it under the terms of the GNU Lesser General Public\n# License as published by the Free Software Foundation; either\n# version 2.1 of the License.",
+    "bsd": " * Redistribution and use in source and binary forms, with or without\n * modification, are permitted provided that the following conditions are met:\n *\n * 1. Redistributions of source code must retain the above copyright notice, this\n *    list of conditions and the following disclaimer.",
+    "apache-2": "Licensed under the Apache License, Version 2.0 (the \"License\");\nyou may not use this file except in compliance with the License.\nYou may obtain a copy of the License at",
+    "cc-by-nc": "This work is licensed under a\nCreative Commons Attribution-NonCommercial\n4.0 International License.",
+    "mpl-2": "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not distributed with this\nfile, You can obtain one.",
+    "boost": "Permission is hereby granted, free of charge, to any person or organization\nobtaining a copy of the software and accompanying documentation covered by\nthis license.",
+    "": "released under the terms of the BSD license, and nothing else is said of it in this text\nthe software, the license, the terms of it, under which any person may use it",
+}
+
+
+@pytest.mark.parametrize("before", [0, 7, 29, 30, 31, 44, 59, 60, 600])
+def test_wrapped_notices(spark, before):
+    filler = " ".join(f"w{k}" for k in range(before))
+    texts = [f"{filler}\n{t}\n{filler}" for t in WRAPPED.values()]
+    got = dict(result(documents(spark, texts)))
+    assert [got[k][5] for k in range(len(texts))] == list(WRAPPED)
+    assert got == {k: brute(t) for k, t in enumerate(texts)}
+
+
+def test_templates_fit_into_a_block():
+    for _, text, musts in license_scan.TEMPLATES:
+        assert len(text.split(" ")) <= license_scan.STEP + 1 and set(musts.split(" ")) <= set(text.split(" "))
+
+
 def result(df):
     return [(r["doc_id"], tuple(r)[1:]) for r in license_scan.label(df).collect()]
 
