@@ -46,9 +46,10 @@ def bench(spark, items):
     return spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
 
 
-@pytest.mark.parametrize("part", [20_000, 4])
+@pytest.mark.parametrize("part", [8_000_000, 500])
 def test_brute_force(spark, monkeypatch, part):
-    monkeypatch.setattr(d, "ITEMS", part)
+    monkeypatch.setattr(d, "PART_BYTES", part)
+    monkeypatch.setattr(d, "SIEVE_BITS", 20)
     texts, items = cases()
     got = {(r["doc_id"], r["item_id"]): r["similarity"] for r in d.contaminated(documents(spark, texts), bench(spark, items)).collect()}
     want = brute(texts, items)
@@ -80,10 +81,42 @@ def test_documents_shorter_than_the_item(spark):
 def test_index_finds_all_within_the_radius():
     rng = np.random.default_rng(1)
     items = [(k, [b"w%d" % x for x in rng.integers(0, 99, 20)]) for k in range(200)]
-    one = d.SameLength(5, items, 20)
-    fps = np.concatenate([one.fps ^ np.uint64(sum(1 << int(b) for b in rng.choice(64, n, replace=False))) for n in (0, 5, 15, 20, 21)])
-    w, i = one.candidates(fps)
-    assert set(zip(w.tolist(), i.tolist(), strict=True)) == {(a, b) for a in range(len(fps)) for b in range(200) if int(fps[a] ^ one.fps[b]).bit_count() <= 20}
+    for radius in (17, 20, 4, 0):
+        one = d.SameLength(5, items, radius)
+        fps = np.concatenate([one.fps ^ np.uint64(sum(1 << int(b) for b in rng.choice(64, n, replace=False))) for n in (0, 1, 4, 5, 15, 17, 18, 20, 21) for _ in range(3)])
+        w, i = one.candidates(fps)
+        assert set(zip(w.tolist(), i.tolist(), strict=True)) == {(a, b) for a in range(len(fps)) for b in range(200) if int(fps[a] ^ one.fps[b]).bit_count() <= radius}
+
+
+def test_index_passes_few_unrelated_items():
+    rng = np.random.default_rng(5)
+    one = d.SameLength(5, [(k, [b"w%d" % x for x in rng.integers(0, 10**6, 40)]) for k in range(500)], 17)
+    passed = one.possible(rng.integers(0, 2**64, 4000, dtype="u8"))
+    assert passed.mean() < 0.18
+
+
+@pytest.mark.parametrize("n", [16, 25, 40, 59])
+def test_recall_at_the_threshold(n):
+    rng = random.Random(n)
+    found = every = 0
+    while every < 400:
+        own = [f"w{rng.randrange(10**6)}" for _ in range(n)]
+        other = list(own)
+        for _ in range(rng.randint(1, 3)):  # near an end an edit spoils few shingles
+            other[rng.choice([0, 1, 2, 3, n - 4, n - 3, n - 2, n - 1, rng.randrange(n)])] = f"w{rng.randrange(10**6)}"
+        index = d.BenchmarkIndex([(0, " ".join(own))], 5, 17)
+        c, win = (Counter(tuple(x[s : s + 5]) for s in range(n - 4)) for x in (own, other))
+        same = (c & win).total() / (c | win).total()
+        if 0.8 <= same < 0.87:
+            every += 1
+            found += next(index.matches(" ".join(other), 0.8), None) is not None
+    assert found >= 0.97 * every
+
+
+def test_ids_of_text(spark):
+    items = spark.createDataFrame([("q-1", "one two three four five six")], "item_id string, text string")
+    got = d.contaminated(documents(spark, ["zero one two three four five six seven"]), items).collect()
+    assert [(r["doc_id"], r["item_id"], r["similarity"], r["first_word"]) for r in got] == [(0, "q-1", 1.0, 1)]
 
 
 def test_awkward_rows(spark):
