@@ -26,19 +26,21 @@ def content_key(id_col: str, text_col: str) -> tuple[Column, Column]:
     return F.xxhash64(i, i.isNull(), t, t.isNull()), F.xxhash64(F.lit(1), t, t.isNull(), i, i.isNull())
 
 
-def bounded_sample(rows: DataFrame, by: str, id_col: str, most: int) -> tuple[DataFrame, dict]:
-    """Up to about ``most`` rows of each value of ``by``, those of the smallest id hashes, and all counts.
+def bounded_sample(rows: DataFrame, by: str, most: int) -> tuple[DataFrame, dict]:
+    """Up to ``most`` distinct keys of each value of ``by``, those of the smallest hashes, and all rows' counts.
 
-    A hash threshold thins large classes before their rows are ranked, so no task ranks
-    many more than ``most``. The values of ``by`` are few.
+    ``rows`` has ``by`` and the columns ``_k1, _k2`` of :func:`content_key`, so repeated rows are one
+    key and rows of one id but other texts are several. A hash threshold thins large
+    classes before their keys are ranked, so no task ranks many more than ``most``. The
+    values of ``by`` are few, so the keys are bounded by ``most`` and fit for a broadcast.
     """
-    counts = {r[by]: r["n"] for r in rows.groupBy(by).agg(F.count("*").alias("n")).collect()}
+    found = rows.groupBy(by).agg(F.count("*").alias("n"), F.approx_count_distinct("_k1", 0.02).alias("keys")).collect()
     spark = rows.sparkSession
-    shares = spark.createDataFrame([(k, min(1.0, 1.2 * most / n)) for k, n in counts.items()], f"_by {rows.schema[by].dataType.simpleString()}, _share double")
-    h = F.pmod(F.xxhash64(id_col), F.lit(1 << 30))
-    thin = rows.join(F.broadcast(shares), F.col(by) == F.col("_by")).filter(h < F.col("_share") * (1 << 30)).drop("_by", "_share")
-    nth = F.row_number().over(W.partitionBy(by).orderBy(h, id_col))
-    return thin.withColumn("_nth", nth).filter(F.col("_nth") <= most).drop("_nth"), counts
+    shares = spark.createDataFrame([(r[by], min(1.0, 1.2 * most / r["keys"])) for r in found], f"_by {rows.schema[by].dataType.simpleString()}, _share double")
+    h = F.pmod(F.xxhash64("_k1", "_k2"), F.lit(1 << 30))
+    thin = rows.join(F.broadcast(shares), F.col(by) == F.col("_by")).filter(h < F.col("_share") * (1 << 30)).select(by, "_k1", "_k2").distinct()
+    nth = F.row_number().over(W.partitionBy(by).orderBy(h, "_k1", "_k2"))
+    return thin.withColumn("_nth", nth).filter(F.col("_nth") <= most).drop("_nth"), {r[by]: r["n"] for r in found}
 
 
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:

@@ -3,13 +3,15 @@
 A text's words (1- and 2-grams, a word and itself counting as one 2-gram) and characters (1- to 3-grams), with their case and
 punctuation, are hashed into buckets; a bucket's indicator is scaled by the log-ratio of
 its counts in the two classes, taken over a bounded sample of the labelled rows
-(``COUNT_ROWS`` of each class, those of the smallest hashes). A linear hinge-loss model is
-fitted to unit rows of these by dual coordinate descent on ``FIT_ROWS`` of them, and its
-margin is turned into a probability by a logistic fit on the same rows; each row weighs
-as its class does among all labelled rows.
+(``COUNT_ROWS`` distinct rows of each class, those of the smallest hashes of id and text). A
+linear hinge-loss model is fitted to unit rows of these by dual coordinate descent on
+``FIT_ROWS`` of them, and its margin is turned into a probability by a logistic fit on the
+same rows; each row weighs as its class does among all labelled rows. Texts become sets of
+buckets, of 2 bytes each and at most 128 KB, before anything is gathered.
 
 Null and empty texts have no n-gram: their score is that of a zero margin. Rows without a
-label or text are not learned from; of several labels of an id the largest counts. With
+label, id or text are not learned from; of several labels of an id the largest counts.
+Repeated rows are learned from once, rows of one id and other texts each for itself. With
 fewer than two classes every score is the share of label 1, or 0.5 without labels. Long
 texts are read in full. Only id, text and label are read.
 """
@@ -24,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from landspark.llm.common import Scratch, bounded_sample, small_batches
+from landspark.llm.common import Scratch, bounded_sample, content_key, small_batches
 from landspark.llm.ngrams import code_points, grams
 
 BUCKETS, SIZES = 1 << 16, (1, 2, 3)
@@ -48,20 +50,20 @@ def buckets(text: str | None) -> np.ndarray:
     return np.nonzero(marks)[0]
 
 
-def log_count_ratios(training: DataFrame) -> tuple[np.ndarray, int, int]:
-    """The ratio of every bucket and the rows of each class, over all of ``text, label``."""
+def log_count_ratios(rows: DataFrame) -> tuple[np.ndarray, int, int]:
+    """The ratio of every bucket and the rows of each class, over all of ``label, own`` (buckets of 2 bytes)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, rows = np.zeros((2, BUCKETS), "i8"), [0, 0]
         for b in batches:
-            for t, y in zip(b.column(0), b.column(1).to_pylist(), strict=True):
-                n[y, buckets(t.as_py())] += 1
+            for y, own in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                n[y, np.frombuffer(own.as_py(), "<u2")] += 1
                 rows[y] += 1
         have = np.nonzero(n.any(0))[0]
         columns = [pa.array([-1, *have], pa.int32()), *(pa.array([rows[y], *n[y, have]], pa.int64()) for y in (0, 1))]
         yield pa.record_batch(columns, names=["bucket", "n0", "n1"])
 
-    found = training.select("text", "label").mapInArrow(run, "bucket int, n0 long, n1 long").groupBy("bucket").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toArrow()
+    found = rows.select("label", "own").mapInArrow(run, "bucket int, n0 long, n1 long").groupBy("bucket").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toArrow()
     at = found.column("bucket").to_numpy()  # one row per bucket
     n = np.ones((2, BUCKETS + 1))
     for y in (0, 1):
@@ -115,14 +117,20 @@ class QualityModel:
         """From all rows of ``docs`` that have a 0 or 1 in ``labels``."""
         small_batches(docs.sparkSession)
         known = labels.filter(F.col(label_col).isin(0, 1)).groupBy(F.col(id_col).alias("doc_id")).agg(F.max(label_col).cast("int").alias("label"))
-        rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-        # ids are matched first, so that only texts of the sample are read on, and none is shuffled
-        labelled = rows.select("doc_id").distinct().join(known, "doc_id")
-        ids, counts = bounded_sample(labelled, "label", "doc_id", COUNT_ROWS)
-        n0, n1 = counts.get(0, 0), counts.get(1, 0)
+        k1, k2 = content_key(id_col, text_col)
+        rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), k1.alias("_k1"), k2.alias("_k2")).filter("text IS NOT NULL")
+        # ids and keys are matched first, so that no text is shuffled
+        keys, counts = bounded_sample(rows.select("doc_id", "_k1", "_k2").join(known, "doc_id").select("label", "_k1", "_k2"), "label", COUNT_ROWS)
+
+        def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                own = [buckets(t.as_py()).astype("<u2").tobytes() for t in b.column(3)]
+                yield pa.record_batch([*b.columns[:3], pa.array(own, pa.binary())], names=["label", "_k1", "_k2", "own"])
+
         with Scratch(docs.sparkSession) as write:
-            rows = write(rows.filter("text IS NOT NULL").join(F.broadcast(ids), "doc_id"), "labelled")  # twice COUNT_ROWS ids
-            return cls._fit(rows, n0, n1)
+            sample = rows.join(F.broadcast(keys), ["_k1", "_k2"]).groupBy("label", "_k1", "_k2").agg(F.first("text").alias("text"))  # twice COUNT_ROWS keys
+            sample = write(sample.mapInArrow(cut, "label int, _k1 long, _k2 long, own binary"), "labelled")
+            return cls._fit(sample, counts.get(0, 0), counts.get(1, 0))
 
     @classmethod
     def _fit(cls, rows: DataFrame, n0: int, n1: int) -> QualityModel:
@@ -130,14 +138,14 @@ class QualityModel:
         if not k0 or not k1:
             share = n1 / (n0 + n1) if n0 + n1 else 0.5
             return cls(np.zeros(BUCKETS), ratios, 0.0, 0.0, float(np.log(max(share, 1e-9) / max(1 - share, 1e-9))))
-        ids, _ = bounded_sample(rows.select("doc_id", "label").distinct(), "label", "doc_id", FIT_ROWS)
-        sample = rows.join(F.broadcast(ids.select("doc_id")), "doc_id", "left_semi").select(F.lit(0).alias("one"), "doc_id", "text", "label")
+        keys, _ = bounded_sample(rows.select("label", "_k1", "_k2"), "label", FIT_ROWS)
+        sample = rows.join(F.broadcast(keys), ["label", "_k1", "_k2"], "left_semi").select(F.lit(0).alias("one"), "_k1", "_k2", "own", "label")
         shared = rows.sparkSession.sparkContext.broadcast(ratios)
 
         def fit(rows: pa.Table) -> pa.Table:
-            rows, r = rows.sort_by([("doc_id", "ascending"), ("label", "ascending")]), shared.value
-            xs = [buckets(t.as_py()) for t in rows.column("text")]
-            vs = [r[x] / max(np.linalg.norm(r[x]), 1e-12) for x in xs]
+            rows, r = rows.sort_by([("_k1", "ascending"), ("_k2", "ascending"), ("label", "ascending")]), shared.value
+            xs = [np.frombuffer(x.as_py(), "<u2").astype("i4") for x in rows.column("own")]
+            vs = [(r[x] / max(np.linalg.norm(r[x]), 1e-12)).astype("f4") for x in xs]
             y = np.array(rows.column("label").to_pylist()) * 2 - 1
             # rows stand for those of their class, so that the sample's shares do not matter
             weight = np.where(y > 0, n1 / max(1, (y > 0).sum()), n0 / max(1, (y < 0).sum()))

@@ -102,6 +102,112 @@ def test_spherical_k_means_finds_clusters():
     assert ((x @ language_id.spherical_k_means(x, 3, seed=1).T).max(1) > 0.6).all()
 
 
+def test_a_repeated_id_is_sampled_by_rows(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "FIT_ROWS", 50)
+    monkeypatch.setattr(quality, "COUNT_ROWS", 50)
+    monkeypatch.setattr(quality, "FIT_ROWS", 40)
+    rng = random.Random(2)
+    text = lambda own: " ".join(rng.choice(own) for _ in range(12))
+    english, french = "the a of with house garden dog tree".split(), "le une de avec maison jardin chien arbre".split()
+    rows = [(7, text(english), "en") for _ in range(400)] + [(None, text(french), "fr") for _ in range(300)] + [(9, "le même texte", "fr")] * 500
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.LanguageModel.fit(df)
+    assert model.languages == ["en"] * 4 + ["fr"] * 4
+    assert [model.nearest(t)[0] for t in ("the house of the dog", "avec une maison de chien")] == ["en", "fr"]
+    labels = spark.createDataFrame([(7, 1), (9, 0), (3, 0)], "doc_id long, quality int")
+    more = df.unionByName(spark.createDataFrame([(3, text(french), "fr") for _ in range(200)], df.schema))
+    scorer = quality.QualityModel.fit(more, labels, "quality")
+    assert scorer.score("the house of the dog") > 0.5 > scorer.score("avec une maison de chien")
+
+
+def test_sample_bounds(spark):
+    from landspark.llm.common import bounded_sample
+
+    df = spark.range(20_000).select(F.when(F.col("id") % 4 == 0, "a").otherwise("b").alias("by"), (F.col("id") % 5000 * 7919).alias("_k1"), F.lit(1).cast("long").alias("_k2"))
+    keys, counts = bounded_sample(df, "by", 1000)
+    assert counts == {"a": 5000, "b": 15000} and {r["by"]: r["count"] for r in keys.groupBy("by").count().collect()} == {"a": 1000, "b": 1000}
+    assert keys.distinct().count() == 2000
+
+
+def slow_buckets(points, n, buckets):
+    """Buckets of n-grams, one by one in whole numbers."""
+    out, mask = [], 2**64 - 1
+    for at in range(len(points) - n + 1):
+        h = n
+        for k in range(n):
+            h = ((h ^ int(points[at + k])) * int(ngrams._PRIMES[k])) & mask
+            h ^= h >> 29
+        out.append(((h * int(ngrams._PRIMES[3])) & mask) >> (64 - buckets.bit_length() + 1))
+    return out
+
+
+def test_language_against_brute_force(spark):
+    """Frequencies, vectors, the nearest centroid and the limits, by plain loops."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    model, rows = language_id.LanguageModel.fit(docs.filter(~ngrams.held_out())), docs.collect()
+    held = {r["doc_id"] for r in docs.filter(ngrams.held_out()).collect()}
+
+    def counted(text):
+        found = {}
+        words = "".join(c if c.isalpha() else " " for c in text.lower()).split()
+        points = [ord(c) for c in " " + " ".join(words) + " "] if words else []
+        for n in (1, 2, 3):
+            for b in slow_buckets(points, n, 4096):
+                found[b] = found.get(b, 0) + 1
+        return found, len(points)
+
+    every = {r["doc_id"]: counted(r["text"] or "") for r in rows}
+    training = [r["doc_id"] for r in rows if r["doc_id"] not in held and r["text"] is not None and r["lang"] is not None and every[r["doc_id"]][0]]
+    df = {}
+    for i in training:
+        for b in every[i][0]:
+            df[b] = df.get(b, 0) + 1
+    for b in range(4096):
+        assert model.idf[b] == pytest.approx(np.log((1 + len(training)) / (1 + df.get(b, 0))) + 1)
+    got = {r["doc_id"]: r for r in model.predict(docs).collect()}
+    for i, (found, length) in every.items():
+        if not found:
+            assert got[i]["lang_pred"] == "und"
+            continue
+        v = {b: np.log1p(n) * model.idf[b] for b, n in found.items()}
+        norm = sum(x * x for x in v.values()) ** 0.5
+        cosines = [sum(float(c[b]) * x for b, x in v.items()) / norm for c in model.centroids]
+        best = max(range(len(cosines)), key=lambda k: (round(cosines[k], 6), -k))
+        assert got[i]["lang_score"] == pytest.approx(max(cosines), abs=1e-4)
+        if sorted(cosines)[-2] < max(cosines) - 1e-5:
+            limit = max(0.1, model.limits[best][min(max(length.bit_length() - 1, 2), 8) - 2])
+            assert got[i]["lang_pred"] == model.languages[best] and (got[i]["lang_rejected"] == (max(cosines) < limit) or abs(max(cosines) - limit) < 1e-4)
+
+
+def test_quality_against_brute_force(spark):
+    """Ratios, and scores by the fitted weights, by plain loops; the fit itself against the best of its objective."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    model, rows = quality.QualityModel.fit(docs, labels, "quality"), docs.collect()
+    known = {r["doc_id"]: r["quality"] for r in labels.collect() if r["quality"] is not None}
+
+    def own(text):
+        import xxhash
+
+        found = {b for n in (1, 2, 3) for b in slow_buckets([ord(c) for c in text], n, 1 << 16)}
+        words = [xxhash.xxh3_64_intdigest(w) for w in text.encode().split()]
+        found |= {w >> 48 for w in words} | {((a * 0x9E3779B97F4A7C15 + b) % 2**64) >> 48 for a, b in zip(words, words[1:], strict=False)}
+        same = [a == b for a, b in zip(words, words[1:], strict=False)]
+        return found | ({0} if any(same) else set()) | ({1} if any(a and b for a, b in zip(same, same[1:], strict=False)) else set())
+
+    features = {r["doc_id"]: own(r["text"] or "") for r in rows}
+    seen = {(r["doc_id"], r["text"]): known[r["doc_id"]] for r in rows if r["doc_id"] in known and r["text"] is not None}
+    n = np.ones((2, 1 << 16))
+    for (i, _), y in seen.items():
+        n[y, list(features[i])] += 1
+    p = n / n.sum(1, keepdims=True)
+    assert np.allclose(model.scale, np.log(p[1] / p[0]))
+    got = {r["doc_id"]: r["score"] for r in model.predict(docs).collect()}
+    for i, x in features.items():
+        r = np.array([model.scale[b] for b in x])
+        margin = sum(model.weights[b] * model.scale[b] for b in x) / max(np.linalg.norm(r), 1e-12) + model.bias if x else 0.0
+        assert got[i] == pytest.approx(1 / (1 + np.exp(-np.clip(model.slope * margin + model.offset, -30, 30))), abs=1e-9)
+
+
 def test_held_out_rule(spark):
     import zlib
 
