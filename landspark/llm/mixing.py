@@ -12,8 +12,10 @@ quotas, and the shards draw disjoint ranges of each source's permuted blocks; ro
 shuffled within their shard by hash.
 
 All randomness is a hash of the seed and of ids, so reruns agree. Sources are ordered by
-code point, a null source last; the table of sources is small (one row per source) and is
-all that the tree sees. Null texts and texts without words have size 0 and are never
+code point, a null source last; the table of sources is small (one row per source, tens or
+hundreds of them) and is all that a node of the tree holds. The tree is written every few
+levels, so its nodes are dealt to tasks, and blocks are put in order by ranges of their
+hashes, so no task orders a source's blocks alone. Null texts and texts without words have size 0 and are never
 taken. Repeated rows (equal id and text) fall into one block and are taken as the rows
 they are. A null id hashes like a value. Other columns are carried along.
 """
@@ -31,8 +33,8 @@ from landspark.llm.common import Scratch, content_key, materialize
 WORD = r"[^\x20\x09-\x0D]+"
 #: Weights of the sources in order, repeating.
 WEIGHTS = (3, 1, 2)
-#: A source has so many blocks at most; a larger source has larger blocks. So one task can order a source's blocks.
-MOST_BLOCKS = 1_000_000
+#: Ranges of hashes by which a source's blocks are put in order, and levels of the tree from one table to the next.
+RANGES, LEVELS = 1024, 6
 #: Words of an output shard, by which the number of shards follows the mix.
 SHARD_WORDS = 4_000_000
 
@@ -96,16 +98,20 @@ def _hypergeometric(seed: Column, total: Column, own: Column, draws: Column) ->
     return F.array_max(F.transform(F.sequence(low.cast("long"), high.cast("long")), lambda k: scored(k.cast("double"))))["k"]
 
 
-def splitting_tree(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
+def splitting_tree(quotas: DataFrame, shards: int, seed: int, write: Callable = materialize) -> DataFrame:
     """``shard, place, n, first``: how many blocks of each source every shard gets.
 
     ``quotas`` has ``place, n``, one row per source. ``first`` is the rank of the shard's
     first block among the source's drawn blocks. All shards get equally many blocks but
-    for rounding.
+    for rounding. Nodes are written and dealt anew every ``LEVELS`` levels.
     """
     sources = F.array_sort(F.collect_list(F.struct(F.col("place").cast("long").alias("place"), F.col("n").cast("double").alias("n"))))
     node = quotas.agg(sources.alias("counts")).select(F.lit(0).alias("lo"), F.lit(shards).alias("hi"), "counts")
+    level = 0
     while shards > 1:
+        level += 1
+        if level % LEVELS == 0:
+            node = write(node, "tree").repartition("lo")
         total = F.aggregate("counts", F.lit(0.0), lambda s, c: s + c["n"])
         mid = F.floor((F.col("lo") + F.col("hi")) / 2).cast("int")
         here = node.withColumn("mid", mid).withColumn("total", total).withColumn("draws", F.floor(F.col("total") * (F.col("mid") - F.col("lo")) / (F.col("hi") - F.col("lo"))))
@@ -129,9 +135,22 @@ def splitting_tree(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
         )
         node = here.select(F.inline(halves))
         shards = -(-shards // 2)
-    leaves = node.select(F.col("lo").alias("shard"), F.inline("counts")).withColumn("n", F.col("n").cast("long"))
-    before = W.partitionBy("place").orderBy("shard").rowsBetween(W.unboundedPreceding, -1)
-    return leaves.withColumn("first", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    leaves = write(node.select(F.col("lo").alias("shard"), F.inline("counts")).withColumn("n", F.col("n").cast("long")), "tree")
+    return running_sum(leaves.withColumn("range", F.floor(F.col("shard") / RANGES)), ["place"], "range", ["shard"], "n", "first")
+
+
+def running_sum(rows: DataFrame, by: list[str], part: str, order: list[str], value: str, out: str) -> DataFrame:
+    """``rows`` with ``out``: the sum of ``value`` over the rows before, within ``by``, in the order of ``part, *order``.
+
+    Sums are made within parts first; a window over one row for each part gives every
+    part its offset. ``rows`` should be a written table, as it is read twice.
+    """
+    sums = rows.groupBy(*by, part).agg(F.sum(value).alias("_sum"))
+    ahead = F.sum("_sum").over(W.partitionBy(*by).orderBy(part).rowsBetween(W.unboundedPreceding, -1))
+    offsets = sums.select(*[F.col(c).alias(f"_{c}") for c in [*by, part]], F.coalesce(ahead, F.lit(0)).alias("_ahead"))
+    same = [F.col(c) == F.col(f"_{c}") for c in [*by, part]]
+    own = F.sum(value).over(W.partitionBy(*by, part).orderBy(*order).rowsBetween(W.unboundedPreceding, -1))
+    return rows.withColumn("_own", own).join(offsets, same).withColumn(out, F.col("_ahead") + F.coalesce("_own", F.lit(0))).drop("_own", "_ahead", *[f"_{c}" for c in [*by, part]])
 
 
 def sized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
@@ -155,7 +174,7 @@ def mix(rows: DataFrame, share: float = 1.5, most: float = 2.0, weights: tuple =
     writes what the results read. Without ``shards`` there is one for ``SHARD_WORDS`` words.
     """
     sources = source_targets(rows, share, most, weights)
-    sources = sources.withColumn("n_blocks", F.greatest(F.least(F.ceil(F.col("source_size") / block_words), F.lit(MOST_BLOCKS)), F.lit(1)).cast("long"))
+    sources = sources.withColumn("n_blocks", F.greatest(F.ceil(F.col("source_size") / block_words), F.lit(1)).cast("long"))
     sources = write(sources, "sources")
     if shards is None:
         shards = max(1, -(-int(sources.agg(F.sum("target")).first()[0] or 0) // SHARD_WORDS))
@@ -168,18 +187,17 @@ def mix(rows: DataFrame, share: float = 1.5, most: float = 2.0, weights: tuple =
     epochs = sources.select("place", "source_size", F.round("target").cast("long").alias("words_due"), F.explode(F.sequence(F.lit(0), F.lit(last))).alias("epoch"))
     due = F.least(F.col("source_size"), F.col("words_due") - F.col("epoch") * F.col("source_size"))
     epochs = epochs.select("place", "epoch", due.alias("quota")).filter("quota > 0")
+    # in each epoch's permuted order, the words before a block; and its rank among all blocks drawn from its source
     permuted = F.xxhash64(F.lit(seed + 1), "epoch", "place", "block")
-    order = W.partitionBy("place", "epoch").orderBy(permuted, "block")
-    drawn = (
-        blocks.join(epochs, "place")
-        .withColumn("room", F.col("quota") - F.coalesce(F.sum("words").over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
-        .filter("room > 0")
-        .withColumn("rank", F.row_number().over(W.partitionBy("place").orderBy("epoch", permuted, "block")) - 1)
-    )
-    drawn = write(drawn.select("place", "epoch", "block", "words", "room", "rank"), "drawn")
-    tree = splitting_tree(drawn.groupBy("place").agg(F.count("*").alias("n")), shards, seed)
+    asked = write(blocks.join(epochs, "place").withColumn("permuted", permuted).withColumn("range", F.shiftrightunsigned("permuted", 64 - RANGES.bit_length() + 1)), "asked")
+    # unsigned order of hashes, as ranges are taken from their upper bits
+    order = [F.col("permuted") < 0, F.col("permuted"), F.col("block")]
+    drawn = running_sum(asked, ["place", "epoch"], "range", order, "words", "ahead").withColumn("room", F.col("quota") - F.col("ahead")).filter("room > 0")
+    drawn = write(drawn.select("place", "epoch", "block", "words", "room", "permuted", (F.col("epoch") * RANGES + F.col("range")).alias("range"), F.lit(1).cast("long").alias("one")), "drawn")
+    ranked = running_sum(drawn, ["place"], "range", order, "one", "rank").select("place", "epoch", "block", "words", "room", "rank")
+    tree = splitting_tree(drawn.groupBy("place").agg(F.count("*").alias("n")), shards, seed, write)
     dealt = tree.filter("n > 0").select("shard", "place", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1)).alias("rank"))
-    drawn = drawn.join(dealt, ["place", "rank"]).drop("rank")
+    drawn = ranked.join(dealt, ["place", "rank"]).drop("rank")
 
     # whole blocks pass; in an epoch's last block, which may be cut, records go in order
     pieces = rows.join(drawn, ["place", "block"])
@@ -193,13 +211,18 @@ def mix(rows: DataFrame, share: float = 1.5, most: float = 2.0, weights: tuple =
 
 
 def taken(docs: DataFrame, **settings) -> DataFrame:
-    """``doc_id, size, source_size, target, taken`` of every record of ``docs``."""
+    """``doc_id, size, source_size, target, taken, pieces`` of every record of ``docs``.
+
+    ``pieces`` says what the tree and the shuffle decided: ``epoch, shard, position, words``
+    of each piece of the record, in order.
+    """
     rows = materialize(sized(docs), "sized")
     pieces, sources = mix(rows, **settings)
-    words = pieces.groupBy("row").agg(F.sum("n_words").alias("taken"))
+    piece = F.struct("epoch", "shard", "position", F.col("n_words").alias("words"))
+    words = pieces.groupBy("row").agg(F.sum("n_words").alias("taken"), F.array_sort(F.collect_list(piece)).alias("pieces"))
     named = sources.withColumnRenamed("source", "of")
     rows = rows.join(words, "row", "left")
-    return rows.join(named, rows["source"].eqNullSafe(F.col("of"))).select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"))
+    return rows.join(named, rows["source"].eqNullSafe(F.col("of"))).select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"), F.coalesce("pieces", F.array().cast("array<struct<epoch:int,shard:int,position:bigint,words:bigint>>")).alias("pieces"))
 
 
 def mixed(docs: DataFrame, text_col: str = "text", chars_col: str | None = "n_chars", **settings) -> DataFrame:
@@ -217,11 +240,15 @@ def mixed(docs: DataFrame, text_col: str = "text", chars_col: str | None = "n_ch
         found = materialize(found, "pieces")
     key, key2 = content_key("doc_id", text_col)
     out = docs.withColumns({"_mix_1": key, "_mix_2": key2}).join(found, ["_mix_1", "_mix_2"])
-    if not found.filter("_mix_equal").isEmpty():  # equal records meet each other's pieces, but a piece comes once
-        out = out.filter("NOT _mix_equal").unionByName(out.filter("_mix_equal").dropDuplicates(["_mix_row", "_mix_epoch"]))
+    if not found.filter("_mix_equal").isEmpty():  # equal records meet each other's pieces, but a piece comes once, with the least of their other columns
+        others = F.struct(*[F.to_json(F.struct(F.col(f"`{c}`").alias("v"))).alias(f"_{k}") for k, c in enumerate(docs.columns)])
+        meeting = [c for c in out.columns if c.startswith("_mix_") and c not in docs.columns]
+        equal = out.filter("_mix_equal").groupBy(*meeting).agg(F.min_by(F.struct(*[f"`{c}`" for c in docs.columns]), others).alias("_mix_least"))
+        out = out.filter("NOT _mix_equal").unionByName(equal.select("_mix_least.*", *meeting))
     short = F.array_join(F.slice(F.regexp_extract_all(text_col, F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0)), F.lit(1), F.col("_mix_words").cast("int")), "")
     out = out.withColumn(text_col, F.when(F.col("_mix_cut"), short).otherwise(F.col(text_col)))
     if chars_col in docs.columns:
         out = out.withColumn(chars_col, F.when(F.col("_mix_cut"), F.length(text_col).cast(docs.schema[chars_col].dataType)).otherwise(F.col(chars_col)))
     shards = found.agg(F.max("_mix_shard")).first()[0]
-    return out.repartition((shards or 0) + 1, "_mix_shard").sortWithinPartitions("_mix_shard", "_mix_position").select(*docs.columns)
+    # a shard is a partition
+    return out.repartitionById((shards or 0) + 1, F.col("_mix_shard")).sortWithinPartitions("_mix_position").select(*docs.columns)

@@ -44,6 +44,55 @@ def test_targets_and_taken_words(spark):
         assert sum(r["taken"] for r in by[s]) == math.floor(t + 0.5)
 
 
+@pytest.mark.parametrize("ranges,levels", [(1024, 6), (4, 1)])
+def test_shards_of_the_query_are_those_of_the_tree(spark, monkeypatch, ranges, levels):
+    monkeypatch.setattr(mixing, "RANGES", ranges)
+    monkeypatch.setattr(mixing, "LEVELS", levels)
+    df = corpus(spark)
+    trees, tree = [], mixing.splitting_tree
+
+    def seen(*args):
+        trees.append(tree(*args))
+        return trees[-1]
+
+    monkeypatch.setattr(mixing, "splitting_tree", seen)
+    got = mixing.taken(df, block_words=300, shards=7).join(df.select("doc_id", "source"), "doc_id").collect()
+    quota = {(r["place"], r["shard"]): r["n"] for r in trees[0].collect()}
+    order = sorted({r["source"] for r in got if r["source"] is not None}) + [None]
+    words, shards = Counter(), set()
+    for r in got:
+        assert sum(p["words"] for p in r["pieces"]) == r["taken"] and [p["epoch"] for p in r["pieces"]] == list(range(len(r["pieces"])))[-len(r["pieces"]) :] or len(r["pieces"]) == 1
+        for p in r["pieces"]:
+            words[order.index(r["source"]), p["shard"]] += p["words"]
+            shards.add(p["shard"])
+    assert shards == set(range(7)) and sum(quota.values()) > 50
+    for key, n in quota.items():  # so many blocks of about 300 words, the last of an epoch cut
+        assert (words[key] > 0) == (n > 0) and words[key] <= n * 700
+    per_shard = Counter()
+    for (_, shard), n in quota.items():
+        per_shard[shard] += n
+    assert max(per_shard.values()) - min(per_shard.values()) <= 3
+    positions = [p["position"] for r in got for p in r["pieces"]]
+    assert len(set(positions)) == len(positions)
+
+
+def test_running_sum(spark):
+    rows = [(k % 3, k % 7, k, k * k % 11) for k in range(200)]
+    df = materialize(spark.createDataFrame(rows, "g int, part int, k int, v long"), "rows")
+    got = {r["k"]: r["before"] for r in mixing.running_sum(df, ["g"], "part", ["k"], "v", "before").collect()}
+    for g, p, k, _ in rows:
+        assert got[k] == sum(v for h, q, j, v in rows if h == g and (q, j) < (p, k))
+
+
+def test_a_shard_is_a_partition(spark):
+    df = corpus(spark)
+    rows = materialize(mixing.sized(df), "sized")
+    pieces, _ = mixing.mix(rows, block_words=300, shards=5)
+    want = {r["shard"]: r["n"] for r in pieces.groupBy("shard").agg(F.count("*").alias("n")).collect()}
+    out = mixing.mixed(df, block_words=300, shards=5).withColumn("part", F.spark_partition_id())
+    assert {r["part"]: r["count"] for r in out.groupBy("part").count().collect()} == want
+
+
 def test_reruns_agree_on_other_partitions(spark):
     df = corpus(spark)
     a, b = (sorted(map(tuple, mixing.taken(d, block_words=300).select("doc_id", "taken").collect())) for d in (df, df.repartition(5)))
