@@ -43,8 +43,12 @@ def bounded_sample(rows: DataFrame, by: str, most: int) -> tuple[DataFrame, dict
     return thin.withColumn("_nth", nth).filter(F.col("_nth") <= most).drop("_nth"), {r[by]: r["n"] for r in found}
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Lowers the session's rows of an Arrow batch, as texts are long: a batch is held several times over."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(name)) <= rows:
-        spark.conf.set(name, rows)
+def small_batches(spark: SparkSession, rows: int = 1000, size: int = 16 << 20) -> None:
+    """Lowers the session's rows and bytes of an Arrow batch, as texts are long: a batch is held several times over.
+
+    Spark reads these settings when a plan runs, which is after an operator has returned
+    it, so they stay; limits that are lower already are left alone.
+    """
+    for name, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", rows), ("spark.sql.execution.arrow.maxBytesPerBatch", size)):
+        if not 0 < int(spark.conf.get(name).rstrip("bB")) <= most:
+            spark.conf.set(name, most)

@@ -365,15 +365,16 @@ def probes(n: int, bits: int = 256, differ: float = 0.15, recall: float = RECALL
     """The bits of each tree's block for the links of ``n`` fingerprints whose bits differ with probability ``differ``.
 
     Blocks get wider as ``n`` grows, so that a leaf keeps its size, and there are as many
-    of them as it takes for a link to have a block within one bit with probability ``recall``.
+    of them as it takes for a link to have equal bits in one with probability ``recall``.
     """
-    width = max(8, math.ceil(math.log2(max(n, 1) / NEAR_LEAF_ROWS)) + 2)
-    within = (1 - differ) ** width + width * differ * (1 - differ) ** (width - 1)
-    trees = math.ceil(math.log(1 - recall) / math.log(1 - within))
+    width = max(6, math.ceil(math.log2(max(n, 1) / NEAR_LEAF_ROWS)))
+    off = np.arange(bits + 1)  # bits in which a link's fingerprints differ, and how likely so many are
+    likely = np.array([math.comb(bits, d) * differ**d * (1 - differ) ** (bits - d) for d in off.tolist()])
+    missed = 1 - np.prod([np.clip(bits - off - k, 0, None) / (bits - k) for k in range(width)], axis=0)  # by one tree
+    trees = next(t for t in range(1, 100_000) if (likely * missed**t).sum() <= 1 - recall)
     rng = np.random.default_rng(trees)
     dealt = np.concatenate([rng.permutation(bits) for _ in range(-(-trees * width // bits))])
-    blocks = [np.unique(dealt[t * width : (t + 1) * width]) for t in range(trees)]
-    return blocks
+    return [np.unique(dealt[t * width : (t + 1) * width]) for t in range(trees)]
 
 
 def verified_links(nodes: DataFrame, keyed: DataFrame, words: int, least: float, most: int, write: Callable) -> DataFrame:
@@ -381,9 +382,11 @@ def verified_links(nodes: DataFrame, keyed: DataFrame, words: int, least: float,
 
     Nodes with a candidate are found by fingerprints alone. Their sets are then sent to
     the leaves where the candidates meet, and compared there before anything is reduced.
-    A pair that is sure to meet in several trees asks for a leaf of the first one only.
+    A pair that is sure to meet in several trees asks for a leaf of the first one only. Trees
+    are searched with radius 0: at this distance most balls of radius 1 cross most
+    boundaries, and more trees of one leaf each find as many links with less to send.
     """
-    shards = Shards(nodes.select("fp"), 256, 1, probes, NEAR_LEAF_ROWS)
+    shards = Shards(nodes.select("fp"), 256, 0, probes, NEAR_LEAF_ROWS)
     radius, shared = shards.radius, shards.shared
 
     def meet(rows: pa.Table) -> pa.Table:
@@ -449,8 +452,8 @@ def without_near_duplicates(docs: DataFrame, words: int = 5, least: float = 0.8,
     ``least`` or more; rows of equal sets are one node, other rows of equal fingerprints
     are compared like any pair. At 0.8 a bit of two fingerprints differs with probability 0.15;
     fingerprints have 256 bits here, candidates differ in 56 at most, and there are as many
-    trees, each searched with radius 1, as find 99 % (``RECALL``) of pairs at 0.8 and
-    more of closer ones; see :func:`probes`. All of these are compared exactly on whole sets,
+    trees as find 99 % (``RECALL``) of pairs at 0.8 and more of closer ones; see
+    :func:`probes`. All of these are compared exactly on whole sets,
     but for those that verified links connect already, so no row goes for less than the
     similarity. Rows without words form one group; the first of equal rows stays, and of
     rows of equal id and text the least by their other columns.
