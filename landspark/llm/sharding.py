@@ -6,7 +6,9 @@ slot-to-shard map is stored by version and edited when shards are rebalanced or
 so only records of moved slots move.
 
 Null ids and texts hash like any other value; a null text has no bytes. Equal records
-share a slot. Empty tables give empty shards. Further columns are carried along.
+share a virtual slot, and are counted before anything is put in order, so a record that is
+repeated very often is no large group. Empty tables give empty shards. Only id and text are
+read.
 """
 
 from __future__ import annotations
@@ -19,6 +21,8 @@ from pyspark.sql import functions as F
 
 from landspark.llm.common import materialize
 
+#: Equal records that are written out at once.
+RUN = 100_000
 #: Bytes counted for each record besides its text.
 RECORD_BYTES = 8
 
@@ -90,8 +94,9 @@ def shard(docs: DataFrame, shards: int, slot_map: SlotMap, slots: int = 4096, id
 
     Stores map versions 1 (dealt in turn) and 2 (edited by bytes) and returns ``doc_id,
     size, text_crc32, virtual_slot, shard, slot``; ``slot`` numbers a shard's records
-    from 0 without gaps: records are numbered within their virtual slot and follow the
-    shard's smaller virtual slots, so no task holds more than one virtual slot's rows.
+    from 0 without gaps. Equal records are one row with their number while they are put in
+    order within their virtual slot, behind the shard's smaller virtual slots, so no task
+    holds more than one virtual slot's distinct records.
     """
     rows = materialize(sized(docs, slots, id_col, text_col), "sized")
     stats = slot_stats(rows)
@@ -103,9 +108,11 @@ def shard(docs: DataFrame, shards: int, slot_map: SlotMap, slots: int = 4096, id
         before[new[s]] += stats.get(s, (0, 0))[1]
     starts = docs.sparkSession.createDataFrame(offsets, "virtual_slot int, first_slot long")
     place = slot_map.load(2).join(F.broadcast(starts), "virtual_slot")  # one row per virtual slot
-    order = W.partitionBy("virtual_slot").orderBy("doc_id", "text_crc32", "size")
-    return (
-        rows.withColumn("nth", F.row_number().over(order) - 1)
-        .join(F.broadcast(place), "virtual_slot")
-        .select("doc_id", "size", "text_crc32", "virtual_slot", "shard", (F.col("first_slot") + F.col("nth")).alias("slot"))
-    )
+    # equal records are interchangeable: their number says what places they take
+    record = ["virtual_slot", "doc_id", "text_crc32", "size"]
+    counted = rows.groupBy(*record).agg(F.count("*").alias("n"))
+    order = W.partitionBy("virtual_slot").orderBy("doc_id", "text_crc32", "size").rowsBetween(W.unboundedPreceding, -1)
+    numbered = counted.withColumn("nth", F.coalesce(F.sum("n").over(order), F.lit(0)))
+    runs = F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(RUN).cast("long")))
+    each = numbered.withColumn("run", runs).withColumn("k", F.explode(F.sequence(F.col("run"), F.least(F.col("run") + RUN, F.col("n")) - 1)))
+    return each.join(F.broadcast(place), "virtual_slot").select("doc_id", "size", "text_crc32", "virtual_slot", "shard", (F.col("first_slot") + F.col("nth") + F.col("k")).alias("slot"))

@@ -159,12 +159,25 @@ def read_ids(source, spans: Iterable[tuple[int, int]]) -> Iterator[int]:
         yield crc
 
 
+def place(store: fs.FileSystem, own: str, final: str) -> None:
+    """Renames an attempt's file to its final name; deletes it if another attempt was first."""
+    try:
+        if store.get_file_info(final).type == fs.FileType.NotFound:
+            store.move(own, final)
+    except OSError:  # a store that does not rename onto a file that came in between
+        if store.get_file_info(final).type == fs.FileType.NotFound:
+            raise
+    if store.get_file_info(own).type != fs.FileType.NotFound:
+        store.delete_file(own)
+
+
 def write_tokens(docs: DataFrame, path: str, tokenizer_file: str, end_id: int = 1, length: int = 2048, batch: int = 128, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Writes ``path/part-*.arrow`` and returns where each document is.
 
     ``path`` is a folder that all executors share. Returns ``doc_id, file, file_start,
-    n_tokens``, itself written beside the files. A task writes under a name of its own
-    and renames it at its end, so a repeated task leaves the same file.
+    n_tokens``, itself written beside the files. A task writes under a name of its own,
+    deletes that file if it fails, and renames it at its end unless another attempt has done
+    so already; all attempts write the same ids.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -175,29 +188,36 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_file: str, end_id: int =
         out, part = None, TaskContext.get().partitionId()
         end = np.asarray([end_id], "<u4").tobytes()
         store, folder = fs.FileSystem.from_uri(path)
-        own, at = f"{folder}/.part-{part:06d}-{uuid.uuid4().hex}", 0
-        for rows in batches:
-            encoded = encoder(spec.value)
-            starts, sizes = [], []
-            if out is None:
-                store.create_dir(folder, recursive=True)
-                sink = store.open_output_stream(own)
-                out = SequenceFile(sink, length, batch, encoded.wide or end_id >= 1 << 16)
-            for text in rows.column(1):
-                ids = encoded(text.as_py() or "") + end
-                out.add(ids)
-                starts.append(at)
-                sizes.append(len(ids) // 4)
-                at += sizes[-1]
-            yield pa.record_batch([rows.column(0), pa.array([part] * len(sizes), pa.int32()), pa.array(starts, pa.int64()), pa.array(sizes, pa.int64())], names=["doc_id", "file", "file_start", "n_tokens"])
-        if out is not None:
-            out.close()
-            sink.close()
-            store.move(own, f"{folder}/part-{part:06d}.arrow")
+        own, final, at = f"{folder}/.part-{part:06d}-{uuid.uuid4().hex}", f"{folder}/part-{part:06d}.arrow", 0
+        try:
+            for rows in batches:
+                encoded = encoder(spec.value)
+                starts, sizes = [], []
+                if out is None:
+                    store.create_dir(folder, recursive=True)
+                    sink = store.open_output_stream(own)
+                    out = SequenceFile(sink, length, batch, encoded.wide or end_id >= 1 << 16)
+                for text in rows.column(1):
+                    ids = encoded(text.as_py() or "") + end
+                    out.add(ids)
+                    starts.append(at)
+                    sizes.append(len(ids) // 4)
+                    at += sizes[-1]
+                yield pa.record_batch([rows.column(0), pa.array([part] * len(sizes), pa.int32()), pa.array(starts, pa.int64()), pa.array(sizes, pa.int64())], names=["doc_id", "file", "file_start", "n_tokens"])
+            if out is not None:
+                out.close()
+                sink.close()
+                out = None
+                place(store, own, final)
+        finally:
+            if out is not None:  # the task failed or was stopped
+                sink.close()
+                store.delete_file(own)
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    dealt = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # rows of one id may be many: they are parted by how their texts begin, which keeps the order of texts
+    dealt = rows.repartitionByRange("doc_id", F.substring("text", 1, 64)).sortWithinPartitions("doc_id", "text")
     return materialize(dealt.mapInArrow(encode, f"doc_id {id_type}, file int, file_start long, n_tokens long"), "token-index")
 
 

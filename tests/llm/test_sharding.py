@@ -32,6 +32,25 @@ def test_sizes_are_near_equal_and_reruns_agree(spark):
     assert sorted(map(str, got)) == sorted(map(str, put(spark, df.repartition(7))[0]))
 
 
+def test_slots_against_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "RUN", 7)
+    rng = random.Random(5)
+    rows = [(rng.randrange(40), "x" * rng.randrange(9)) for _ in range(600)] + [(5, "again")] * 300 + [(None, None)] * 20
+    got, slot_map = put(spark, documents(spark, rows))
+    at = {r["virtual_slot"]: r["shard"] for r in slot_map.load(2).collect()}
+    records = sorted(((r["shard"], r["virtual_slot"], r["doc_id"] is not None, r["doc_id"] or 0, r["text_crc32"], r["size"]) for r in got))
+    assert sorted((i is not None, i or 0, zlib.crc32((t or "").encode()), len(t or "") + 8) for i, t in rows) == sorted(r[2:] for r in records)
+    want, place = [], {}
+    for r in records:  # in order of virtual slots, then of records, without gaps
+        want.append((*r, place.get(r[0], 0)))
+        place[r[0]] = place.get(r[0], 0) + 1
+    assert sorted((r["shard"], r["virtual_slot"], r["doc_id"] is not None, r["doc_id"] or 0, r["text_crc32"], r["size"], r["slot"]) for r in got) == sorted(want)
+    stats = {}
+    for r in got:
+        stats[r["virtual_slot"]] = stats.get(r["virtual_slot"], 0) + r["size"]
+    assert sharding.rebalanced(sharding.first_map(256, 4), 4, stats) == [at[k] for k in range(256)]
+
+
 def test_rebalancing_moves_few_slots():
     rng = random.Random(1)
     sizes = {s: rng.randint(900, 1100) for s in range(1000)}

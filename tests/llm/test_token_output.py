@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -78,3 +79,18 @@ def test_files_give_sequences_without_a_copy(spark):
 
 def test_empty_table(spark):
     check(spark, documents(spark, []))
+
+
+def test_attempts_of_one_task_leave_one_file(tmp_path):
+    store = pa.fs.LocalFileSystem()
+    for k in range(2):
+        (tmp_path / f".part-{k}").write_bytes(b"ids")
+        o.place(store, str(tmp_path / f".part-{k}"), str(tmp_path / "part"))
+        assert sorted(p.name for p in tmp_path.iterdir()) == ["part"]
+    with pytest.raises(FileNotFoundError):
+        o.place(store, str(tmp_path / "none"), str(tmp_path / "other"))
+
+
+def test_many_rows_of_one_id(spark):
+    rows = [(5, f"text {k % 97} of id five") for k in range(500)] + [(4, "a"), (6, None), (6, "b")]
+    check(spark, documents(spark, rows).repartition(3), length=64, batch=4)
