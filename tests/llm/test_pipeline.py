@@ -8,6 +8,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline as p
 from landspark.llm.common import materialize
+from tests.llm.helpers import LONG, awkward
 from tests.llm.test_decontamination import brute
 from tests.llm.test_simhash import jaccard, united
 
@@ -48,3 +49,22 @@ def test_empty_documents(spark):
     for _, stage in p.STAGES:
         docs = materialize(stage(spark, docs, SF), "stage")
     assert docs.count() == 0
+
+
+def test_awkward_rows(spark):
+    """Nulls, blanks, very long texts, repeats and clashing names go through every stage."""
+    docs, n = awkward(spark), []
+    columns = docs.columns
+    for _, stage in p.STAGES[:-1]:
+        docs = materialize(stage(spark, docs, SF), "stage")
+        assert docs.columns == columns
+        n.append(docs.collect())
+    language, near, clean, mix = n
+    assert {r["doc_id"] for r in language}.isdisjoint({2, 3, 4, 9}) and {r["doc_id"] for r in language} >= {1, 5, 6, 7}
+    texts = {r["text"] for r in language}
+    assert sorted(r["text"] for r in near) == sorted(texts) and [r["doc_id"] for r in near if r["text"] == LONG] == [5]
+    assert sorted(map(str, clean)) == sorted(map(str, near))  # none has a passage of the benchmark
+    words = lambda rows: sum(len(r["text"].split()) for r in rows)
+    assert abs(words(mix) - 1.5 * words(clean)) <= 3
+    out = materialize(p.STAGES[-1][1](spark, docs, SF), "tokens")
+    assert out.count() == len(mix)
