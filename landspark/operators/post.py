@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 NODATA = -9999
+#: Class codes of built-up area and water, and the limits of the indices.
 BUILT_UP, WATER = 8111, 9111
 NDVI_MOST, NDWI_LEAST = 0.48, 0.11
 
