@@ -161,3 +161,20 @@ def test_alignment():
         gr.check_alignment(gr.Grid(crs="a"), gr.Grid(crs="b"))
     with pytest.warns(UserWarning, match="origin"):
         gr.check_alignment(gr.Grid(), gr.Grid(x0=1))
+
+
+@pytest.mark.parametrize("master", ["spark://host:7077", "yarn", "k8s://https://host", "local-cluster[2,1,1024]"])
+def test_a_cluster_needs_a_shared_folder(master):
+    from types import SimpleNamespace
+
+    from landspark.sources.shared import shared_dir
+
+    spark = SimpleNamespace(conf=SimpleNamespace(get=lambda name, default: default), sparkContext=SimpleNamespace(master=master))
+    with pytest.raises(ValueError, match="checkpoint"):
+        shared_dir(spark)
+
+
+def test_rows_that_can_fit_nowhere_are_for_validation(spark):
+    polys = spark.createDataFrame([(1, 10, 5), (2, 10, None), (3, None, 5), (4, 10, 100), (5, None, None)], "poly_id long, crop_code int, pix_count long")
+    got = {r["poly_id"]: r["set"] for r in split.greedy_split(polys, pct=50).collect()}
+    assert got == {1: "cal", 2: "val", 3: "val", 4: "val", 5: "val"}
