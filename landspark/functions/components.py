@@ -2,10 +2,11 @@
 
 Each round links every node's larger neighbours to its smallest one (large star) and
 then its smaller neighbours too (small star), until the edges are stars around the
-smallest node of each component; that takes logarithmically many rounds. Edges and the
-least neighbours are written between steps, so lost executors cost one step at most, both
-sides of a join are plain shuffles, which adaptive execution splits at the centre of a
-large star, and nothing but a count and a checksum reaches the driver.
+smallest node of each component; that takes logarithmically many rounds. Edges are
+written between rounds, so lost executors cost one round at most. Least neighbours are
+written too, so both sides of the join at the centres of stars are plain shuffles, which
+adaptive execution splits where a star is large. Nothing but whether it is done reaches the
+driver.
 
 Loops and repeated edges are dropped, as are edges with a null end. No edges give an
 empty result.
@@ -21,24 +22,30 @@ from pyspark.sql import functions as F
 from landspark.sources.shared import Scratch, materialize
 
 
-def _least(pairs: DataFrame, write: Callable) -> DataFrame:
-    """Joins each ``u, v`` with the least of u and its v as ``m``."""
-    least = write(pairs.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
-    return pairs.join(least.hint("merge"), "u")
+def _least(pairs: DataFrame) -> DataFrame:
+    """The least of each u and its v, as ``u, m``."""
+    return pairs.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
 
 
 def _large_star(edges: DataFrame, write: Callable) -> DataFrame:
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    return _least(both, write).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    # the centre of a large star is one u with many v: with its least neighbour written, its rows can be split
+    return both.join(write(_least(both), "least").hint("merge"), "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
-def _small_star(edges: DataFrame, write: Callable) -> DataFrame:
-    """Edges have their larger end first."""
-    found = _least(edges, write)
+def _small_star(edges: DataFrame) -> DataFrame:
+    """Edges have their larger end first; after a large star few have the same one."""
+    found = edges.join(_least(edges).hint("merge"), "u")
     own = edges.groupBy("u").agg(F.min("v").alias("v"))
     return found.select(F.col("v").alias("u"), F.col("m").alias("v")).union(own).filter("u != v").distinct()
 
 
+def _settled(edges: DataFrame) -> bool:
+    """Whether the edges are stars: each larger end has one edge and is no one's smaller end."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("centre")).union(edges.select("v", F.lit(0), F.lit(1)))
+    return ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("centre").alias("centre")).filter("up > 1 OR up = 1 AND centre = 1").isEmpty()
+
+
 def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
     """``node, component`` of every node with an edge; the component is its least node.
 
@@ -46,13 +53,10 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
     """
     a, b = (F.col(c) for c in edges.columns)
     now = edges.filter(a != b).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct()
-    before = None
     with Scratch(edges.sparkSession) as write:
         now = write(now, "edges")
         for _ in range(rounds):
-            now = write(_small_star(write(_large_star(now, write), "edges"), write), "edges")
-            sign = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-            if sign == before:
+            if _settled(now):
                 return materialize(now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(now.select("v", "v").distinct()), "components")
-            before = sign
+            now = write(_small_star(_large_star(now, write)), "edges")
     raise RuntimeError(f"components did not settle in {rounds} rounds")
