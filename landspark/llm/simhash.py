@@ -58,24 +58,26 @@ def shingle_hashes(text: str | None, words: int, seed: int = 42) -> np.ndarray:
     return np.fromiter([digest(line[a:b], seed) for a, b in zip(first, last, strict=True)], "<u8", n)
 
 
+#: What further lanes add to a hash before it is mixed anew.
+_LANES = np.array([k * 0x9E3779B97F4A7C15 % 2**64 for k in range(16)], "<u8")
+
+
 def fingerprint(hashes: np.ndarray, lanes: int = 1) -> np.ndarray:
     """The majority bits, 64 for each lane; further lanes mix the same hashes anew."""
-    if not len(hashes):
-        return np.zeros(lanes, "<u8")
-    out = np.zeros((lanes, 64), "i8")
-    for lane in range(lanes):
-        mixed = hashes
-        if lane:
-            mixed = (hashes + np.uint64(lane * 0x9E3779B97F4A7C15 % 2**64)) * np.uint64(0xBF58476D1CE4E5B9)
-            mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
-            mixed ^= mixed >> np.uint64(32)
-        for at in range(0, len(mixed), 255 * 256):  # sums of 255 bits fit in a byte
-            bits = np.unpackbits(mixed[at : at + 255 * 256].astype("<u8").view("u1").reshape(-1, 8), axis=1, bitorder="little")
-            full = len(bits) // 255 * 255
-            if full:
-                out[lane] += bits[:full].reshape(-1, 255, 64).sum(1, dtype="u1").sum(0, dtype="i8")
-            out[lane] += bits[full:].sum(0, dtype="u1")
-    return np.packbits(out * 2 > len(hashes), axis=1, bitorder="little").view("<u8")[:, 0]
+    out, step = np.zeros((lanes, 64), "i8"), 255 * 64
+    for at in range(0, len(hashes), step):
+        mixed = np.empty((lanes, min(step, len(hashes) - at)), "<u8")
+        mixed[0] = hashes[at : at + step]
+        if lanes > 1:
+            rest = (mixed[0] + _LANES[1:lanes, None]) * np.uint64(0xBF58476D1CE4E5B9)
+            rest = (rest ^ (rest >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
+            mixed[1:] = rest ^ (rest >> np.uint64(32))
+        bits = np.unpackbits(mixed.view("u1").reshape(lanes, -1, 8), axis=2, bitorder="little")
+        full = bits.shape[1] // 255 * 255  # sums of 255 bits fit in a byte
+        if full:
+            out += bits[:, :full].reshape(lanes, -1, 255, 64).sum(2, dtype="u1").sum(1, dtype="i8")
+        out += bits[:, full:].sum(1, dtype="u1")
+    return np.packbits(out * 2 > len(hashes), axis=1, bitorder="little").view("<u8")[:, 0] if len(hashes) else np.zeros(lanes, "<u8")
 
 
 def set_key(hashes: np.ndarray, lanes: int) -> bytes:
