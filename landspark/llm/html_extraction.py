@@ -43,11 +43,11 @@ _UNREAD = frozenset("script style title template noscript textarea select option
 _ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 _MAIN_NAMES = frozenset("article main content post entry story articlebody maincontent".split())
 _ASIDE_NAMES = frozenset(
-    "nav navbar navigation menu breadcrumb breadcrumbs masthead header footer sidebar aside complementary contentinfo ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe signup login share sharing social related recommended recommendations comment comments reply replies respond disqus widget copyright toolbar pagination pager skip".split()
+    "nav navbar navigation menu breadcrumb breadcrumbs masthead header footer sidebar aside complementary contentinfo ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe signup login share sharing social related recommended recommendations comment comments reply replies respond disqus widget copyright toolbar pagination pager skip commentlist commentbox topnav mainnav subnav sidenav footernav adbox adslot adunit sharebar socialbar cookiebar cookiebanner".split()
 )
 #: Words that say nothing of their own beside those.
 _PLAIN_NAMES = frozenset(
-    "site page global main primary secondary top bottom left right inner outer box block container section area list item items link links head title body bar row col column group unit slot module panel form button btn text content post posts article articles story stories icon icons js".split()
+    "site page global main primary secondary top bottom left right inner outer box block container section area list item items link links head title body bar row col column group unit slot module panel form button btn text content post posts article articles story stories icon icons js buttons boxes blocks bars lists tabs tab thread threads user users reader readers visitor visitors author name date time meta info image img count number my our your sticky fixed floating mobile desktop small large new popular latest more news media toggle inline wide narrow half full".split()
 )
 #: With one of these a token says how the page is laid out, as "has-sidebar" does.
 _LAYOUT_NAMES = frozenset("has with no without is layout wrapper wrap page open closed".split())

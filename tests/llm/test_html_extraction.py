@@ -82,6 +82,13 @@ BY_HAND = [
 ]
 
 
+@pytest.mark.parametrize("name", ["reader-comments", "comment-thread", "user_comments", "commentlist", "share-buttons", "socialMedia", "related-posts", "sidebar-left", "cookie-bar", "latest-comments-list", "newsletter-box"])
+def test_names_of_asides_within_an_article(name):
+    for key in ("class", "id"):
+        page = f'<article><h1>A title of it</h1>{paragraphs()}<div {key}="{name}"><p>A sentence of some length that is not of the article, though it is in it.</p><p>And so is this.</p></div></article>'
+        assert h.main_text(page).split("\n") == ["A title of it", *PROSE]
+
+
 @pytest.mark.parametrize("page,want", BY_HAND)
 def test_pages_without_article(page, want):
     assert h.main_text(page).split("\n") == want
