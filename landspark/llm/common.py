@@ -43,7 +43,7 @@ def bounded_sample(rows: DataFrame, by: str, most: int) -> tuple[DataFrame, dict
     return thin.withColumn("_nth", nth).filter(F.col("_nth") <= most).drop("_nth"), {r[by]: r["n"] for r in found}
 
 
-def small_batches(spark: SparkSession, rows: int = 1000, size: int = 16 << 20) -> None:
+def small_batches(spark: SparkSession, rows: int = 1000, size: int = 4 << 20) -> None:
     """Lowers the session's rows and bytes of an Arrow batch, as texts are long: a batch is held several times over.
 
     Spark reads these settings when a plan runs, which is after an operator has returned
