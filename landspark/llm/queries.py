@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landspark.llm import decontamination, exact_dedup, html_extraction, language_id, license_scan, mixing, quality, sharding, simhash, token_output
+from landspark.llm import decontamination, exact_dedup, html_extraction, importance, language_id, license_scan, mixing, quality, sharding, simhash, token_output
 from landspark.llm.common import new_path, table
 from landspark.llm.ngrams import held_out
 
@@ -77,6 +77,12 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.read_tokens(index, path)
 
 
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Draws a tenth of the documents of 20 words or more, by weight towards the benchmark texts."""
+    out = importance.Resampler().resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES = {
     "op1_html_extraction": op1_html_extraction,
     "op2_mixing": op2_mixing,
@@ -88,8 +94,10 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_token_output": op10_token_output,
+    "op13_importance": op13_importance,
 }
 
+
 def _op5_sql() -> str:
     known = ", ".join(f"({k}, '{label}', {words}, {need}, {musts}, {over}::VARCHAR[])" for k, label, words, need, musts, over in license_scan.templates(0.8))
     phrases = ", ".join(f"({k}, '{p}', '{label}')" for k, (p, label) in enumerate(license_scan.PHRASES.items()))
@@ -121,8 +129,34 @@ def _op5_sql() -> str:
         FROM w LEFT JOIN base USING (doc_id) LEFT JOIN found USING (doc_id)'''
 
 
+def _op13_sql() -> str:
+    return r"""
+        WITH crc_table AS (
+            SELECT list(list_reduce(range(0, 8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k) ORDER BY k) AS steps FROM range(0, 256) t(k)),
+        words AS (
+            SELECT 0 AS side, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM documents
+            UNION ALL
+            SELECT 1, NULL, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) FROM benchmark),
+        known AS (
+            SELECT word, list_transform(range(1, len(h), 2), lambda i: ('0x' || h[i : i + 1])::BIGINT) AS bytes
+            FROM (SELECT word, hex(encode(word)) AS h FROM (SELECT DISTINCT word FROM words))),
+        hashed AS (
+            SELECT word, xor(list_reduce(bytes, lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) % 10000 AS bucket FROM known, crc_table),
+        counts AS (SELECT bucket, count(*) FILTER (side = 0)::DOUBLE AS s, count(*) FILTER (side = 1)::DOUBLE AS t FROM words JOIN hashed USING (word) GROUP BY bucket),
+        totals AS (SELECT coalesce(sum(s), 0) AS all_s, coalesce(sum(t), 0) AS all_t FROM counts),
+        gains AS (SELECT bucket, floor(1000 * ln((t + 1) * (all_s + 10000) / ((s + 1) * (all_t + 10000))))::BIGINT AS gain FROM counts, totals),
+        weights AS (SELECT doc_id, count(*) AS n, sum(gain)::BIGINT AS w FROM words JOIN hashed USING (word) JOIN gains USING (bucket) WHERE side = 0 GROUP BY doc_id),
+        scored AS (
+            SELECT doc_id, coalesce(n, 0) AS n_features, coalesce(w, 0) AS weight,
+                   coalesce(w, 0) + floor(-1000 * ln(-ln((('0x' || sha256('2024:' || doc_id)[1:8])::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+            FROM documents LEFT JOIN weights USING (doc_id)),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS nth, count(*) OVER (PARTITION BY n_features >= 20) AS n FROM scored)
+        SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND nth <= n * 10 // 100 THEN nth END AS rank FROM ranked"""
+
+
 ORACLE_SQL = {
     "op5_license_scan": _op5_sql(),
+    "op13_importance": _op13_sql(),
     "op9_exact_dedup": r"""
         SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                doc_id = min(doc_id) OVER g AS kept, text_sha256
