@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landspark.llm import decontamination, exact_dedup, html_extraction, importance, language_id, license_scan, mixing, quality, sharding, simhash, token_output
+from landspark.llm import decontamination, exact_dedup, html_extraction, importance, language_id, license_scan, merkle, mixing, quality, sharding, simhash, token_output
 from landspark.llm.common import new_path, table
 from landspark.llm.ngrams import held_out
 
@@ -77,6 +77,20 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.read_tokens(index, path)
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaves, proofs and roots of all documents by language; a third of them are tampered with and fail to verify."""
+    docs = table(spark, sf_dir, "documents")
+    own = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")]
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0, merkle.leaf_digest([*own[:-1], lower]))
+    rows = docs.select("doc_id", "lang", merkle.leaf_digest(own).alias("leaf"), tampered.alias("tampered"))
+    manifest = merkle.Manifest.build(rows, "lang", "doc_id")
+    proofs = manifest.prove().join(manifest.trees.select("tree", "subroot"), "tree")
+    path, root = F.col("path"), F.lit(manifest.root).cast("string")
+    out = proofs.select("doc_id", "leaf", "subroot", root.alias("root"), merkle.sha(merkle.siblings(path)).alias("proof_sha256"), merkle.folded(F.coalesce("tampered", "leaf"), path).alias("folded_root"))
+    return out.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Draws a tenth of the documents of 20 words or more, by weight towards the benchmark texts."""
     out = importance.Resampler().resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -94,6 +108,7 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_token_output": op10_token_output,
+    "op12_merkle_manifest": op12_merkle_manifest,
     "op13_importance": op13_importance,
 }
 
@@ -129,10 +144,68 @@ def _op5_sql() -> str:
         FROM w LEFT JOIN base USING (doc_id) LEFT JOIN found USING (doc_id)'''
 
 
+#: The table of CRC-32, by its rule, and the checksum of a list of bytes.
+_CRC_TABLE = """crc_table AS (
+            SELECT list(list_reduce(range(0, 8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k) ORDER BY k) AS steps FROM range(0, 256) t(k))"""
+_CRC = "xor(list_reduce({}, lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1]), 4294967295), 4294967295)"
+
+
+def _op12_sql(levels: int = 8, top_levels: int = 4) -> str:
+    """Levels are written out: enough for 8 ** 8 documents of a language and 8 ** 4 languages."""
+
+    def tree(name: str, group: str, n: int) -> str:
+        """``{name}_k``: level k; ``{name}_kids_k``: the children of each node of level k + 1."""
+        out = ""
+        for k in range(n):
+            out += f""",
+        {name}_kids_{k} AS (
+            SELECT {group}, place // 8 AS up, list(digest ORDER BY place) AS kids
+            FROM (SELECT *, count(*) OVER (PARTITION BY {group}) AS n FROM {name}_{k}) WHERE n > 1 GROUP BY {group}, place // 8),
+        {name}_{k + 1} AS (SELECT {group}, up AS place, sha256(array_to_string(kids, '')) AS digest FROM {name}_kids_{k})"""
+        tops = " UNION ALL ".join(f"SELECT {group}, max(digest) AS digest FROM {name}_{k} GROUP BY {group} HAVING count(*) = 1" for k in range(n + 1))
+        return f"{out},\n        {name}_top AS ({tops})"
+
+    def fold(name: str, group: str, place: str, k: int, before: str, after: str) -> str:
+        own = f"({place} // {8**k} % 8)"
+        left, right = f"array_to_string(kids[1 : {own}], '')", f"array_to_string(kids[{own} + 2 :], '')"
+        return f""",
+        {after} AS (
+            SELECT a.* REPLACE (CASE WHEN kids IS NULL THEN proof ELSE proof || {left} || {right} END AS proof,
+                                CASE WHEN kids IS NULL THEN folded ELSE sha256({left} || folded || {right}) END AS folded)
+            FROM {before} a LEFT JOIN {name}_kids_{k} b ON a.{group} IS NOT DISTINCT FROM b.{group} AND a.{place} // {8 ** (k + 1)} = b.up)"""
+
+    def leaf(text: str) -> str:
+        values = [c if c == text else f"{c}::VARCHAR" for c in ("doc_id", "source", "lang", "n_chars", text)]
+        return "sha256(" + " || ".join(f"coalesce(strlen({v}) || ':' || {v}, '-')" for v in values) + ")"
+
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    digits = "list_transform(string_split(doc_id::VARCHAR, ''), lambda c: unicode(c)::BIGINT)"
+    sql = f"""
+        WITH {_CRC_TABLE},
+        rows AS (
+            SELECT doc_id, lang, {leaf("text")} AS leaf, CASE WHEN {_CRC.format(digits)} % 3 = 0 THEN {leaf(lower)} END AS tampered
+            FROM documents, crc_table),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS rank FROM rows),
+        own_0 AS (SELECT lang, rank AS place, leaf AS digest FROM ranked)"""
+    sql += tree("own", "lang", levels)
+    sql += """,
+        langs AS (SELECT 1 AS one, lang, digest, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS place FROM own_top),
+        all_0 AS (SELECT one, place, digest FROM langs)"""
+    sql += tree("all", "one", top_levels)
+    sql += """,
+        path_0 AS (
+            SELECT doc_id, r.lang, leaf, rank, 1 AS one, place, digest AS subroot, '' AS proof, coalesce(tampered, leaf) AS folded
+            FROM ranked r JOIN langs l ON r.lang IS NOT DISTINCT FROM l.lang)"""
+    for k in range(levels + top_levels):
+        sql += fold("own", "lang", "rank", k, f"path_{k}", f"path_{k + 1}") if k < levels else fold("all", "one", "place", k - levels, f"path_{k}", f"path_{k + 1}")
+    return sql + f"""
+        SELECT doc_id, leaf, subroot, t.digest AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = t.digest AS verified
+        FROM path_{levels + top_levels}, all_top t"""
+
+
 def _op13_sql() -> str:
-    return r"""
-        WITH crc_table AS (
-            SELECT list(list_reduce(range(0, 8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k) ORDER BY k) AS steps FROM range(0, 256) t(k)),
+    return rf"""
+        WITH {_CRC_TABLE},
         words AS (
             SELECT 0 AS side, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM documents
             UNION ALL
@@ -141,7 +214,7 @@ def _op13_sql() -> str:
             SELECT word, list_transform(range(1, len(h), 2), lambda i: ('0x' || h[i : i + 1])::BIGINT) AS bytes
             FROM (SELECT word, hex(encode(word)) AS h FROM (SELECT DISTINCT word FROM words))),
         hashed AS (
-            SELECT word, xor(list_reduce(bytes, lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) % 10000 AS bucket FROM known, crc_table),
+            SELECT word, {_CRC.format('bytes')} % 10000 AS bucket FROM known, crc_table),
         counts AS (SELECT bucket, count(*) FILTER (side = 0)::DOUBLE AS s, count(*) FILTER (side = 1)::DOUBLE AS t FROM words JOIN hashed USING (word) GROUP BY bucket),
         totals AS (SELECT coalesce(sum(s), 0) AS all_s, coalesce(sum(t), 0) AS all_t FROM counts),
         gains AS (SELECT bucket, floor(1000 * ln((t + 1) * (all_s + 10000) / ((s + 1) * (all_t + 10000))))::BIGINT AS gain FROM counts, totals),
@@ -156,6 +229,7 @@ def _op13_sql() -> str:
 
 ORACLE_SQL = {
     "op5_license_scan": _op5_sql(),
+    "op12_merkle_manifest": _op12_sql(),
     "op13_importance": _op13_sql(),
     "op9_exact_dedup": r"""
         SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,

@@ -1,0 +1,119 @@
+import hashlib
+import zlib
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+from landspark.llm import merkle as m
+from landspark.llm.queries import ORACLE_SQL, QUERIES
+from tests.conftest import rows
+from tests.llm.helpers import awkward, documents
+
+COLUMNS = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def leaf(row):
+    return sha("".join("-" if row[c] is None else f"{len(str(row[c]).encode())}:{row[c]}" for c in COLUMNS))
+
+
+def rise(digests):
+    """All levels of a tree, and of each leaf the pairs of siblings from the leaf up."""
+    levels, paths = [digests], [[] for _ in digests]
+    while len(levels[-1]) > 1:
+        now = levels[-1]
+        runs = [now[k : k + 8] for k in range(0, len(now), 8)]
+        for k, path in enumerate(paths):
+            at = k // 8 ** (len(levels) - 1)
+            run = runs[at // 8]
+            path.append(("".join(run[: at % 8]), "".join(run[at % 8 + 1 :])))
+        levels.append([sha("".join(r)) for r in runs])
+    return levels[-1][0], paths
+
+
+def brute(docs):
+    trees = {}
+    for r in docs:
+        trees.setdefault(r["lang"], []).append((r["doc_id"], leaf(r)))
+    order = sorted(trees, key=lambda k: (k is not None, (k or "").encode()))
+    own = {k: sorted(v, key=lambda x: (x[0] is not None, x[0] or 0, x[1])) for k, v in trees.items()}
+    risen = {k: rise([d for _, d in v]) for k, v in own.items()}
+    root, tops = rise([risen[k][0] for k in order])
+    out = {}
+    for k, top in zip(order, tops, strict=True):
+        for (i, d), path in zip(own[k], risen[k][1], strict=True):
+            out.setdefault((i, d), []).append((risen[k][0], root, path + top))
+    return out
+
+
+def built(docs):
+    rows_ = docs.select("doc_id", "lang", m.leaf_digest([F.col(c) for c in COLUMNS]).alias("leaf"))
+    return m.Manifest.build(rows_, "lang", "doc_id")
+
+
+def many(spark, langs, each):
+    """Languages of different sizes, from one document on."""
+    df = spark.range(langs * each).selectExpr("id AS doc_id", "concat('text ', id) AS text", f"CASE WHEN id % {langs} > 0 THEN concat('l', id % {langs}) END AS lang", "'s' AS source", "7L AS n_chars")
+    return df.filter(f"doc_id < {langs} OR doc_id % 3 < doc_id % {langs} % 4")
+
+
+@pytest.mark.parametrize("which", ["awkward", "one language", "one document", "few", "many"])
+def test_against_brute_force(spark, which):
+    docs = {
+        "awkward": lambda: awkward(spark), "one language": lambda: documents(spark, [f"t{k}" for k in range(77)]), "one document": lambda: documents(spark, ["t"]),
+        "few": lambda: many(spark, 5, 70), "many": lambda: many(spark, 75, 5),
+    }[which]().repartition(3)
+    want = brute(docs.collect())
+    manifest = built(docs)
+    got = manifest.prove().join(manifest.trees, "tree").select("doc_id", "leaf", "subroot", "path", m.folded(F.col("leaf"), F.col("path")).alias("folded"), m.siblings(F.col("path")).alias("flat")).collect()
+    assert len(got) == sum(map(len, want.values()))
+    for r in got:
+        assert (r["subroot"], manifest.root, [tuple(s) for s in r["path"]]) in want[r["doc_id"], r["leaf"]]
+        assert r["folded"] == manifest.root and r["flat"] == "".join(a + b for a, b in r["path"])
+
+
+def test_records_are_addressed_by_content(spark):
+    nodes = built(many(spark, 5, 70)).nodes.collect()
+    assert len({r["digest"] for r in nodes}) == len(nodes) and all(r["digest"] == sha("".join(r["children"])) for r in nodes)
+
+
+def test_some_requests_get_the_paths_of_all(spark):
+    manifest = built(many(spark, 5, 70))
+    every = {(r["tree"], r["rank"]): r["path"] for r in manifest.prove().collect()}
+    asked = spark.createDataFrame([(1, 0), (1, 0), (2, 17), (3, 40), (0, 0), (3, 9999), (77, 0), (1, 8)], "tree long, rank long")
+    got = [(r["tree"], r["rank"], r["path"]) for r in manifest.prove(asked).collect()]
+    known = [(t, k) for t, k in [(1, 0), (1, 0), (2, 17), (3, 40), (0, 0), (1, 8)] if (t, k) in every]
+    assert len(known) > 3 and sorted(got) == sorted((t, k, every[t, k]) for t, k in known)
+
+
+def test_a_changed_leaf_or_order_is_found(spark):
+    manifest = built(documents(spark, [f"t{k}" for k in range(20)]))
+    proofs = manifest.prove()
+    assert proofs.filter(m.folded(m.sha(F.lit("other")), F.col("path")) == F.lit(manifest.root)).isEmpty()
+    swapped = F.transform("path", lambda s: F.struct(s["right"].alias("left"), s["left"].alias("right")))
+    assert proofs.filter(m.folded(F.col("leaf"), swapped) == F.lit(manifest.root)).isEmpty()
+
+
+def test_empty_table(spark):
+    manifest = built(documents(spark, []))
+    assert manifest.root is None and manifest.prove().isEmpty() and manifest.nodes.isEmpty()
+
+
+def test_leaf_of_nulls_and_bytes(spark):
+    docs = documents(spark, [(None, None), (-3, "é"), (4, "")])
+    assert rows(docs.select(m.leaf_digest([F.col(c) for c in COLUMNS]))) == sorted((leaf(r),) for r in docs.collect())
+
+
+def test_query_against_sql_and_tampering(spark):
+    sf, con = "/root/testdata/sf0.001", duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf}/documents.parquet'")
+    columns = "doc_id, leaf, subroot, root, proof_sha256, folded_root, verified"
+    got = QUERIES["op12_merkle_manifest"](spark, sf).selectExpr(*columns.split(", "))
+    assert rows(got) == sorted(con.execute(f"SELECT {columns} FROM ({ORACLE_SQL['op12_merkle_manifest']})").fetchall())
+    text = dict(con.execute("SELECT doc_id, text FROM documents").fetchall())
+    changed = {i for i, t in text.items() if zlib.crc32(str(i).encode()) % 3 == 0 and any("A" <= c <= "Z" for c in t or "")}
+    assert {r["doc_id"] for r in got.filter("NOT verified").collect()} == changed and changed
