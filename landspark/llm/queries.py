@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landspark.llm import decontamination, exact_dedup, html_extraction, importance, language_id, license_scan, merkle, mixing, quality, sharding, simhash, token_output
+from landspark.llm import decontamination, exact_dedup, html_extraction, importance, language_id, license_scan, merkle, mixing, piece_encoding, quality, sharding, simhash, token_output
 from landspark.llm.common import new_path, table
 from landspark.llm.ngrams import held_out
 
@@ -77,6 +77,12 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.read_tokens(index, path)
 
 
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded to ids of pieces, with begin and end, and decoded again."""
+    out = piece_encoding.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), decoded=True)
+    return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaves, proofs and roots of all documents by language; a third of them are tampered with and fail to verify."""
     docs = table(spark, sf_dir, "documents")
@@ -108,6 +114,7 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_token_output": op10_token_output,
+    "op11_sentencepiece": op11_sentencepiece,
     "op12_merkle_manifest": op12_merkle_manifest,
     "op13_importance": op13_importance,
 }

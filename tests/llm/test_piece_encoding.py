@@ -1,0 +1,106 @@
+import hashlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from landspark.llm import piece_encoding as p
+from landspark.llm.queries import QUERIES
+from tests.llm.helpers import awkward, documents
+
+FILE = public_tokenizers.path("piece_bpe_32k.model")
+LIBRARY = sentencepiece.SentencePieceProcessor(model_file=FILE)
+MODEL = open(FILE, "rb").read()
+ENCODER = p.Encoder(MODEL)
+SOME = [ENCODER.pieces[k] for k in range(0, len(ENCODER.pieces), 61)]
+
+
+def ids(packed):
+    return np.frombuffer(packed, "<u4").tolist()
+
+
+@settings(max_examples=1500, deadline=None)
+@given(st.lists(st.one_of(st.sampled_from(SOME), st.sampled_from(list(" ▁\n\t\r\x00\x01aeinrst01.,()中文é́😀�")), st.characters(exclude_categories=["Cs"]), st.just("<0x41>"), st.just("<s>")), max_size=14).map("".join))
+def test_encodes_as_the_library(text):
+    assert ids(ENCODER(text)) == LIBRARY.encode(text)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="aeinrst", min_size=1, max_size=200))
+def test_backtracking_alone_and_from_anywhere(text):
+    want = [LIBRARY.piece_to_id(x) for x in ENCODER.merged(text)]
+    assert ENCODER.backtrack(text, [], 0) == ENCODER.search(text) == want
+
+
+def test_longest_pieces_are_taken_back():
+    """Texts whose longest pieces don't fit, and where a place fails."""
+    calls = []
+
+    class Watched(p.Encoder):
+        def backtrack(self, text, taken, at):
+            before = list(taken)
+            out = super().backtrack(text, taken, at)
+            calls.append(taken[: len(before)] != before)
+            return out
+
+    own = Watched(MODEL)
+    for k in range(3000):
+        text = "".join("eainthrsod"[int(c)] for c in str(k * 7919 + 104729 * k * k))
+        assert own.search(text) == [LIBRARY.piece_to_id(x) for x in own.merged(text)]
+    assert len(calls) > 100 and any(calls)
+
+
+@pytest.mark.parametrize("text", ["a" * 100_001, "ab" * 30_000, "中文" * 20_000, " " * 30_001, "x" + " " * 999 + "y  ", "=-" * 20_000, "\n" * 5000, "😀" * 5000, "the cat. " * 9000])
+def test_long_units(text, monkeypatch):
+    monkeypatch.setattr(p, "PIECE", 4096)
+    assert ids(ENCODER(text)) == LIBRARY.encode(text)
+
+
+def test_generations_of_known_units(monkeypatch):
+    monkeypatch.setattr(p, "CACHED_UNITS", 5)
+    monkeypatch.setattr(p, "CACHED_PAIRS", 7)
+    own = p.Encoder(MODEL)
+    for k in range(60):
+        text = f"word{k % 7} other{k} and, the. rest{k % 11}"
+        assert ids(own(text)) == LIBRARY.encode(text)
+
+
+def test_unlike_models_are_refused(monkeypatch):
+    class Unigram(sentencepiece.SentencePieceProcessor):
+        def encode(self, *a, **b):
+            return [5]
+
+    monkeypatch.setattr(p.sentencepiece, "SentencePieceProcessor", Unigram)
+    with pytest.raises(ValueError):
+        p.Encoder(MODEL)
+
+
+def test_awkward_rows_and_round_trip(spark):
+    docs = awkward(spark)
+    texts = sorted(((r["doc_id"] or -1, r["text"] or "") for r in docs.collect()))
+    encoded = p.encode(docs.repartition(3), FILE, decoded=True)
+    got = sorted(((r["doc_id"] or -1, ids(r["ids"]), r["n_tokens"], r["decoded"]) for r in encoded.collect()))
+    want = sorted((i, LIBRARY.encode(t, add_bos=True, add_eos=True), t) for i, t in texts)
+    assert [(i, x) for i, x, *_ in got] == [(i, x) for i, x, _ in want] and all(n == len(x) for _, x, n, _ in got)
+    assert [d for *_, d in got] == [LIBRARY.decode(x) for _, x, _ in want] == [t for *_, t in want]
+    assert sorted((r["doc_id"] or -1, r["text"]) for r in p.decode(encoded, FILE).collect()) == texts
+    assert sorted((r["doc_id"] or -1, r["ids"]) for r in p.unpacked(encoded).collect()) == [(i, x) for i, x, _ in want]
+
+
+def test_without_begin_and_end_and_empty_table(spark):
+    assert [ids(r["ids"]) for r in p.encode(documents(spark, ["a b", None]), FILE, begin=False, end=False).orderBy("doc_id").collect()] == [LIBRARY.encode("a b"), []]
+    assert p.encode(documents(spark, []), FILE).count() == 0
+
+
+def test_query_against_the_library(spark):
+    sf = "/root/testdata/sf0.001"
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    got = QUERIES["op11_sentencepiece"](spark, sf).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        own = LIBRARY.encode(texts[r["doc_id"]], add_bos=True, add_eos=True)
+        assert r["n_tokens"] == len(own) and r["ids_sha256"] == hashlib.sha256(np.array(own, "<u4").tobytes()).hexdigest()
+        assert r["decoded_sha256"] == hashlib.sha256(LIBRARY.decode(own).encode()).hexdigest()
