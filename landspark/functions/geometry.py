@@ -86,6 +86,76 @@ def contains(edge_list: Column, x: Column, y: Column, boundary: str = "exclude")
     return inside & ~F.exists(edge_list, touched)
 
 
+def turn(e: Column, x: Column, y: Column) -> Column:
+    """Positive if a point is on the left hand of one who goes along an edge, negative on the right, 0 on its line."""
+    return (e["x2"] - e["x1"]) * (y - e["y1"]) - (e["y2"] - e["y1"]) * (x - e["x1"])
+
+
+def straddles(a: Column, b: Column, level: Column) -> Column:
+    """Whether two values are on either side of a level, which itself counts as lower."""
+    return (a <= level) != (b <= level)
+
+
+def left_of(e: Column, x: Column, y: Column) -> Column:
+    """Whether a point is to the left of an edge that passes its height."""
+    s = turn(e, x, y)
+    return F.when(e["y2"] > e["y1"], s > 0).otherwise(s < 0)
+
+
+def below(e: Column, x: Column, y: Column) -> Column:
+    """Whether a point is below an edge; points on its line count as to the right of it, like those of :func:`left_of`."""
+    s = turn(e, x, y)
+    return F.when(s == 0, (e["x2"] - e["x1"]) * (e["y2"] - e["y1"]) > 0).when(e["x2"] > e["x1"], s < 0).otherwise(s > 0)
+
+
+def path_crosses(e: Column, x: Column, y: Column, cx: Column, cy: Column, passing: bool = False) -> Column:
+    """Whether an edge is crossed an odd number of times on the way from ``x, y`` sideways to ``cx``, then to ``cx, cy``.
+
+    With ``passing``, edges that the first point is on are not crossed sideways.
+    """
+    sideways = straddles(e["y1"], e["y2"], y) & (left_of(e, x, y) != left_of(e, cx, y))
+    if passing:
+        sideways = sideways & ~touches(e, x, y)
+    return sideways != (straddles(e["x1"], e["x2"], cx) & (below(e, cx, y) != below(e, cx, cy)))
+
+
+def path_parity(edge_list: Column, x: Column, y: Column, cx: Column, cy: Column, passing: bool = False) -> Column:
+    """Whether that way crosses edges an odd number of times."""
+    return F.aggregate(edge_list, F.lit(False), lambda odd, e: odd != path_crosses(e, x, y, cx, cy, passing))
+
+
+def touches(e: Column, x: Column, y: Column) -> Column:
+    """Whether a point is on an edge, ends included."""
+    return (turn(e, x, y) == 0) & x.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"])) & y.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"]))
+
+
+def sectors(edge_list: Column, x: Column, y: Column, first: Column) -> Column:
+    """``array<struct<lo, hi>>``: the angles around a point, from 0 to a full turn, at which a polygon is.
+
+    ``first`` says whether it is at the least angle above 0. An edge that ends in the point is one direction, one
+    that goes through it two; at each of them inside and outside change.
+    """
+
+    def angle(dx: Column, dy: Column) -> Column:
+        a = F.atan2(dy, dx)
+        return F.when(a <= 0, a + 2 * math.pi).otherwise(a)
+
+    def ends(e: Column) -> Column:
+        there = F.array(*[F.when((e[f"x{k}"] != x) | (e[f"y{k}"] != y), angle(e[f"x{k}"] - x, e[f"y{k}"] - y)) for k in (1, 2)])
+        return F.filter(there, lambda a: a.isNotNull())
+
+    at = F.array_sort(F.flatten(F.transform(F.filter(edge_list, lambda e: touches(e, x, y)), ends)))
+    bounds = F.concat(F.array(F.lit(0.0)), at, F.array(F.lit(2 * math.pi)))
+    spans = F.transform(F.sequence(F.lit(0), F.size(at)), lambda k: F.struct(bounds[k].alias("lo"), bounds[k + 1].alias("hi"), (first != (k % 2 == 1)).alias("own")))
+    return F.transform(F.filter(spans, lambda s: s["own"] & (s["lo"] < s["hi"])), lambda s: F.struct(s["lo"].alias("lo"), s["hi"].alias("hi")))
+
+
+def whole_turn(spans: Column, gap: float) -> Column:
+    """Whether spans of angles leave no gap wider than ``gap`` in a full turn."""
+    reached = F.aggregate(F.array_sort(spans), F.lit(0.0), lambda r, s: F.when(s["lo"] <= r + gap, F.greatest(r, s["hi"])).otherwise(r))
+    return reached >= 2 * math.pi - gap
+
+
 def centroid(ring: Column) -> Column:
     """The area-weighted centroid ``struct<x, y>``; null for a ring without area.
 

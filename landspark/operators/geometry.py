@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from landspark.functions import geometry as g
+from landspark.operators.region import Region
 
 
 def reproject_utm(df: DataFrame, lon: str = "lon", lat: str = "lat", zone: int = 2, south: bool = True) -> DataFrame:
@@ -24,48 +25,10 @@ def buffer_points(df: DataFrame, radius: float = 1.0, x: str = "x", y: str = "y"
     return df.withColumn(out, g.circle(F.col(x), F.col(y), radius))
 
 
-def polygon_tiles(polygons: DataFrame, tile: float, ring: str = "ring", holes: str | None = None) -> DataFrame:
-    """``polygons`` with their bounding box and one row per tile that they meet.
+def within_roi(points: DataFrame, roi: DataFrame, key: list[str], tile: float = 1000.0, x: str = "x", y: str = "y", boundary: str = "exclude", holes: str | None = None, most_edges: int = 256) -> DataFrame:
+    """The points inside the union of the polygons of ``roi``; ``key`` tells points apart and is not needed.
 
-    ``edge_list`` has the edges by which points of the tile are told: rays go to the right,
-    so edges above, below and to the left of a tile are left out, and tiles without any
-    edge lie outside. Edges are cut by rows of tiles first, then by tiles.
+    Borders that polygons share are no borders of the union. Points and polygons meet in tiles of the side ``tile``, which
+    are cut where they have more than ``most_edges`` edges; neither number changes the result.
     """
-    xs, ys = F.transform(ring, lambda p: p["x"]), F.transform(ring, lambda p: p["y"])
-    boxed = polygons.withColumns({"xmin": F.array_min(xs), "xmax": F.array_max(xs), "ymin": F.array_min(ys), "ymax": F.array_max(ys)})
-    boxed = boxed.withColumn("edge_list", g.polygon_edges(F.col(ring), F.col(holes) if holes else None))
-
-    def span(lo: str, hi: str):
-        return F.explode(F.sequence(F.floor(F.col(lo) / tile), F.floor(F.col(hi) / tile)))
-
-    # a hair more than the tile, as its number is a rounded quotient
-    low, high, left = ((F.col(c) + d) * tile for c, d in (("tile_y", -1e-6), ("tile_y", 1 + 1e-6), ("tile_x", -1e-6)))
-    in_row = boxed.withColumn("tile_y", span("ymin", "ymax"))
-    in_row = in_row.withColumn("edge_list", F.filter("edge_list", lambda e: (F.greatest(e["y1"], e["y2"]) >= low) & (F.least(e["y1"], e["y2"]) <= high)))
-    in_tile = in_row.withColumn("tile_x", span("xmin", "xmax"))
-    return in_tile.withColumn("edge_list", F.filter("edge_list", lambda e: F.greatest(e["x1"], e["x2"]) >= left)).filter(F.size("edge_list") > 0)
-
-
-def with_inside(points: DataFrame, roi: DataFrame, tile: float, x: Column, y: Column, out: str, boundary: str, holes: str | None = None) -> DataFrame:
-    """``points`` with ``out``: whether they are inside any polygon of ``roi``; null for no.
-
-    Polygons are gathered by tile, with the edges of that tile only, so each point meets
-    one row at most and stays one row.
-    """
-    shape = F.struct("edge_list", "xmin", "xmax", "ymin", "ymax")
-    tiles = polygon_tiles(roi.select("ring", *([holes] if holes else [])), tile, holes=holes)
-    tiles = tiles.groupBy(F.col("tile_x").alias("_tx"), F.col("tile_y").alias("_ty")).agg(F.collect_list(shape).alias("_shapes"))
-    at = points.withColumns({"_px": x, "_py": y})
-    near = at.join(tiles, (F.floor(F.col("_px") / tile) == F.col("_tx")) & (F.floor(F.col("_py") / tile) == F.col("_ty")), "left")
-    px, py = F.col("_px"), F.col("_py")
-    inside = F.exists("_shapes", lambda p: px.between(p["xmin"], p["xmax"]) & py.between(p["ymin"], p["ymax"]) & g.contains(p["edge_list"], px, py, boundary))
-    return near.withColumn(out, inside).drop("_px", "_py", "_tx", "_ty", "_shapes")
-
-
-def within_roi(points: DataFrame, roi: DataFrame, key: list[str], tile: float = 1000.0, x: str = "x", y: str = "y", boundary: str = "exclude", holes: str | None = None) -> DataFrame:
-    """The points inside any polygon of ``roi``; ``key`` tells points apart and is not needed.
-
-    Points and polygons meet in the tiles of a grid, so a point is only held against
-    polygons that are near. Overlapping polygons count once.
-    """
-    return with_inside(points, roi, tile, F.col(x), F.col(y), "_in", boundary, holes).filter("_in").drop("_in")
+    return Region.build(roi, tile, holes, most_edges).with_inside(points, F.col(x), F.col(y), "_in", boundary).filter("_in").drop("_in")

@@ -13,11 +13,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from landspark.functions import geometry as g
 from landspark.functions.components import components
-from landspark.operators.geometry import polygon_tiles, with_inside
+from landspark.operators.region import Region
 from landspark.sources.shared import materialize
 
 NODATA = -9999
@@ -92,34 +93,44 @@ def clip_to_aoi(cells: DataFrame, aoi: DataFrame, grid: Grid, bands: tuple[str,
     lo_c, hi_c = sorted(((box[0] - grid.x0) / grid.dx, (box[1] - grid.x0) / grid.dx))
     lo_r, hi_r = sorted(((box[2] - grid.y0) / grid.dy, (box[3] - grid.y0) / grid.dy))
     window = cells.filter((F.col("col_id") > lo_c - 1) & (F.col("col_id") < hi_c) & (F.col("row_id") > lo_r - 1) & (F.col("row_id") < hi_r))
-    found = with_inside(window, aoi, tile, grid.x(F.col("col_id")), grid.y(F.col("row_id")), "_in", "half_open")
+    found = Region.build(aoi, tile).with_inside(window, grid.x(F.col("col_id")), grid.y(F.col("row_id")), "_in", "half_open")
     return found.select(*[F.when(F.col("_in"), F.col(c)).otherwise(F.lit(nodata).cast(cells.schema[c].dataType)).alias(c) if c in bands else F.col(c) for c in cells.columns])
 
 
-def rasterize(polygons: DataFrame, grid: Grid, value_cols: list[str], order: str, tile_cells: int = 64, holes: str | None = None) -> DataFrame:
+def rasterize(polygons: DataFrame, grid: Grid, value_cols: list[str], order: str, holes: str | None = None) -> DataFrame:
     """``row_id, col_id`` and the values of the last polygon, by ``order``, that has the cell's centre.
 
-    Polygons are cut by tiles before their cells are listed, and the cut pieces are dealt
-    out evenly, so that a large polygon becomes many small tasks. Edges are half-open.
+    Each edge is followed from row to row of the grid and marks the first cell behind it there. Along a
+    row, the marks of a polygon's edges turn it on and off, so every other gap between marks is a run of
+    cells; cells are listed from runs at the end. The work is in rows that edges pass, runs and
+    cells that are burnt, and a large polygon is as many groups as it has rows. Edges are half-open.
     """
-    tile = tile_cells * min(abs(grid.dx), abs(grid.dy))
-    values = F.struct(*value_cols).alias("values")
-    pieces = polygon_tiles(polygons.select("ring", F.col(order).alias("order_key"), values, *([holes] if holes else [])), tile, holes=holes)
-    pieces = pieces.repartition("order_key", "tile_x", "tile_y").select("order_key", "values", "edge_list", *[f(F.col(c), F.col(t) * tile).alias(c) for c, t, f in (("xmin", "tile_x", F.greatest), ("ymin", "tile_y", F.greatest))], *[F.least(F.col(c), (F.col(t) + 1) * tile).alias(c) for c, t in (("xmax", "tile_x"), ("ymax", "tile_y"))])
-
-    def cells_of(lo: str, hi: str, origin: float, step: float, size: int):
-        a, b = (F.col(lo) - origin) / step, (F.col(hi) - origin) / step
-        first, last = F.floor(F.least(a, b)).cast("int"), F.floor(F.greatest(a, b)).cast("int")
-        if size:
-            first, last = F.greatest(first, F.lit(0)), F.least(last, F.lit(size - 1))
-        return F.explode(F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>")))
-
-    listed = pieces.withColumn("row_id", cells_of("ymin", "ymax", grid.y0, grid.dy, grid.height)).withColumn("col_id", cells_of("xmin", "xmax", grid.x0, grid.dx, grid.width))
-    x, y = grid.x(F.col("col_id")), grid.y(F.col("row_id"))
-    own = (x >= F.col("xmin")) & (x <= F.col("xmax")) & (y >= F.col("ymin")) & (y <= F.col("ymax"))
-    burnt = listed.filter(own & g.contains(F.col("edge_list"), x, y, "half_open"))
+    rings = polygons.select(F.col(order).alias("order_key"), F.struct(*value_cols).alias("values"), F.monotonically_increasing_id().alias("_poly"), g.polygon_edges(F.col("ring"), F.col(holes) if holes else None).alias("edge_list"))
+    rings, e = rings.select("order_key", "values", "_poly", F.explode("edge_list").alias("e")), F.col("e")
+
+    def first_at(c: Column, origin: float, step: float) -> Column:
+        """The first row or column, in the order of numbers, whose centre may lie behind a coordinate."""
+        return F.ceil((c - origin) / step - 0.5)
+
+    a, b = first_at(e["y1"], grid.y0, grid.dy), first_at(e["y2"], grid.y0, grid.dy)
+    low, high = F.least(a, b) - 1, F.greatest(a, b)  # one more on either side, for rounding
+    if grid.height:
+        low, high = F.greatest(low, F.lit(0)), F.least(high, F.lit(grid.height - 1))
+    passed = rings.filter(e["y1"] != e["y2"]).withColumn("row_id", F.explode(F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<bigint>"))))
+    y = grid.y(F.col("row_id"))
+    passed = passed.filter(g.straddles(e["y1"], e["y2"], y)).withColumn("_x", e["x1"] + (y - e["y1"]) * (e["x2"] - e["x1"]) / (e["y2"] - e["y1"]))
+    guess = first_at(F.col("_x"), grid.x0, grid.dx)
+    # a centre counts as behind an edge as its coordinate is compared with the crossing, whatever the quotient was rounded to
+    before = [(grid.x(guess + d) < F.col("_x")) if grid.dx > 0 else (grid.x(guess + d) >= F.col("_x")) for d in (-1, 0)]
+    marks = passed.select("_poly", "order_key", "values", "row_id", (guess - 1 + sum((c.cast("int") for c in before), F.lit(0))).alias("_from"))
+    along = W.partitionBy("_poly", "row_id").orderBy("_from")
+    runs = marks.withColumns({"_nth": F.row_number().over(along), "_to": F.lead("_from").over(along) - 1}).filter("_nth % 2 = 1")
+    start, end = F.col("_from"), F.col("_to")
+    if grid.width:
+        start, end = F.greatest(start, F.lit(0)), F.least(end, F.lit(grid.width - 1))
+    burnt = runs.select("row_id", "order_key", "values", F.explode(F.when(start <= end, F.sequence(start, end)).otherwise(F.array().cast("array<bigint>"))).alias("col_id"))
     last = burnt.groupBy("row_id", "col_id").agg(F.max_by("values", "order_key").alias("v"))
-    return last.select("row_id", "col_id", *[F.col("v")[c].alias(c) for c in value_cols])
+    return last.select(F.col("row_id").cast("int").alias("row_id"), F.col("col_id").cast("int").alias("col_id"), *[F.col("v")[c].alias(c) for c in value_cols])
 
 
 def resample_nearest(targets: DataFrame, cells: DataFrame, src: Grid, dst: Grid) -> DataFrame:

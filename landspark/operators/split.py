@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from landspark.functions.row_ids import numbered
+from landspark.sources.shared import Scratch, materialize
 
 NODATA = -9999
 
@@ -53,25 +56,63 @@ def seeded_shuffle(df: DataFrame, seed: int = 42, key: str = "poly_id", out: str
     return numbered(df.withColumn("_key", shuffle_key(seed, key)), ["_key", key], out).drop("_key")
 
 
-def greedy_split(polys: DataFrame, pct: int = 75, seed: int = 42) -> DataFrame:
+def greedy_split(polys: DataFrame, pct: int = 75, seed: int = 42, walk_rows: int = 200_000, rounds: int = 40) -> DataFrame:
     """``poly_id, crop_code, pix_count, set``: every polygon in ``cal`` or ``val``.
 
     In shuffled order a class's polygon goes to calibration if the pixels so far and its
     own stay within the class's target, else to validation; a polygon that does not fit
     does not stop later, smaller ones. Without a count or a class it is for validation.
 
-    What was taken so far decides on the next polygon, so a class is one ordered stream:
-    the rows are dealt by class, sorted by Spark, and read batch by batch with nothing
-    but one running sum kept. Rows without a count or a class, or larger than their class's
-    target, can fit nowhere and are not dealt.
+    What was taken so far decides on the next polygon, yet most of it is settled in bulk. Polygons lie in
+    range partitions of their class and order. In a round, the partitions' sums tell how far each
+    class goes on without a polygon that does not fit; all up to there are taken, that one is
+    left, and those behind it that are larger than what is left of the target are out for good. Only the
+    partition with that polygon is summed row by row. When no more than ``walk_rows`` are
+    open, or after ``rounds`` rounds, the rest is walked one by one, as a sorted stream with one running sum kept.
     """
-    rows = polys.select("poly_id", "crop_code", "pix_count")
-    targets = calibration_targets(rows, pct).withColumnsRenamed({"crop_code": "_code"})
-    rows = rows.join(F.broadcast(targets), F.col("crop_code") == F.col("_code"), "left").drop("_code")  # one row per class
-    may_fit = F.coalesce(F.col("pix_count") <= F.col("target"), F.lit(False))
-    never = rows.filter(~may_fit).select(F.col("poly_id").cast("long"), F.col("crop_code").cast("int"), F.col("pix_count").cast("long"), F.lit("val").alias("set"))
-    rows = rows.filter(may_fit).withColumn("_key", shuffle_key(seed)).repartition("crop_code").sortWithinPartitions("crop_code", "_key", "poly_id")
-    schema = "poly_id long, crop_code int, pix_count long, set string"
+    rows = polys.select(F.col("poly_id").cast("long"), F.col("crop_code").cast("int"), F.col("pix_count").cast("long"))
+    targets = calibration_targets(rows, pct).withColumn("target", F.col("target").cast("double"))
+    order = ["crop_code", "_key", "poly_id"]
+    dealt = rows.withColumn("_key", shuffle_key(seed)).repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id())
+    placed = materialize(dealt.drop("_key"), "dealt").withColumn("_part", F.shiftright("_id", 33))
+    with Scratch(polys.sparkSession) as write:
+        # of each class: the place of the last polygon that is settled, and what is left of the target
+        state = write(targets.select("crop_code", F.lit(-1).cast("long").alias("_at"), F.col("target").alias("_left")), "state")
+        steps = []
+        for _ in range(rounds):
+            still = placed.join(state, "crop_code").filter((F.col("_id") > F.col("_at")) & (F.col("pix_count") <= F.col("_left")))
+            sums = write(still.groupBy("crop_code", "_part").agg(F.sum("pix_count").alias("n"), F.count("*").alias("rows"), F.first("_left").alias("_left")), "sums")
+            if (sums.agg(F.sum("rows")).first()[0] or 0) <= walk_rows:
+                break
+            by_class = W.partitionBy("crop_code").orderBy("_part")
+            sums = sums.withColumn("_so_far", F.sum("n").over(by_class)).filter(F.col("_so_far") > F.col("_left"))
+            ends = sums.groupBy("crop_code").agg(F.min(F.struct("_part", (F.col("_so_far") - F.col("n")).alias("_before"))).alias("_end")).select("crop_code", "_end.*")
+            in_turn = W.partitionBy("crop_code").orderBy("_id")
+            near = still.join(ends, ["crop_code", "_part"]).withColumn("_so_far", F.col("_before") + F.sum("pix_count").over(in_turn)).filter(F.col("_so_far") > F.col("_left"))
+            near = near.groupBy("crop_code").agg(F.min(F.struct("_id", (F.col("_so_far") - F.col("pix_count")).alias("_taken"))).alias("_end"))
+            # a class in which all fit is settled to its end
+            at, taken = F.coalesce(F.col("_end._id"), F.lit((1 << 63) - 1)), F.coalesce(F.col("_end._taken"), F.lit(0))
+            step = write(state.join(near, "crop_code", "left").select("crop_code", F.col("_at").alias("_from"), F.col("_left").alias("_limit"), at.alias("_at"), (F.col("_left") - taken).alias("_left")), "step")
+            steps.append(step.select("crop_code", "_from", "_limit", F.col("_at").alias("_to")))
+            state = step.select("crop_code", "_at", "_left")
+        known = state
+        if steps:
+            spans = reduce(DataFrame.unionByName, steps).groupBy("crop_code").agg(F.collect_list(F.struct("_from", "_to", "_limit")).alias("_spans"))  # one for each round
+            known = state.join(spans, "crop_code")
+        known = materialize(known, "known")
+    found = placed.join(known, "crop_code", "left")
+    is_open = F.coalesce((F.col("_id") > F.col("_at")) & (F.col("pix_count") <= F.col("_left")), F.lit(False))
+    taken = F.lit(False)
+    if steps:
+        taken = F.exists("_spans", lambda s: (F.col("_id") > s["_from"]) & (F.col("_id") < s["_to"]) & (F.col("pix_count") <= s["_limit"]))
+    settled = found.filter(~is_open).select("poly_id", "crop_code", "pix_count", F.when(F.coalesce(taken, F.lit(False)), "cal").otherwise("val").alias("set"))
+    rest = found.filter(is_open).select("poly_id", "crop_code", "pix_count", "_id", F.col("_left").alias("target"))
+    return _walk(rest).unionByName(settled)
+
+
+def _walk(rows: DataFrame) -> DataFrame:
+    """Takes or leaves polygon by polygon: a class is one sorted stream, read batch by batch."""
+    dealt = rows.repartition("crop_code").sortWithinPartitions("crop_code", "_id")
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code, so_far = None, 0
@@ -83,9 +124,9 @@ def greedy_split(polys: DataFrame, pct: int = 75, seed: int = 42) -> DataFrame:
                 fits = so_far + n <= most
                 so_far += n if fits else 0
                 sets.append("cal" if fits else "val")
-            yield pa.record_batch([b["poly_id"].cast(pa.int64()), b["crop_code"].cast(pa.int32()), b["pix_count"].cast(pa.int64()), pa.array(sets, pa.string())], names=["poly_id", "crop_code", "pix_count", "set"])
+            yield pa.record_batch([b["poly_id"], b["crop_code"], b["pix_count"], pa.array(sets, pa.string())], names=["poly_id", "crop_code", "pix_count", "set"])
 
-    return rows.mapInArrow(walk, schema).unionByName(never)
+    return dealt.mapInArrow(walk, "poly_id long, crop_code int, pix_count long, set string")
 
 
 def split_summary(split: DataFrame) -> DataFrame:

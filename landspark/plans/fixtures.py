@@ -44,6 +44,10 @@ FROM part""",
     "aoi_rects": """
 SELECT aoi_id, CAST(xmin AS DOUBLE) AS xmin, CAST(ymin AS DOUBLE) AS ymin, CAST(xmax AS DOUBLE) AS xmax, CAST(ymax AS DOUBLE) AS ymax
 FROM (VALUES (1, 10.25, 20.25, 90.25, 80.25), (2, 60.25, 50.25, 140.25, 120.25)) AS t(aoi_id, xmin, ymin, xmax, ymax)""",
+    "seam_rects": """
+SELECT n_nationkey AS aoi_id, CAST(n_nationkey % 5 * 20 AS DOUBLE) AS xmin, CAST(floor(n_nationkey / 5) * 15 AS DOUBLE) AS ymin,
+  CAST(n_nationkey % 5 * 20 + 20 AS DOUBLE) AS xmax, CAST(floor(n_nationkey / 5) * 15 + 15 AS DOUBLE) AS ymax
+FROM nation WHERE n_nationkey % 7 <> 3""",
     "lonlat_points": """
 SELECT c_custkey AS id, -173.0 + CAST(c_custkey % 1000 AS DOUBLE) / 500 AS lon, -14.0 + CAST(c_nationkey AS DOUBLE) / 50 AS lat FROM customer""",
     "predictions": """

@@ -244,6 +244,16 @@ def _(t):
     return geometry.within_roi(t.insitu_points, rects(t.aoi_rects), ["id"], tile=32.0).select("id", "x", "y")
 
 
+@query(
+    "g04_within_dissolved",
+    """SELECT id, x, y FROM insitu_points WHERE (SELECT count(DISTINCT (i, j)) FROM seam_rects a, (VALUES (-0.25), (0.25)) AS h(i), (VALUES (-0.25), (0.25)) AS v(j)
+      WHERE insitu_points.x + i > a.xmin AND insitu_points.x + i < a.xmax AND insitu_points.y + j > a.ymin AND insitu_points.y + j < a.ymax) = 4""",
+)
+def _(t):
+    """Whole-numbered points in blocks that share borders: each of the four quarters around a point must be in a block."""
+    return geometry.within_roi(t.insitu_points, rects(t.seam_rects), ["id"], tile=64.0).select("id", "x", "y")
+
+
 @query(
     "g05_clip_to_aoi",
     """SELECT row_id, col_id, CASE WHEN inside THEN red ELSE -9999 END::DOUBLE AS red, CASE WHEN inside THEN nir ELSE -9999 END::DOUBLE AS nir FROM (

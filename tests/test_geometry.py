@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from landspark.functions import geometry as g
-from landspark.operators import features, geometry, grid, model, objects
+from landspark.operators import features, geometry, grid, model, objects, region
 from landspark.sources import tables as io
 from landspark.sources.shared import new_path
 from tests.conftest import rows
@@ -37,7 +37,7 @@ def test_holes(spark):
 def test_triangle_burns_like_a_loop(spark):
     tri = [(0.3, 0.2), (17.4, 3.1), (5.5, 14.9)]
     df = spark.createDataFrame([(1, 7, tri)], f"poly_id long, val int, ring {RING}")
-    got = {(r["row_id"], r["col_id"]) for r in grid.rasterize(df, grid.Grid(), ["val"], "poly_id", tile_cells=4).collect()}
+    got = {(r["row_id"], r["col_id"]) for r in grid.rasterize(df, grid.Grid(), ["val"], "poly_id").collect()}
 
     def inside(x, y):
         n = 0
@@ -194,8 +194,9 @@ def test_polygonize_nothing(spark):
 def test_tiles_carry_their_own_edges(spark):
     ring = [(50 + 40 * math.cos(k * math.pi / 200), 50 + 40 * math.sin(k * math.pi / 200)) for k in range(400)]
     df = spark.createDataFrame([(ring,)], f"ring {RING}")
-    tiles = geometry.polygon_tiles(df, 10.0).select("tile_x", "tile_y", F.size("edge_list").alias("n")).collect()
-    assert max(t["n"] for t in tiles) < 120
+    tiles = region.Region.build(df, 10.0).tiles.selectExpr("tx", "ty", "covered", "size(shapes[0].edge_list) AS n").collect()
+    assert max(t["n"] or 0 for t in tiles) < 40 and sum(t["n"] or 0 for t in tiles) < 500
+    assert all(t["covered"] == (t["n"] is None) for t in tiles) and any(t["covered"] for t in tiles)
     rng = np.random.default_rng(0)
     points = [(k, float(x), float(y)) for k, (x, y) in enumerate(rng.uniform(0, 100, (400, 2)))]
     got = {r["id"] for r in geometry.within_roi(spark.createDataFrame(points, "id int, x double, y double"), df, ["id"], tile=10.0).collect()}
