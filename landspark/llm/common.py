@@ -52,3 +52,8 @@ def small_batches(spark: SparkSession, rows: int = 1000, size: int = 4 << 20) ->
     for name, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", rows), ("spark.sql.execution.arrow.maxBytesPerBatch", size)):
         if not 0 < int(spark.conf.get(name).rstrip("bB")) <= most:
             spark.conf.set(name, most)
+
+
+def plainly_named(docs: DataFrame, *keep: str) -> DataFrame:
+    """``docs`` with other columns than ``keep`` named by their place, so that helper columns of any name clash with none."""
+    return docs.toDF(*[c if c in keep else f"column_{k}" for k, c in enumerate(docs.columns)])

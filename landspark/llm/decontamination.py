@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from landspark.llm.common import Scratch, content_key, materialize, small_batches
+from landspark.llm.common import plainly_named, Scratch, content_key, materialize, small_batches
 
 #: Bytes of items' texts in one broadcast index, about.
 PART_BYTES = 8_000_000
@@ -343,11 +343,12 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, words: int = 5, least:
     small_batches(docs.sparkSession)
     n = max(1, -(-int(benchmark.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // PART_BYTES))
     if n > 1:
+        names, docs = docs.columns, plainly_named(docs, id_col, text_col)
         k1, k2 = content_key(id_col, text_col)
         keyed = docs.withColumns({"_bench_1": k1, "_bench_2": k2})
         hits = contaminated(keyed.select(F.struct("_bench_1", "_bench_2").alias("key"), F.col(text_col).alias("text")), benchmark, words, least, radius, "key")
         gone = materialize(hits.select("doc_id._bench_1", "doc_id._bench_2").distinct(), "gone")
-        return keyed.join(gone, ["_bench_1", "_bench_2"], "left_anti").select(*docs.columns)
+        return keyed.join(gone, ["_bench_1", "_bench_2"], "left_anti").select(*docs.columns).toDF(*names)
     at, part = docs.columns.index(text_col), _part(benchmark, 1, 0, words, radius)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

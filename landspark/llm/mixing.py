@@ -28,15 +28,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from landspark.llm.common import Scratch, content_key, materialize
+from landspark.llm.common import plainly_named, Scratch, content_key, materialize
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Weights of the sources in order, repeating.
 WEIGHTS = (3, 1, 2)
 #: Ranges of hashes by which a source's blocks are put in order, and levels of the tree from one table to the next.
 RANGES, LEVELS = 1024, 6
-#: Words of an output shard, by which the number of shards follows the mix.
-SHARD_WORDS = 4_000_000
+#: Words of an output shard, by which the number of shards follows the mix, and the fewest shards.
+SHARD_WORDS, LEAST_SHARDS = 4_000_000, 16
 
 
 def source_targets(sized: DataFrame, share: float = 1.5, most: float = 2.0, weights: tuple = WEIGHTS) -> DataFrame:
@@ -171,13 +171,13 @@ def mix(rows: DataFrame, share: float = 1.5, most: float = 2.0, weights: tuple =
     ``source, place, source_size, target``. A piece is the first ``n_words`` words of a
     record in one epoch: all of them, but for the last record of a source. ``position``
     orders a shard's pieces at random. Only row numbers and sizes are shuffled. ``write``
-    writes what the results read. Without ``shards`` there is one for ``SHARD_WORDS`` words.
+    writes what the results read. Without ``shards`` there is one for ``SHARD_WORDS`` words, and ``LEAST_SHARDS`` at least.
     """
     sources = source_targets(rows, share, most, weights)
     sources = sources.withColumn("n_blocks", F.greatest(F.ceil(F.col("source_size") / block_words), F.lit(1)).cast("long"))
     sources = write(sources, "sources")
     if shards is None:
-        shards = max(1, -(-int(sources.agg(F.sum("target")).first()[0] or 0) // SHARD_WORDS))
+        shards = max(LEAST_SHARDS, -(-int(sources.agg(F.sum("target")).first()[0] or 0) // SHARD_WORDS))
     named = sources.select(F.col("source").alias("of"), "place", "n_blocks")
     rows = rows.join(named, rows["source"].eqNullSafe(F.col("of"))).select("row", "key", "size", "place", F.pmod(F.xxhash64(F.lit(seed), "key"), F.col("n_blocks")).alias("block"))
     blocks = write(rows.groupBy("place", "block").agg(F.sum("size").alias("words")), "blocks")
@@ -231,6 +231,7 @@ def mixed(docs: DataFrame, text_col: str = "text", chars_col: str | None = "n_ch
     A cut record keeps its first words, and ``chars_col`` follows its new text. Two
     rows of one record, from two epochs, may lie in different shards.
     """
+    names, docs = docs.columns, plainly_named(docs, "doc_id", "source", text_col, chars_col)
     with Scratch(docs.sparkSession) as write:
         rows = write(sized(docs, text_col=text_col), "sized")
         pieces, _ = mix(rows, write=write, **settings)
@@ -251,4 +252,4 @@ def mixed(docs: DataFrame, text_col: str = "text", chars_col: str | None = "n_ch
         out = out.withColumn(chars_col, F.when(F.col("_mix_cut"), F.length(text_col).cast(docs.schema[chars_col].dataType)).otherwise(F.col(chars_col)))
     shards = found.agg(F.max("_mix_shard")).first()[0]
     # a shard is a partition
-    return out.repartitionById((shards or 0) + 1, F.col("_mix_shard")).sortWithinPartitions("_mix_position").select(*docs.columns)
+    return out.repartitionById((shards or 0) + 1, F.col("_mix_shard")).sortWithinPartitions("_mix_position").select(*docs.columns).toDF(*names)

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from landspark.functions.components import components
-from landspark.llm.common import Scratch, content_key, materialize, small_batches
+from landspark.llm.common import Scratch, content_key, materialize, plainly_named, small_batches
 
 #: Fingerprints on which the trees are fitted, at most.
 SAMPLE = 100_000
@@ -39,8 +39,10 @@ SAMPLE = 100_000
 LEAF_ROWS, CHUNK_ROWS = 400, 6_000
 #: The same for the trees of near-duplicates, and the share of links at the threshold that these are to find.
 NEAR_LEAF_ROWS, RECALL = 1_000, 0.99
+#: Shingles of the sets that also meet by shingles, as few shingles make bits differ more than many do.
+FEW = 25
 #: Bytes of shingle sets above which a leaf is cut into chunks.
-CHUNK_BYTES = 32_000_000
+CHUNK_BYTES = 16_000_000
 
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
@@ -86,18 +88,37 @@ def set_key(hashes: np.ndarray, lanes: int) -> bytes:
     return fingerprint(own, lanes).tobytes() + xxhash.xxh64_digest(own.tobytes())
 
 
-def fingerprints(docs: DataFrame, words: int = 4, lanes: int = 1, id_col: str = "doc_id", text_col: str = "text", sets: bool = False) -> DataFrame:
+def prefix(hashes: np.ndarray, least: float) -> np.ndarray:
+    """The least hashes of a small set, so many that any set as alike as ``least`` has one of them among its own."""
+    own = np.unique(hashes)
+    return own[: len(own) - math.ceil(least * len(own) - 1e-9) + 1] if 0 < len(own) <= FEW else own[:0]
+
+
+def few_shingles(docs: DataFrame, words: int, least: float, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, keys, fp``: the :func:`set_key` of 256 bits, and for sets of at most ``FEW`` shingles their :func:`prefix`; map-only."""
+    small_batches(docs.sparkSession)
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            hashes = [shingle_hashes(t.as_py(), words) for t in b.column(1)]
+            keys = pa.array([prefix(h, least).view("<i8") for h in hashes], pa.list_(pa.int64()))
+            yield pa.record_batch([b.column(0), keys, pa.array([set_key(h, 4) for h in hashes], pa.binary())], names=["doc_id", "keys", "fp"])
+
+    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, keys array<long>, fp binary")
+
+
+def fingerprints(docs: DataFrame, words: int = 4, lanes: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, fp``: the fingerprint as ``8 * lanes`` little-endian bytes; map-only.
 
-    Repeated shingles count as often as they come; with ``sets`` once, and ``fp`` is a :func:`set_key`.
+    Repeated shingles count as often as they come.
     """
     small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            hashes = (shingle_hashes(t.as_py(), words) for t in b.column(1))
-            fps = [set_key(h, lanes) if sets else fingerprint(h, lanes).tobytes() for h in hashes]
+            fps = [fingerprint(shingle_hashes(t.as_py(), words), lanes).tobytes() for t in b.column(1)]
             yield pa.record_batch([b.column(0), pa.array(fps, pa.binary())], names=["doc_id", "fp"])
 
     return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, fp binary")
@@ -335,10 +356,9 @@ def alike(fps: np.ndarray, sets: list[np.ndarray], most: int, least: float, own:
     """
     n, out = len(sets), []
     sizes = np.array([len(x) for x in sets])
-    _, flat = np.unique(np.concatenate(sets), return_inverse=True)
-    ends = np.cumsum(sizes)
-    ids = [flat[e - k : e] for e, k in zip(ends.tolist(), sizes.tolist(), strict=True)]
-    mark, group = np.zeros(len(flat) + 1, bool), np.arange(n)
+    # hashes of 20 bits say which sets may have enough in common, and are half as many bytes as the sets; these are then compared
+    keys = [((x * _SPREAD) >> np.uint64(44)).astype("u4") for x in sets]
+    mark, group = np.zeros(1 << 20, bool), np.arange(n)
     for i in range(min(n - 1, n if own is None else own)):
         near = np.bitwise_count(fps[i + 1 :] ^ fps[i]).sum(1, dtype="i4") <= most
         # sets whose sizes differ by more can't be alike
@@ -346,16 +366,16 @@ def alike(fps: np.ndarray, sets: list[np.ndarray], most: int, least: float, own:
         others = np.flatnonzero(near & (group[i + 1 :] != group[i])) + i + 1
         if not len(others):
             continue
-        mark[ids[i]] = True
+        mark[keys[i]] = True
         found = []
         for at in range(0, len(others), 256):
             some = others[at : at + 256]
-            sums = np.concatenate([[0], np.cumsum(mark[np.concatenate([ids[j] for j in some])])])
+            sums = np.concatenate([[0], np.cumsum(mark[np.concatenate([keys[j] for j in some])])])
             to = np.cumsum(sizes[some])
             common = sums[to] - sums[to - sizes[some]]
-            found.append(some[common >= least * (sizes[some] + sizes[i] - common)])
-        mark[ids[i]] = False
-        found = np.concatenate(found)
+            found += some[common >= least * (sizes[some] + sizes[i] - common)].tolist()
+        mark[keys[i]] = False
+        found = np.array([j for j in found if _similar(sets[i], sets[j], least)], "i8")
         if len(found):
             joined, first = np.unique(group[found], return_index=True)
             out += [(i, int(j)) for j in found[first]]
@@ -363,6 +383,14 @@ def alike(fps: np.ndarray, sets: list[np.ndarray], most: int, least: float, own:
     return out
 
 
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _similar(a: np.ndarray, b: np.ndarray, least: float) -> bool:
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    return common >= least * (len(a) + len(b) - common)
+
+
 def probes(n: int, bits: int = 256, differ: float = 0.15, recall: float = RECALL) -> list[np.ndarray]:
     """The bits of each tree's block for the links of ``n`` fingerprints whose bits differ with probability ``differ``.
 
@@ -379,29 +407,35 @@ def probes(n: int, bits: int = 256, differ: float = 0.15, recall: float = RECALL
     return [np.unique(dealt[t * width : (t + 1) * width]) for t in range(trees)]
 
 
+#: The number of the tree whose leaves are shingles.
+FEW_TREE = -1
+
+
 def verified_links(nodes: DataFrame, keyed: DataFrame, words: int, least: float, most: int, write: Callable) -> DataFrame:
     """``a, b``: forest edges over the pairs of ``nodes`` whose sets of shingles are alike enough.
 
-    Nodes with a candidate are found by fingerprints alone. Their sets are then sent to
+    Nodes with a candidate are found by fingerprints alone; those of few shingles, whose fingerprints
+    differ more at the same similarity, also by ``keys``, as sets that are alike share one of these. Their sets are then sent to
     the leaves where the candidates meet, and compared there before anything is reduced.
     A pair that is sure to meet in several trees asks for a leaf of the first one only. Trees
     are searched with radius 0: at this distance most balls of radius 1 cross most
     boundaries, and more trees of one leaf each find as many links with less to send.
     """
-    shards = Shards(nodes.select("fp"), 256, 0, probes, NEAR_LEAF_ROWS)
+    bits = 256
+    shards = Shards(nodes.select("fp"), bits, 0, probes, NEAR_LEAF_ROWS)
     radius, shared = shards.radius, shards.shared
 
     def meet(rows: pa.Table) -> pa.Table:
         rows, own = own_first(rows)
         fps = np.ascontiguousarray(as_rows(rows.column("fp").to_pylist(), 256))
         tree, n, found = rows.column("tree")[0].as_py(), len(fps), np.zeros(len(fps), bool)
-        bits, before = fps.view("<u8"), None
+        lanes, before = fps.view("<u8"), None
         step = max(1, 2_000_000 // n)
         for at in range(0, own, step):
-            some = bits[at : min(at + step, own)]
-            d = np.bitwise_count(some[:, None, 0] ^ bits[None, :, 0]).astype("u2")
+            some = lanes[at : min(at + step, own)]
+            d = np.bitwise_count(some[:, None, 0] ^ lanes[None, :, 0]).astype("u2")
             for w in range(1, 4):
-                d += np.bitwise_count(some[:, None, w] ^ bits[None, :, w])
+                d += np.bitwise_count(some[:, None, w] ^ lanes[None, :, w])
             i, j = np.nonzero(d <= most)
             i, j = i[j > i + at] + at, j[j > i + at]
             if len(i) and before is None:
@@ -413,7 +447,12 @@ def verified_links(nodes: DataFrame, keyed: DataFrame, words: int, least: float,
         return rows.select(["tree", "leaf", "own", "fp"]).filter(pa.array(found))
 
     schema = "tree int, leaf int, own boolean, fp binary"
-    met = write(shards.place().groupBy("tree", "leaf", "lo", "hi").applyInArrow(meet, schema).distinct(), "met")
+    met = shards.place().groupBy("tree", "leaf", "lo", "hi").applyInArrow(meet, schema).distinct().withColumn("leaf", F.col("leaf").cast("long"))
+    # sets of few shingles also meet in a leaf for each shingle of their prefixes, which is exact
+    keys = nodes.select(F.explode("keys").alias("leaf"), "fp")
+    shared_keys = keys.groupBy("leaf").count().filter("count > 1").select("leaf")
+    short = keys.join(shared_keys, "leaf").select(F.lit(FEW_TREE).alias("tree"), "leaf", F.lit(True).alias("own"), "fp")
+    met = write(met.unionByName(short), "met")
     used = nodes.join(met.select("fp").distinct(), "fp", "left_semi").select("fp", F.col("first._near_1").alias("_near_1"), F.col("first._near_2").alias("_near_2"))
     texts = keyed.join(write(used, "used"), ["_near_1", "_near_2"]).select("fp", "text")
 
@@ -441,7 +480,8 @@ def verified_links(nodes: DataFrame, keyed: DataFrame, words: int, least: float,
         rows, own = own_first(rows)
         keys = rows.column("fp").combine_chunks()
         fps = np.ascontiguousarray(as_rows(keys.to_pylist(), 256)).view("<u8")
-        edges = np.array(alike(fps, [np.frombuffer(x.as_py(), "<u8") for x in rows.column("own_set")], most, least, own), "i8").reshape(-1, 2)
+        apart = bits if rows.column("tree")[0].as_py() == FEW_TREE else most
+        edges = np.array(alike(fps, [np.frombuffer(x.as_py(), "<u8") for x in rows.column("own_set")], apart, least, own), "i8").reshape(-1, 2)
         return pa.table({"a": keys.take(pa.array(edges[:, 0])), "b": keys.take(pa.array(edges[:, 1]))})
 
     return dealt.join(sets.select("fp", "own_set"), "fp").groupBy("tree", "leaf", "lo", "hi").applyInArrow(within, "a binary, b binary").distinct()
@@ -460,12 +500,13 @@ def without_near_duplicates(docs: DataFrame, words: int = 5, least: float = 0.8,
     similarity. Rows without words form one group; the first of equal rows stays, and of
     rows of equal id and text the least by their other columns.
     """
+    names, docs = docs.columns, plainly_named(docs, id_col, text_col)
     k1, k2 = content_key(id_col, text_col)
     keyed = docs.withColumns({"_near_1": k1, "_near_2": k2})
     with Scratch(docs.sparkSession) as write:
         rows = keyed.select(F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("doc_id"), "_near_1", "_near_2").alias("_near_row"), text_col)
-        fps = write(fingerprints(rows, words, 4, "_near_row", text_col, sets=True).toDF("row", "fp"), "fingerprints")
-        nodes = write(fps.groupBy("fp").agg(F.min("row").alias("first")), "nodes")
+        fps = write(few_shingles(rows, words, least, "_near_row", text_col).toDF("row", "keys", "fp"), "fingerprints")
+        nodes = write(fps.groupBy("fp").agg(F.min("row").alias("first"), F.first("keys").alias("keys")), "nodes")
         texts = keyed.select("_near_1", "_near_2", F.col(text_col).alias("text"))
         group = components(write(verified_links(nodes, texts, words, least, 56, write), "links"))
         # a set's first row, and of a group's sets the first of these, stays
@@ -482,4 +523,4 @@ def without_near_duplicates(docs: DataFrame, words: int = 5, least: float = 0.8,
         equal = kept.join(again, ["_near_1", "_near_2"], "left_semi").groupBy("_near_1", "_near_2").agg(F.min_by(F.struct(*[f"`{c}`" for c in docs.columns]), others).alias("_near_row"))
         equal = equal.select("_near_row.*", "_near_1", "_near_2")
         kept = kept.join(again, ["_near_1", "_near_2"], "left_anti").unionByName(equal)
-    return kept.select(*docs.columns)
+    return kept.select(*docs.columns).toDF(*names)

@@ -238,3 +238,37 @@ def test_components(spark):
 def test_empty_table(spark):
     df = documents(spark, [])
     assert simhash.near_groups(df).count() == 0 and simhash.without_near_duplicates(df).count() == 0
+
+
+def test_sets_of_few_shingles_are_linked_exactly(spark):
+    """Pairs at 0.8 to 0.84 of 4 to 24 shingles: their fingerprints differ in more bits than those of long texts."""
+    rng, texts, families = random.Random(3), [], 0
+    for n in (4, 8, 12, 16, 20, 21, 23):
+        more = int(n / 0.8 + 1e-9) - n  # shingles that the other one has more
+        for _ in range(60):
+            words = [f"w{rng.randrange(10**9)}" for _ in range(n + 4 + more)]
+            texts += [" ".join(words[: n + 4]), " ".join(words)]
+            families += 1
+    # and pairs just below
+    for _ in range(60):
+        words = [f"w{rng.randrange(10**9)}" for _ in range(10)]
+        texts += [" ".join(words[:8]), " ".join(words)]
+        families += 2
+    assert simhash.without_near_duplicates(documents(spark, texts).repartition(4)).count() == families
+
+
+def test_prefixes_of_alike_sets_meet():
+    rng = np.random.default_rng(4)
+    for _ in range(3000):
+        n = int(rng.integers(1, 26))
+        a = rng.integers(0, 2**62, n).astype("u8")
+        b = np.concatenate([a[int(rng.integers(0, 3)) :], rng.integers(0, 2**62, int(rng.integers(0, 3))).astype("u8")])
+        common, union = len(np.intersect1d(a, b)), len(np.union1d(a, b))
+        if 0 < len(b) <= simhash.FEW and common >= 0.8 * union:
+            assert np.isin(simhash.prefix(a, 0.8), simhash.prefix(b, 0.8)).any()
+
+
+def test_helper_names_do_not_clash(spark):
+    df = documents(spark, ["a b c d e f", "a b c d e f", "other words are here now too"]).selectExpr("*", "concat('n', doc_id) AS _near_1", "'x' AS _near_2", "doc_id AS stays", "doc_id AS component")
+    got = sorted(tuple(r) for r in simhash.without_near_duplicates(df).select("doc_id", "_near_1", "_near_2", "stays").collect())
+    assert got == [(0, "n0", "x", 0), (2, "n2", "x", 2)]
