@@ -56,13 +56,13 @@ BANDS6 = r6(*features.CUBE)
 @query("s01_read_cells", "SELECT row_id, col_id, red::DOUBLE AS red, nir::DOUBLE AS nir FROM cells WHERE row_id >= 100 AND row_id < 900 AND col_id >= 2 AND col_id < 60")
 def _(t):
     io.write_cells(t.cells, path := new_path(t.spark, "cells"), tile=256)
-    return rounded(io.read_cells(t.spark, path, (100, 900, 2, 60), tile=256).select("row_id", "col_id", "red", "nir"))
+    return rounded(io.read_cells(t.spark, path, (100, 900, 2, 60)).select("row_id", "col_id", "red", "nir"))
 
 
 @query("s02_write_cells", "SELECT row_id, col_id, red::DOUBLE AS red, green::DOUBLE AS green, blue::DOUBLE AS blue, nir::DOUBLE AS nir FROM cells")
 def _(t):
     io.write_cells(t.cells, path := new_path(t.spark, "cells"))
-    return rounded(io.read_cells(t.spark, path, tile=io.TILE).select("row_id", "col_id", *features.BANDS))
+    return rounded(io.read_cells(t.spark, path).select("row_id", "col_id", *features.BANDS))
 
 
 @query("s03_write_report", "SELECT crop_code, count(*) AS n FROM label_cells GROUP BY crop_code")

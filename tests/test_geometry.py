@@ -101,10 +101,31 @@ def test_map_only_plans(spark):
 
 def test_cells_round_trip_prunes(spark):
     path = new_path(spark, "cells")
-    io.write_cells(spark.range(4000).select((F.col("id") % 2000).cast("int").alias("row_id"), F.floor(F.col("id") / 2000).cast("int").alias("col_id"), F.lit(1.0).cast("float").alias("red")), path, tile=500)
-    got = io.read_cells(spark, path, (600, 700, 0, 1), tile=500)
-    assert got.count() == 100 and got.columns == ["row_id", "col_id", "red"]
-    assert "PartitionFilters: [isnotnull(tile_r" in plan(got) and "PushedFilters: [IsNotNull(row_id)" in plan(got)
+    cells = spark.range(64 * 64).select((F.col("id") % 64 - 16).cast("int").alias("row_id"), (F.floor(F.col("id") / 64) - 16).cast("int").alias("col_id"), F.col("id").cast("float").alias("red"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", 16)
+    try:
+        io.write_cells(cells, path, tile=8)
+        files = len(spark.read.parquet(path).inputFiles())
+        assert files >= 12 and rows(io.read_cells(spark, path)) == rows(cells)
+        for window, most in (((-16, -8, -16, -8), 2), ((0, 16, 0, 16), 4), ((20, 21, 5, 6), 2), ((-16, 48, -16, 48), files), ((100, 200, 0, 5), 1)):
+            r0, r1, c0, c1 = window
+            got = io.read_cells(spark, path, window)
+            assert rows(got) == rows(cells.filter(f"row_id >= {r0} AND row_id < {r1} AND col_id >= {c0} AND col_id < {c1}"))
+            assert len(got.inputFiles()) <= most and "PushedFilters: [IsNotNull(row_id)" in plan(got)
+        # more cells, by the library and by another writer
+        more = cells.select((F.col("row_id") + 1000).cast("int").alias("row_id"), "col_id", "red")
+        io.write_cells(more, path, "append", tile=32)
+        other = cells.select((F.col("row_id") + 2000).cast("int").alias("row_id"), "col_id", "red").coalesce(1)
+        other.write.mode("append").parquet(path)
+        got = io.read_cells(spark, path, (1000, 1002, 0, 4))
+        assert rows(got) == rows(more.filter("row_id >= 1000 AND row_id < 1002 AND col_id >= 0 AND col_id < 4")) and len(got.inputFiles()) <= 6
+        assert io.read_cells(spark, path, (2000, 2001, 0, 4)).count() == 4 and io.read_cells(spark, path).count() == 3 * 64 * 64
+        io.write_cells(cells.limit(0), path, "overwrite")
+        assert io.read_cells(spark, path, (0, 1, 0, 1)).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", 4)
 
 
 def test_geojson(spark):
