@@ -18,8 +18,10 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from landspark.llm.common import SPACE, materialize
+from landspark.sources import stored
 
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -47,30 +49,26 @@ def buckets_for(rows: int) -> int:
 
 
 class DigestIndex:
-    """A persistent table ``text_sha256, keep_id, batch`` bucketed and sorted by digest.
+    """A persistent table ``text_sha256, keep_id, batch`` at a path, bucketed and sorted by digest.
 
-    The number of buckets is fixed when the table is made (see :func:`buckets_for`); a task
-    of a join reads one bucket.
+    The path is in a folder that all executors and later sessions share; any session opens the index by it. The
+    number of buckets is fixed when the table is made (see :func:`buckets_for`); a task of a join reads one bucket.
     """
 
-    def __init__(self, spark: SparkSession, name: str, buckets: int = 64):
-        self.spark, self.name, self.buckets = spark, name, buckets
+    def __init__(self, spark: SparkSession, path: str, buckets: int = 64):
+        self.spark, self.path, self.buckets = spark, path, buckets
 
     def read(self) -> DataFrame:
         """All digests seen so far."""
-        return self.spark.table(self.name)
+        return stored.read_stored(self.spark, self.path)
 
     def create(self, id_type: str) -> None:
         """Makes the empty table unless it is there."""
-        if not self.spark.catalog.tableExists(self.name):
-            self._add(self.spark.createDataFrame([], f"text_sha256 string, keep_id {id_type}, batch string"))
+        stored.create_stored(self.spark, self.path, f"text_sha256 string, keep_id {id_type}, batch string", ["text_sha256"], self.buckets)
 
     def drop(self) -> None:
         """Deletes the table; for an index that only one job needs."""
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
-
-    def _add(self, rows: DataFrame) -> None:
-        rows.write.format("parquet").mode("append").bucketBy(self.buckets, "text_sha256").sortBy("text_sha256").saveAsTable(self.name)
+        stored.drop_stored(self.spark, self.path)
 
     def unseen(self, found: DataFrame) -> DataFrame:
         """Those rows of ``found`` whose digest the index lacks."""
@@ -83,8 +81,16 @@ class DigestIndex:
         """
         self.create(found.schema["keep_id"].dataType.simpleString())
         new = self.unseen(found).select("text_sha256", "keep_id", F.lit(batch).alias("batch"))
-        # one task per bucket, so one file per bucket and batch
-        self._add(new.repartition(self.buckets, "text_sha256"))
+        stored.append_stored(new, self.path)  # one task, and one file, per bucket and batch
+
+
+def _bounds(rows: DataFrame, batches: int) -> list | None:
+    """The ids at which batches end: quantiles of numbers, or of a sample of 1,000 other ids."""
+    shares = [k / batches for k in range(1, batches)]
+    if isinstance(rows.schema["doc_id"].dataType, NumericType):
+        return rows.agg(F.percentile_approx("doc_id", shares)).first()[0]
+    some = sorted(r["doc_id"] for r in rows.filter("doc_id IS NOT NULL").orderBy(F.xxhash64("doc_id")).limit(1000).select("doc_id").collect())
+    return [some[int(len(some) * x)] for x in shares] if some else None
 
 
 def deduplicate(docs: DataFrame, index: DigestIndex, batch: str, id_col: str = "doc_id", text_col: str = "text", batches: int = 1) -> DataFrame:
@@ -93,12 +99,12 @@ def deduplicate(docs: DataFrame, index: DigestIndex, batch: str, id_col: str = "
     Returns ``doc_id, keep_id, group_size, kept, text_sha256``. A row is kept if the
     index had no such text before and it is the first of its group by id. ``group_size``
     counts the rows of this table. With ``batches`` the table is dealt by ranges of its ids
-    (numbers) into that many batches, each of which meets the digests of those before.
+    into that many batches, each of which meets the digests of those before.
     Appending the same ``batch`` again changes no decision. The hot groups of the last
     join are split by adaptive execution; both its sides are plain shuffles of short rows.
     """
     rows = materialize(digests(docs, id_col, text_col), "digests")
-    bounds = rows.agg(F.percentile_approx("doc_id", [k / batches for k in range(1, batches)])).first()[0] if batches > 1 else None
+    bounds = _bounds(rows, batches) if batches > 1 else None
     part = F.lit(batches - 1) if not bounds else F.coalesce(sum((F.col("doc_id") > b).cast("int") for b in sorted(set(bounds))), F.lit(batches - 1))
     first_rows = []
     for k in range(batches):

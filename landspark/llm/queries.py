@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,10 +62,11 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in three batches by id, each against the digests of those before; the index is dropped at the end."""
     docs = table(spark, sf_dir, "documents")
-    index = exact_dedup.DigestIndex(spark, f"digest_index_{uuid.uuid4().hex}", exact_dedup.buckets_for(docs.count()))
-    out = exact_dedup.deduplicate(docs, index, "documents", batches=3)
-    index.drop()
-    return out
+    index = exact_dedup.DigestIndex(spark, new_path(spark, "digest-index"), exact_dedup.buckets_for(docs.count()))
+    try:
+        return exact_dedup.deduplicate(docs, index, "documents", batches=3)
+    finally:
+        index.drop()
 
 
 def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:

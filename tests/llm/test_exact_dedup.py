@@ -1,15 +1,16 @@
 import hashlib
 import re
-import uuid
 
 import pytest
 
 from landspark.llm import exact_dedup
+from landspark.sources import stored
+from landspark.sources.shared import new_path
 from tests.llm.helpers import awkward, documents
 
 
 def index(spark):
-    return exact_dedup.DigestIndex(spark, f"t_{uuid.uuid4().hex}", 4)
+    return exact_dedup.DigestIndex(spark, new_path(spark, "index"), 4)
 
 
 def expected(rows):
@@ -62,7 +63,7 @@ def test_batches_change_no_decision(spark, batches):
     again = exact_dedup.deduplicate(df, ix, "b", batches=batches).collect()
     assert sorted(map(str, again)) == sorted(map(str, got))
     ix.drop()
-    assert not spark.catalog.tableExists(ix.name)
+    assert not stored.is_stored(spark, ix.path)
 
 
 def test_registered_query_plans_the_anti_join(spark, monkeypatch):
@@ -92,3 +93,19 @@ def test_anti_join_reads_the_index_in_place(spark):
 
 def test_empty_table(spark):
     assert exact_dedup.deduplicate(documents(spark, []), index(spark), "1").count() == 0
+
+
+def test_another_catalog_opens_the_index(spark):
+    path = new_path(spark, "index")
+    first = exact_dedup.DigestIndex(spark, path, 3)
+    exact_dedup.deduplicate(documents(spark, ["a", "b", "a"]), first, "one")
+    spark.sql(f"DROP TABLE {stored._registered(spark, path)}")  # what a later session knows: nothing
+    again = exact_dedup.deduplicate(documents(spark, [(7, "b"), (8, "c")]), exact_dedup.DigestIndex(spark, path, 99), "two")
+    assert sorted((r["doc_id"], r["keep_id"], r["kept"]) for r in again.collect()) == [(7, 1, False), (8, 8, True)]
+    assert exact_dedup.DigestIndex(spark, path).read().count() == 3
+
+
+def test_text_ids_in_batches(spark):
+    df = documents(spark, [(k, f"text {k % 17}") for k in range(80)]).selectExpr("concat('d', lpad(doc_id, 3, '0')) AS doc_id", "text").repartition(3)
+    got = exact_dedup.deduplicate(df, exact_dedup.DigestIndex(spark, new_path(spark, "index"), 3), "b", batches=3).collect()
+    assert {(r["doc_id"], r["keep_id"], r["group_size"], r["kept"]) for r in got} == {(f"d{k:03}", f"d{k % 17:03}", len(range(k % 17, 80, 17)), k < 17) for k in range(80)}
