@@ -68,3 +68,13 @@ def test_awkward_rows(spark):
     assert abs(words(mix) - 1.5 * words(clean)) <= 3
     out = materialize(p.STAGES[-1][1](spark, docs, SF), "tokens")
     assert out.count() == len(mix)
+
+
+def test_columns_named_like_helpers_come_through(spark):
+    extra = ("_near_1", "_near_2", "_bench_1", "_mix_1", "_mix_row", "_mix_words")
+    docs = awkward(spark).selectExpr("*", *[f"concat('v', doc_id) AS {c}" for c in extra])
+    columns = docs.columns
+    for name, stage in p.STAGES[1:-1]:
+        docs = materialize(stage(spark, docs, SF), "stage")
+        assert docs.columns == columns, name
+        assert all(r[c] == (None if r["doc_id"] is None else f"v{r['doc_id']}") for r in docs.collect() for c in extra), name
