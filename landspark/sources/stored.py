@@ -53,10 +53,14 @@ def append_stored(df: DataFrame, path: str) -> None:
     dealt.write.format("parquet").mode("append").bucketBy(layout["buckets"], *keys).sortBy(*keys).saveAsTable(name)
 
 
-def read_stored(spark: SparkSession, path: str) -> DataFrame:
-    """A table that was made at ``path``, by this session or another."""
+def read_stored(spark: SparkSession, path: str, refresh: bool = False) -> DataFrame:
+    """A table that was made at ``path``, by this session or another.
+
+    With ``refresh`` its files are listed anew, for those that another session has added since this one first read it.
+    """
     name = _registered(spark, path)
-    spark.catalog.refreshTable(name)  # another session may have added files
+    if refresh:
+        spark.catalog.refreshTable(name)
     return spark.table(name)
 
 
