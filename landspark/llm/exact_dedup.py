@@ -57,6 +57,8 @@ class DigestIndex:
 
     def __init__(self, spark: SparkSession, path: str, buckets: int = 64):
         self.spark, self.path, self.buckets = spark, path, buckets
+        if stored.is_stored(spark, path):
+            stored.read_stored(spark, path, refresh=True)  # another session may have added to it
 
     def read(self) -> DataFrame:
         """All digests seen so far."""
