@@ -10,6 +10,7 @@ from __future__ import annotations
 import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 LAYOUT = "_layout"
 
@@ -45,11 +46,15 @@ def create_stored(spark: SparkSession, path: str, columns: str, keys: list[str],
 
 
 def append_stored(df: DataFrame, path: str) -> None:
-    """Adds rows to a table, one file for each bucket."""
+    """Adds rows to a table, one file for each bucket.
+
+    Rows are dealt by the very number of their bucket, so a task writes one file, however many tasks the session has.
+    """
     spark = df.sparkSession
     layout = spark.read.parquet(f"{path}/{LAYOUT}").first()
     name, keys = _registered(spark, path), layout["keys"]
-    dealt = df.select(*spark.table(name).columns).repartition(layout["buckets"], *keys)
+    bucket = F.pmod(F.hash(*[F.col(f"`{k.replace('`', '``')}`") for k in keys]), F.lit(layout["buckets"]))
+    dealt = df.select(*spark.table(name).columns).repartitionById(layout["buckets"], bucket)
     dealt.write.format("parquet").mode("append").bucketBy(layout["buckets"], *keys).sortBy(*keys).saveAsTable(name)
 
 

@@ -70,3 +70,14 @@ def test_bands_are_stacked_in_one_pass(spark, apart):
     assert rows(got) == rows(want)
     with pytest.raises(ValueError):
         grid.stack_bands(few, few)
+
+
+def test_an_append_writes_one_file_a_bucket(spark):
+    path = new_path(spark, "files")
+    for at in (0, 1000):
+        stored.append_stored(spark.range(at, at + 1000).selectExpr("cast(id AS string) AS k", "id"), path) if at else stored.write_stored(spark.range(1000).selectExpr("cast(id AS string) AS k", "id"), path, ["k"], 8)
+    got = stored.read_stored(spark, path)
+    assert len(got.inputFiles()) == 16 and got.count() == 2000
+    # a file's rows are of the bucket that it is named for
+    named = got.select(F.regexp_extract(F.input_file_name(), "_(\\d+)\\.c", 1).cast("int").alias("named"), F.expr("pmod(hash(k), 8)").alias("bucket"))
+    assert named.filter("named != bucket OR named IS NULL").count() == 0
