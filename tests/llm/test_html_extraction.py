@@ -2,6 +2,7 @@ import html
 import itertools
 import random
 import re
+import time
 
 import pytest
 
@@ -82,13 +83,45 @@ BY_HAND = [
 ]
 
 
-@pytest.mark.parametrize("name", ["reader-comments", "comment-thread", "user_comments", "commentlist", "share-buttons", "socialMedia", "related-posts", "sidebar-left", "cookie-bar", "latest-comments-list", "newsletter-box"])
+@pytest.mark.parametrize("name", ["reader-comments", "comment-thread", "user_comments", "commentlist", "share-buttons", "socialMedia", "related-posts", "sidebar-left", "cookie-bar", "latest-comments-list", "newsletter-box", "comments-wrapper", "comment-wrap", "sidebar-wrapper", "footer-wrapper", "nav-wrap", "cookie-wrap", "comments-open", "is-advert", "comments-page", "discussion", "feedback", "byline", "trending", "outbrain", "user-reviews"])
 def test_names_of_asides_within_an_article(name):
     for key in ("class", "id"):
         page = f'<article><h1>A title of it</h1>{paragraphs()}<div {key}="{name}"><p>A sentence of some length that is not of the article, though it is in it.</p><p>And so is this.</p></div></article>'
         assert h.main_text(page).split("\n") == ["A title of it", *PROSE]
 
 
+@pytest.mark.parametrize("name", ["comments-wrapper", "comment-wrap", "sidebar-wrapper", "footer-wrapper", "nav-wrap", "cookie-wrap", "is-advert", "comments-page", "trending", "user-reviews"])
+def test_names_of_asides_beside_an_article(name):
+    page = f'<body><div class="{name}"><p>A sentence of some length that is not of the article, and stands before it.</p></div><div>{paragraphs()}</div></body>'
+    assert h.main_text(page).split("\n") == PROSE
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f'<article id="comment-policy">{paragraphs()}</article>',
+        f'<article class="post promo">{paragraphs()}</article>',
+        f'<main><article class="post promo">{paragraphs()}</article></main>',
+        f'<table class="menu"><tr><td>{paragraphs()}</td></tr></table>',
+        f'<body class="no-comments has-sidebar"><div class="page-with-sidebar"><div class="content-sidebar-wrap">{paragraphs()}</div></div></body>',
+    ],
+)
+def test_articles_are_not_lost(page):
+    assert h.main_text(page).split("\n") == PROSE
+
+
+def test_page_of_one_short_line():
+    assert h.main_text("<body><p>Hello world</p></body>") == "Hello world"
+    assert h.main_text('<body><p><a href="/">Hello world</a></p></body>') == "" == h.main_text(f'<div class="comments">{paragraphs()}</div>')
+
+
+@pytest.mark.parametrize("many", ["<b>" * 50_000 + "<p>x</p>" * 50_000, "<b><p>Some words." * 50_000, "<b>" * 50_000 + "</i>" * 50_000, "<div>" * 50_000 + "text", "<body><p>" * 50_000, "<li><b>x" * 50_000])
+def test_unclosed_elements_take_linear_time(many):
+    began = time.perf_counter()
+    h.main_text(many)
+    assert time.perf_counter() - began < 5
+
+
 @pytest.mark.parametrize("page,want", BY_HAND)
 def test_pages_without_article(page, want):
     assert h.main_text(page).split("\n") == want
@@ -124,6 +157,19 @@ def test_cut_is_minimal():
         assert cost(odds, edges, h.minimum_cut(odds, edges)) == pytest.approx(best)
 
 
+def test_pages_are_labelled_at_least_cost(spark):
+    given = [r["html"] for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select("html").collect()]
+    small = [p for p in [page for page, _ in BY_HAND] + given if 0 < len(h.read_blocks(p)) <= 12]
+    cut = [re.sub(r"</?(nav|aside|footer|header|article|main)\b[^>]*>", "<div>", p) for p in small[:20]]  # less markup, so that neighbours count
+    for page in small[:20] + [p for p in cut if len(h.read_blocks(p)) <= 12]:
+        blocks, got = h.read_blocks(page), h.labelled(page)
+        odds, edges = [x for _, x, _ in got], h.smoothness(blocks)
+        costs = {keep: cost(odds, edges, keep) for keep in itertools.product([False, True], repeat=len(blocks))}
+        least = min(costs.values())
+        best = ["\n".join(t for (_, t, _), k in zip(blocks, keep, strict=True) if k) for keep, x in costs.items() if x < least + 1e-9]
+        assert h.main_text(page) in best
+
+
 def test_all_given_pages(spark):
     from landspark.llm.queries import op1_html_extraction
 
