@@ -120,7 +120,8 @@ QUERIES = {
 
 
 def _op5_sql() -> str:
-    known = ", ".join(f"({k}, '{label}', {words}, {need}, {musts}, {over}::VARCHAR[])" for k, label, words, need, musts, over in license_scan.templates(0.8))
+    known = ", ".join(f"({k}, '{label}', {c}, {words}, {need}, {musts}, {over}::VARCHAR[], {pairs})" for k, label, c, words, need, musts, over, pairs in license_scan.templates(0.8))
+    classes = ", ".join(f"({c}, {size}, {step})" for c in license_scan.CLASSES for size, step in [license_scan.block_size(c)])
     phrases = ", ".join(f"({k}, '{p}', '{label}')" for k, (p, label) in enumerate(license_scan.PHRASES.items()))
     word = license_scan.WORD
     return rf'''
@@ -134,15 +135,21 @@ def _op5_sql() -> str:
         base AS (
             SELECT doc_id, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word, list(DISTINCT label) AS labels
             FROM spots GROUP BY doc_id),
-        known(template, label, own, need, musts, over) AS (VALUES {known}),
+        known(template, label, class, own, need, musts, over, pairs) AS (VALUES {known}),
+        classes(class, size, step) AS (VALUES {classes}),
+        follow AS (SELECT doc_id, ws, list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]) AS ps FROM w),
+        starts AS (SELECT doc_id, ws, ps, class, size, step, unnest(range(0, greatest(len(ws), 1), step)) AS block FROM follow, classes),
         parts AS (
-            SELECT doc_id, unnest(list_transform(range(0, greatest(len(ws), 1), {license_scan.STEP}), lambda i: {{'block': i, 'p': list_distinct(ws[i + 1 : i + {2 * license_scan.STEP}])}}), recursive := true) FROM w),
+            SELECT doc_id, class, block, list_distinct(ws[block + 1 : block + size]) AS p, ps[greatest(block, 1) : block + size - 1] AS pp
+            FROM starts WHERE NOT list_has_any(ps[greatest(block - step, 1) : block + size - 1], {license_scan.denials()})),
         hits AS (
-            SELECT doc_id, block, template, label, over, len(list_intersect(p, own)) / len(own) AS containment
-            FROM parts, known WHERE len(list_intersect(p, own)) >= need AND list_has_all(p, musts)),
+            SELECT doc_id, class, block, template, label, over, len(list_intersect(p, own)) / len(own) AS containment
+            FROM parts JOIN known USING (class)
+            WHERE len(list_intersect(p, own)) >= need AND list_has_all(p, musts)
+              AND len(list_intersect(pp, pairs)) >= {license_scan.PAIRS} * len(pairs)),
         found AS (
             SELECT doc_id, list(DISTINCT label) AS labels, max(containment) AS score
-            FROM hits a WHERE NOT EXISTS (FROM hits b WHERE a.doc_id = b.doc_id AND a.block = b.block AND list_contains(a.over, b.label)) GROUP BY doc_id)
+            FROM hits a WHERE NOT EXISTS (FROM hits b WHERE a.doc_id = b.doc_id AND a.class = b.class AND a.block = b.block AND list_contains(a.over, b.label)) GROUP BY doc_id)
         SELECT doc_id, len(ws) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
                coalesce(array_to_string(list_sort(base.labels), ','), '') AS base_labels,
                coalesce(array_to_string(list_sort(list_distinct(list_concat(base.labels, found.labels))), ','), '') AS labels,

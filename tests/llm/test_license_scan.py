@@ -6,6 +6,7 @@ from landspark.llm import license_scan
 from tests.llm.helpers import awkward, documents
 
 WORD = re.compile(license_scan.WORD)
+KNOWN, DENIALS = license_scan.templates(0.8), license_scan.denials()
 
 
 def brute(text):
@@ -15,15 +16,19 @@ def brute(text):
     every = [i for own in places.values() for i in own]
     base = sorted(label for label, own in places.items() if own)
     best, found = 0.0, set(base)
-    for at in range(0, max(1, len(words)), license_scan.STEP):
-        own, hits = set(words[at : at + 2 * license_scan.STEP]), {}
-        for k, label, template, need, musts, over in license_scan.templates(0.8):
-            if len(own & set(template)) >= need and own.issuperset(musts):
-                hits[k] = label, len(own & set(template)) / len(template), over
-        for label, share, over in hits.values():
-            if not {x[0] for x in hits.values()} & set(over):
-                found.add(label)
-                best = max(best, share)
+    for c in license_scan.CLASSES:
+        size, step = license_scan.block_size(c)
+        for at in range(0, max(1, len(words)), step):
+            own, hits = set(words[at : at + size]), {}
+            pairs = {f"{words[k - 1]} {words[k]}" for k in range(max(at, 1), min(at + size, len(words)))}
+            wide = {f"{words[k - 1]} {words[k]}" for k in range(max(at - step, 1), min(at + size, len(words)))}
+            for k, label, its, template, need, musts, over, told in KNOWN:
+                if its == c and len(own & set(template)) >= need and own.issuperset(musts) and len(pairs & set(told)) >= 0.5 * len(told) and wide.isdisjoint(DENIALS):
+                    hits[k] = label, len(own & set(template)) / len(template), over
+            for label, share, over in hits.values():
+                if not {x[0] for x in hits.values()} & set(over):
+                    found.add(label)
+                    best = max(best, share)
     return (len(words), len(every), min(every, default=None), max(every, default=None), ",".join(base), ",".join(sorted(found)), 1.0 if every else best)
 
 
@@ -60,7 +65,24 @@ def test_wrapped_notices(spark, before):
 
 def test_templates_fit_into_a_block():
     for _, text, musts in license_scan.TEMPLATES:
-        assert len(text.split(" ")) <= license_scan.STEP + 1 and set(musts.split(" ")) <= set(text.split(" "))
+        assert len(text.split(" ")) <= license_scan.CLASSES[-1] and set(musts.split(" ")) <= set(text.split(" "))
+
+
+#: Sentences with the words of notices that are none.
+NO_NOTICES = [
+    "This software was released by students of MIT under the terms of a commercial license.",
+    "It is not released under the terms of the MIT license",
+    "International commons under this a 4 attribution is creative license 0 work licensed",
+    "The Apache helicopter, licensed 2 years ago: under the license 0 version.",
+    "The work isn't licensed under a Creative Commons Attribution 4.0 International License",
+]
+
+
+def test_words_of_a_notice_are_no_notice(spark):
+    texts = NO_NOTICES + [f"{'word ' * k}{t}" for k in range(1, 6) for t in NO_NOTICES]
+    got = dict(result(documents(spark, texts)))
+    assert {x[5] for x in got.values()} == {""} and {x[6] for x in got.values()} == {0.0}
+    assert got == {k: brute(t) for k, t in enumerate(texts)}
 
 
 def result(df):
