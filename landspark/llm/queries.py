@@ -138,7 +138,10 @@ def _op5_sql() -> str:
         known(template, label, class, own, need, musts, over, pairs) AS (VALUES {known}),
         classes(class, size, step) AS (VALUES {classes}),
         follow AS (SELECT doc_id, ws, list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]) AS ps FROM w),
-        starts AS (SELECT doc_id, ws, ps, class, size, step, unnest(range(0, greatest(len(ws), 1), step)) AS block FROM follow, classes),
+        may AS (SELECT DISTINCT doc_id, class FROM w, known WHERE list_has_all(ws, musts)),
+        starts AS (
+            SELECT doc_id, ws, ps, class, size, step, unnest(range(0, greatest(len(ws), 1), step)) AS block
+            FROM follow JOIN may USING (doc_id) JOIN classes USING (class)),
         parts AS (
             SELECT doc_id, class, block, list_distinct(ws[block + 1 : block + size]) AS p, ps[greatest(block, 1) : block + size - 1] AS pp
             FROM starts WHERE NOT list_has_any(ps[greatest(block - step, 1) : block + size - 1], {license_scan.denials()})),
