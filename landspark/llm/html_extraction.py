@@ -32,6 +32,7 @@ from __future__ import annotations
 import re
 from collections import deque
 from collections.abc import Iterator
+from functools import lru_cache
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -87,24 +88,31 @@ def _words_for_asides(words: list[str]) -> int:
     return voices + sum(w in _ASIDE_NAMES for w in words)
 
 
+@lru_cache(maxsize=10_000)
+def _read_token(token: str) -> tuple[bool, float, bool, bool]:
+    """Of a token of names: whether it names a main part, its odds, whether it says nothing else than aside, whether by words of layout alone."""
+    words = [w.lower() for w in _WORD.findall(token)]
+    known = _words_for_asides(words)
+    main = any(w in _MAIN_NAMES for w in words)
+    if not known or main and known == sum(w in ("header", "footer") for w in words):  # the head or foot of the main part itself
+        return main and not known, 0.0, False, True
+    own = all(w in _ASIDE_NAMES or w in _PLAIN_NAMES or w in _READERS or w in _VOICES for w in words)
+    layout = all(w in _LAYOUT_ASIDES for w in words if w in _ASIDE_NAMES or w in _VOICES)
+    return False, NAMED if own else NAMED * known / len(words), own, layout
+
+
 def _named(tag: str, attrs: dict[str, str], outermost: bool) -> tuple[float, bool, bool]:
     """The odds that an element's names give, 0 at most; whether one is a name of main parts; whether words of layout alone gave the odds."""
     odds, main, layout = 0.0, False, True
     for key in ("class", "id", "role", "itemprop"):
-        if key == "id" and (tag in _HEADINGS or outermost):
+        if key not in attrs or key == "id" and (tag in _HEADINGS or outermost):
             continue
-        for token in attrs.get(key, "").split():
-            words = [w.lower() for w in _WORD.findall(token)]
-            known = _words_for_asides(words)
-            if any(w in _MAIN_NAMES for w in words):
-                main |= not known
-                if known == sum(w in ("header", "footer") for w in words):  # the head or foot of the main part itself
-                    continue
-            if known:
-                own = all(w in _ASIDE_NAMES or w in _PLAIN_NAMES or w in _READERS or w in _VOICES for w in words)
-                if own or not (key == "id" and tag == "section"):
-                    odds = min(odds, NAMED if own else NAMED * known / len(words))
-                    layout &= all(w in _LAYOUT_ASIDES for w in words if w in _ASIDE_NAMES or w in _VOICES)
+        for token in attrs[key].split():
+            of_main, its, own, by_layout = _read_token(token)
+            main |= of_main
+            if its and (own or not (key == "id" and tag == "section")):
+                odds = min(odds, its)
+                layout &= by_layout
     return (0.0 if outermost and main else odds), main, layout
 
 
