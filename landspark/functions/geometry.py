@@ -174,9 +174,15 @@ def centroid(ring: Column) -> Column:
 
 
 def circle(x: Column, y: Column, radius: float = 1.0, quadrant: int = 16) -> Column:
-    """The closed ring of a regular polygon with ``4 * quadrant`` corners around a point."""
+    """The closed ring of a regular polygon with ``4 * quadrant`` corners around a point.
+
+    The point is bound to a variable first, so its coordinates are computed once: an expression for
+    them that the optimizer moves into the function of the corners would be computed at each corner.
+    """
     step = math.pi / 2 / quadrant
-    return F.transform(F.sequence(F.lit(0), F.lit(4 * quadrant)), lambda i: F.struct((x + radius * F.cos(i * step)).alias("x"), (y + radius * F.sin(i * step)).alias("y")))
+    around = F.array(*[F.struct(F.lit(radius * math.cos(i * step)).alias("x"), F.lit(radius * math.sin(i * step)).alias("y")) for i in range(4 * quadrant + 1)])
+    centre = F.array(F.struct(x.alias("x"), y.alias("y")))
+    return F.transform(centre, lambda p: F.transform(around, lambda c: F.struct((p["x"] + c["x"]).alias("x"), (p["y"] + c["y"]).alias("y"))))[0]
 
 
 def wkt(ring: Column, holes: Column | None = None, whole: bool = False) -> Column:

@@ -21,8 +21,12 @@ def polygon_centroid(df: DataFrame, ring: str = "ring") -> DataFrame:
 
 
 def buffer_points(df: DataFrame, radius: float = 1.0, x: str = "x", y: str = "y", out: str = "ring") -> DataFrame:
-    """Adds the ring of the buffer around each point, 16 segments to a quadrant."""
-    return df.withColumn(out, g.circle(F.col(x), F.col(y), radius))
+    """Adds the ring of the buffer around each point, 16 segments to a quadrant.
+
+    A row becomes 65 corners, so points are dealt to as many tasks as shuffles have, however few files they are in.
+    """
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(tasks).withColumn(out, g.circle(F.col(x), F.col(y), radius))
 
 
 def within_roi(points: DataFrame, roi: DataFrame, key: list[str], tile: float = 1000.0, x: str = "x", y: str = "y", boundary: str = "exclude", holes: str | None = None, most_edges: int = 256) -> DataFrame:

@@ -56,6 +56,15 @@ def test_centroid_and_buffer(spark):
     assert len(ring) == 65 and all(math.hypot(p["x"] - 5, p["y"] - 6) == pytest.approx(2) for p in ring)
 
 
+def test_buffers_compute_their_point_once(spark):
+    # a centre that differs each time it is computed
+    ring = spark.range(1).select(g.circle(F.rand(1) * 1000, F.rand(2) * 1000, 2.0).alias("ring")).first()["ring"]
+    x, y = (ring[0]["x"] + ring[32]["x"]) / 2, (ring[16]["y"] + ring[48]["y"]) / 2
+    assert all(math.hypot(p["x"] - x, p["y"] - y) == pytest.approx(2) for p in ring)
+    # points in one file are not left to one task
+    assert geometry.buffer_points(spark.range(8).select(F.lit(0.0).alias("x"), F.lit(0.0).alias("y")).coalesce(1)).rdd.getNumPartitions() > 1
+
+
 def test_utm_on_the_central_meridian(spark):
     got = geometry.reproject_utm(spark.createDataFrame([(-171.0, 0.0), (-171.0, -14.0)], "lon double, lat double")).collect()
     assert got[0]["x"] == pytest.approx(500000) and got[0]["y"] == pytest.approx(10000000)
