@@ -33,12 +33,13 @@ def zonal_stats(cells: DataFrame, segments: DataFrame | None = None, bands: tupl
     aggs = [F.count("*").alias("n")]
     for b in bands:
         x = F.when(F.col(b) != F.lit(nodata).cast("float"), F.col(b)) if exclude_nodata else F.col(b)
-        aggs += [F.avg(x.cast("double")).alias(f"_{b}_m"), F.avg((x * x).cast("double")).alias(f"_{b}_q"), F.min(x).alias(f"_{b}_lo"), F.max(x).alias(f"_{b}_hi"), F.max(F.isnan(x)).alias(f"_{b}_nan")]
+        aggs += [F.count(x).alias(f"_{b}_n"), F.sum(x.cast("double")).alias(f"_{b}_s"), F.sum((x * x).cast("double")).alias(f"_{b}_q"), F.min(x).alias(f"_{b}_lo"), F.max(x).alias(f"_{b}_hi")]
     found = cells.groupBy("seg_id").agg(*aggs)
     nan = F.lit(float("nan")).cast("float")
     out = [F.col("seg_id"), F.col("n")]
     for b in bands:
-        m, q, bad = F.col(f"_{b}_m"), F.col(f"_{b}_q"), F.coalesce(F.col(f"_{b}_nan"), F.lit(False))
+        m, q = (F.try_divide(f"_{b}_{c}", f"_{b}_n") for c in "sq")
+        bad = F.isnan(f"_{b}_hi")  # NaN is the largest value
         out += [
             m.cast("float").alias(f"{b}_mean"),
             F.sqrt(F.greatest(q - m * m, F.lit(0.0))).cast("float").alias(f"{b}_std"),

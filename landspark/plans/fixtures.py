@@ -9,6 +9,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from landspark.sources.shared import tasks_for
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "embeddings")
 
 VIEWS = {
@@ -66,6 +68,9 @@ FROM (SELECT row_id, col_id,
   FROM (SELECT *, red = 0 AND green = 0 AND blue = 0 AND nir = 0 AS z FROM cells) t) m""",
 }
 
+#: Views that group a table: the table is dealt by these keys, to more tasks the larger it is.
+DEALT = {"cells": ("lineitem", ["l_partkey", "l_suppkey"])}
+
 _FROM = re.compile(r"\b(FROM|JOIN) (\w+)\b")
 
 
@@ -83,7 +88,11 @@ class Tables:
         if name not in self.made:
             used = {n for _, n in _FROM.findall(VIEWS[name]) if n in VIEWS or n in TABLES}
             text = _FROM.sub(lambda m: f"{m[1]} {{{m[2]}}}" if m[2] in used else m[0], VIEWS[name])
-            self.made[name] = self.spark.sql(text, **{n: getattr(self, n) for n in used})
+            parts = {n: getattr(self, n) for n in used}
+            if name in DEALT:
+                table, keys = DEALT[name]
+                parts[table] = parts[table].repartition(tasks_for(self.spark, f"{self.sf_dir}/{table}.parquet"), *keys)
+            self.made[name] = self.spark.sql(text, **parts)
         return self.made[name]
 
 
