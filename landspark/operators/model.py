@@ -50,8 +50,10 @@ def fit_classifier(
     weights in Spark, so that parameter has no counterpart. NaN and null features are
     invalid and must not occur.
     """
+    # samples are read in many passes, so what they are derived from is computed once
+    samples = materialize(samples.filter(F.col(label).isNotNull()).select(*features, label), "samples")
     encoder = materialize(label_encoder(samples, label), "encoder")
-    rows = balanced_weights(encode_labels(samples.filter(F.col(label).isNotNull()), encoder, label, "_enc"), "_enc", "_weight")
+    rows = balanced_weights(encode_labels(samples, encoder, label, "_enc"), "_enc", "_weight")
     rows = rows.withColumn("_enc", F.col("_enc").cast("double"))
     assembler = VectorAssembler(inputCols=features, outputCol="_features")
     if boosted:
@@ -75,8 +77,9 @@ def predict_cells(cells: DataFrame, model: Classifier, nodata: int = NODATA) ->
     ok = F.lit(True)
     for f in model.features:
         ok &= F.col(f).isNotNull() & ~F.isnan(f) & (F.col(f) != nodata)
-    good = model.predict(cells.filter(ok)).select("row_id", "col_id", F.col("class_code").cast("int"))
-    return good.unionByName(cells.filter(~ok).select("row_id", "col_id", F.lit(nodata).alias("class_code")))
+    # all cells go through the model in one pass, so what they are derived from is not computed twice
+    found = model.predict(cells.select("row_id", "col_id", ok.alias("_ok"), *[F.when(ok, F.col(f)).otherwise(F.lit(0).cast(cells.schema[f].dataType)).alias(f) for f in model.features]))
+    return found.select("row_id", "col_id", F.when(F.col("_ok"), F.col("class_code").cast("int")).otherwise(F.lit(nodata)).alias("class_code"))
 
 
 def predict_objects(matrix: DataFrame, model: Classifier) -> DataFrame:

@@ -57,4 +57,5 @@ def balanced_weights(df: DataFrame, label: str = "label", out: str = "weight") -
     per_class = class_histogram(df, label)
     total = per_class.agg(F.sum("n").alias("_rows"), F.count("*").alias("_classes"))
     weights = per_class.crossJoin(F.broadcast(total)).select(F.col(label).alias("_label"), (F.col("_rows") / (F.col("_classes") * F.col("n"))).alias(out))
-    return df.join(weights, F.col(label) == F.col("_label")).drop("_label")
+    # a join by sorting would leave the rows to one task per class
+    return df.join(F.broadcast(weights), F.col(label) == F.col("_label")).drop("_label")
