@@ -294,12 +294,26 @@ _CORNERS = "array<array<struct<x:int,y:int>>>"
 _EDGES = "array<struct<x1:int,y1:int,x2:int,y2:int>>"
 
 
-def _as_edges(edges: np.ndarray) -> list[dict]:
-    return [dict(zip(("x1", "y1", "x2", "y2"), e, strict=True)) for e in edges.tolist()]
+def _structs(rows: np.ndarray, names: tuple[str, ...]) -> pa.Array:
+    return pa.StructArray.from_arrays([pa.array(rows[:, k].astype("i4")) for k in range(len(names))], list(names))
 
 
-def _as_corners(edges: np.ndarray) -> list[list[dict]]:
-    return [[{"x": x, "y": y} for x, y in ring] for ring in linked_rings(edges)]
+def _offsets(lengths: list[int]) -> pa.Array:
+    return pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype("i4"))
+
+
+def _as_edges(edges: list[np.ndarray]) -> pa.Array:
+    """Rows of lists of edges, put together from whole columns of numbers."""
+    return pa.ListArray.from_arrays(_offsets([len(e) for e in edges]), _structs(np.concatenate([np.zeros((0, 4), "i8"), *edges]), ("x1", "y1", "x2", "y2")))
+
+
+def _as_corners(edges: list[np.ndarray | None]) -> pa.Array:
+    """Rows of lists of rings of corners, traced from each row's edges; null where there are none to trace."""
+    rows = [[] if e is None else linked_rings(e) for e in edges]
+    rings = [ring for row in rows for ring in row]
+    corners = _structs(np.array([p for ring in rings for p in ring], "i8").reshape(-1, 2), ("x", "y"))
+    inner = pa.ListArray.from_arrays(_offsets([len(ring) for ring in rings]), corners)
+    return pa.ListArray.from_arrays(_offsets([len(row) for row in rows]), inner, mask=pa.array([e is None for e in edges], pa.bool_()))
 
 
 def segment_polygons(segments: DataFrame, labels: DataFrame, grid: Grid | None = None, window: int = WINDOW) -> DataFrame:
@@ -314,7 +328,8 @@ def segment_polygons(segments: DataFrame, labels: DataFrame, grid: Grid | None =
     a window's cells or one polygon's outline. ``window`` changes no result.
     """
     grid = grid or Grid()
-    known = labels.select("seg_id", F.col("label").cast("int").alias("class_code"))
+    # read before and after tracing, so what labels are derived from is computed once
+    known = materialize(labels.select("seg_id", F.col("label").cast("int").alias("class_code")), "known")
     cells = segments.filter("seg_id > 0").join(known.select("seg_id"), "seg_id", "left_semi")
     cells = cells.select(F.col("seg_id").cast("long"), F.col("row_id").cast("int"), F.col("col_id").cast("int"), *[F.floor(F.col(c) / window).cast("int").alias(w) for c, w in (("row_id", "_wr"), ("col_id", "_wc"))])
 
@@ -322,9 +337,9 @@ def segment_polygons(segments: DataFrame, labels: DataFrame, grid: Grid | None =
         found = window_parts(*(rows.column(c).to_numpy() for c in ("row_id", "col_id", "seg_id")), window)
         out = {"seg_id": [f[0] for f in found], "n_cells": [f[1] for f in found]}
         out["part"] = [{"r": key[0].as_py(), "c": key[1].as_py(), "k": k} for k in range(len(found))]
-        out["rings"] = [None if len(s) else _as_corners(e) for _, _, e, s in found]
-        out["edges"] = [_as_edges(e) if len(s) else [] for _, _, e, s in found]
-        out["sides"] = [_as_edges(s) for *_, s in found]
+        out["rings"] = _as_corners([None if len(s) else e for _, _, e, s in found])
+        out["edges"] = _as_edges([e if len(s) else e[:0] for _, _, e, s in found])
+        out["sides"] = _as_edges([s for *_, s in found])
         return pa.table(out, schema=pa.schema([(c, t) for c, t in zip(out, arrow_types, strict=True)]))
 
     corner, edge = pa.struct([("x", pa.int32()), ("y", pa.int32())]), pa.struct([(c, pa.int32()) for c in ("x1", "y1", "x2", "y2")])
@@ -348,7 +363,7 @@ def segment_polygons(segments: DataFrame, labels: DataFrame, grid: Grid | None =
         flat = rows.column("edges").combine_chunks().flatten()
         edges = np.stack([flat.field(c).to_numpy() for c in ("x1", "y1", "x2", "y2")], axis=1).astype("i8")
         n = pa.compute.sum(rows.column("n_cells"))
-        return pa.table({"seg_id": pa.array([key[0].as_py()], pa.int64()), "n_cells": pa.array([n.as_py()], pa.int64()), "rings": pa.array([_as_corners(edges)], pa.list_(pa.list_(corner)))})
+        return pa.table({"seg_id": pa.array([key[0].as_py()], pa.int64()), "n_cells": pa.array([n.as_py()], pa.int64()), "rings": _as_corners([edges])})
 
     traced = pieces.groupBy("seg_id", "whole").applyInArrow(close, f"seg_id long, n_cells long, rings {_CORNERS}")
     traced = traced.unionByName(parts.filter("rings IS NOT NULL").select("seg_id", "n_cells", "rings"))

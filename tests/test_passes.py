@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from landspark.operators import model
+from landspark.operators import grid, model
 from landspark.plans.fixtures import Tables
 from landspark.sources.shared import new_path, tasks_for
 from tests.conftest import rows
@@ -32,6 +32,22 @@ def test_samples_of_a_fit_are_computed_once(spark):
     assert {(r["a"], r["class_code"]) for r in trained.predict(spark.createDataFrame([(0.0,), (1.0,)], "a double")).collect()} == {(0.0, 7), (1.0, 8)}
 
 
+def test_labels_of_polygons_are_computed_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def costly(x):
+        seen.add(1)
+        return x
+
+    cells = spark.createDataFrame([(r, c, c // 2 + 1) for r in range(3) for c in range(4)], "row_id int, col_id int, seg_id long")
+    labels = spark.createDataFrame([(1, 6), (2, 7)], "seg_id long, label int").withColumn("seg_id", costly("seg_id"))
+    for window in (2, 512):
+        seen.value = 0
+        found = grid.segment_polygons(cells, labels, window=window).select("seg_id", "class_code", "n_cells", F.size("ring"), F.size("holes"))
+        assert rows(found) == [(1, 6, 6, 5, 0), (2, 7, 6, 5, 0)] and seen.value == 2
+
+
 def test_cells_are_predicted_in_one_pass(spark):
     samples = spark.createDataFrame([(float(k % 2), k % 2 + 7) for k in range(40)], "a double, label int")
     trained = model.fit_classifier(samples, ["a"], trees=3, depth=2)
