@@ -6,6 +6,7 @@ A cell is keyed by ``row_id, col_id``; the absence of a cell stands for backgrou
 from __future__ import annotations
 
 import warnings
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 
@@ -24,6 +25,8 @@ from landspark.sources.shared import materialize
 NODATA = -9999
 #: Cells on a side of the windows in which parts of segments are found.
 WINDOW = 512
+#: Rows from which on a task traces the windows that it has read; a window is never cut.
+AT_ONCE = 1 << 17
 
 
 @dataclass(frozen=True)
@@ -220,29 +223,16 @@ def _rings(part: set[tuple[int, int]]) -> list[list[tuple[int, int]]]:
     return linked_rings(np.array(sides).reshape(-1, 4))
 
 
-def _labelled(segments: np.ndarray) -> tuple[np.ndarray, int]:
-    """The number of the 4-connected part of each cell of a window (-1 outside of segments), and how many there are.
-
-    Runs of equal cells in a row are joined with the runs they touch in the row before.
-    """
-    inside = segments >= 0
-    first = inside.copy()
-    first[:, 1:] &= segments[:, 1:] != segments[:, :-1]
-    run = np.cumsum(first).reshape(segments.shape) - 1
-    parent = list(range(int(first.sum())))
-
-    def root(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    touch = inside[1:] & (segments[1:] == segments[:-1])
-    for a, b in np.unique(np.stack([run[:-1][touch], run[1:][touch]]), axis=1).T.tolist():
-        a, b = root(a), root(b)
-        parent[max(a, b)] = min(a, b)
-    roots, part = np.unique([root(x) for x in range(len(parent))], return_inverse=True)
-    return np.where(inside, part[run] if len(parent) else -1, -1), len(roots)
+def _joined(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The least node of the component of each of ``n`` nodes, given links from ``a`` to ``b``."""
+    least = np.arange(n)
+    while len(a):
+        np.minimum.at(least, np.maximum(a, b), np.minimum(a, b))
+        while not np.array_equal(up := least[least], least):
+            least = up
+        a, b = least[a], least[b]
+        a, b = a[a != b], b[a != b]
+    return least
 
 
 def _straight(edges: np.ndarray) -> np.ndarray:
@@ -259,118 +249,227 @@ def _straight(edges: np.ndarray) -> np.ndarray:
     return np.concatenate([edges[starts, :3], edges[ends, 3:]], axis=1)
 
 
-def window_parts(rows: np.ndarray, cols: np.ndarray, segments: np.ndarray, window: int) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
-    """``segment, cells, edges, sides`` of each part within one window, given its cells of segments.
+def _neighbours(order: np.ndarray, along: np.ndarray, across: np.ndarray, alike: tuple[np.ndarray, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """The number of the cell before and after each cell along a line of equal cells (-1 for none), in an order that goes along lines."""
+    before, after = np.full(len(order), -1), np.full(len(order), -1)
+    a, b = order[:-1], order[1:]
+    same = (along[b] == along[a] + 1) & (across[b] == across[a])
+    for key in alike:
+        same &= key[b] == key[a]
+    before[b[same]], after[a[same]] = a[same], b[same]
+    return before, after
 
-    ``edges`` are straight runs between the part and other cells of the window, ``sides``
-    the unit edges on the window's border, of which only the cell beyond can tell whether
-    they are edges of the whole part.
-    """
-    r0, c0 = int(rows[0]) // window * window, int(cols[0]) // window * window
-    r, c = rows.astype("i8") - r0, cols.astype("i8") - c0
-    ids, index = np.unique(segments, return_inverse=True)
-    field = np.full((window, window), -1)
-    field[r, c] = index
-    label, n = _labelled(field)
-    padded = np.full((window + 2, window + 2), -1)
-    padded[1:-1, 1:-1] = field
-    own, here = label[r, c], field[r, c]
-    edges, sides = [], []
-    for (dr, dc), a, b in _SIDES:
-        side = np.stack([own, c0 + c + a[0], r0 + r + a[1], c0 + c + b[0], r0 + r + b[1]], axis=1)
-        beyond = (r + dr < 0) | (r + dr >= window) | (c + dc < 0) | (c + dc >= window)
-        sides.append(side[beyond])
-        edges.append(side[~beyond & (padded[r + dr + 1, c + dc + 1] != here)])
-    edges, sides = np.concatenate(edges), np.concatenate(sides)
-    edges = _straight(edges) if len(edges) else edges
-    sides = sides[np.argsort(sides[:, 0], kind="stable")]
-    cells, segment = np.bincount(own, minlength=n), np.zeros(n, "i8")
-    segment[own] = ids[here]
-    cut_e, cut_s = (np.searchsorted(x[:, 0], np.arange(n + 1)).tolist() for x in (edges, sides))
-    return [(int(segment[k]), int(cells[k]), edges[cut_e[k] : cut_e[k + 1], 1:], sides[cut_s[k] : cut_s[k + 1], 1:]) for k in range(n)]
 
+def _cycles(x: np.ndarray, y: np.ndarray, ahead: np.ndarray, part: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Closed rings of corners, each followed by the corner ``ahead``: a ring's part and length, and all corners' ``x, y``.
 
-_CORNERS = "array<array<struct<x:int,y:int>>>"
+    Rings are ordered by part, the outer one first, and start at their least corner. All corners step
+    along at once, twice as far each time, so the passes are as many as the longest ring's length has digits.
+    """
+    n = len(x)
+    rank = np.empty(n, "i8")
+    rank[np.lexsort((y, x))] = np.arange(n)
+    least, to = rank, ahead
+    for _ in range(n.bit_length()):
+        if np.array_equal(least, least[ahead]):
+            break
+        least, to = np.minimum(least, least[to]), to[to]
+    starts = np.flatnonzero(least == rank)
+    ring = np.empty(n, "i8")
+    ring[rank[starts]] = np.arange(len(starts))
+    ring = ring[least]
+    final = least[ahead] == rank[ahead]
+    left, to = np.where(final, 0, 1), np.where(final, np.arange(n), ahead)
+    for _ in range(n.bit_length()):
+        if final[to].all():
+            break
+        left, to = left + left[to], to[to]
+    length, area = left[starts] + 1, np.zeros(len(starts), "i8")
+    np.add.at(area, ring, x * y[ahead] - x[ahead] * y)
+    order = np.lexsort((rank[starts], -area, part[starts]))
+    place = np.empty(len(starts), "i8")
+    place[order] = np.concatenate([[0], np.cumsum(length[order] + 1)[:-1]])
+    out = np.empty((2, n + len(starts)), "i8")
+    at = place[ring] + length[ring] - 1 - left
+    out[0, at], out[1, at] = x, y
+    out[:, place + length] = out[:, place]
+    return part[starts][order], length[order] + 1, out[0], out[1]
+
+
+def window_parts(windows: np.ndarray, layers: np.ndarray, rows: np.ndarray, cols: np.ndarray, segments: np.ndarray, own: np.ndarray) -> dict[str, np.ndarray]:
+    """The 4-connected parts of segments within windows, given windows' ``own`` cells and those of others beside them.
+
+    Cells of different ``layers`` do not meet. Of each part there are its ``first`` cell (as its place among
+    the cells given), the number of its ``cells`` and whether it is ``open``, that is goes on in another window. Rings of closed parts are
+    ``ring_part``, ``ring_length`` and their corners ``x, y``; of open parts there are ``edges``, straight runs between
+    the part and other cells, and ``sides``, the unit sides behind which it goes on, both with their part in front.
+    Nothing is looped over but passes over all cells.
+    """
+    order = np.lexsort((cols, rows, layers, windows))
+    w, layer, r, c, s, own = (a[order] for a in (windows, layers, rows.astype("i8"), cols.astype("i8"), segments, own))
+    n, alike = len(order), (w, layer, s)
+    left, right = _neighbours(np.arange(n), c, r, alike)
+    up, down = _neighbours(np.lexsort((r, c, layer, w)), r, c, alike)
+    beside = np.stack([up, right, down, left])  # as in _SIDES
+    inside = own & (beside >= 0) & own[beside]
+    # runs of a row are joined with those that they touch below
+    run = np.cumsum(own & ~inside[3]) - 1
+    above = np.flatnonzero(inside[2])
+    touch = np.stack([run[above], run[down[above]]])
+    touch = touch[:, np.concatenate([[True], (touch[:, 1:] != touch[:, :-1]).any(0)])] if len(above) else touch
+    runs = int((own & ~inside[3]).sum())
+    roots, part_of_run = np.unique(_joined(runs, *touch), return_inverse=True)
+    part = np.where(own, part_of_run[run], -1) if runs else np.full(n, -1)
+    parts = len(roots)
+    across = own & (beside >= 0) & ~inside
+    is_open = np.zeros(parts, bool)
+    is_open[part[across.any(0)]] = True
+
+    def unit(side: np.ndarray, cell: np.ndarray) -> np.ndarray:
+        a, b = (np.array([q[k] for q in _SIDES])[side] for k in (1, 2))
+        return np.stack([part[cell], c[cell] + a[:, 0], r[cell] + a[:, 1], c[cell] + b[:, 0], r[cell] + b[:, 1]], axis=1)
+
+    edge, opened = own & (beside < 0), own & is_open[part] if parts else own
+    sides, edges = unit(*np.nonzero(across)), unit(*np.nonzero(edge & opened))
+    edges = _straight(edges) if len(edges) else edges
+    # along each edge of a closed part to the next: to the left on the same cell, straight on, or to the right
+    side, cell = np.nonzero(edge & ~opened)
+    number = np.empty((4, n), "i8")
+    number[side, cell] = np.arange(len(side))
+    ahead = beside[(side + 1) % 4, cell]
+    beyond = beside[side, ahead]
+    way = np.where(ahead < 0, 1, np.where(beyond < 0, 0, 3))
+    follow = number[(side + way) % 4, np.where(way == 1, cell, np.where(way == 0, ahead, beyond))]
+    turns = way != 0
+    end = np.where(turns, np.arange(len(side)), follow)
+    while not np.array_equal(to := end[end], end):
+        end = to
+    corner = np.zeros(len(side), bool)
+    corner[follow[turns]] = True
+    corners = np.flatnonzero(corner)
+    nth = np.cumsum(corner) - 1
+    at = unit(side[corners], cell[corners])
+    ring_part, ring_length, x, y = _cycles(at[:, 1], at[:, 2], nth[follow[end[corners]]], at[:, 0])
+    starts = np.flatnonzero(own & ~inside[3])[roots] if parts else roots
+    return {
+        "first": order[starts], "cells": np.bincount(part[own], minlength=parts), "open": is_open, "ring_part": ring_part, "ring_length": ring_length, "x": x, "y": y,
+        "edges": edges[np.argsort(edges[:, 0], kind="stable")], "sides": sides[np.argsort(sides[:, 0], kind="stable")],
+    }
+
+
+_RINGS = "ring array<struct<x:double,y:double>>, holes array<array<struct<x:double,y:double>>>"
 _EDGES = "array<struct<x1:int,y1:int,x2:int,y2:int>>"
 
 
-def _structs(rows: np.ndarray, names: tuple[str, ...]) -> pa.Array:
-    return pa.StructArray.from_arrays([pa.array(rows[:, k].astype("i4")) for k in range(len(names))], list(names))
+def _structs(columns: dict[str, np.ndarray]) -> pa.Array:
+    return pa.StructArray.from_arrays([pa.array(c) for c in columns.values()], list(columns))
 
 
-def _offsets(lengths: list[int]) -> pa.Array:
+def _offsets(lengths: np.ndarray) -> pa.Array:
     return pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype("i4"))
 
 
-def _as_edges(edges: list[np.ndarray]) -> pa.Array:
-    """Rows of lists of edges, put together from whole columns of numbers."""
-    return pa.ListArray.from_arrays(_offsets([len(e) for e in edges]), _structs(np.concatenate([np.zeros((0, 4), "i8"), *edges]), ("x1", "y1", "x2", "y2")))
-
-
-def _as_corners(edges: list[np.ndarray | None]) -> pa.Array:
-    """Rows of lists of rings of corners, traced from each row's edges; null where there are none to trace."""
-    rows = [[] if e is None else linked_rings(e) for e in edges]
-    rings = [ring for row in rows for ring in row]
-    corners = _structs(np.array([p for ring in rings for p in ring], "i8").reshape(-1, 2), ("x", "y"))
-    inner = pa.ListArray.from_arrays(_offsets([len(ring) for ring in rings]), corners)
-    return pa.ListArray.from_arrays(_offsets([len(row) for row in rows]), inner, mask=pa.array([e is None for e in edges], pa.bool_()))
+def _as_edges(edges: np.ndarray, parts: int) -> pa.Array:
+    """Edges with their part in front, in the parts' order, as a list for each part."""
+    return pa.ListArray.from_arrays(_offsets(np.bincount(edges[:, 0], minlength=parts)), _structs({c: edges[:, k].astype("i4") for k, c in enumerate(("x1", "y1", "x2", "y2"), 1)}))
+
+
+def _as_rings(parts: int, ring_part: np.ndarray, ring_length: np.ndarray, x: np.ndarray, y: np.ndarray, grid: Grid) -> dict[str, pa.Array]:
+    """``ring`` and ``holes`` of each part, on a grid, given its rings with the outer one first; a part without rings has an empty ring."""
+    outer = np.concatenate([[True], ring_part[1:] != ring_part[:-1]])[: len(ring_part)]
+    corner, x, y = np.repeat(outer, ring_length), grid.x0 + x * float(grid.dx), grid.y0 + y * float(grid.dy)
+    lengths = np.zeros(parts, "i8")
+    lengths[ring_part[outer]] = ring_length[outer]
+    ring, hole = (_structs({"x": x[own], "y": y[own]}) for own in (corner, ~corner))
+    inner = pa.ListArray.from_arrays(_offsets(ring_length[~outer]), hole)
+    return {"ring": pa.ListArray.from_arrays(_offsets(lengths), ring), "holes": pa.ListArray.from_arrays(_offsets(np.bincount(ring_part[~outer], minlength=parts)), inner)}
+
+
+def _whole_windows(batches: Iterator[pa.RecordBatch], key: str, at_once: int) -> Iterator[pa.Table]:
+    """Rows in the order of ``key`` as tables of at least ``at_once`` rows, but for the last, with all rows of each key."""
+    kept, n = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            kept.append(pa.Table.from_batches([batch]))
+            n += batch.num_rows
+        if n < at_once or kept[0].column(key)[0] == kept[-1].column(key)[-1]:
+            continue
+        rows = pa.concat_tables(kept)
+        keys = rows.column(key).to_numpy()
+        done = int(np.searchsorted(keys, keys[-1]))
+        yield rows.slice(0, done)
+        kept, n = [rows.slice(done)], n - done
+    if n:
+        yield pa.concat_tables(kept)
 
 
 def segment_polygons(segments: DataFrame, labels: DataFrame, grid: Grid | None = None, window: int = WINDOW) -> DataFrame:
     """``seg_id, class_code, n_cells, ring, holes``: a polygon for every 4-connected part of a labelled segment.
 
     ``segments`` has one row per cell, ``labels`` one per segment. Only labelled segments
-    are kept before anything is gathered. Cells are gathered by window, whatever their
-    segment; parts that do not touch their window's border are traced there. Of others,
-    the unit sides on borders meet: two sides of one segment are no edge but join their
-    parts, a side alone is an edge. The joined parts are connected components, and each is
+    are kept before anything is gathered, and cells take their label along. Cells are gathered by window, whatever their
+    segment, with those of other windows beside them; parts that do not go on there are traced at once, all parts of
+    a window and small windows together. Where a part goes on, the sides of both windows meet and join their
+    parts. The joined parts are connected components, and each is
     traced from its edges, so a part of any size is one polygon and no task holds more than
-    a window's cells or one polygon's outline. ``window`` changes no result.
+    a few windows' cells or one polygon's outline. ``window`` changes no result.
     """
     grid = grid or Grid()
-    # read before and after tracing, so what labels are derived from is computed once
+    # joined before tracing, so what labels are derived from is computed once
     known = materialize(labels.select("seg_id", F.col("label").cast("int").alias("class_code")), "known")
-    cells = segments.filter("seg_id > 0").join(known.select("seg_id"), "seg_id", "left_semi")
-    cells = cells.select(F.col("seg_id").cast("long"), F.col("row_id").cast("int"), F.col("col_id").cast("int"), *[F.floor(F.col(c) / window).cast("int").alias(w) for c, w in (("row_id", "_wr"), ("col_id", "_wc"))])
-
-    def trace(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-        found = window_parts(*(rows.column(c).to_numpy() for c in ("row_id", "col_id", "seg_id")), window)
-        out = {"seg_id": [f[0] for f in found], "n_cells": [f[1] for f in found]}
-        out["part"] = [{"r": key[0].as_py(), "c": key[1].as_py(), "k": k} for k in range(len(found))]
-        out["rings"] = _as_corners([None if len(s) else e for _, _, e, s in found])
-        out["edges"] = _as_edges([e if len(s) else e[:0] for _, _, e, s in found])
-        out["sides"] = _as_edges([s for *_, s in found])
-        return pa.table(out, schema=pa.schema([(c, t) for c, t in zip(out, arrow_types, strict=True)]))
-
-    corner, edge = pa.struct([("x", pa.int32()), ("y", pa.int32())]), pa.struct([(c, pa.int32()) for c in ("x1", "y1", "x2", "y2")])
-    arrow_types = [pa.int64(), pa.int64(), pa.struct([("r", pa.int32()), ("c", pa.int32()), ("k", pa.int32())]), pa.list_(pa.list_(corner)), pa.list_(edge), pa.list_(edge)]
-    parts = cells.groupBy("_wr", "_wc").applyInArrow(trace, f"seg_id long, n_cells long, part struct<r:int,c:int,k:int>, rings {_CORNERS}, edges {_EDGES}, sides {_EDGES}")
+    cells = segments.filter("seg_id > 0").select("seg_id", "row_id", "col_id").join(known, "seg_id")
+    cells = cells.select(F.col("seg_id").cast("long"), "class_code", F.col("row_id").cast("int"), F.col("col_id").cast("int"))
+    # a cell on its window's border goes to the windows beside it, too
+    (wr, r), (wc, c) = ((F.floor(F.col(x) / window), F.pmod(F.col(x), F.lit(window))) for x in ("row_id", "col_id"))
+
+    def key(dr: int, dc: int) -> Column:
+        return F.shiftleft(wr + dr, 32) + (wc + dc)
+
+    last = window - 1
+    others = [F.when(x == at, key(*step)) for x, at, step in ((r, 0, (-1, 0)), (r, last, (1, 0)), (c, 0, (0, -1)), (c, last, (0, 1)))]
+    within = r.between(1, last - 1) & c.between(1, last - 1)
+    dealt = cells.select("*", F.explode(F.when(within, F.array(key(0, 0))).otherwise(F.array(key(0, 0), *others))).alias("_window")).filter("_window IS NOT NULL")
+    corner, edge = pa.struct([("x", pa.float64()), ("y", pa.float64())]), pa.struct([(x, pa.int32()) for x in ("x1", "y1", "x2", "y2")])
+    kinds = {
+        "seg_id": pa.int64(), "class_code": pa.int32(), "n_cells": pa.int64(), "open": pa.bool_(), "part": pa.struct([("r", pa.int32()), ("c", pa.int32())]),
+        "ring": pa.list_(corner), "holes": pa.list_(pa.list_(corner)), "edges": pa.list_(edge), "sides": pa.list_(edge),
+    }
+
+    def trace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cells in _whole_windows(batches, "_window", AT_ONCE):
+            windows, row, col = (cells.column(x).to_numpy() for x in ("_window", "row_id", "col_id"))
+            own = windows == (row.astype("i8") // window << 32) + col.astype("i8") // window
+            if not own.any():
+                continue
+            layer = cells.column("class_code")
+            found = window_parts(windows, layer.fill_null(0).to_numpy() + (layer.is_null().to_numpy().astype("i8") << 32), row, col, cells.column("seg_id").to_numpy(), own)
+            first, parts = found["first"], len(found["first"])
+            out = {x: cells.column(x).take(pa.array(first)).combine_chunks() for x in ("seg_id", "class_code")}
+            out |= {"n_cells": pa.array(found["cells"]), "open": pa.array(found["open"]), "part": _structs({"r": row[first], "c": col[first]})}
+            out |= _as_rings(parts, found["ring_part"], found["ring_length"], found["x"], found["y"], grid)
+            out |= {x: _as_edges(found[x], parts) for x in ("edges", "sides")}
+            yield from pa.table({x: out[x].cast(t) for x, t in kinds.items()}).to_batches(max_chunksize=10_000)
+
+    parts = dealt.repartition("_window").sortWithinPartitions("_window").mapInArrow(trace, f"seg_id long, class_code int, n_cells long, open boolean, part struct<r:int,c:int>, {_RINGS}, edges {_EDGES}, sides {_EDGES}")
     parts = materialize(parts, "parts")
 
-    # what touches a border of its window
-    open_parts = parts.filter("rings IS NULL")
-    sides = open_parts.select("seg_id", "part", F.inline("sides"))
+    # what goes on in another window
+    open_parts = parts.filter("open")
     place = [F.least("x1", "x2").alias("x"), F.least("y1", "y2").alias("y"), (F.col("x1") == F.col("x2")).alias("upright")]
-    met = sides.groupBy("seg_id", *place).agg(F.count("*").alias("n"), F.min("part").alias("a"), F.max("part").alias("b"), F.first(F.struct("x1", "y1", "x2", "y2")).alias("edge"))
-    met = materialize(met, "sides")
-    joined = components(met.filter("n = 2").select("a", "b"))
-    whole = open_parts.select("seg_id", "n_cells", "part", "edges").join(joined, F.col("part") == F.col("node"), "left").withColumn("whole", F.coalesce("component", "part"))
-    alone = met.filter("n = 1").select("seg_id", F.lit(0).cast("long").alias("n_cells"), F.col("a").alias("part"), F.array("edge").alias("edges"))
-    alone = alone.join(joined, F.col("part") == F.col("node"), "left").withColumn("whole", F.coalesce("component", "part"))
-    pieces = whole.select("seg_id", "whole", "n_cells", "edges").unionByName(alone.select("seg_id", "whole", "n_cells", "edges"))
+    met = open_parts.select("seg_id", "class_code", "part", F.inline("sides")).groupBy("seg_id", "class_code", *place).agg(F.min("part").alias("a"), F.max("part").alias("b"))
+    joined = components(met.select("a", "b"))
+    whole = open_parts.select("seg_id", "class_code", "n_cells", "part", "edges").join(joined, F.col("part") == F.col("node"), "left").withColumn("whole", F.coalesce("component", "part"))
 
     def close(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
         flat = rows.column("edges").combine_chunks().flatten()
-        edges = np.stack([flat.field(c).to_numpy() for c in ("x1", "y1", "x2", "y2")], axis=1).astype("i8")
+        rings = linked_rings(np.stack([flat.field(x).to_numpy() for x in ("x1", "y1", "x2", "y2")], axis=1).astype("i8"))
+        x, y = np.array([p for ring in rings for p in ring], "i8").reshape(-1, 2).T
         n = pa.compute.sum(rows.column("n_cells"))
-        return pa.table({"seg_id": pa.array([key[0].as_py()], pa.int64()), "n_cells": pa.array([n.as_py()], pa.int64()), "rings": _as_corners([edges])})
-
-    traced = pieces.groupBy("seg_id", "whole").applyInArrow(close, f"seg_id long, n_cells long, rings {_CORNERS}")
-    traced = traced.unionByName(parts.filter("rings IS NOT NULL").select("seg_id", "n_cells", "rings"))
-    placed = F.transform("rings", lambda q: F.transform(q, lambda p: F.struct((grid.x0 + p["x"] * grid.dx).alias("x"), (grid.y0 + p["y"] * grid.dy).alias("y"))))
-    shaped = traced.withColumn("rings", placed).join(known, "seg_id")
-    shaped = shaped.select("seg_id", "class_code", "n_cells", F.col("rings")[0].alias("ring"), F.slice("rings", F.lit(2), F.size("rings")).alias("holes"))
-    return shaped
+        out = {"seg_id": pa.array([key[0].as_py()], pa.int64()), "class_code": pa.array([key[1].as_py()], pa.int32()), "n_cells": pa.array([n.as_py()], pa.int64())}
+        return pa.table(out | _as_rings(1, np.zeros(len(rings), "i8"), np.array([len(q) for q in rings]), x, y, grid))
+
+    traced = whole.groupBy("seg_id", "class_code", "whole").applyInArrow(close, f"seg_id long, class_code int, n_cells long, {_RINGS}")
+    return traced.unionByName(parts.filter("NOT open").select(*traced.columns))
 
 
 def polygonize_segments(segments: DataFrame, labels: DataFrame, grid: Grid | None = None, window: int = WINDOW) -> DataFrame:

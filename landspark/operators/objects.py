@@ -54,9 +54,13 @@ def object_matrix(stats: DataFrame, bands: tuple[str, ...] = CUBE) -> DataFrame:
     return stats.select("seg_id", *[F.col(f"{b}_{s}").cast("float") for s in STATS for b in bands])
 
 
-def segment_class_counts(segments: DataFrame, labels: DataFrame, known: DataFrame | None = None, nodata: int = NODATA) -> DataFrame:
-    """``seg_id, label, n``: labelled cells per segment and class, of ``known`` segments if given."""
-    found = labels.filter(F.col("label") != nodata).join(segments.filter("seg_id > 0"), ["row_id", "col_id"])
+def segment_class_counts(segments: DataFrame | None, labels: DataFrame, known: DataFrame | None = None, nodata: int = NODATA) -> DataFrame:
+    """``seg_id, label, n``: labelled cells per segment and class, of ``known`` segments if given.
+
+    ``labels`` may have ``seg_id`` itself, which saves the join; ``segments`` is None then.
+    """
+    found = labels.filter(F.col("label") != nodata)
+    found = found.filter("seg_id > 0") if segments is None else found.join(segments.filter("seg_id > 0"), ["row_id", "col_id"])
     if known is not None:
         found = found.join(known.select("seg_id"), "seg_id", "left_semi")
     return found.groupBy("seg_id", "label").agg(F.count("*").alias("n"))

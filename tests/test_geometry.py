@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -216,6 +217,93 @@ def test_holes_survive_the_writer(spark):
     assert len(read_wkt(spark.read.parquet(path).first()["wkt"])) == 2
 
 
+def in_windows(cells, window, layers=1):
+    """Cells ``segment, row, column`` as the arrays of each window, with the cells of others beside it."""
+    out = []
+    for layer in range(layers):
+        for s, r, c in cells:
+            near = [(r, c), (r + 1, c), (r - 1, c), (r, c + 1), (r, c - 1)]
+            out += [(wr * 1000 + wc, layer, r, c, s, (wr, wc) == (r // window, c // window)) for wr, wc in {(y // window, x // window) for y, x in near}]
+    np.random.default_rng(1).shuffle(out)
+    return [np.array([x[k] for x in out], bool if k == 5 else "i8") for k in range(6)]
+
+
+def parts_of(cells):
+    """The 4-connected parts as sets of cells, one by one."""
+    of, found = {(r, c): s for s, r, c in cells}, []
+    left = set(of)
+    while left:
+        part, queue = set(), [left.pop()]
+        while queue:
+            r, c = queue.pop()
+            part.add((r, c))
+            for p in ((r + 1, c), (r - 1, c), (r, c + 1), (r, c - 1)):
+                if p in left and of[p] == of[r, c]:
+                    left.discard(p)
+                    queue.append(p)
+        found.append((of[min(part)], part))
+    return found
+
+
+@pytest.mark.parametrize(("window", "height", "width", "n", "layers"), [(64, 40, 50, 1, 1), (64, 40, 50, 2, 2), (7, 30, 30, 1, 1), (5, 20, 40, 3, 2), (2, 12, 12, 1, 1), (1, 5, 5, 2, 1)])
+def test_parts_of_many_windows_are_traced_at_once(window, height, width, n, layers):
+    # with cells at negative places, holes, and parts that meet themselves at corners
+    cells = [(s, r - 9, c - 11) for s, r, c in at_random(window + n, height, width, n) if s]
+    got = grid.window_parts(*(given := in_windows(cells, window, layers)))
+    want, every = [], set(cells)
+    for key in sorted({(r // window, c // window) for _, r, c in cells}):
+        for s, part in parts_of([q for q in cells if (q[1] // window, q[2] // window) == key]):
+            beyond = [p for r, c in part for p in ((r + 1, c), (r - 1, c), (r, c + 1), (r, c - 1)) if (p[0] // window, p[1] // window) != key and (s, *p) in every]
+            want.append((s, min(part), len(part), len(beyond), [] if beyond else grid._rings(part)))
+    ends = np.concatenate([[0], np.cumsum(got["ring_length"])])
+    rings = {}
+    for k, part in enumerate(got["ring_part"].tolist()):
+        rings.setdefault(part, []).append([(x, y) for x, y in zip(got["x"][ends[k] : ends[k + 1]].tolist(), got["y"][ends[k] : ends[k + 1]].tolist(), strict=True)])
+    sides = np.bincount(got["sides"][:, 0], minlength=len(got["first"]))
+    found = [(int(given[4][f]), (int(given[2][f]), int(given[3][f])), int(got["cells"][k]), int(sides[k]), rings.get(k, [])) for k, f in enumerate(got["first"])]
+    assert sorted(found) == sorted(want * layers)
+    assert got["open"].tolist() == (sides > 0).tolist() and got["open"].any()
+
+
+def test_windows_are_read_whole():
+    keys = [1, 1, 1, 2, 3, 3, 3, 3, 3, 3, 4, 5]
+    for size in (1, 2, 5, 100):
+        batches = [pa.RecordBatch.from_pydict({"k": keys[i : i + size], "v": list(range(i, min(i + size, len(keys))))}) for i in range(0, len(keys), size)]
+        got = [t.to_pydict() for t in grid._whole_windows(iter([batches[0].slice(0, 0), *batches]), "k", 3)]
+        assert sum((t["v"] for t in got), []) == list(range(len(keys)))
+        assert len(got) == len({k for k in keys}) - sum(len(set(t["k"])) - 1 for t in got)
+
+
+def test_polygons_of_odd_labels(spark):
+    cells = spark.createDataFrame([(1, 0, 0), (1, 0, 1), (2, 0, 2), (3, 0, 3), (None, 5, 5), (-4, 6, 6)], "seg_id long, row_id int, col_id int")
+    labels = spark.createDataFrame([(1, 10), (1, 20), (2, None), (None, 5), (-4, 9), (8, 1)], "seg_id int, label long")
+    for window in (1, 512):
+        got = grid.polygonize_segments(cells.withColumn("class_code", F.lit("x")), labels, window=window)
+        assert rows(got) == [(1, 10, "POLYGON ((0 0, 2 0, 2 1, 0 1, 0 0))", 2), (1, 20, "POLYGON ((0 0, 2 0, 2 1, 0 1, 0 0))", 2), (2, None, "POLYGON ((2 0, 3 0, 3 1, 2 1, 2 0))", 1)]
+
+
+def test_measures_of_polygons(spark):
+    square, hole = [(0.0, 0.0), (9.0, 0.0), (9.0, 9.0), (0.0, 9.0)], [(3.0, 3.0), (3.0, 6.0), (6.0, 6.0), (6.0, 3.0), (3.0, 3.0)]
+    far = [(1e6, 2e6), (1e6 + 3, 2e6), (1e6, 2e6 + 3.5)]
+    given = [(square, [hole, hole[:-1]]), ([*square, square[0]], []), (None, None), ([], []), (hole, []), (far, []), (far[::-1], [])]
+    df = spark.createDataFrame(given, f"ring {RING}, holes array<{RING}>")
+
+    def less(f, sign):
+        return F.aggregate("holes", F.abs(f(F.col("ring"))), lambda s, h: s + sign * F.abs(f(h)))
+
+    got = df.select(g.polygon_measures(F.col("ring"), F.col("holes")), less(g.ring_area, -1), less(g.ring_length, 1)).collect()
+    assert [tuple(r[0]) for r in got] == [(r[1], r[2]) for r in got]
+    assert [r[0]["area"] for r in got] == [63.0, 81.0, None, 0.0, 9.0, 5.25, 5.25]
+
+
+def test_counts_of_cells_with_their_segment(spark):
+    cells = [(0, 0, 1, 7), (0, 1, 1, 7), (0, 2, 1, 8), (0, 3, 0, 7), (0, 4, 2, -9999), (0, 5, None, 8), (0, 6, 2, 8)]
+    df = spark.createDataFrame(cells, "row_id int, col_id int, seg_id long, label int")
+    got = objects.segment_class_counts(None, df)
+    assert rows(got) == rows(objects.segment_class_counts(df.drop("label"), df.drop("seg_id"))) == [(1, 7, 2), (1, 8, 1), (2, 8, 1)]
+    assert "Join" not in plan(got)
+
+
 def test_polygonize_nothing(spark):
     none = spark.createDataFrame([], "seg_id long, row_id int, col_id int")
     assert grid.polygonize_segments(none, spark.createDataFrame([(1, 10)], "seg_id long, label int")).count() == 0
